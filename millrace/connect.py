@@ -28,7 +28,7 @@ from .model import TableSpec
 from .operators.deltas import backfill_deltas
 from .operators.splits import split_assignment, split_points
 from .sinks.state import StateTable
-from .sinks.tables import Processor, append_rows
+from .sinks.tables import Processor, append_rows, fan_out
 from .sources import jdbc
 from .sources.log import stream_log
 from .streaming.runs import start
@@ -127,13 +127,18 @@ class MySqlSource:
 
 @dataclass
 class StateSink:
-    """Current-state tables below ``warehouse/project_id/dataset_id``."""
+    """Current-state tables below ``warehouse/project_id/dataset_id``.
+
+    With ``compact_every`` the base is rewritten after the backfill and after
+    every so many batches.
+    """
 
     warehouse: str
     dataset_id: str
     project_id: str = "default"
     application_name: str = "millrace"
     buckets: int | None = None
+    compact_every: int | None = None
     _spark: SparkSession | None = field(default=None, repr=False)
 
     @property
@@ -147,7 +152,14 @@ class StateSink:
         return StateTable(self._spark, f"{self.root}/{table.table_id}", table, self.buckets)
 
     def processor(self, table: TableSpec) -> Processor:
-        return self.state(table).apply
+        state = self.state(table)
+
+        def process(batch: DataFrame, batch_id: int) -> None:
+            state.apply(batch, batch_id)
+            if self.compact_every and (batch_id + 1) % self.compact_every == 0:
+                state.compact()
+
+        return process
 
 
 @dataclass
@@ -211,9 +223,9 @@ def run(spark: SparkSession, specification: dict, checkpoints: str,
         continuous: bool = False) -> dict[str, Sink]:
     """Load every connected table; returns the sinks by name.
 
-    The log streams start first and run beside the backfill: which comes first
-    makes no difference to a merging sink. Without ``continuous`` this returns
-    when what is there now is loaded.
+    Each table's backfill comes first and its log after it, so that one job at a
+    time writes to a sink table. The log's files stay there meanwhile. Without
+    ``continuous`` this returns when what is there now is loaded.
     """
     sources, sinks, links = connect(specification)
     for sink in sinks.values():
@@ -224,11 +236,11 @@ def run(spark: SparkSession, specification: dict, checkpoints: str,
             continue
         for feed in source.feeds(spark):
             processors = [sink.processor(feed.table) for sink in outs]
-            query = feed.log is not None and start(
-                feed.log, processors, f"{checkpoints}/{name}/{feed.table.table_id}",
-                continuous=continuous)
-            for process in processors:
-                process(feed.backfill, BACKFILL_BATCH)
-            if query and not continuous:
-                query.awaitTermination()
+            fan_out(processors)(feed.backfill, BACKFILL_BATCH)
+            if feed.log is not None:
+                query = start(feed.log, processors,
+                              f"{checkpoints}/{name}/{feed.table.table_id}",
+                              continuous=continuous)
+                if not continuous:
+                    query.awaitTermination()
     return sinks

@@ -48,15 +48,13 @@ def position_text(epoch: Column, filename: Column, offset: Column) -> Column:
 
 # A log file name is a prefix and a number. The number sorts as a number, so
 # bin.999999 comes before bin.1000000.
-_FILE_NAME = "^(.*?)([0-9]*)$"
-
-
 def file_prefix(filename: Column) -> Column:
-    return F.regexp_extract(filename, _FILE_NAME, 1)
+    return F.rtrim(filename, F.lit("0123456789"))
 
 
 def file_number(filename: Column) -> Column:
-    return F.coalesce(F.regexp_extract(filename, _FILE_NAME, 2).try_cast("long"), F.lit(0))
+    digits = F.substr(filename, F.length(file_prefix(filename)) + 1)
+    return F.coalesce(digits.try_cast("long"), F.lit(0))
 
 
 def position_order(*tail: str | Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.position import delta_order, position_order
-from ..session import BROADCAST_ROWS, has_at_most
+from ..session import BROADCAST_ROWS, has_at_most, stored
 from .slices import latest_in_key
 
 # A hot key's log rows are spread over this many tasks when the lookup table is
@@ -93,7 +93,7 @@ def table_at(log: DataFrame, table_map: DataFrame, broadcast_rows: int = BROADCA
     through a sort of log and mappings together. Row events without any earlier
     mapping are left out; see ``orphans``.
     """
-    ranges = _mapping_ranges(table_map)
+    ranges = stored(_mapping_ranges(table_map), "mapping-ranges")
     busiest = ranges.groupBy(*MAPPING).count().agg(
         F.coalesce(F.sum("count"), F.lit(0)).alias("rows"),
         F.coalesce(F.max("count"), F.lit(0)).alias("per_file")).first()

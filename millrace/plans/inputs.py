@@ -199,6 +199,12 @@ MULTI_LOG_SQL = """multi_log AS (
 
 
 def table_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = landed(spark, sf_dir, "table-map", lambda: _table_map(spark, sf_dir))
+    return read_log(spark, folder, "epoch int, filename string, offset bigint, table_id bigint, "
+                                   "db string, tbl string")
+
+
+def _table_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = table(spark, sf_dir, "events").select(
         F.expr(f"event_id div {EVENTS_PER_FILE} + 1").alias("file_number")).distinct()
     ids = files.withColumn("table_id", F.explode(F.array(

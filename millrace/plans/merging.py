@@ -137,17 +137,17 @@ def sink_catalog(spark: SparkSession, sf: str) -> DataFrame:
     """The sink's tables after loading three source tables, with their row counts."""
     root = new_folder(spark, "warehouse")
     database = "sink_" + root[-32:]
-    spark.sql(f"CREATE DATABASE {database} LOCATION '{root}'")
-    counts = []
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/database'")
+    sizes = []
     for name in CATALOG_TABLES:
-        rows = i.table(spark, sf, name)
-        create_table(spark, database, name, rows.schema, f"{root}/{name}")
-        rows.write.mode("append").parquet(f"{root}/{name}")
-        spark.catalog.refreshTable(f"{database}.{name}")
-        counts.append(spark.table(f"{database}.{name}").agg(F.count("*").alias("rows"))
-                      .select(F.lit(name).alias("tbl"), "rows"))
-    sizes = counts[0].unionByName(counts[1]).unionByName(counts[2])
-    return catalog_columns(spark, database).join(sizes, "tbl")
+        rows, path = i.table(spark, sf, name), f"{root}/tables/{name}"
+        create_table(spark, database, name, rows.schema, path)
+        rows.write.mode("append").parquet(path)
+        sizes.append(spark.read.schema(rows.schema).parquet(path).agg(F.count("*").alias("rows"))
+                     .select(F.lit(name).alias("tbl"), "rows"))
+    columns = catalog_columns(spark, database)
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return columns.join(sizes[0].unionByName(sizes[1]).unionByName(sizes[2]), "tbl")
 
 
 @query("connected_run", i.CURRENT_STATE_SQL)

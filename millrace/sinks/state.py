@@ -2,20 +2,22 @@
 
 Below ``root`` there are
 
-``base/v=<n>``              the latest delta per key, tombstones included, in
-                            buckets of the key
+``versions``                  one row per finished base: its number and folder
+``base/<folder>``             the latest delta per key, tombstones included, in
+                              buckets of the key
 ``delta/v=<n>/batch_id=<i>``  what batch ``i`` brought on top of base ``n``
-``versions``                one row per finished base
 
 A batch that is delivered again overwrites its own folder, or, after the base was
 rewritten, adds deltas the base already has. Neither changes the result, since
-the greatest position wins.
+the greatest position wins. A base counts once its row is in ``versions``; one
+that was left unfinished is never read. One job at a time may write.
 """
 
 from __future__ import annotations
 
-import zlib
-from collections.abc import Sequence
+import hashlib
+import uuid
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +27,14 @@ from ..model import TableSpec
 from ..operators.merge import latest_delta, live_rows, merge_latest, tombstones
 from ..session import read_if_written
 
-_VERSIONS = StructType([StructField("version", LongType()), StructField("buckets", IntegerType())])
+_VERSIONS = StructType([StructField("version", LongType()), StructField("buckets", IntegerType()),
+                        StructField("folder", StringType())])
+
+
+class _Base(NamedTuple):
+    version: int
+    buckets: int
+    folder: str | None
 
 
 class StateTable:
@@ -45,24 +54,25 @@ class StateTable:
             StructField("seq", IntegerType()),
         ])
 
-    def _version(self) -> tuple[int, int]:
-        """Number and bucket count of the newest base; number 0 is the empty one."""
+    def _newest(self) -> _Base:
+        """The newest base; number 0 stands for none."""
         versions = read_if_written(self.spark, f"{self.root}/versions", _VERSIONS)
         newest = versions and versions.agg(F.max_by(F.struct("*"), "version").alias("v")).first().v
-        return (newest.version, newest.buckets) if newest else (0, self.buckets)
+        return _Base(*newest) if newest else _Base(0, self.buckets, None)
 
-    def _base_table(self, version: int) -> str:
-        return f"state_{zlib.crc32(self.root.encode()):08x}_v{version}"
+    @staticmethod
+    def _table_name(folder: str) -> str:
+        return "state_" + hashlib.sha256(folder.encode()).hexdigest()[:32]
 
-    def _base(self, version: int, buckets: int) -> DataFrame:
+    def _rows_of(self, base: _Base) -> DataFrame:
         """The base as a bucketed table, made known to the catalog if it is not."""
-        name = self._base_table(version)
+        name = self._table_name(base.folder)
         if not self.spark.catalog.tableExists(name):
             key = ", ".join(f"`{k}`" for k in self.key)
             self.spark.sql(
                 f"CREATE TABLE {name} ({self.schema.toDDL()}) USING parquet "
-                f"CLUSTERED BY ({key}) SORTED BY ({key}) INTO {buckets} BUCKETS "
-                f"LOCATION '{self.root}/base/v={version}'")
+                f"CLUSTERED BY ({key}) SORTED BY ({key}) INTO {base.buckets} BUCKETS "
+                f"LOCATION '{base.folder}'")
         return self.spark.table(name)
 
     def _batches(self, version: int) -> DataFrame | None:
@@ -70,20 +80,21 @@ class StateTable:
 
     def apply(self, deltas: DataFrame, batch_id: int) -> None:
         """Add a batch. The same batch may come again, and batches in any order."""
-        version, _ = self._version()
         latest = latest_delta(deltas, self.key).select(*self.schema.fieldNames())
         latest.write.mode("overwrite").parquet(
-            f"{self.root}/delta/v={version}/batch_id={batch_id}")
+            f"{self.root}/delta/v={self._newest().version}/batch_id={batch_id}")
 
     def latest(self) -> DataFrame:
         """Key, operation, after-image and position of every key, tombstones included."""
-        version, buckets = self._version()
-        batches = self._batches(version)
+        return self._latest(self._newest())
+
+    def _latest(self, base: _Base) -> DataFrame:
+        batches = self._batches(base.version)
         recent = None if batches is None else latest_delta(batches, self.key)
-        if not version:
+        if base.folder is None:
             return self.spark.createDataFrame([], self.schema) if recent is None else recent
-        base = self._base(version, buckets)
-        return base if recent is None else merge_latest(base, recent, self.key)
+        rows = self._rows_of(base)
+        return rows if recent is None else merge_latest(rows, recent, self.key)
 
     def rows(self) -> DataFrame:
         """The table as it is now."""
@@ -94,19 +105,15 @@ class StateTable:
 
     def compact(self) -> None:
         """Write a new base from the present one and its batches."""
-        version, buckets = self._version()
-        state, target = self.latest(), version + 1
-        if not version:
-            state = state.repartition(buckets, *self.key)
-        name, path = self._base_table(target), f"{self.root}/base/v={target}"
-        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        (state.select(*self.schema.fieldNames()).write.mode("overwrite").format("parquet")
-         .bucketBy(buckets, *self.key).sortBy(*self.key).option("path", path).saveAsTable(name))
-        row = self.spark.range(1).select(F.lit(target).cast("long").alias("version"),
-                                         F.lit(buckets).alias("buckets"))
-        row.write.mode("append").parquet(f"{self.root}/versions")
-
-
-def merge_all(state: StateTable, batches: Sequence[tuple[int, DataFrame]]) -> None:
-    for batch_id, deltas in batches:
-        state.apply(deltas, batch_id)
+        old = self._newest()
+        new = _Base(old.version + 1, old.buckets,
+                    f"{self.root}/base/v={old.version + 1}-{uuid.uuid4().hex}")
+        state = self._latest(old).select(*self.schema.fieldNames())
+        if old.folder is None:
+            state = state.repartition(new.buckets, *self.key)
+        # From the second base on, the merge leaves each bucket in one task as it is.
+        (state.write.format("parquet").bucketBy(new.buckets, *self.key).sortBy(*self.key)
+         .option("path", new.folder).saveAsTable(self._table_name(new.folder)))
+        self.spark.range(1).select(
+            F.lit(new.version).cast("long").alias("version"), F.lit(new.buckets).alias("buckets"),
+            F.lit(new.folder).alias("folder")).write.mode("append").parquet(f"{self.root}/versions")

@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
-def read_log(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_log(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def stream_log(spark: SparkSession, path: str, schema: StructType,
+def stream_log(spark: SparkSession, path: str, schema: StructType | str,
                files_per_batch: int | None = None) -> DataFrame:
     """The log's files as a stream; ``path`` is a folder or a glob pattern."""
     reader = spark.readStream.schema(schema)
