@@ -118,7 +118,8 @@ class MySqlSource:
             table = TableSpec(self.database, name, whole.schema, key)
             rows = whole
             if key:
-                points = split_points(split_assignment(whole, key, self.batch_size), key,
+                keys = jdbc.read_keys(spark, options, name, key)
+                points = split_points(split_assignment(keys, key, self.batch_size), key,
                                       self.batch_size)
                 rows = jdbc.read_ranges(spark, options, name, key, points)
             log = stream_log(spark, f"{self.log}/{name}", log_schema(table)) if self.log else None

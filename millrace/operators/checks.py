@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .lookups import lookup_join
+
 
 def set_apart(df: DataFrame, good: Column) -> tuple[DataFrame, DataFrame]:
     """The rows that pass, and those that do not (a null outcome does not)."""
@@ -28,7 +30,7 @@ def column_counts(columns: DataFrame) -> DataFrame:
 def table_map_mismatch(table_map: DataFrame, columns: DataFrame) -> DataFrame:
     """Mappings whose ``width`` is not the number of columns in the catalog."""
     known = column_counts(columns)
-    return table_map.join(known, ["db", "tbl"], "left").where(
+    return lookup_join(table_map, known, ["db", "tbl"], "left").where(
         ~F.col("width").eqNullSafe(F.col("columns")))
 
 

@@ -10,27 +10,27 @@ from pyspark.sql import functions as F
 
 from ..functions.position import delta_order, position_order
 from ..session import BROADCAST_ROWS, has_at_most, stored
-from .slices import latest_in_key
+from .slices import latest_in_key, previous_in_key
 
-# A hot key's log rows are spread over this many tasks when the lookup table is
-# too large to broadcast.
+# A hot key's rows are spread over this many tasks when the lookup table is too
+# large to broadcast.
 SALTS = 32
 # Mappings of one table in one file that a broadcast join may look through.
 FILE_MAPPINGS = 64
 
 
-def lookup_join(rows: DataFrame, lookup: DataFrame, on: Sequence[str], spread: Sequence[str],
-                how: str = "inner", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def lookup_join(rows: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "inner",
+                broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Join a large, possibly skewed table with a lookup table.
 
     A lookup of at most ``broadcast_rows`` rows is broadcast. A larger one is
-    repeated per salt, and the rows of one key are spread by their ``spread``
-    columns, so that a hot key is joined in several tasks.
+    repeated per salt, and the rows of one key are spread by the input partition
+    they are in, so that a hot key is joined in several tasks.
     """
     on = list(on)
     if has_at_most(lookup, broadcast_rows):
         return rows.join(F.broadcast(lookup), on, how)
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int"))
+    salted = rows.withColumn("_salt", F.spark_partition_id() % SALTS)
     repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
 
@@ -44,26 +44,29 @@ def with_table(log: DataFrame, table_map: DataFrame, **limits) -> DataFrame:
     ``table_map`` has one mapping per file and table id.
     """
     names = table_map.select(*MAPPING, "db", "tbl")
-    return lookup_join(log, names, MAPPING, ["offset", "seq"], **limits)
+    return lookup_join(log, names, MAPPING, **limits)
 
 
 def orphans(log: DataFrame, table_map: DataFrame, **limits) -> DataFrame:
-    """Row events whose table id was never mapped in their epoch."""
-    ids = table_map.select("epoch", "table_id").distinct()
-    return lookup_join(log, ids, ["epoch", "table_id"], ["filename", "offset", "seq"],
-                       how="left_anti", **limits)
+    """Row events whose table id is not mapped at or before their position."""
+    first = table_map.groupBy("epoch", "table_id").agg(F.min(position_order()).alias("_first"))
+    found = lookup_join(log, first, ["epoch", "table_id"], "left", **limits)
+    unmapped = F.col("_first").isNull() | (position_order() < F.col("_first"))
+    return found.where(unmapped).select(*log.columns)
 
 
-def _mapping_ranges(table_map: DataFrame) -> DataFrame:
-    """Per file and table id, the offsets from and to which a mapping holds.
-
-    A window covers one table in one log file, and log files are of limited size.
-    """
-    in_file = W.partitionBy(*MAPPING).orderBy("offset")
-    repeated = F.struct("db", "tbl").eqNullSafe(F.lag(F.struct("db", "tbl")).over(in_file))
-    changes = table_map.withColumn("_repeated", repeated).where(~F.col("_repeated"))
-    return changes.select(*MAPPING, "db", "tbl", F.col("offset").alias("from_offset"),
-                          F.lead("offset").over(in_file).alias("to_offset"))
+def _changes(table_map: DataFrame, few: bool) -> DataFrame:
+    """The mappings without those that repeat the one before them in their file."""
+    name = F.struct("db", "tbl")
+    if few:
+        in_file = W.partitionBy(*MAPPING).orderBy("offset")
+        linked = table_map.withColumn("_last", F.lag(name).over(in_file))
+    else:
+        named = table_map.withColumn("_name", name)
+        linked = previous_in_key(named, MAPPING, ["offset"], "_name").withColumn(
+            "_last", F.col("previous.value"))
+    return linked.where(~name.eqNullSafe(F.col("_last"))).select(
+        *MAPPING, "offset", "db", "tbl")
 
 
 def _table_at_by_order(log: DataFrame, table_map: DataFrame) -> DataFrame:
@@ -93,12 +96,14 @@ def table_at(log: DataFrame, table_map: DataFrame, broadcast_rows: int = BROADCA
     through a sort of log and mappings together. Row events without any earlier
     mapping are left out; see ``orphans``.
     """
-    ranges = stored(_mapping_ranges(table_map), "mapping-ranges")
-    busiest = ranges.groupBy(*MAPPING).count().agg(
-        F.coalesce(F.sum("count"), F.lit(0)).alias("rows"),
-        F.coalesce(F.max("count"), F.lit(0)).alias("per_file")).first()
-    if busiest.rows > broadcast_rows or busiest.per_file > file_mappings:
-        return _table_at_by_order(log, table_map)
+    changes = stored(_changes(table_map, has_at_most(table_map, broadcast_rows)), "mappings")
+    sizes = changes.groupBy(*MAPPING).count().agg(F.sum("count"), F.max("count")).first()
+    rows, per_file = sizes[0] or 0, sizes[1] or 0
+    if rows > broadcast_rows or per_file > file_mappings:
+        return _table_at_by_order(log, changes)
+    in_file = W.partitionBy(*MAPPING).orderBy("offset")
+    ranges = changes.select(*MAPPING, "db", "tbl", F.col("offset").alias("from_offset"),
+                            F.lead("offset").over(in_file).alias("to_offset"))
     left, right = log.alias("l"), F.broadcast(ranges).alias("r")
     on = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in MAPPING]
     holds = (F.col("l.offset") >= F.col("r.from_offset")) & (
@@ -108,11 +113,11 @@ def table_at(log: DataFrame, table_map: DataFrame, broadcast_rows: int = BROADCA
     joined = left.join(right, holds, "left").select("l.*", "r.db", "r.tbl")
     here = joined.where(F.col("tbl").isNotNull())
     earlier = joined.where(F.col("tbl").isNull()).drop("db", "tbl").join(
-        F.broadcast(ranges.select("epoch", "table_id").distinct()), ["epoch", "table_id"],
+        F.broadcast(changes.select("epoch", "table_id").distinct()), ["epoch", "table_id"],
         "left_semi").select(*log.columns)
     if earlier.isEmpty():
         return here
-    return here.unionByName(_table_at_by_order(earlier, table_map))
+    return here.unionByName(_table_at_by_order(earlier, changes))
 
 
 def missing_tables(source: DataFrame, sink: DataFrame) -> DataFrame:
@@ -129,5 +134,5 @@ def connections(importers: DataFrame, exporters: DataFrame, links: DataFrame) ->
     """Each connection with the types of its two ends; both must be known."""
     sources = importers.select(F.col("name").alias("source"), F.col("type").alias("source_type"))
     sinks = exporters.select(F.col("name").alias("sink"), F.col("type").alias("sink_type"))
-    return links.join(sources, "source").join(sinks, "sink").select(
-        "name", "source", "source_type", "sink", "sink_type")
+    both = lookup_join(lookup_join(links, sources, ["source"]), sinks, ["sink"])
+    return both.select("name", "source", "source_type", "sink", "sink_type")

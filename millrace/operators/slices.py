@@ -2,8 +2,10 @@
 
 A plain window puts all rows of one key into one task, and a global order puts
 the whole table into one. Here rows are range-partitioned on key *and* order, so
-a hot key covers many slices of even size. Each slice is worked on alone; what
-crosses a slice border is one row per slice, which is small, and is joined back.
+a hot key covers many slices of even size. Rows equal in key and order are told
+apart by the input partition they come from, so many copies of one row are cut
+too. Each slice is worked on alone; what crosses a slice border is one row per
+slice, which is small, and is broadcast.
 
 The slices are written once to the shared folder: range borders come from a
 sample, so two runs of the same plan need not cut at the same rows.
@@ -20,14 +22,16 @@ from pyspark.sql import functions as F
 
 from ..session import stored
 
-SLICE, ROW = "_slice", "_row"
+SLICE, ROW, TIE = "_slice", "_row", "_tie"
 _ROW_BITS = 33  # monotonically_increasing_id: partition above, row in partition below
 
 
 def _slices(df: DataFrame, order: Sequence[str], count: int | None) -> DataFrame:
     """``df`` cut into ranges of ``order``, with slice and row-in-slice numbers."""
     count = count or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    running = (df.repartitionByRange(count, *order).sortWithinPartitions(*order)
+    order = [*order, TIE]
+    running = (df.withColumn(TIE, F.spark_partition_id())
+               .repartitionByRange(count, *order).sortWithinPartitions(*order)
                .withColumn("_id", F.monotonically_increasing_id()))
     return stored(
         running.select(

@@ -44,7 +44,8 @@ def asof_table_map(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("orphan_events", i.with_(*LOG_SQL) + """SELECT k, epoch, filename, "offset", seq, table_id
 FROM multi_log g WHERE NOT EXISTS (
-  SELECT 1 FROM table_map t WHERE t.epoch = g.epoch AND t.table_id = g.table_id)""")
+  SELECT 1 FROM table_map t WHERE t.epoch = g.epoch AND t.table_id = g.table_id
+  AND (t.filename, t."offset") <= (g.filename, g."offset"))""")
 def orphan_events(spark: SparkSession, sf: str) -> DataFrame:
     lost = l.orphans(i.multi_log(spark, sf), i.table_map(spark, sf))
     return lost.select("k", "epoch", "filename", "offset", "seq", "table_id")

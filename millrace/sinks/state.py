@@ -90,11 +90,16 @@ class StateTable:
 
     def _latest(self, base: _Base) -> DataFrame:
         batches = self._batches(base.version)
-        recent = None if batches is None else latest_delta(batches, self.key)
         if base.folder is None:
-            return self.spark.createDataFrame([], self.schema) if recent is None else recent
+            return (self.spark.createDataFrame([], self.schema) if batches is None
+                    else latest_delta(batches, self.key))
         rows = self._rows_of(base)
-        return rows if recent is None else merge_latest(rows, recent, self.key)
+        if batches is None:
+            return rows
+        # A key is at most once in each batch, so it is not hot here. With as many
+        # partitions as the base has buckets, the base is not shuffled.
+        placed = batches.repartition(base.buckets, *self.key)
+        return merge_latest(rows, latest_delta(placed, self.key), self.key)
 
     def rows(self) -> DataFrame:
         """The table as it is now."""

@@ -11,6 +11,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from .catalog import base_tables, primary_keys
 
@@ -71,6 +72,24 @@ def read_indexes(spark: SparkSession, options: JdbcOptions) -> DataFrame:
     ).where(F.col("db") == options.database)
 
 
+def read_keys(spark: SparkSession, options: JdbcOptions, table: str,
+              key: Sequence[str]) -> DataFrame:
+    """The key columns of a table, to find split points in.
+
+    With a whole-number first column the read is cut into as many equal parts of
+    its value range as full imports may run at a time.
+    """
+    reader = spark.read.format("jdbc").options(**options.reader()).option("dbtable", table)
+    keys, first = reader.load().select(*key), key[0]
+    if not isinstance(keys.schema[first].dataType, IntegralType):
+        return keys
+    ends = keys.agg(F.min(first).alias("lo"), F.max(first).alias("hi")).first()
+    if ends.lo is None:
+        return keys
+    return reader.options(partitionColumn=first, lowerBound=ends.lo, upperBound=ends.hi + 1,
+                          numPartitions=options.concurrent_full_imports).load().select(*key)
+
+
 def _literal(value: int | str) -> str:
     if isinstance(value, bool) or not isinstance(value, (int, str)):
         raise TypeError(f"a key value is an integer or a string, not {value!r}")
