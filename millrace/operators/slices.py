@@ -27,11 +27,15 @@ _ROW_BITS = 33  # monotonically_increasing_id: partition above, row in partition
 
 
 def _slices(df: DataFrame, order: Sequence[str], count: int | None) -> DataFrame:
-    """``df`` cut into ranges of ``order``, with slice and row-in-slice numbers."""
-    count = count or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """``df`` cut into ranges of ``order``, with slice and row-in-slice numbers.
+
+    Without a ``count`` there are ``spark.sql.shuffle.partitions`` slices, fewer
+    when adaptive execution finds them small.
+    """
     order = [*order, TIE]
+    parts = [count, *order] if count else order
     running = (df.withColumn(TIE, F.spark_partition_id())
-               .repartitionByRange(count, *order).sortWithinPartitions(*order)
+               .repartitionByRange(*parts).sortWithinPartitions(*order)
                .withColumn("_id", F.monotonically_increasing_id()))
     return stored(
         running.select(
