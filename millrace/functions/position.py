@@ -43,35 +43,35 @@ def decode_position(position: Column) -> Column:
 
 def position_text(epoch: Column, filename: Column, offset: Column) -> Column:
     # Fixed format.
-    return F.format_string("MySqlStreamPosition: (%d:%s:%d)", epoch, filename, offset)
+    return F.concat(F.lit("MySqlStreamPosition: ("), epoch.cast("string"), F.lit(":"), filename,
+                    F.lit(":"), offset.cast("string"), F.lit(")"))
 
 
-# A log file name is a prefix and a number. The number sorts as a number, so
-# bin.999999 comes before bin.1000000.
-def file_prefix(filename: Column) -> Column:
-    return F.rtrim(filename, F.lit("0123456789"))
+def position_columns() -> list[Column]:
+    """Columns whose order is that of the log positions.
 
+    A log file name is a base and a number, filled up with zeros to a fixed width
+    that large numbers exceed. So the longer name is the later one, and
+    bin.1000000 comes after bin.999999; names of one length sort as they are, and
+    the empty name of a backfill comes first. A change of the base needs a new
+    epoch.
+    """
+    return [F.col("epoch").cast("int").alias("epoch"),
+            F.length("filename").alias("name_length"), F.col("filename"),
+            F.col("offset").cast("long").alias("offset")]
 
-def file_number(filename: Column) -> Column:
-    digits = F.substr(filename, F.length(file_prefix(filename)) + 1)
-    return F.coalesce(digits.try_cast("long"), F.lit(0))
 
+def delta_columns() -> list[Column]:
+    """Columns that put one table's deltas in their total order."""
+    return [*position_columns(), F.col("seq").cast("int").alias("seq")]
 
-def position_order(*tail: str | Column) -> Column:
-    """A struct that sorts rows by ``epoch, filename, offset`` and then ``tail``."""
-    name = F.col("filename")
-    return F.struct(
-        F.col("epoch").cast("int").alias("epoch"),
-        file_prefix(name).alias("file_prefix"),
-        file_number(name).alias("file_number"),
-        F.col("offset").cast("long").alias("offset"),
-        *[F.col(c) if isinstance(c, str) else c for c in tail],
-    )
+
+def position_order() -> Column:
+    return F.struct(*position_columns())
 
 
 def delta_order() -> Column:
-    """The total order of one table's deltas."""
-    return position_order(F.col("seq").cast("int").alias("seq"))
+    return F.struct(*delta_columns())
 
 
 def phase(offset: Column) -> Column:
@@ -80,11 +80,8 @@ def phase(offset: Column) -> Column:
 
 def after_position(epoch: int, filename: str, offset: int) -> Column:
     """Rows strictly behind the given log position."""
-    start = F.lit(filename)
-    here = [F.col("epoch"), file_prefix(F.col("filename")), file_number(F.col("filename")),
-            F.col("offset")]
-    there = [F.lit(epoch), file_prefix(start), file_number(start), F.lit(offset)]
+    start = [F.lit(epoch), F.lit(len(filename)), F.lit(filename), F.lit(offset)]
     behind = F.lit(False)
-    for mine, theirs in reversed(list(zip(here, there))):
+    for mine, theirs in reversed(list(zip(position_columns(), start, strict=True))):
         behind = (mine > theirs) | ((mine == theirs) & behind)
     return behind

@@ -31,20 +31,21 @@ def key_text(values: Column) -> Column:
 
 
 def column_text(name: Column, engine_type: Column, length: Column) -> Column:
-    return F.format_string("%s - %s(%d)", name, engine_type, length)
+    return F.concat(name, F.lit(" - "), engine_type, F.lit("("), length.cast("string"), F.lit(")"))
 
 
 def schema_text(db: Column, tbl: Column, columns: Column, key: Column) -> Column:
-    return F.format_string("%s.%s, Cols: [%s], PK: [%s]", db, tbl, F.array_join(columns, ", "),
-                           F.array_join(key, ", "))
+    return F.concat(db, F.lit("."), tbl, F.lit(", Cols: ["), F.array_join(columns, ", "),
+                    F.lit("], PK: ["), F.array_join(key, ", "), F.lit("]"))
 
 
 def delta_text(schema: Column, before: Column, after: Column, epoch: Column, filename: Column,
                offset: Column) -> Column:
     """One line for a delta; ``before`` and ``after`` are row texts or null."""
     absent = F.lit("null")
-    return F.format_string("Got %s: %s -> %s @ %s", schema, F.coalesce(before, absent),
-                           F.coalesce(after, absent), position_text(epoch, filename, offset))
+    return F.concat(F.lit("Got "), schema, F.lit(": "), F.coalesce(before, absent), F.lit(" -> "),
+                    F.coalesce(after, absent), F.lit(" @ "),
+                    position_text(epoch, filename, offset))
 
 
 def table_id(db: Column, tbl: Column) -> Column:

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.position import delta_order, position_order
+from ..functions.position import position_columns, position_order
+from ..model import POSITION
 from ..session import BROADCAST_ROWS, has_at_most, stored
 from .slices import latest_in_key, previous_in_key
 
@@ -71,17 +72,17 @@ def _changes(table_map: DataFrame, few: bool) -> DataFrame:
 
 def _table_at_by_order(log: DataFrame, table_map: DataFrame) -> DataFrame:
     """The mapping in force by one sort of mappings and log rows together."""
-    name = F.struct("db", "tbl")
-    rows = log.select(F.struct(*log.columns).alias("row"), "epoch", "table_id",
-                      delta_order().alias("at"), F.lit(1).alias("kind"),
+    at = [c for c in POSITION if c != "epoch"]
+    rows = log.select("epoch", "table_id", *at, F.struct(*log.columns).alias("row"),
                       F.lit(None).cast("struct<db:string,tbl:string>").alias("name"))
-    first_seq = F.lit(-1).alias("seq")
-    mappings = table_map.select(F.lit(None).cast(rows.schema["row"].dataType).alias("row"),
-                                "epoch", "table_id", position_order(first_seq).alias("at"),
-                                F.lit(0).alias("kind"), name.alias("name"))
-    found = latest_in_key(rows.unionByName(mappings), ["epoch", "table_id"], ["at", "kind"],
-                          "name", "mapped")
-    return (found.where((F.col("kind") == 1) & F.col("mapped").isNotNull())
+    mappings = table_map.select("epoch", "table_id", *at,
+                                F.lit(None).cast(rows.schema["row"].dataType).alias("row"),
+                                F.struct("db", "tbl").alias("name"))
+    # At one position the mapping comes first.
+    order = [*position_columns(), F.col("row").isNotNull()]
+    found = latest_in_key(rows.unionByName(mappings), ["epoch", "table_id"], order, "name",
+                          "mapped")
+    return (found.where(F.col("row").isNotNull() & F.col("mapped").isNotNull())
             .select("row.*", "mapped.db", "mapped.tbl"))
 
 

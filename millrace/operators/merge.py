@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.position import delta_order
+from ..functions.position import delta_columns, delta_order
 from ..model import DELETE, UPDATE
 from .slices import previous_in_key
 
@@ -103,8 +103,7 @@ def changed_columns(deltas: DataFrame, fields: Sequence[str]) -> DataFrame:
 
 def image_breaks(deltas: DataFrame, key: Sequence[str]) -> DataFrame:
     """Deltas whose ``before`` is not the ``after`` of the key's previous delta."""
-    ordered = deltas.withColumn("_order", delta_order())
-    linked = previous_in_key(ordered, key, ["_order"], "after")
+    linked = previous_in_key(deltas, key, delta_columns(), "after")
     expected = F.col("previous.value")
     broken = F.col("previous").isNotNull() & ~F.col("before").eqNullSafe(expected)
-    return linked.where(broken).withColumn("expected", expected).drop("previous", "_order")
+    return linked.where(broken).withColumn("expected", expected).drop("previous")

@@ -26,7 +26,7 @@ SLICE, ROW, TIE = "_slice", "_row", "_tie"
 _ROW_BITS = 33  # monotonically_increasing_id: partition above, row in partition below
 
 
-def _slices(df: DataFrame, order: Sequence[str], count: int | None) -> DataFrame:
+def _slices(df: DataFrame, order: Sequence[str | Column], count: int | None) -> DataFrame:
     """``df`` cut into ranges of ``order``, with slice and row-in-slice numbers.
 
     Without a ``count`` there are ``spark.sql.shuffle.partitions`` slices, fewer
@@ -71,7 +71,7 @@ def _key(columns: Sequence[str]) -> Column:
     return F.struct(*columns)
 
 
-def rank_in_key(df: DataFrame, key: Sequence[str], order: Sequence[str], name: str = "rank",
+def rank_in_key(df: DataFrame, key: Sequence[str], order: Sequence[str | Column], name: str = "rank",
                 slices: int | None = None) -> DataFrame:
     """``df`` with the row's one-based place within its key."""
     cut = _slices(df, [*key, *order], slices)
@@ -94,7 +94,7 @@ def rank_in_key(df: DataFrame, key: Sequence[str], order: Sequence[str], name: s
             .select(*df.columns, name))
 
 
-def previous_in_key(df: DataFrame, key: Sequence[str], order: Sequence[str], value: str,
+def previous_in_key(df: DataFrame, key: Sequence[str], order: Sequence[str | Column], value: str,
                     name: str = "previous", slices: int | None = None) -> DataFrame:
     """``df`` with a struct ``(value)`` from the key's previous row.
 
@@ -116,7 +116,7 @@ def previous_in_key(df: DataFrame, key: Sequence[str], order: Sequence[str], val
     )
 
 
-def latest_in_key(df: DataFrame, key: Sequence[str], order: Sequence[str], value: str,
+def latest_in_key(df: DataFrame, key: Sequence[str], order: Sequence[str | Column], value: str,
                   name: str = "latest", slices: int | None = None) -> DataFrame:
     """``df`` with the key's last non-null ``value`` at or before each row."""
     cut = _slices(df, [*key, *order], slices)

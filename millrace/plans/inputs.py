@@ -83,6 +83,11 @@ def _image(kind: str) -> Column:
                     F.col(kind).alias("s"))
 
 
+def _file_name(number: Column) -> Column:
+    digits = number.cast("string")
+    return F.concat(F.lit("bin."), F.lpad(digits, F.greatest(F.length(digits), F.lit(6)), "0"))
+
+
 def event_deltas(events: DataFrame, *extra: str | Column) -> DataFrame:
     """Events, at rest or streaming, as deltas without a ``before``."""
     kind = F.col("event_type")
@@ -94,8 +99,7 @@ def event_deltas(events: DataFrame, *extra: str | Column) -> DataFrame:
         F.col("user_id").alias("k"),
         F.when(kind != "error", _image("event_type")).alias("after"),
         F.lit(EPOCH).alias("epoch"),
-        F.format_string("bin.%06d", F.expr(f"event_id div {EVENTS_PER_FILE} + 1")).alias(
-            "filename"),
+        _file_name(F.expr(f"event_id div {EVENTS_PER_FILE} + 1")).alias("filename"),
         F.expr(f"4 + 100 * ((event_id % {EVENTS_PER_FILE}) div 3)").alias("offset"),
         (in_file % 3).cast("int").alias("seq"),
         *extra,
@@ -212,7 +216,7 @@ def _table_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     even = (F.col("file_number") + F.col("table_id")) % 2 == 0
     return ids.select(
         F.lit(EPOCH).alias("epoch"),
-        F.format_string("bin.%06d", "file_number").alias("filename"),
+        _file_name(F.col("file_number")).alias("filename"),
         F.lit(0).cast("long").alias("offset"),
         "table_id",
         F.lit("shop").alias("db"),

@@ -56,9 +56,8 @@ def position_text(spark: SparkSession, sf: str) -> DataFrame:
 SELECT k, epoch, filename, "offset", seq, row_number() OVER (
   PARTITION BY k ORDER BY epoch, filename, "offset", seq) AS rank FROM deltas""")
 def position_rank(spark: SparkSession, sf: str) -> DataFrame:
-    at = i.all_deltas(spark, sf).select(
-        "k", "epoch", "filename", "offset", "seq", p.delta_order().alias("at"))
-    return rank_in_key(at, ["k"], ["at"]).drop("at").withColumn("rank", F.col("rank").cast("long"))
+    at = i.all_deltas(spark, sf).select("k", "epoch", "filename", "offset", "seq")
+    return rank_in_key(at, ["k"], p.delta_columns())
 
 
 CUSTOMER_VALUES = ["c_custkey", "c_name", "c_acctbal", "c_mktsegment"]

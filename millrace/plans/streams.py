@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..connect import log_schema
-from ..functions.position import file_number
 from ..operators.merge import current_state
 from ..session import new_folder
 from ..sinks.tables import append_rows, read_appended
@@ -61,9 +60,8 @@ def stream_resume(spark: SparkSession, sf: str) -> DataFrame:
     """Run, stop, run again when more of the log has landed, and once more for nothing."""
     folder = new_folder(spark, "stream-resume")
     log = i.changelog(spark, sf)
-    number = file_number(F.col("filename"))
-    half = log.agg((F.max(number) / 2).alias("half")).first().half
-    for part in (number <= half, number > half, None):
+    middle = log.agg(F.percentile_approx("offset", 0.5).alias("offset")).first().offset
+    for part in (F.col("offset") <= middle, F.col("offset") > middle, None):
         if part is not None:
             log.where(part).write.mode("append").parquet(f"{folder}/log")
         r.write_stream(stream_log(spark, f"{folder}/log", log.schema), f"{folder}/rows",
