@@ -27,8 +27,9 @@ from pyspark.sql.types import IntegerType, LongType, StringType, StructField, St
 from .model import TableSpec
 from .operators.deltas import backfill_deltas
 from .operators.splits import split_assignment, split_points
+from .session import stored
 from .sinks.state import StateTable
-from .sinks.tables import Processor, append_rows, fan_out
+from .sinks.tables import Processor, append_rows, check_table, create_table
 from .sources import jdbc
 from .sources.log import stream_log
 from .streaming.runs import start
@@ -55,11 +56,15 @@ def log_schema(table: TableSpec) -> StructType:
 
 @dataclass(frozen=True)
 class Feed:
-    """One table of a source: its backfill and its log, both as deltas."""
+    """One table of a source: its backfill and its log, both as deltas.
+
+    ``read_once`` tells that the source should not be read again for every sink.
+    """
 
     table: TableSpec
     backfill: DataFrame
     log: DataFrame | None = None
+    read_once: bool = False
 
 
 class Source(Protocol):
@@ -123,7 +128,7 @@ class MySqlSource:
                                       self.batch_size)
                 rows = jdbc.read_ranges(spark, options, name, key, points)
             log = stream_log(spark, f"{self.log}/{name}", log_schema(table)) if self.log else None
-            yield Feed(table, backfill_deltas(rows, table, self.epoch), log)
+            yield Feed(table, backfill_deltas(rows, table, self.epoch), log, read_once=True)
 
 
 @dataclass
@@ -156,7 +161,7 @@ class StateSink:
         state = self.state(table)
 
         def process(batch: DataFrame, batch_id: int) -> None:
-            state.apply(batch, batch_id)
+            state.apply(batch, batch_id, reduce=batch_id != BACKFILL_BATCH)
             if self.compact_every and (batch_id + 1) % self.compact_every == 0:
                 state.compact()
 
@@ -165,21 +170,34 @@ class StateSink:
 
 @dataclass
 class AppendSink:
-    """Every after-image appended, as it came."""
+    """Every after-image appended, as it came, below ``warehouse/project_id/dataset_id``.
+
+    With a ``database``, each table is also one of the catalog: created when it is
+    missing, else checked against the source's columns.
+    """
 
     warehouse: str
     dataset_id: str
     project_id: str = "default"
     application_name: str = "millrace"
+    database: str | None = None
+    _spark: SparkSession | None = field(default=None, repr=False)
 
     def path(self, table: TableSpec) -> str:
         return f"{self.warehouse}/{self.project_id}/{self.dataset_id}/{table.table_id}"
 
     def open(self, spark: SparkSession) -> None:
-        pass
+        self._spark = spark
+        if self.database:
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}")
 
     def processor(self, table: TableSpec) -> Processor:
-        return lambda batch, batch_id: append_rows(batch, self.path(table), batch_id)
+        path = self.path(table)
+        if self.database:
+            name = f"{table.db}_{table.name}"
+            create_table(self._spark, self.database, name, table.schema, path)
+            check_table(self._spark, self.database, name, table.schema)
+        return lambda batch, batch_id: append_rows(batch, path, batch_id)
 
 
 SOURCES = {"lake": LakeSource, "mysql": MySqlSource}
@@ -237,7 +255,11 @@ def run(spark: SparkSession, specification: dict, checkpoints: str,
             continue
         for feed in source.feeds(spark):
             processors = [sink.processor(feed.table) for sink in outs]
-            fan_out(processors)(feed.backfill, BACKFILL_BATCH)
+            backfill = feed.backfill
+            if feed.read_once and len(processors) > 1:
+                backfill = stored(backfill, "backfill")
+            for process in processors:
+                process(backfill, BACKFILL_BATCH)
             if feed.log is not None:
                 query = start(feed.log, processors,
                               f"{checkpoints}/{name}/{feed.table.table_id}",

@@ -47,7 +47,7 @@ def merge_batches(spark: SparkSession, sf: str) -> DataFrame:
         state.apply(log.where(F.col("event_type") == kind), batch)
         if kind == "signup":
             state.compact()
-    state.apply(i.backfill(spark, sf), 5)
+    state.apply(i.backfill(spark, sf), 5, reduce=False)
     return state.rows()
 
 

@@ -78,10 +78,15 @@ class StateTable:
     def _batches(self, version: int) -> DataFrame | None:
         return read_if_written(self.spark, f"{self.root}/delta/v={version}", self.schema)
 
-    def apply(self, deltas: DataFrame, batch_id: int) -> None:
-        """Add a batch. The same batch may come again, and batches in any order."""
-        latest = latest_delta(deltas, self.key).select(*self.schema.fieldNames())
-        latest.write.mode("overwrite").parquet(
+    def apply(self, deltas: DataFrame, batch_id: int, reduce: bool = True) -> None:
+        """Add a batch. The same batch may come again, and batches in any order.
+
+        A batch known to hold each key once, as a backfill does, need not be reduced:
+        it is then written without a shuffle.
+        """
+        if reduce:
+            deltas = latest_delta(deltas, self.key)
+        deltas.select(*self.schema.fieldNames()).write.mode("overwrite").parquet(
             f"{self.root}/delta/v={self._newest().version}/batch_id={batch_id}")
 
     def latest(self) -> DataFrame:
@@ -90,16 +95,15 @@ class StateTable:
 
     def _latest(self, base: _Base) -> DataFrame:
         batches = self._batches(base.version)
-        if base.folder is None:
-            return (self.spark.createDataFrame([], self.schema) if batches is None
-                    else latest_delta(batches, self.key))
-        rows = self._rows_of(base)
         if batches is None:
-            return rows
+            return (self.spark.createDataFrame([], self.schema) if base.folder is None
+                    else self._rows_of(base))
         # A key is at most once in each batch, so it is not hot here. With as many
         # partitions as the base has buckets, the base is not shuffled.
-        placed = batches.repartition(base.buckets, *self.key)
-        return merge_latest(rows, latest_delta(placed, self.key), self.key)
+        recent = latest_delta(batches.repartition(base.buckets, *self.key), self.key)
+        if base.folder is None:
+            return recent
+        return merge_latest(self._rows_of(base), recent, self.key)
 
     def rows(self) -> DataFrame:
         """The table as it is now."""
@@ -113,10 +117,8 @@ class StateTable:
         old = self._newest()
         new = _Base(old.version + 1, old.buckets,
                     f"{self.root}/base/v={old.version + 1}-{uuid.uuid4().hex}")
+        # The merge leaves each bucket in a task of its own, so it is one file.
         state = self._latest(old).select(*self.schema.fieldNames())
-        if old.folder is None:
-            state = state.repartition(new.buckets, *self.key)
-        # From the second base on, the merge leaves each bucket in one task as it is.
         (state.write.format("parquet").bucketBy(new.buckets, *self.key).sortBy(*self.key)
          .option("path", new.folder).saveAsTable(self._table_name(new.folder)))
         self.spark.range(1).select(

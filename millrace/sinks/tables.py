@@ -45,10 +45,25 @@ def sink_schema(columns: Sequence[tuple[str, str, str]]) -> StructType:
 
 def create_table(spark: SparkSession, database: str, name: str, schema: StructType,
                  path: str) -> None:
-    """Create an empty sink table if the sink has none of that name."""
+    """Create an empty sink table if the sink has none of that name.
+
+    The table is all that is below ``path``, in batch folders or not.
+    """
     full = f"{database}.{name}"
     if not spark.catalog.tableExists(full):
-        spark.catalog.createTable(full, path=path, source="parquet", schema=schema)
+        spark.catalog.createTable(full, path=path, source="parquet", schema=schema,
+                                  recursiveFileLookup="true")
+
+
+def check_table(spark: SparkSession, database: str, name: str, schema: StructType) -> None:
+    """Raise if a sink table's columns are not those of ``schema``."""
+    wanted = {field.name: field.dataType.simpleString() for field in schema}
+    found = {c.name: c.dataType for c in spark.catalog.listColumns(f"{database}.{name}")}
+    drift = {column: (wanted.get(column), found.get(column))
+             for column in wanted.keys() | found.keys()
+             if wanted.get(column) != found.get(column)}
+    if drift:
+        raise ValueError(f"{database}.{name} has drifted, column: (source, sink) {drift}")
 
 
 def catalog_columns(spark: SparkSession, database: str) -> DataFrame:

@@ -153,6 +153,7 @@ def test_state_in_any_batching(spark, tmp_path, compact_after):
         if number in compact_after:
             state.compact()
     state.apply(spark.createDataFrame(batches[1], SCHEMA), 1)  # delivered again
+    state.apply(spark.createDataFrame(backfill, SCHEMA), 7, reduce=False)
     assert rows_of(state.rows()) == expected(log + backfill)
     state.compact()
     assert rows_of(state.rows()) == expected(log + backfill)
@@ -192,10 +193,10 @@ def test_merge_reads_the_stored_base_in_place(spark, tmp_path):
     state.apply(spark.createDataFrame(log, SCHEMA), 1)
     plan = state.latest()._jdf.queryExecution().executedPlan().toString()
     assert "Bucketed: true" in plan
-    assert plan.count("Exchange") == 1  # the batch's own aggregation
-    state.compact()
-    files = spark.read.parquet(state._newest().folder).inputFiles()
-    assert len(files) <= 4
+    assert plan.count("Exchange") == 1  # of the batch only
+    for _ in range(2):
+        assert len(spark.read.parquet(state._newest().folder).inputFiles()) <= 4
+        state.compact()
 
 
 def test_state_needs_a_key(spark, tmp_path):

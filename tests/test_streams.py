@@ -6,6 +6,7 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from millrace import connect as c
 from millrace.model import TableSpec
@@ -129,6 +130,27 @@ def test_a_table_without_a_key_is_only_appended(spark, tmp_path):
     assert read_appended(spark, sinks["all"].path(keyless), ACCOUNT.schema).count() == 3
 
 
+def test_sink_tables_are_created_and_checked(spark, tmp_path):
+    database = "checked_" + new_folder(spark, "x")[-8:]
+    rows = spark.createDataFrame([delta("I", 1, 1), delta("D", 2, 2)], SCHEMA)
+    sink = c.AppendSink(f"{tmp_path}/w", "d", database=database)
+    try:
+        sink.open(spark)
+        for batch_id in (-1, 0):
+            sink.processor(ACCOUNT)(rows, batch_id)
+        spark.catalog.refreshTable(f"{database}.shop_account")
+        table = spark.table(f"{database}.shop_account")
+        assert table.columns == ["k", "v", "s"] and table.count() == 2
+        changed = StructType([*ACCOUNT.schema.fields[:2], StructField("s", LongType()),
+                              StructField("new", LongType())])
+        with pytest.raises(ValueError, match="drifted") as drift:
+            sink.processor(TableSpec("shop", "account", changed, ("k",)))
+        assert "'s': ('bigint', 'string')" in str(drift.value)
+        assert "'new': ('bigint', None)" in str(drift.value)
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+
+
 def test_specifications(spark, tmp_path):
     good = _specification(tmp_path, key=["k"])
     as_json = tmp_path / "spec.json"
