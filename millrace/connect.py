@@ -26,6 +26,7 @@ from pyspark.sql.types import IntegerType, LongType, StringType, StructField, St
 
 from .model import TableSpec
 from .operators.deltas import backfill_deltas
+from .operators.merge import split_key_updates
 from .operators.splits import split_assignment, split_points
 from .session import stored
 from .sinks.state import StateTable
@@ -135,8 +136,8 @@ class MySqlSource:
 class StateSink:
     """Current-state tables below ``warehouse/project_id/dataset_id``.
 
-    With ``compact_every`` the base is rewritten after the backfill and after
-    every so many batches.
+    Updates that change the key are split first. With ``compact_every`` the base is
+    rewritten after the backfill and after every so many batches.
     """
 
     warehouse: str
@@ -161,7 +162,8 @@ class StateSink:
         state = self.state(table)
 
         def process(batch: DataFrame, batch_id: int) -> None:
-            state.apply(batch, batch_id, reduce=batch_id != BACKFILL_BATCH)
+            deltas = split_key_updates(batch, state.key)
+            state.apply(deltas, batch_id, reduce=batch_id != BACKFILL_BATCH)
             if self.compact_every and (batch_id + 1) % self.compact_every == 0:
                 state.compact()
 

@@ -231,6 +231,49 @@ def multi_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         "filename", "offset", "seq", "table_id")
 
 
+# --- the same log as raw events, with faults --------------------------------------
+
+# Cheap clicks come without the last column's value, dear ones a value short, and
+# those between with a key that is no number.
+RAW_SQL = f"""raw_changes AS (
+  SELECT CAST({EPOCH} AS INTEGER) AS epoch,
+         printf('bin.%06d', event_id // {EVENTS_PER_FILE} + 1) AS filename,
+         4 + 100 * (event_id % {EVENTS_PER_FILE}) AS "offset",
+         CASE event_type WHEN 'signup' THEN 'I' WHEN 'error' THEN 'D' ELSE 'U' END AS op,
+         CASE WHEN event_id % 500 = 499 THEN 99 ELSE user_id % 2 + 1 END AS table_id,
+         user_id AS k, value AS v, event_type AS s,
+         CASE WHEN event_type <> 'click' THEN NULL WHEN value < 5 THEN 'partial row image'
+              WHEN value > 30 THEN 'wrong number of values'
+              WHEN value BETWEEN 10 AND 15 THEN 'value not of its type' END AS reason
+  FROM events WHERE event_type <> 'view')"""
+
+
+def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind, value = F.col("event_type"), F.col("value")
+    click = kind == "click"
+    name = (F.when(kind == "signup", "EXT_WRITE_ROWS").when(kind == "error", "EXT_DELETE_ROWS")
+            .when(kind == "view", "QUERY").otherwise("EXT_UPDATE_ROWS"))
+    key = F.when(click & value.between(10, 15), "?").otherwise(F.col("user_id").cast("string"))
+    whole = F.array(*[F.encode(v, "UTF-8") for v in (key, value.cast("string"), kind)])
+    values = F.when(click & (value > 30), F.slice(whole, 1, 2)).otherwise(whole)
+    yes = F.lit(True)
+    included = F.when(click & (value < 5), F.array(yes, yes, F.lit(False))).otherwise(
+        F.array(yes, yes, yes))
+    row = F.struct(F.when(kind != "signup", values).alias("before"),
+                   F.when(kind != "error", values).alias("after"))
+    return table(spark, sf_dir, "events").select(
+        F.lit(EPOCH).alias("epoch"),
+        _file_name(F.expr(f"event_id div {EVENTS_PER_FILE} + 1")).alias("filename"),
+        F.expr(f"4 + 100 * (event_id % {EVENTS_PER_FILE})").alias("offset"),
+        name.alias("event_type"),
+        F.expr("CASE WHEN event_id % 500 = 499 THEN 99 ELSE user_id % 2 + 1 END").alias(
+            "table_id"),
+        F.when(kind != "signup", included).alias("included_before"),
+        F.when(kind != "error", included).alias("included"),
+        F.array(row).alias("rows"),
+    )
+
+
 # --- a catalog: one source table per part ---------------------------------------
 
 CATALOG_SQL = """cat_tables AS (

@@ -9,6 +9,7 @@ from ..operators import deltas as d
 from ..operators import lookups as l
 from ..operators import metrics as m
 from ..sources.catalog import base_tables, sink_columns_for
+from ..sources.log import row_changes, table_changes, unmapped_changes
 from . import inputs as i
 from .registry import query
 
@@ -51,6 +52,43 @@ def orphan_events(spark: SparkSession, sf: str) -> DataFrame:
     return lost.select("k", "epoch", "filename", "offset", "seq", "table_id")
 
 
+ACCOUNT_CHANGES_SQL = i.with_(i.RAW_SQL, i.TABLE_MAP_SQL) + """, ours AS (
+  SELECT r.* FROM raw_changes r JOIN table_map m USING (epoch, filename, table_id)
+  WHERE m.tbl = 'account')
+"""
+
+
+def _account_changes(spark: SparkSession, sf: str) -> DataFrame:
+    changes = row_changes(i.raw_events(spark, sf))
+    return table_changes(changes, i.table_map(spark, sf), i.ACCOUNT)
+
+
+@query("raw_log_deltas", ACCOUNT_CHANGES_SQL + """
+SELECT 'shop' AS db, 'account' AS tbl, op, k, CASE WHEN op <> 'I' THEN k END AS before_k,
+       CASE WHEN op <> 'I' THEN v END AS before_v, CASE WHEN op <> 'I' THEN s END AS before_s,
+       CASE WHEN op <> 'D' THEN k END AS after_k, CASE WHEN op <> 'D' THEN v END AS after_v,
+       CASE WHEN op <> 'D' THEN s END AS after_s, epoch, filename, "offset",
+       CAST(0 AS INTEGER) AS seq
+FROM ours WHERE reason IS NULL""")
+def raw_log_deltas(spark: SparkSession, sf: str) -> DataFrame:
+    return i.flat(_account_changes(spark, sf).where(F.col("reason").isNull()).drop("reason"))
+
+
+@query("raw_log_rejected", ACCOUNT_CHANGES_SQL
+       + """SELECT op, epoch, filename, "offset", reason FROM ours WHERE reason IS NOT NULL""")
+def raw_log_rejected(spark: SparkSession, sf: str) -> DataFrame:
+    return _account_changes(spark, sf).where(F.col("reason").isNotNull()).select(
+        "op", "epoch", "filename", "offset", "reason")
+
+
+@query("raw_log_unmapped", i.with_(i.RAW_SQL)
+       + """SELECT op, epoch, filename, "offset", table_id FROM raw_changes WHERE table_id = 99""")
+def raw_log_unmapped(spark: SparkSession, sf: str) -> DataFrame:
+    changes = row_changes(i.raw_events(spark, sf))
+    return unmapped_changes(changes, i.table_map(spark, sf)).select(
+        "op", "epoch", "filename", "offset", "table_id")
+
+
 def _sides(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return base_tables(i.cat_tables(spark, sf)), i.sink_columns(spark, sf)
 

@@ -1,10 +1,24 @@
-"""Reading a landed change log, whole or as a stream."""
+"""Reading a landed change log, whole or as a stream, typed or raw."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..functions.types import read_text
+from ..model import TableSpec
+from ..operators.checks import has_width, is_full_image
+from ..operators.deltas import row_events, unpack_rows
+from ..operators.lookups import orphans, table_at
+
+# Raw log events. A row change has the values before and after it, each as the bytes
+# of its text; an insert has no ``before`` and a delete no ``after``. ``included``
+# tells for each column whether the event has its value.
+RAW_EVENTS = """epoch int, filename string, offset bigint, event_type string, table_id bigint,
+included_before array<boolean>, included array<boolean>,
+rows array<struct<before:array<binary>,after:array<binary>>>"""
+
 
 def read_log(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
@@ -17,3 +31,58 @@ def stream_log(spark: SparkSession, path: str, schema: StructType | str,
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(path)
+
+
+def row_changes(events: DataFrame) -> DataFrame:
+    """One row per row change of the raw events, with its ``op`` and ``seq``."""
+    changes = unpack_rows(row_events(events))
+    return changes.select("*", "row.before", "row.after").drop("row", "event_type")
+
+
+def unmapped_changes(changes: DataFrame, table_map: DataFrame) -> DataFrame:
+    """Row changes whose table is not known."""
+    return orphans(changes, table_map)
+
+
+def _sides(check) -> Column:
+    """Whether both images pass a check; an absent image does."""
+    passes = [F.col(values).isNull() | check(F.col(values), F.col(included))
+              for values, included in (("before", "included_before"), ("after", "included"))]
+    return F.coalesce(passes[0] & passes[1], F.lit(False))
+
+
+def _image(values: str, schema: StructType) -> Column:
+    typed = [read_text(F.get(values, n)).try_cast(field.dataType).alias(field.name)
+             for n, field in enumerate(schema)]
+    return F.when(F.col(values).isNotNull(), F.struct(*typed))
+
+
+def _unreadable(values: str, image: str, schema: StructType) -> Column:
+    """Whether some value is there that its column's type does not hold."""
+    lost = F.lit(False)
+    for n, field in enumerate(schema):
+        lost = lost | (F.get(values, n).isNotNull() & F.col(image)[field.name].isNull())
+    return F.col(values).isNotNull() & lost
+
+
+def table_changes(changes: DataFrame, table_map: DataFrame, table: TableSpec) -> DataFrame:
+    """The row changes of one table as typed deltas, with a column ``reason``.
+
+    ``reason`` is null for a good row. Else it tells why the row cannot be loaded:
+    not all columns are in its image, it has another number of values than the table
+    has columns, or a value is not of its column's type.
+    """
+    schema, width = table.schema, len(table.schema)
+    ours = table_at(changes, table_map).where(
+        (F.col("db") == table.db) & (F.col("tbl") == table.name))
+    typed = ours.withColumn("old", _image("before", schema)).withColumn(
+        "new", _image("after", schema))
+    reason = (
+        F.when(~_sides(lambda _, included: is_full_image(included, width)), "partial row image")
+        .when(~_sides(lambda values, _: has_width(values, width)), "wrong number of values")
+        .when(_unreadable("before", "old", schema) | _unreadable("after", "new", schema),
+              "value not of its type"))
+    key = [F.coalesce(F.col("new")[k], F.col("old")[k]).alias(k) for k in table.key]
+    return typed.select("db", "tbl", "op", *key, F.col("old").alias("before"),
+                        F.col("new").alias("after"), "epoch", "filename", "offset", "seq",
+                        reason.alias("reason"))
