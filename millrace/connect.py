@@ -30,7 +30,8 @@ from .operators.merge import split_key_updates
 from .operators.splits import split_assignment, split_points
 from .session import stored
 from .sinks.state import StateTable
-from .sinks.tables import Processor, append_rows, check_table, create_table
+from .sinks.tables import (Processor, append_rows, check_table, commented,
+                           create_table)
 from .sources import jdbc
 from .sources.log import stream_log
 from .streaming.runs import start
@@ -197,7 +198,7 @@ class AppendSink:
         path = self.path(table)
         if self.database:
             name = f"{table.db}_{table.name}"
-            create_table(self._spark, self.database, name, table.schema, path)
+            create_table(self._spark, self.database, name, commented(table), path)
             check_table(self._spark, self.database, name, table.schema)
         return lambda batch, batch_id: append_rows(batch, path, batch_id)
 

@@ -41,7 +41,8 @@ def schema_drift(source: DataFrame, sink: DataFrame) -> DataFrame:
     the sink should have.
     """
     key = ["tbl", "column_name"]
-    expected = source.select(*key, F.col("sink_type").alias("expected"), F.lit(1).alias("in_source"))
+    expected = source.select(*key, F.col("sink_type").alias("expected"),
+                             F.lit(1).alias("in_source"))
     found = sink.select(*key, F.col("sink_type").alias("found"), F.lit(1).alias("in_sink"))
     drift = (F.when(F.col("in_sink").isNull(), "missing")
              .when(F.col("in_source").isNull(), "extra")

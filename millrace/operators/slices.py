@@ -71,8 +71,8 @@ def _key(columns: Sequence[str]) -> Column:
     return F.struct(*columns)
 
 
-def rank_in_key(df: DataFrame, key: Sequence[str], order: Sequence[str | Column], name: str = "rank",
-                slices: int | None = None) -> DataFrame:
+def rank_in_key(df: DataFrame, key: Sequence[str], order: Sequence[str | Column],
+                name: str = "rank", slices: int | None = None) -> DataFrame:
     """``df`` with the row's one-based place within its key."""
     cut = _slices(df, [*key, *order], slices)
     here = F.row_number().over(W.partitionBy(SLICE, *key).orderBy(ROW))

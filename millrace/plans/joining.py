@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import deltas as d
-from ..operators import lookups as l
+from ..operators import lookups as lk
 from ..operators import metrics as m
 from ..sources.catalog import base_tables, sink_columns_for
 from ..sources.log import row_changes, table_changes, unmapped_changes
@@ -28,7 +28,7 @@ JOIN (SELECT epoch, filename, table_id, db, tbl FROM table_map) USING (epoch, fi
 
 @query("join_table_map", NAMED_SQL)
 def join_table_map(spark: SparkSession, sf: str) -> DataFrame:
-    return _named(l.with_table(i.multi_log(spark, sf), i.table_map(spark, sf)))
+    return _named(lk.with_table(i.multi_log(spark, sf), i.table_map(spark, sf)))
 
 
 @query("asof_table_map", i.with_(*LOG_SQL) + """, ranges AS (
@@ -40,7 +40,7 @@ FROM multi_log g JOIN ranges r ON g.epoch = r.epoch AND g.table_id = r.table_id
  AND (g.filename, g."offset") >= (r.filename, r."offset")
  AND (r.until IS NULL OR (g.filename, g."offset") < r.until)""")
 def asof_table_map(spark: SparkSession, sf: str) -> DataFrame:
-    return _named(l.table_at(i.multi_log(spark, sf), i.table_map(spark, sf)))
+    return _named(lk.table_at(i.multi_log(spark, sf), i.table_map(spark, sf)))
 
 
 @query("orphan_events", i.with_(*LOG_SQL) + """SELECT k, epoch, filename, "offset", seq, table_id
@@ -48,7 +48,7 @@ FROM multi_log g WHERE NOT EXISTS (
   SELECT 1 FROM table_map t WHERE t.epoch = g.epoch AND t.table_id = g.table_id
   AND (t.filename, t."offset") <= (g.filename, g."offset"))""")
 def orphan_events(spark: SparkSession, sf: str) -> DataFrame:
-    lost = l.orphans(i.multi_log(spark, sf), i.table_map(spark, sf))
+    lost = lk.orphans(i.multi_log(spark, sf), i.table_map(spark, sf))
     return lost.select("k", "epoch", "filename", "offset", "seq", "table_id")
 
 
@@ -96,14 +96,15 @@ def _sides(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 BASE_SQL = "SELECT db, tbl FROM cat_tables WHERE table_type = 'BASE TABLE' AND tbl "
 
 
-@query("missing_tables", i.with_(i.CATALOG_SQL) + BASE_SQL + "NOT IN (SELECT tbl FROM sink_columns)")
+@query("missing_tables", i.with_(i.CATALOG_SQL) + BASE_SQL
+       + "NOT IN (SELECT tbl FROM sink_columns)")
 def missing_tables(spark: SparkSession, sf: str) -> DataFrame:
-    return l.missing_tables(*_sides(spark, sf)).select("db", "tbl")
+    return lk.missing_tables(*_sides(spark, sf)).select("db", "tbl")
 
 
 @query("existing_tables", i.with_(i.CATALOG_SQL) + BASE_SQL + "IN (SELECT tbl FROM sink_columns)")
 def existing_tables(spark: SparkSession, sf: str) -> DataFrame:
-    return l.existing_tables(*_sides(spark, sf)).select("db", "tbl")
+    return lk.existing_tables(*_sides(spark, sf)).select("db", "tbl")
 
 
 @query("create_sink_schema", i.with_(i.CATALOG_SQL) + """
@@ -112,7 +113,7 @@ SELECT db, tbl, column_name, ordinal, sink_type,
 FROM sink_wanted JOIN cat_tables USING (db, tbl)
 WHERE table_type = 'BASE TABLE' AND tbl NOT IN (SELECT tbl FROM sink_columns)""")
 def create_sink_schema(spark: SparkSession, sf: str) -> DataFrame:
-    new = l.missing_tables(*_sides(spark, sf))
+    new = lk.missing_tables(*_sides(spark, sf))
     wanted = sink_columns_for(i.cat_columns(spark, sf))
     return wanted.join(new, ["db", "tbl"], "left_semi")
 
@@ -134,7 +135,7 @@ def connections(spark: SparkSession, sf: str) -> DataFrame:
     links = suppliers.select(name("link_", "s_suppkey").alias("name"),
                              name("source_", "s_suppkey").alias("source"),
                              name("sink_", "s_nationkey").alias("sink"))
-    return l.connections(importers, exporters, links)
+    return lk.connections(importers, exporters, links)
 
 
 @query("union_phases", i.with_(*i.ALL_DELTAS_SQL) + f"SELECT {i.DELTA} FROM deltas")

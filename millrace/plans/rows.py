@@ -91,7 +91,8 @@ def row_key_text(spark: SparkSession, sf: str) -> DataFrame:
 @query("row_record", f"""SELECT c_custkey, json_object('c_custkey', c_custkey, 'c_name', c_name,
   'c_acctbal', c_acctbal, 'c_mktsegment', {SEGMENT_SQL})::VARCHAR AS record FROM customer""")
 def row_record(spark: SparkSession, sf: str) -> DataFrame:
-    return _customers(spark, sf).select("c_custkey", t.row_record(*CUSTOMER_VALUES).alias("record"))
+    record = t.row_record(*CUSTOMER_VALUES)
+    return _customers(spark, sf).select("c_custkey", record.alias("record"))
 
 
 @query("decode_strings", """SELECT doc_id, text, CASE WHEN lang <> 'en' THEN lang END AS lang

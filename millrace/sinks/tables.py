@@ -10,7 +10,7 @@ from pyspark.sql.types import StructField, StructType
 
 from ..functions.text import delta_text, row_text, struct_values
 from ..functions.types import SINK_SPARK_TYPES
-from ..model import DELETE
+from ..model import DELETE, TableSpec
 
 
 def after_images(deltas: DataFrame) -> DataFrame:
@@ -43,6 +43,12 @@ def sink_schema(columns: Sequence[tuple[str, str, str]]) -> StructType:
                        for name, kind, comment in columns])
 
 
+def commented(table: TableSpec) -> StructType:
+    """The table's columns, each with the comment that tells where it comes from."""
+    comment = {"comment": f"Automatically created for table {table.table_id}"}
+    return StructType([StructField(f.name, f.dataType, True, comment) for f in table.schema])
+
+
 def create_table(spark: SparkSession, database: str, name: str, schema: StructType,
                  path: str) -> None:
     """Create an empty sink table if the sink has none of that name.

@@ -51,17 +51,19 @@ def write_batches(path: str) -> Processor:
 COPY_TASKS = 8
 
 
-def without_repeats(stream: DataFrame) -> DataFrame:
+def without_repeats(stream: DataFrame, copy_tasks: int = COPY_TASKS) -> DataFrame:
     """Each delta once, over the whole life of the stream.
 
     Copies are reduced in two steps, first spread by the input partition they come
-    in, so that a delta with very many copies is no bottleneck. No watermark: a
-    delta carries no time and may be any amount late. The state holds every delta
-    id seen, so use this only for sinks that cannot merge.
+    in, so that a delta with very many copies is no bottleneck; ``copy_tasks=1``
+    leaves out the first step and its state. No watermark: a delta carries no time
+    and may be any amount late. The state holds every delta id seen, so use this only
+    for sinks that cannot merge.
     """
-    spread = stream.withColumn("_task", F.spark_partition_id() % COPY_TASKS)
-    few = spread.dropDuplicates([*DELTA_ID, "_task"]).drop("_task")
-    return few.dropDuplicates(list(DELTA_ID))
+    if copy_tasks > 1:
+        spread = stream.withColumn("_task", F.spark_partition_id() % copy_tasks)
+        stream = spread.dropDuplicates([*DELTA_ID, "_task"]).drop("_task")
+    return stream.dropDuplicates(list(DELTA_ID))
 
 
 def running_counts(stream: DataFrame) -> DataFrame:

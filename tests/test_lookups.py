@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from millrace.operators import lookups as l
+from millrace.operators import lookups as lk
 from millrace.operators import deltas as d
 
 LOG = "epoch int, filename string, offset bigint, seq int, table_id bigint, k int"
@@ -47,12 +47,12 @@ def test_mapping_in_force(spark, limits):
     log, table_map = _history()
     log_df = spark.createDataFrame(log, LOG).repartition(4)
     map_df = spark.createDataFrame(table_map, MAP)
-    got = l.table_at(log_df, map_df, **limits)
+    got = lk.table_at(log_df, map_df, **limits)
     rows = got.collect()
     want = _in_force(log, table_map)
     assert len(rows) == len(want)
     assert {r.k: r.tbl for r in rows} == want
-    lost = l.orphans(log_df, map_df).collect()
+    lost = lk.orphans(log_df, map_df).collect()
     assert {r.k for r in lost} == {row[5] for row in log} - set(want)
 
 
@@ -60,8 +60,8 @@ def test_copies_of_a_log_row_stay(spark):
     log, table_map = _history()
     map_df = spark.createDataFrame(table_map, MAP)
     twice = spark.createDataFrame(log + log, LOG).repartition(3)
-    assert (l.table_at(twice, map_df).count()
-            == l.table_at(twice, map_df, broadcast_rows=1).count()
+    assert (lk.table_at(twice, map_df).count()
+            == lk.table_at(twice, map_df, broadcast_rows=1).count()
             == 2 * len(_in_force(log, table_map)))
 
 
@@ -70,8 +70,8 @@ def test_salted_join_is_the_broadcast_join(spark, how):
     rows = spark.createDataFrame([(0 if n % 3 else n, n) for n in range(300)], "k int, n int")
     rows = rows.repartition(7)
     lookup = spark.createDataFrame([(k, f"t{k}") for k in range(0, 200, 2)], "k int, t string")
-    small = l.lookup_join(rows, lookup, ["k"], how)
-    large = l.lookup_join(rows, lookup, ["k"], how, broadcast_rows=5)
+    small = lk.lookup_join(rows, lookup, ["k"], how)
+    large = lk.lookup_join(rows, lookup, ["k"], how, broadcast_rows=5)
     assert "_salt" in large._jdf.queryExecution().executedPlan().toString()
     assert sorted(map(str, small.collect())) == sorted(map(str, large.collect()))
     assert small.columns == large.columns
@@ -81,7 +81,7 @@ def test_with_table_when_the_map_is_large(spark):
     table_map = [(0, _name(f), 0, t, "shop", f"t{t}") for f in range(1, 5) for t in (1, 2)]
     log = [(0, _name(n % 4 + 1), n, 0, n % 2 + 1, n) for n in range(100)]
     log_df, map_df = spark.createDataFrame(log, LOG), spark.createDataFrame(table_map, MAP)
-    small, large = (l.with_table(log_df, map_df, **limit).select("k", "tbl").collect()
+    small, large = (lk.with_table(log_df, map_df, **limit).select("k", "tbl").collect()
                     for limit in ({}, {"broadcast_rows": 2}))
     assert sorted(small) == sorted(large) == sorted((n, f"t{n % 2 + 1}") for n in range(100))
 

@@ -27,8 +27,8 @@ def test_codec_round_trip_and_layout(spark, positions):
         "bytes", p.encode_position(*_columns()))
     decoded = coded.withColumn("d", p.decode_position(F.col("bytes"))).collect()
     for row in decoded:
-        layout = struct.pack(">i", row.epoch) + row.filename.encode() + struct.pack(">q", row.offset)
-        assert bytes(row.bytes) == layout
+        ends = struct.pack(">i", row.epoch), struct.pack(">q", row.offset)
+        assert bytes(row.bytes) == row.filename.encode().join(ends)
         assert tuple(row.d) == (row.epoch, row.filename, row.offset)
 
 
@@ -58,7 +58,8 @@ def test_backfill_sorts_first_in_its_epoch_and_after_older_ones(spark):
 
 
 def test_byte_order_is_typed_order_for_names_of_one_width(spark):
-    rows = [(e, f"bin.{n:06d}", o) for e in (0, 1, 7) for n in (1, 2, 300000) for o in (4, 256, 70000)]
+    rows = [(e, f"bin.{n:06d}", o)
+            for e in (0, 1, 7) for n in (1, 2, 300000) for o in (4, 256, 70000)]
     df = spark.createDataFrame(rows, SCHEMA)
     by_bytes = [tuple(r) for r in df.orderBy(p.encode_position(*_columns())).collect()]
     by_type = [tuple(r) for r in df.orderBy(p.position_order()).collect()]

@@ -14,7 +14,8 @@ from millrace.sources import catalog as cat
 
 
 def test_joined_text(spark):
-    rows = spark.createDataFrame([(["a", None, "c"],), ([],), (["x"],), ([None],)], "v array<string>")
+    rows = spark.createDataFrame([(["a", None, "c"],), ([],), (["x"],), ([None],)],
+                                 "v array<string>")
     assert [r[0] for r in rows.select(t.joined_text(F.col("v"), "--")).collect()] == [
         "a--null--c", "", "x", "null"]
     assert rows.select(t.row_text(F.col("v"))).first()[0] == "Row: a:null:c"

@@ -40,13 +40,14 @@ def test_restart_goes_on_where_it_was(spark, tmp_path):
     assert spark.read.parquet(out).count() == 6
 
 
-def test_repeats_over_batches_and_within(spark, tmp_path):
+@pytest.mark.parametrize("copy_tasks", [1, 8])
+def test_repeats_over_batches_and_within(spark, tmp_path, copy_tasks):
     log, out = f"{tmp_path}/log", f"{tmp_path}/out"
     rows = [delta("U", k, n) for n, k in enumerate([1, 1, 2, 3])]
     copies = [delta("U", 9, 50)] * 40
     _land(spark, log, rows + copies, rows[1:] + copies, rows)
     stream = stream_log(spark, log, SCHEMA, files_per_batch=1)
-    r.write_stream(r.without_repeats(stream), out, f"{tmp_path}/checkpoint")
+    r.write_stream(r.without_repeats(stream, copy_tasks), out, f"{tmp_path}/checkpoint")
     found = spark.read.parquet(out)
     assert found.count() == 5
     assert found.select("k", "offset").distinct().count() == 5
@@ -141,6 +142,8 @@ def test_sink_tables_are_created_and_checked(spark, tmp_path):
         spark.catalog.refreshTable(f"{database}.shop_account")
         table = spark.table(f"{database}.shop_account")
         assert table.columns == ["k", "v", "s"] and table.count() == 2
+        assert {column.description for column in spark.catalog.listColumns(
+            f"{database}.shop_account")} == {"Automatically created for table shop.account"}
         changed = StructType([*ACCOUNT.schema.fields[:2], StructField("s", LongType()),
                               StructField("new", LongType())])
         with pytest.raises(ValueError, match="drifted") as drift:
