@@ -21,6 +21,8 @@ INSERT, UPDATE, DELETE = "I", "U", "D"
 POSITION = ("epoch", "filename", "offset")
 # One delta is identified by its table, position and ordinal.
 DELTA_ID = ("db", "tbl", *POSITION, "seq")
+# Key columns stand beside these, so they need other names.
+DELTA_COLUMNS = ("db", "tbl", "op", "before", "after", *POSITION, "seq")
 # Log positions start here, so offset 0 marks a backfill row.
 FIRST_LOG_OFFSET = 4
 BACKFILL_FILENAME, BACKFILL_OFFSET = "", 0
@@ -39,6 +41,10 @@ class TableSpec:
         missing = [c for c in self.key if c not in self.schema.fieldNames()]
         if missing:
             raise ValueError(f"primary key columns {missing} are not in {self.table_id}")
+        taken = [c for c in self.key if c in DELTA_COLUMNS]
+        if taken:
+            raise ValueError(f"rename the key columns {taken} of {self.table_id}: deltas use "
+                             "these names")
 
     @property
     def table_id(self) -> str:

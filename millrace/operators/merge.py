@@ -24,7 +24,7 @@ STATE = ("op", "after", "epoch", "filename", "offset", "seq")
 def latest_delta(deltas: DataFrame, key: Sequence[str]) -> DataFrame:
     """Key, ``op``, ``after`` and position of each key's last delta."""
     newest = F.max_by(F.struct(*STATE), delta_order())
-    return deltas.groupBy(*key).agg(newest.alias("newest")).select(*key, "newest.*")
+    return deltas.groupBy(*key).agg(newest.alias("_newest")).select(*key, "_newest.*")
 
 
 def live_rows(latest: DataFrame) -> DataFrame:
@@ -55,11 +55,12 @@ def merge_latest(state: DataFrame, newer: DataFrame, key: Sequence[str]) -> Data
     A full join and not an aggregate, so a state stored in buckets of the key is
     read in place and only ``newer`` is shuffled.
     """
-    theirs = newer.select(*key, F.struct(*STATE).alias("b"), delta_order().alias("b_order"))
-    mine = state.select(*key, F.struct(*STATE).alias("a"), delta_order().alias("a_order"))
-    take_b = F.col("a").isNull() | (F.col("b_order") > F.col("a_order"))
-    chosen = F.when(F.coalesce(take_b, F.lit(False)), F.col("b")).otherwise(F.col("a"))
-    return mine.join(theirs, list(key), "full").select(*key, chosen.alias("d")).select(*key, "d.*")
+    theirs = newer.select(*key, F.struct(*STATE).alias("_b"), delta_order().alias("_b_order"))
+    mine = state.select(*key, F.struct(*STATE).alias("_a"), delta_order().alias("_a_order"))
+    take_b = F.col("_a").isNull() | (F.col("_b_order") > F.col("_a_order"))
+    chosen = F.when(F.coalesce(take_b, F.lit(False)), F.col("_b")).otherwise(F.col("_a"))
+    both = mine.join(theirs, list(key), "full")
+    return both.select(*key, chosen.alias("_chosen")).select(*key, "_chosen.*")
 
 
 def split_key_updates(deltas: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -81,8 +82,8 @@ def split_key_updates(deltas: DataFrame, key: Sequence[str]) -> DataFrame:
     replaced = {*key, "op", "before", "after", "seq"}
     rest = [c for c in deltas.columns if c not in replaced]
     return deltas.select(
-        *rest, F.explode(F.when(moved, F.array(old, new)).otherwise(F.array(keep))).alias("d")
-    ).select(*rest, "d.*")
+        *rest, F.explode(F.when(moved, F.array(old, new)).otherwise(F.array(keep))).alias("_d")
+    ).select(*rest, "_d.*")
 
 
 def _changed(field: str) -> Column:
@@ -98,7 +99,8 @@ def changed_columns(deltas: DataFrame, fields: Sequence[str]) -> DataFrame:
     both = deltas.where(F.col("before").isNotNull() & F.col("after").isNotNull())
     changes = F.array_compact(F.array(*[_changed(f) for f in fields]))
     rest = [c for c in deltas.columns if c not in ("before", "after")]
-    return both.select(*rest, F.explode(changes).alias("change")).select(*rest, "change.*")
+    return both.select(*rest, F.explode(changes).alias("_change")).select(
+        *rest, "_change.*")
 
 
 def image_breaks(deltas: DataFrame, key: Sequence[str]) -> DataFrame:

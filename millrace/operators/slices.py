@@ -55,9 +55,9 @@ def row_index(df: DataFrame, key: Sequence[str], slices: int | None = None) -> D
     cut = _slices(df.select(*key), key, slices)
     earlier = F.sum("rows").over(_slice_order().rowsBetween(W.unboundedPreceding, -1))
     starts = cut.groupBy(SLICE).agg(F.count("*").alias("rows")).select(
-        SLICE, F.coalesce(earlier, F.lit(0)).alias("start"))
+        SLICE, F.coalesce(earlier, F.lit(0)).alias("_start"))
     return cut.join(F.broadcast(starts), SLICE).select(
-        *key, (F.col("start") + F.col(ROW)).alias("row_index"))
+        *key, (F.col("_start") + F.col(ROW)).alias("row_index"))
 
 
 def _same_key(left: str, right: Sequence[str]) -> Column:
@@ -67,30 +67,32 @@ def _same_key(left: str, right: Sequence[str]) -> Column:
     return same
 
 
-def _key(columns: Sequence[str]) -> Column:
-    return F.struct(*columns)
+def _rows_at(cut: DataFrame, at: Column, *columns: Column) -> DataFrame:
+    """``columns`` of each slice's row with the greatest ``at``: one row per slice."""
+    last = cut.groupBy(SLICE).agg(F.max(at).alias(ROW))
+    return cut.join(F.broadcast(last), [SLICE, ROW]).select(SLICE, *columns)
+
+
+def _carry(ends: DataFrame, value: str) -> DataFrame:
+    """What each slice takes over: last key and ``value`` of the slice before it."""
+    return ends.select(SLICE, F.lag("_end").over(_slice_order()).alias("_key"),
+                       F.lag(value).over(_slice_order()).alias("_carried"))
 
 
 def rank_in_key(df: DataFrame, key: Sequence[str], order: Sequence[str | Column],
                 name: str = "rank", slices: int | None = None) -> DataFrame:
     """``df`` with the row's one-based place within its key."""
     cut = _slices(df, [*key, *order], slices)
-    here = F.row_number().over(W.partitionBy(SLICE, *key).orderBy(ROW))
     # Only a slice's last key goes on in the next one.
-    last_key = (
-        cut.groupBy(SLICE, *key).agg(F.count("*").alias("rows"), F.max(ROW).alias("at"))
-        .groupBy(SLICE).agg(F.max_by(F.struct(_key(key).alias("key"), "rows"), "at").alias("last"))
-        .select(SLICE, "last.key", "last.rows")
-    )
-    so_far = F.sum("rows").over(W.partitionBy("key").orderBy(SLICE))
-    carried = last_key.select(SLICE, "key", so_far.alias("rows")).select(
-        SLICE,
-        F.lag("key").over(_slice_order()).alias("_key"),
-        F.lag("rows").over(_slice_order()).alias("_rows"),
-    )
-    before = F.when(_same_key("_key", key), F.col("_rows")).otherwise(F.lit(0))
+    last_key = _rows_at(cut, F.col(ROW), F.struct(*key).alias("_end"))
+    ends = (cut.join(F.broadcast(last_key), SLICE).where(_same_key("_end", key))
+            .groupBy(SLICE, "_end").agg(F.count("*").alias("rows")))
+    so_far = F.sum("rows").over(W.partitionBy("_end").orderBy(SLICE))
+    carried = _carry(ends.withColumn("rows", so_far), "rows")
+    here = F.row_number().over(W.partitionBy(SLICE, *key).orderBy(ROW))
+    before = F.when(_same_key("_key", key), F.col("_carried"))
     return (cut.withColumn(name, here).join(F.broadcast(carried), SLICE)
-            .withColumn(name, F.col(name) + F.coalesce(before, F.lit(0)))
+            .withColumn(name, F.col(name) + F.coalesce(before, F.lit(0).cast("long")))
             .select(*df.columns, name))
 
 
@@ -102,42 +104,31 @@ def previous_in_key(df: DataFrame, key: Sequence[str], order: Sequence[str | Col
     """
     cut = _slices(df, [*key, *order], slices)
     boxed = F.struct(F.col(value).alias("value"))
-    carried = (
-        cut.groupBy(SLICE)
-        .agg(F.max_by(F.struct(_key(key).alias("key"), boxed.alias("box")), ROW).alias("last"))
-        .select(SLICE, F.lag("last").over(_slice_order()).alias("_last"))
-        .select(SLICE, F.col("_last.key").alias("_key"), F.col("_last.box").alias("_box"))
-    )
-    within = F.lag(boxed).over(W.partitionBy(SLICE, *key).orderBy(ROW))
-    return (
-        cut.withColumn(name, within).join(F.broadcast(carried), SLICE)
-        .withColumn(name, F.coalesce(name, F.when(_same_key("_key", key), F.col("_box"))))
-        .select(*df.columns, name)
-    )
+    ends = _rows_at(cut, F.col(ROW), F.struct(*key).alias("_end"), boxed.alias("box"))
+    return _fill(cut, F.lag(boxed).over(W.partitionBy(SLICE, *key).orderBy(ROW)),
+                 _carry(ends, "box"), key, name).select(*df.columns, name)
 
 
 def latest_in_key(df: DataFrame, key: Sequence[str], order: Sequence[str | Column], value: str,
                   name: str = "latest", slices: int | None = None) -> DataFrame:
     """``df`` with the key's last non-null ``value`` at or before each row."""
     cut = _slices(df, [*key, *order], slices)
+    # Per slice: its last key, and the last value seen if it is of that key.
+    last_key = _rows_at(cut, F.col(ROW), F.struct(*key).alias("_end"))
+    last_value = _rows_at(cut, F.when(F.col(value).isNotNull(), F.col(ROW)),
+                          F.struct(*key).alias("value_key"), F.col(value).alias("value"))
+    own = F.when(F.col("value_key").eqNullSafe(F.col("_end")), F.col("value"))
+    so_far = F.last(own, ignorenulls=True).over(W.partitionBy("_end").orderBy(SLICE))
+    ends = last_key.join(F.broadcast(last_value), SLICE, "left").select(
+        SLICE, "_end", so_far.alias("value"))
     within = F.last(value, ignorenulls=True).over(
         W.partitionBy(SLICE, *key).orderBy(ROW).rowsBetween(W.unboundedPreceding, 0))
-    # Per slice: its last key, and the last value seen if it is of that key.
-    valued = F.struct(_key(key).alias("key"), F.col(value).alias("value"))
-    ends = cut.groupBy(SLICE).agg(
-        F.max_by(_key(key), ROW).alias("key"),
-        F.max_by(valued, F.when(F.col(value).isNotNull(), F.col(ROW))).alias("valued"),
-    ).select(SLICE, "key",
-             F.when(F.col("valued.key").eqNullSafe(F.col("key")),
-                    F.col("valued.value")).alias("value"))
-    so_far = F.last("value", ignorenulls=True).over(W.partitionBy("key").orderBy(SLICE))
-    carried = ends.select(SLICE, "key", so_far.alias("value")).select(
-        SLICE,
-        F.lag("key").over(_slice_order()).alias("_key"),
-        F.lag("value").over(_slice_order()).alias("_value"),
-    )
-    return (
-        cut.withColumn(name, within).join(F.broadcast(carried), SLICE)
-        .withColumn(name, F.coalesce(name, F.when(_same_key("_key", key), F.col("_value"))))
-        .select(*df.columns, name)
-    )
+    return _fill(cut, within, _carry(ends, "value"), key, name).select(*df.columns, name)
+
+
+def _fill(cut: DataFrame, within: Column, carried: DataFrame, key: Sequence[str],
+          name: str) -> DataFrame:
+    """``within`` its slice, and where that is null what the slice took over."""
+    over = F.when(_same_key("_key", key), F.col("_carried"))
+    return (cut.withColumn(name, within).join(F.broadcast(carried), SLICE)
+            .withColumn(name, F.coalesce(name, over)))

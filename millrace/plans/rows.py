@@ -49,7 +49,8 @@ def position_decode(spark: SparkSession, sf: str) -> DataFrame:
   'MySqlStreamPosition: (' || epoch || ':' || filename || ':' || "offset" || ')' AS position
 FROM deltas""")
 def position_text(spark: SparkSession, sf: str) -> DataFrame:
-    return i.all_deltas(spark, sf).select("k", "seq", p.position_text(*_position()).alias("position"))
+    return i.all_deltas(spark, sf).select(
+        "k", "seq", p.position_text(*_position()).alias("position"))
 
 
 @query("position_rank", i.with_(*i.ALL_DELTAS_SQL) + """

@@ -21,7 +21,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, LongType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from ..model import TableSpec
 from ..operators.merge import latest_delta, live_rows, merge_latest, tombstones
@@ -57,8 +57,9 @@ class StateTable:
     def _newest(self) -> _Base:
         """The newest base; number 0 stands for none."""
         versions = read_if_written(self.spark, f"{self.root}/versions", _VERSIONS)
-        newest = versions and versions.agg(F.max_by(F.struct("*"), "version").alias("v")).first().v
-        return _Base(*newest) if newest else _Base(0, self.buckets, None)
+        newest = (None if versions is None else
+                  versions.agg(F.max_by(F.struct("*"), "version").alias("v")).first().v)
+        return _Base(0, self.buckets, None) if newest is None else _Base(*newest)
 
     @staticmethod
     def _table_name(folder: str) -> str:

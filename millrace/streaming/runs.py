@@ -79,4 +79,4 @@ def running_latest(stream: DataFrame, key: Sequence[str]) -> DataFrame:
     that changed.
     """
     newest = F.max_by(F.struct(*STATE), delta_order())
-    return stream.groupBy(*key).agg(newest.alias("newest")).select(*key, "newest.*")
+    return stream.groupBy(*key).agg(newest.alias("_newest")).select(*key, "_newest.*")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from millrace.connect import log_schema
 from millrace.operators import merge as g
 from millrace.operators.deltas import backfill_deltas, without_repeats
+from millrace.operators.slices import rank_in_key, row_index
 from millrace.plans.inputs import ACCOUNT
 from millrace.sinks.state import StateTable
 from millrace.model import TableSpec
@@ -97,12 +98,22 @@ def test_key_swap_at_one_position(spark):
     assert rows_of(g.current_state(split, KEY)) == [(1, 2.0, "b"), (3, 1.0, "a")]
 
 
-def test_composite_key(spark):
-    rows = spark.createDataFrame([(1, "x", 1), (1, "y", 2), (2, "x", 3)],
-                                 "a long, b string, v long")
-    table = TableSpec("d", "t", rows.schema, ("a", "b"))
-    state = g.current_state(backfill_deltas(rows, table, 0), table.key)
-    assert {tuple(r) for r in state.collect()} == {(1, "x", 1), (1, "y", 2), (2, "x", 3)}
+@pytest.mark.parametrize("names", [("a", "b"), ("key", "start"), ("rows", "newest")])
+def test_composite_key(spark, tmp_path, names):
+    first, second = names
+    data = [(1, "x", 1), (1, "y", 2), (2, "x", 3)]
+    rows = spark.createDataFrame(data, f"{first} long, {second} string, v long")
+    table = TableSpec("d", "t", rows.schema, names)
+    deltas = backfill_deltas(rows, table, 0)
+    assert rows_of(g.current_state(deltas, table.key)) == data
+    state = StateTable(spark, f"{tmp_path}/state", table, buckets=2)
+    for batch_id in range(2):
+        state.apply(deltas, batch_id)
+        state.compact()
+    state.apply(deltas, 2)
+    assert rows_of(state.rows()) == data
+    assert g.image_breaks(deltas, table.key).count() == 0
+    assert row_index(rows, names).count() == rank_in_key(rows, names, ["v"]).count() == 3
 
 
 def test_repeats_are_removed_but_not_neighbours(spark):
@@ -204,6 +215,8 @@ def test_state_needs_a_key(spark, tmp_path):
         StateTable(spark, str(tmp_path), TableSpec("d", "t", ACCOUNT.schema))
     with pytest.raises(ValueError):
         TableSpec("d", "t", ACCOUNT.schema, ("nope",))
+    with pytest.raises(ValueError):
+        TableSpec("d", "t", spark.range(0).withColumnRenamed("id", "offset").schema, ("offset",))
 
 
 def test_hot_key_is_reduced_before_the_shuffle(spark):
