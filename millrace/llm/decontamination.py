@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.session import stored
+from millrace.session import has_at_most, stored
 
 NGRAM = 10
 
@@ -22,6 +22,9 @@ NGRAM = 10
 # size, each with a scan of its own over all documents.
 BROADCAST_BYTES = 32_000_000
 
+# Up to so many contaminated documents (two numbers each) are broadcast to be taken out.
+BROADCAST_IDS = 1_000_000
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]"
@@ -167,6 +170,9 @@ def without_contamination(docs: DataFrame, benchmark: DataFrame, remove: str = "
                      _merged(F.col("places")).alias("_spans")).dropDuplicates(["_id", "_own"]))
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_own"))
     if remove == "documents":
+        found = stored(found.select("_id", "_own"), "contaminated")
+        if has_at_most(found, BROADCAST_IDS):
+            found = F.broadcast(found)
         return marked.join(found, same, "left_anti").select(docs.columns)
     text = F.col("text")
     pieces = F.regexp_extract_all(text, F.lit(f"({_WORD}+{_BETWEEN}*)"), 1)

@@ -7,10 +7,12 @@
 3. Sets that share a first token fall into one group, named by its least set. Equal groups
    of different tokens thus fall together, and sets alone in their group are gone.
 4. A group of any size is dealt into cells of bounded size: blocks of it, in pairs.
-5. In every cell the sets are compared by a signature tree (:mod:`millrace.llm.signatures`),
-   which gives the links of a spanning forest; components are joined over all cells.
+5. In every cell a signature tree (:mod:`millrace.llm.signatures`) over the sets' bitmaps
+   leaves out the sets that cannot be linked with any other there.
+6. The tokens of those that remain are fetched, and a second tree compares them exactly. It
+   gives the links of a spanning forest of the cell; components are joined over all cells.
 
-Texts are read three times, which costs less than storing their token sets would.
+Texts are read three times, which costs less than storing or shuffling their token sets.
 """
 
 from __future__ import annotations
@@ -25,9 +27,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.components import components
-from millrace.llm.signatures import links
+from millrace.llm.signatures import bitmap, bitmap_bits, folded, links, partnered
 from millrace.llm.words import LOWER, slices, split_words, word_hashes
-from millrace.session import stored
+from millrace.session import has_at_most, stored
 
 WORDS = 5
 PERCENT = 80
@@ -40,9 +42,15 @@ OFTEN, ORDERED = 4, 65_536
 # A frequent token's sets are spread over tasks of about this many.
 SALTED = 2_000
 
+# Up to so many rows of two ids, a list of documents is broadcast to where the texts are read.
+BROADCAST_IDS = 1_000_000
+
 # A cell holds two blocks of at most about this many sets, and this many tokens.
 CELL_SETS, CELL_TOKENS = 1_000, 1_000_000
 
+# What names a cell: its group, and the two blocks of it that meet.
+CELL = ("leader", "i", "j")
+
 
 
 def _salt(words: int) -> np.uint64:
@@ -105,12 +113,15 @@ def _survey(docs: DataFrame) -> DataFrame:
                     pa.concat_arrays([rows.column("doc_id").cast(pa.int64()), none]),
                     pa.concat_arrays([pa.array([len(s) for s in sets], pa.int64()), none]),
                     pa.concat_arrays([pa.array(_set_ids(sets)), none]),
+                    pa.concat_arrays([pa.array(
+                        [bitmap(s, bitmap_bits(len(s))).tobytes() if len(s) else None
+                         for s in sets], pa.binary()), pa.nulls(len(tokens), pa.binary())]),
                     pa.concat_arrays([blank, pa.array(tokens)]),
                     pa.concat_arrays([blank, pa.array(seen, pa.int64())]),
-                ], names=["doc_id", "n_shingles", "set_id", "token", "seen"])
+                ], names=["doc_id", "n_shingles", "set_id", "bitmap", "token", "seen"])
 
     return docs.select("doc_id", "text").mapInArrow(
-        look, "doc_id long, n_shingles long, set_id long, token long, seen long")
+        look, "doc_id long, n_shingles long, set_id long, bitmap binary, token long, seen long")
 
 
 def _first_tokens(tokens: np.ndarray, frequent: np.ndarray, seen: np.ndarray,
@@ -176,71 +187,119 @@ def _groups(postings: DataFrame) -> DataFrame:
 
 
 def _cells(groups: DataFrame, sets: DataFrame) -> DataFrame:
-    """(leader, i, j, set_id): which sets meet in which cell."""
+    """(leader, i, j, set_id) and the set's size and bitmap: which sets meet in which cell."""
     members = groups.join(sets, "set_id")
     blocks = (members.groupBy("leader")
               .agg(F.count(F.lit(1)).alias("members"), F.sum("n_shingles").alias("tokens"))
               .where("members > 1")
               .select("leader", F.ceil(F.greatest(
                   F.col("members") / CELL_SETS, F.col("tokens") / CELL_TOKENS)).alias("blocks")))
-    dealt = members.select("leader", "set_id").join(blocks, "leader").withColumn(
-        "own", F.pmod(F.xxhash64("set_id"), F.col("blocks")))
+    dealt = members.select("leader", "set_id", "n_shingles", "bitmap").join(
+        blocks, "leader").withColumn("own", F.pmod(F.xxhash64("set_id"), F.col("blocks")))
     return dealt.select(
-        "leader", "set_id", "own",
+        "leader", "set_id", "n_shingles", "bitmap", "own",
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"),
     ).select("leader", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-             "set_id")
-
+             "set_id", "n_shingles", "bitmap")
+
+
+def _by_cell(rows: DataFrame) -> DataFrame:
+    """``rows`` with those of a cell together, in one task."""
+    cell = [F.col(c) for c in CELL]
+    return rows.repartition(*cell).sortWithinPartitions(*cell)
+
+
+def _each_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of one cell after the other; cells stand together."""
+    waiting: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = [np.asarray(batch.column(c)) for c in CELL]
+        change = np.zeros(batch.num_rows, dtype=bool)
+        for key in keys:
+            change[1:] |= key[1:] != key[:-1]
+        first = tuple(int(key[0]) for key in keys)
+        change[0] = first != last
+        last = tuple(int(key[-1]) for key in keys)
+        starts = np.nonzero(change)[0].tolist()
+        for start, end in zip([0, *starts], [*starts, batch.num_rows]):
+            if start in starts and waiting:
+                yield pa.Table.from_batches(waiting)
+                waiting = []
+            if end > start:
+                waiting.append(batch.slice(start, end - start))
+    if waiting:
+        yield pa.Table.from_batches(waiting)
+
+
+def _possible(cells: DataFrame, percent: int) -> DataFrame:
+    """(leader, i, j, set_id) of the sets that may be linked with another one in their cell."""
+
+    def marked(sizes: np.ndarray, maps: list[bytes]) -> np.ndarray:
+        bits = np.array([8 * len(m) for m in maps])
+        found = np.zeros(len(maps), dtype=bool)
+        # Linked sets differ by less than two in size, so their bitmaps are of one length,
+        # or one is twice as long and is folded.
+        for width in np.unique(bits).tolist():
+            at = np.nonzero((bits == width) | (bits == 2 * width))[0]
+            order = at[np.lexsort((sizes[at], np.log(sizes[at]) // np.log(1.25)))]
+            masks = np.stack([folded(np.frombuffer(maps[k], dtype=np.uint64), width)
+                              for k in order])
+            found[order] |= partnered(masks, sizes[order], percent)
+        return found
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell in _each_cell(batches):
+            if cell.num_rows > 1:
+                sizes = np.asarray(cell["n_shingles"], dtype=np.int64)
+                kept = cell.select([*CELL, "set_id"]).filter(
+                    pa.array(marked(sizes, cell["bitmap"].to_pylist())))
+                yield from kept.to_batches()
+
+    return _by_cell(cells).mapInArrow(choose, "leader long, i long, j long, set_id long")
+
+
+def _tokens(texts: DataFrame) -> DataFrame:
+    """(set_id, tokens), once for each set. A text that has another set is left out."""
 
-def _tokens(docs: DataFrame) -> DataFrame:
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, texts in slices(batch, "text"):
-                sets = shingle_sets(texts)
+            for rows, arrays in slices(batch, "text"):
+                sets = shingle_sets(arrays)
+                ids = np.asarray(rows.column("set_id"))
+                at = np.nonzero(ids == _set_ids(sets))[0]
+                sets = [sets[k] for k in at]
                 offsets = np.concatenate(([0], np.cumsum([len(s) for s in sets])))
-                yield pa.RecordBatch.from_arrays([
-                    rows.column("set_id"),
-                    pa.ListArray.from_arrays(pa.array(offsets, pa.int32()),
-                                             pa.array(np.concatenate(sets).view(np.int64)))],
+                values = np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[at]),
+                     pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))],
                     names=["set_id", "tokens"])
 
-    return docs.select("set_id", "text").mapInArrow(tokens, "set_id long, tokens array<long>")
+    return texts.select("set_id", "text").mapInArrow(
+        tokens, "set_id long, tokens array<long>").dropDuplicates(["set_id"])
 
 
 def _edges(cells: DataFrame, percent: int) -> DataFrame:
-    """The links found in every cell. Rows of a cell must stand together."""
+    """The links found in every cell."""
 
-    def compare(ids: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
-        if len(ids) < 2:
-            return []
+    def compare(cell: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        ids = np.asarray(cell["set_id"])
+        sets = [np.asarray(s.values).view(np.uint64) for s in cell["tokens"]]
         sizes = np.array([len(s) for s in sets])
         order = np.lexsort((sizes, [s[0] for s in sets], np.log(sizes) // np.log(1.25)))
-        found = links([sets[k] for k in order], percent)
-        return [(ids[order[a]], ids[order[b]]) for a, b in found]
-
-    def batch_of(edges: list[tuple[int, int]]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array([e[0] for e in edges], pa.int64()),
-             pa.array([e[1] for e in edges], pa.int64())], names=["a", "b"])
+        found = np.array(links([sets[k] for k in order], percent), dtype=np.int64).reshape(-1, 2)
+        return ids[order[found[:, 0]]], ids[order[found[:, 1]]]
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell, ids, sets, edges = None, [], [], []
-        for batch in batches:
-            keys = zip(*(batch.column(c).to_pylist() for c in ("leader", "i", "j", "set_id")))
-            lists = batch.column("tokens")
-            offsets = np.asarray(lists.offsets)
-            values = np.asarray(lists.values).view(np.uint64)
-            for row, (leader, i, j, set_id) in enumerate(keys):
-                if (leader, i, j) != cell:
-                    edges.extend(compare(ids, sets))
-                    cell, ids, sets = (leader, i, j), [], []
-                ids.append(set_id)
-                sets.append(values[offsets[row]:offsets[row + 1]].copy())
-            yield batch_of(edges)
-            edges = []
-        yield batch_of(edges + compare(ids, sets))
-
-    return cells.mapInArrow(find, "a long, b long")
+        for cell in _each_cell(batches):
+            if cell.num_rows > 1:
+                a, b = compare(cell)
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    return _by_cell(cells).mapInArrow(find, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -263,10 +322,11 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
                 .orderBy(F.desc("seen"), "token").limit(ORDERED))
     found = survey.where("token is null").drop("token", "seen")
     sets = found.where("n_shingles > 0").groupBy("set_id").agg(
-        F.min("doc_id").alias("first_id"), F.max("n_shingles").alias("n_shingles"))
-    groups = stored(_groups(_postings(docs, frequent, percent)), "groups")
-    cells = stored(_cells(groups, sets), "cells")
-    edges = _edges(_with_tokens(cells, docs, sets), percent)
+        F.min("doc_id").alias("first_id"), F.max("n_shingles").alias("n_shingles"),
+        F.first("bitmap").alias("bitmap"))
+    groups = _groups(_postings(docs, frequent, percent))
+    cells = stored(_possible(_cells(groups, sets), percent), "cells")
+    edges = _edges(cells.join(_tokens(_texts(cells, docs, found)), "set_id"), percent)
     rooted = components(edges)
     named = sets.join(rooted.withColumnRenamed("node", "set_id"), "set_id", "left").select(
         "set_id", "first_id", F.coalesce("root", "set_id").alias("root"))
@@ -275,14 +335,14 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     return _classed(found, classes)
 
 
-def _with_tokens(cells: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``cells`` with the tokens of their sets, the rows of a cell together."""
-    wanted = cells.select("set_id").distinct().join(sets, "set_id").select(
-        "set_id", F.col("first_id").alias("doc_id"))
-    texts = docs.join(wanted, "doc_id").select("set_id", "text")
-    by_cell: list[Column] = [F.col("leader"), F.col("i"), F.col("j")]
-    return (cells.join(_tokens(texts), "set_id").select(*by_cell, "set_id", "tokens")
-            .repartition(*by_cell).sortWithinPartitions(*by_cell))
+def _texts(cells: DataFrame, docs: DataFrame, found: DataFrame) -> DataFrame:
+    """(set_id, text) for each set of ``cells``: the text of its first document."""
+    wanted = stored(
+        found.join(cells.select("set_id").distinct(), "set_id").groupBy("set_id")
+        .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id"))["doc_id"].alias("_id")), "wanted")
+    if has_at_most(wanted, BROADCAST_IDS):
+        wanted = F.broadcast(wanted)
+    return docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id"))).select("set_id", "text")
 
 
 def _classed(found: DataFrame, classes: DataFrame) -> DataFrame:
@@ -299,8 +359,15 @@ def without_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFram
     Rows without shingles, and rows whose doc_id is null, are kept as they are: nothing is
     known to repeat them. All columns are kept, whatever their names.
     """
-    classes = near_duplicates(docs, percent)
-    gone = classes.where("component_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
-    return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(
-        kept.where("doc_id is null"))
+    classes = near_duplicates(docs, percent).where("doc_id is not null")
+    told = (classes.groupBy(F.col("doc_id").alias("_id"))
+            .agg(F.count(F.lit(1)).alias("_rows"), F.min("component_id").alias("_least"))
+            .where("_least < _id or _rows > 1")
+            .select("_id", (F.col("_least") < F.col("_id")).alias("_gone")))
+    told = stored(told, "told")
+    if has_at_most(told, BROADCAST_IDS):
+        told = F.broadcast(told)
+    marked = docs.join(told, F.col("doc_id") == F.col("_id"), "left")
+    once = marked.where("_id is null").select(docs.columns)
+    return once.unionByName(
+        marked.where("not _gone").select(docs.columns).dropDuplicates(["doc_id"]))

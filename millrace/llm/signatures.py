@@ -9,27 +9,39 @@ opened, down to single sets; these are compared token by token.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 FANOUT = 16
 
+MOST_BITS = 16_384
+
 # Node pairs that are compared at once.
 PAIRS = 20_000
 
 
+def bitmap_bits(size: int) -> int:
+    """How many bits the bitmap of a set of ``size`` tokens has."""
+    return min(max(256, 1 << (2 * size - 1).bit_length()), MOST_BITS)
+
+
+def bitmap(tokens: np.ndarray, bits: int) -> np.ndarray:
+    """The bitmap of a set of hashed tokens, as 64-bit words."""
+    held = np.zeros(bits, dtype=np.uint8)
+    held[(tokens & np.uint64(bits - 1)).astype(np.int64)] = 1
+    return np.packbits(held, bitorder="little").view(np.uint64)
+
+
+def folded(mask: np.ndarray, bits: int) -> np.ndarray:
+    """A bitmap as it is with fewer bits: tokens go by their lowest bits."""
+    return np.bitwise_or.reduce(mask.reshape(-1, bits // 64), axis=0)
+
+
 class Tree:
-    """The nodes over ``sets`` (sorted distinct uint64 tokens), leaves in their given order."""
-
-    def __init__(self, sets: list[np.ndarray]) -> None:
-        sizes = np.array([len(s) for s in sets], dtype=np.int64)
-        bits = 256
-        while bits < 2 * sizes.max() and bits < 16_384:
-            bits *= 2
-        masks = np.zeros((len(sets), bits // 64), dtype=np.uint64)
-        for row, tokens in zip(masks, sets):
-            at = tokens & np.uint64(bits - 1)
-            np.bitwise_or.at(row, (at >> np.uint64(6)).astype(np.int64),
-                             np.uint64(1) << (at & np.uint64(63)))
+    """The nodes over sets given by their bitmaps and sizes, leaves in the given order."""
+
+    def __init__(self, masks: np.ndarray, sizes: np.ndarray) -> None:
         excess = sizes - np.bitwise_count(masks).sum(axis=1, dtype=np.int64)
         self.levels = [(masks, sizes, sizes, excess)]
         while len(self.levels[-1][0]) > FANOUT:
@@ -62,16 +74,62 @@ def _children(nodes: np.ndarray, below: int) -> tuple[np.ndarray, np.ndarray]:
     return first, np.minimum(first + FANOUT, below)
 
 
+def _leaf_pairs(tree: Tree, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(sets of a lowest node, sets it may link with, from the node's own first set on)."""
+    n, top = len(tree.levels[0][0]), len(tree.levels) - 1
+    if top == 0:
+        yield np.arange(n), np.arange(n)
+        return
+    stack = [(top, *np.triu_indices(len(tree.levels[top][0])))]
+    while stack:
+        level, left, right = stack.pop()
+        fits = tree.may_link(level, left, right, percent)
+        left, right = left[fits], right[fits]
+        for u in np.unique(left)[::-1].tolist() if level > 1 else np.unique(left).tolist():
+            partners = right[left == u]
+            below = len(tree.levels[level - 1][0])
+            (first,), (last,) = _children(np.array([u]), below)
+            starts, ends = _children(partners, below)
+            own = np.arange(first, last)
+            others = np.concatenate([np.arange(s, e) for s, e in zip(starts, ends)])
+            if level == 1:
+                yield own, others
+                continue
+            pairs_left, pairs_right = np.repeat(own, len(others)), np.tile(others, len(own))
+            ordered = pairs_left <= pairs_right
+            stack.append((level - 1, pairs_left[ordered], pairs_right[ordered]))
+
+
+def partnered(masks: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Which sets may be linked with another one, as far as bitmaps and sizes tell.
+
+    Once a set is known to have a possible partner, it is only looked at as a partner.
+    """
+    tree = Tree(masks, sizes)
+    marked = np.zeros(len(sizes), dtype=bool)
+    for own, others in _leaf_pairs(tree, percent):
+        for a in own.tolist():
+            rest = others[others > a]
+            if marked[a]:
+                rest = rest[~marked[rest]]
+            fits = rest[tree.may_link(0, np.full(len(rest), a), rest, percent)]
+            if len(fits):
+                marked[a] = marked[fits] = True
+    return marked
+
+
 def links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     """Links that connect all sets which are linked, directly or through others.
 
-    Two sets are linked when 100 * (size of intersection) >= percent * (size of union). A
-    pair that is connected already by links found before is not compared again, so the
-    links form a forest; no link between two trees of that forest is missed. The order of
-    ``sets`` matters for speed only: similar ones should stand together. Empty sets must
-    not be given.
+    ``sets`` are sorted arrays of distinct hashed tokens, none of them empty. Two are linked
+    when 100 * (size of intersection) >= percent * (size of union). A pair that is connected
+    already by links found before is not compared again, so the links form a forest; no link
+    between two trees of that forest is missed. The order of ``sets`` matters for speed only:
+    similar ones should stand together.
     """
-    tree = Tree(sets)
+    sizes = np.array([len(s) for s in sets], dtype=np.int64)
+    bits = bitmap_bits(int(sizes.max()))
+    tree = Tree(np.stack([bitmap(s, bits) for s in sets]), sizes)
     root = np.arange(len(sets))
     members = {i: [i] for i in range(len(sets))}
     found: list[tuple[int, int]] = []
@@ -85,58 +143,18 @@ def links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
         members[keep].extend(moved)
         found.append((a, b))
 
-    def compare(a: int, others: np.ndarray) -> None:
-        others = others[root[others] != root[a]]
-        others = others[tree.may_link(0, np.full(len(others), a), others, percent)]
-        if not len(others):
-            return
-        own = sets[a]
-        lengths = np.array([len(sets[b]) for b in others])
-        tokens = np.concatenate([sets[b] for b in others])
-        at = np.minimum(np.searchsorted(own, tokens), len(own) - 1)
-        shared = np.add.reduceat(own[at] == tokens,
-                                 np.concatenate(([0], np.cumsum(lengths)[:-1])), dtype=np.int64)
-        linked = (100 + percent) * shared >= percent * (lengths + len(own))
-        for b in others[linked]:
-            if root[a] != root[b]:
-                connect(a, int(b))
-
-    def leaves(u: int, partners: np.ndarray) -> None:
-        """Compare the sets of a lowest node with those of its partners, itself included."""
-        n = len(sets)
-        first, last = u * FANOUT, min(u * FANOUT + FANOUT, n)
-        spans = [np.arange(max(v * FANOUT, first + 1), min(v * FANOUT + FANOUT, n))
-                 for v in partners.tolist()]
-        others = np.concatenate(spans) if spans else np.zeros(0, dtype=np.int64)
-        for a in range(first, last):
-            compare(a, others[others > a])
-
-    top = len(tree.levels) - 1
-    if top == 0:
-        for a in range(len(sets) - 1):
-            compare(a, np.arange(a + 1, len(sets)))
-        return found
-    count = len(tree.levels[top][0])
-    left, right = np.triu_indices(count)
-    stack = [(top, left, right)]
-    while stack:
-        level, left, right = stack.pop()
-        fits = tree.may_link(level, left, right, percent)
-        left, right = left[fits], right[fits]
-        if level == 1:
-            order = np.argsort(left, kind="stable")
-            left, right = left[order], right[order]
-            for part in np.split(np.arange(len(left)), np.nonzero(np.diff(left))[0] + 1):
-                if len(part):
-                    leaves(int(left[part[0]]), right[part])
-            continue
-        below = len(tree.levels[level - 1][0])
-        for u in np.unique(left)[::-1].tolist():
-            mine, (first, last) = right[left == u], _children(np.array([u]), below)
-            starts, ends = _children(mine, below)
-            others = np.concatenate([np.arange(s, e) for s, e in zip(starts, ends)])
-            own = np.arange(first[0], last[0])
-            pairs_left, pairs_right = np.repeat(own, len(others)), np.tile(others, len(own))
-            ordered = pairs_left <= pairs_right
-            stack.append((level - 1, pairs_left[ordered], pairs_right[ordered]))
+    for own, others in _leaf_pairs(tree, percent):
+        for a in own.tolist():
+            rest = others[(others > a) & (root[others] != root[a])]
+            rest = rest[tree.may_link(0, np.full(len(rest), a), rest, percent)]
+            if not len(rest):
+                continue
+            tokens = np.concatenate([sets[b] for b in rest])
+            at = np.minimum(np.searchsorted(sets[a], tokens), sizes[a] - 1)
+            firsts = np.concatenate(([0], np.cumsum(sizes[rest])[:-1]))
+            shared = np.add.reduceat(sets[a][at] == tokens, firsts, dtype=np.int64)
+            linked = (100 + percent) * shared >= percent * (sizes[rest] + sizes[a])
+            for b in rest[linked].tolist():
+                if root[a] != root[b]:
+                    connect(a, b)
     return found
