@@ -14,11 +14,11 @@ is a power of two is not padded; the last tokens of a partition make such sequen
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,11 +39,18 @@ STRETCH = 256
 BLOCK = 400_000
 
 # Words whose ids are remembered in a process, in each of two generations.
-REMEMBERED = 300_000
+REMEMBERED = 250_000
+
+# Bytes of text that are encoded at once: more words are the same in a larger slice.
+SLICE_BYTES = 8_000_000
 
 SENTENCE_ENDS = frozenset(".!?")
 
 
+def _packed(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes()
+
+
 class Encoder:
     """Ids of texts by a tokenizer that never joins tokens over white space.
 
@@ -59,13 +66,13 @@ class Encoder:
         self.letters = {code: as_bytes.pre_tokenize_str(chr(code))[0][0]
                         for code in range(128, 256)}
         self.marks = {mark: self._whole(mark) for mark in ".,"}
-        self.young: dict[str, tuple[int, ...]] = {}
-        self.old: dict[str, tuple[int, ...]] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
-    def _whole(self, piece: str) -> tuple[int, ...]:
-        return tuple(self.tokenizer.encode(piece, add_special_tokens=False).ids)
+    def _whole(self, piece: str) -> bytes:
+        return _packed(self.tokenizer.encode(piece, add_special_tokens=False).ids)
 
-    def _word(self, word: str) -> tuple[int, ...] | None:
+    def _word(self, word: str) -> bytes | None:
         """The ids of a word of Latin-1 letters in lower case, or None if it is not one."""
         if not word.isalpha():
             return None
@@ -73,11 +80,11 @@ class Encoder:
             if max(word) > "\u00ff":
                 return None
             word = word.translate(self.letters)
-        return tuple([token.id for token in self.tokenizer.model.tokenize(word)])
+        return _packed([token.id for token in self.tokenizer.model.tokenize(word)])
 
-    def _piece(self, piece: str) -> tuple[int, ...]:
+    def _piece(self, piece: str) -> bytes:
         last = piece[-1]
-        mark = self.marks.get(last, ())
+        mark = self.marks.get(last, b"")
         word = (piece[:-1] if mark else piece).lower()
         found = self.young.get(word)
         if found is None:
@@ -98,10 +105,10 @@ class Encoder:
         pieces = words.vocabulary.to_pylist()
         if len(self.young) > REMEMBERED:
             self.old, self.young = self.young, {}
-        lists = [self._piece(piece) if piece else () for piece in pieces]
-        lengths = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
+        lists = [self._piece(piece) if piece else b"" for piece in pieces]
+        lengths = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists)) // 4
         ends = np.array([piece[-1:] in SENTENCE_ENDS for piece in pieces], dtype=bool)
-        flat = np.fromiter(chain.from_iterable(lists), dtype=np.uint32, count=lengths.sum())
+        flat = np.frombuffer(b"".join(lists), dtype=np.uint32)
         firsts = np.cumsum(lengths) - lengths
         codes = words.codes
         sizes = lengths[codes]
@@ -247,7 +254,7 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 4096, end_id: int = 2) ->
                        "offset"])
 
         for batch in batches:
-            for rows, texts in slices(batch, "text"):
+            for rows, texts in slices(batch, "text", SLICE_BYTES):
                 ids, starts, ends, owner = encoder(texts)
                 bounds = np.searchsorted(owner, np.arange(len(texts) + 1))
                 for k, doc_id in enumerate(rows.column("doc_id").to_pylist()):

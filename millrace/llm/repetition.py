@@ -55,7 +55,7 @@ def longest_repeats(codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
     ranks = _ranks(keys[order], np.zeros(n, dtype=np.int64))
     rank = np.empty(n, dtype=np.int64)
     rank[order] = ranks
-    levels, step = [(1, rank)], 1
+    levels, step = [(1, rank.astype(np.int32))], 1
     active = _tied(order, ranks)
     while len(active):
         ahead = active + step
@@ -65,10 +65,9 @@ def longest_repeats(codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
         keys = own * (n + 1) + second
         order = np.argsort(keys)
         ranks = _ranks(keys[order], own[order])
-        rank = rank.copy()
         rank[active[order]] = ranks
         step *= 2
-        levels.append((step, rank))
+        levels.append((step, rank.astype(np.int32)))
         active = _tied(active[order], ranks)
     return _neighbours(np.argsort(rank), ends, levels)
 

@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 import xxhash
 
 # Bytes of text that are worked on at once. One longer text is a slice of its own.
-SLICE_BYTES = 12_000_000
+SLICE_BYTES = 4_000_000
 
 _UPPER = bytes(range(65, 91))
 
@@ -34,14 +34,15 @@ class Words(NamedTuple):
     vocabulary: pa.Array
 
 
-def slices(batch: pa.RecordBatch, text: str) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+def slices(batch: pa.RecordBatch, text: str,
+           most: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
     """``batch`` in slices of bounded text size, each with its texts (null: empty)."""
     texts = pc.fill_null(batch.column(text).cast(pa.string()), "")
     sizes = np.cumsum(np.asarray(pc.binary_length(texts), dtype=np.int64))
     first = 0
     while first < len(texts):
         before = sizes[first - 1] if first else 0
-        end = max(first + 1, int(np.searchsorted(sizes, before + SLICE_BYTES, side="right")))
+        end = max(first + 1, int(np.searchsorted(sizes, before + most, side="right")))
         yield batch.slice(first, end - first), texts.slice(first, end - first)
         first = end
 
