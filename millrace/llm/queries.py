@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import decontamination
+from millrace.llm import chat, decontamination, urls
+from millrace.llm.cotraining import quality_classifier
+from millrace.llm.html import extracted
+from millrace.llm.licenses import license_scan
 from millrace.llm.near import near_duplicates
 from millrace.llm.packing import pack
 from millrace.llm.pseudonyms import pseudonyms
@@ -44,16 +47,31 @@ def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op2_text_density")
+def text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extracted(table(spark, sf_dir, "pages"))
+
+
 @query("op3_boundary_packing")
 def boundary_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+@query("op4_cotraining_quality")
+def cotraining_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op5_feistel_pseudonyms")
 def feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonyms(table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
 
 
+@query("op6_fuzzy_licenses")
+def fuzzy_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
 @query("op7_suffix_repetition")
 def suffix_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition(table(spark, sf_dir, "documents"))
@@ -62,3 +80,14 @@ def suffix_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_ngram_jaccard")
 def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op8_url_expressions", urls.SQL)
+def url_expressions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judged(table(spark, sf_dir, "pages"), urls.rule_table(spark))
+
+
+@query("op10_schema_chat", chat.SQL)
+def schema_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.chat_digests(rows.unionByName(spark.createDataFrame(list(chat.MARKED), rows.schema)))
