@@ -294,13 +294,18 @@ def _matrix(table: pa.Table, name: str, width: int) -> np.ndarray:
     return np.array(table[name].to_pylist(), dtype=float).reshape(-1, width)
 
 
+def _lists(table: pa.Table, name: str) -> list[np.ndarray]:
+    """The lists of a column, without a Python object for each number."""
+    return [np.asarray(chunk.values)[first:end] for chunk in table[name].chunks
+            for first, end in zip(chunk.offsets.to_pylist(), chunk.offsets.to_pylist()[1:])]
+
+
 def train(docs: DataFrame, labels: DataFrame, sample: Sample = Sample()) -> dict[str, Model]:
     """The models of ``quality`` and ``toxic``, from labels (doc_id, quality, toxic)."""
     chosen = _chosen(docs, labels, sample)
     texts = docs.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
     table = _features(texts).orderBy(F.xxhash64("doc_id"), "doc_id").toArrow()
-    counts = [np.asarray(c, dtype=float) for c in table["counts"].to_pylist()]
-    columns = [np.asarray(w, dtype=np.int64) for w in table["words"].to_pylist()]
+    counts, columns = _lists(table, "counts"), _lists(table, "words")
     style = _matrix(table, "style", len(STYLE))
     metadata = _dense(np.column_stack([
         _matrix(table, "metadata", 2 * SOURCES + 2), np.ones(len(table))]))
