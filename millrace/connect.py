@@ -22,13 +22,14 @@ from pathlib import Path
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from .model import TableSpec
 from .operators.deltas import backfill_deltas
 from .operators.merge import split_key_updates
 from .operators.splits import split_assignment, split_points
-from .session import stored
+from .session import read_if_written, stored
 from .sinks.state import StateTable
 from .sinks.tables import (Processor, append_rows, check_table, commented,
                            create_table)
@@ -39,6 +40,9 @@ from .streaming.runs import start
 # The batch a backfill is delivered as; the log's batches count from 0.
 BACKFILL_BATCH = -1
 
+# Files of a log that a micro-batch takes at most, unless a source says otherwise.
+FILES_PER_BATCH = 1000
+
 
 def log_schema(table: TableSpec) -> StructType:
     """The columns of a table's landed change log."""
@@ -67,6 +71,7 @@ class Feed:
     backfill: DataFrame
     log: DataFrame | None = None
     read_once: bool = False
+    epoch: int = 0
 
 
 class Source(Protocol):
@@ -76,7 +81,19 @@ class Source(Protocol):
 class Sink(Protocol):
     def open(self, spark: SparkSession) -> None: ...
 
-    def processor(self, table: TableSpec) -> Processor: ...
+    def processor(self, table: TableSpec, origin: str) -> Processor: ...
+
+    def end_epoch(self, table: TableSpec, epoch: int) -> None: ...
+
+
+def batch_name(origin: str, batch: DataFrame, batch_id: int) -> str:
+    """A name for a batch that no other source, stream or checkpoint gives.
+
+    The id of a streaming query lives in its checkpoint: it is the same after a restart, and
+    another one for a new checkpoint, where the batch numbers start over.
+    """
+    stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return "-".join(filter(None, (origin, stream, str(batch_id))))
 
 
 @dataclass
@@ -89,13 +106,15 @@ class LakeSource:
     database: str
     tables: dict[str, dict]
     epoch: int = 0
+    files_per_batch: int = FILES_PER_BATCH
 
     def feeds(self, spark: SparkSession) -> Iterable[Feed]:
         for name, where in self.tables.items():
             rows = spark.read.parquet(where["rows"])
             table = TableSpec(self.database, name, rows.schema, tuple(where.get("key", ())))
-            log = stream_log(spark, where["log"], log_schema(table)) if "log" in where else None
-            yield Feed(table, backfill_deltas(rows, table, self.epoch), log)
+            log = (stream_log(spark, where["log"], log_schema(table), self.files_per_batch)
+                   if "log" in where else None)
+            yield Feed(table, backfill_deltas(rows, table, self.epoch), log, epoch=self.epoch)
 
 
 @dataclass
@@ -114,6 +133,7 @@ class MySqlSource:
     epoch: int = 0
     concurrent_full_imports: int = 5
     log: str | None = None
+    files_per_batch: int = FILES_PER_BATCH
 
     def feeds(self, spark: SparkSession) -> Iterable[Feed]:
         options = jdbc.JdbcOptions(
@@ -129,8 +149,10 @@ class MySqlSource:
                 points = split_points(split_assignment(keys, key, self.batch_size), key,
                                       self.batch_size)
                 rows = jdbc.read_ranges(spark, options, name, key, points)
-            log = stream_log(spark, f"{self.log}/{name}", log_schema(table)) if self.log else None
-            yield Feed(table, backfill_deltas(rows, table, self.epoch), log, read_once=True)
+            log = (stream_log(spark, f"{self.log}/{name}", log_schema(table),
+                              self.files_per_batch) if self.log else None)
+            yield Feed(table, backfill_deltas(rows, table, self.epoch), log, read_once=True,
+                       epoch=self.epoch)
 
 
 @dataclass
@@ -159,17 +181,22 @@ class StateSink:
     def state(self, table: TableSpec) -> StateTable:
         return StateTable(self._spark, f"{self.root}/{table.table_id}", table, self.buckets)
 
-    def processor(self, table: TableSpec) -> Processor:
+    def processor(self, table: TableSpec, origin: str) -> Processor:
         state = self.state(table)
 
         def process(batch: DataFrame, batch_id: int) -> None:
             deltas = split_key_updates(batch, state.key)
-            state.apply(deltas, batch_id, reduce=batch_id != BACKFILL_BATCH)
+            state.apply(deltas, batch_name(origin, batch, batch_id),
+                        reduce=batch_id != BACKFILL_BATCH)
             if self.compact_every and (batch_id + 1) % self.compact_every == 0:
                 state.compact()
 
         return process
 
+    def end_epoch(self, table: TableSpec, epoch: int) -> None:
+        """Leave out the keys that the backfill of a new ``epoch`` did not bring."""
+        self.state(table).compact(epoch)
+
 
 @dataclass
 class AppendSink:
@@ -194,13 +221,16 @@ class AppendSink:
         if self.database:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}")
 
-    def processor(self, table: TableSpec) -> Processor:
+    def processor(self, table: TableSpec, origin: str) -> Processor:
         path = self.path(table)
         if self.database:
             name = f"{table.db}_{table.name}"
             create_table(self._spark, self.database, name, commented(table), path)
             check_table(self._spark, self.database, name, table.schema)
-        return lambda batch, batch_id: append_rows(batch, path, batch_id)
+        return lambda batch, batch_id: append_rows(batch, path, batch_name(origin, batch, batch_id))
+
+    def end_epoch(self, table: TableSpec, epoch: int) -> None:
+        """What was appended stays."""
 
 
 SOURCES = {"lake": LakeSource, "mysql": MySqlSource}
@@ -241,32 +271,57 @@ def connect(specification: dict) -> tuple[dict, dict, list[tuple[str, str]]]:
     return sources, sinks, links
 
 
-def run(spark: SparkSession, specification: dict, checkpoints: str,
-        continuous: bool = False) -> dict[str, Sink]:
+EPOCHS = StructType([StructField("epoch", IntegerType())])
+
+
+def _finished(spark: SparkSession, path: str) -> list[int]:
+    """The epochs whose backfill is complete."""
+    written = read_if_written(spark, path, EPOCHS)
+    return [] if written is None else [r.epoch for r in written.distinct().collect()]
+
+
+def run(spark: SparkSession, specification: dict, checkpoints: str, continuous: bool = False,
+        running: list[StreamingQuery] | None = None) -> dict[str, Sink]:
     """Load every connected table; returns the sinks by name.
 
-    Each table's backfill comes first and its log after it, so that one job at a
-    time writes to a sink table. The log's files stay there meanwhile. Without
-    ``continuous`` this returns when what is there now is loaded.
+    All tables are checked against their sinks before the first row is written. Each table's
+    backfill comes first and its log after it, so that one job at a time writes to a sink
+    table. The log's files stay there meanwhile. Without ``continuous`` this returns when what
+    is there now is loaded; with it, the streams that go on are added to ``running``.
+
+    A backfill that was completed is not read again. To read a changed source anew, raise
+    its epoch: keys that the new backfill does not bring are then left out of a state
+    sink. So sources that share a table of a state sink must not raise their epochs.
     """
     sources, sinks, links = connect(specification)
     for sink in sinks.values():
         sink.open(spark)
+    planned = []
     for name, source in sources.items():
         outs = [sinks[out] for origin, out in links if origin == name]
-        if not outs:
-            continue
-        for feed in source.feeds(spark):
-            processors = [sink.processor(feed.table) for sink in outs]
+        for feed in source.feeds(spark) if outs else ():
+            done = f"{checkpoints}/finished/{name}/{feed.table.table_id}"
+            epochs = _finished(spark, done)
+            if epochs and feed.epoch < max(epochs):
+                raise ValueError(f"{name}: epoch {feed.epoch} of {feed.table.table_id} is over")
+            origin = f"{name}-e{feed.epoch}"
+            planned.append((name, feed, outs, [s.processor(feed.table, origin) for s in outs],
+                            done, epochs))
+    for name, feed, outs, processors, done, epochs in planned:
+        if feed.epoch not in epochs:
             backfill = feed.backfill
             if feed.read_once and len(processors) > 1:
                 backfill = stored(backfill, "backfill")
             for process in processors:
                 process(backfill, BACKFILL_BATCH)
-            if feed.log is not None:
-                query = start(feed.log, processors,
-                              f"{checkpoints}/{name}/{feed.table.table_id}",
-                              continuous=continuous)
-                if not continuous:
-                    query.awaitTermination()
+            for sink in outs if epochs else ():
+                sink.end_epoch(feed.table, feed.epoch)
+            spark.createDataFrame([(feed.epoch,)], EPOCHS).write.mode("append").parquet(done)
+        if feed.log is not None:
+            query = start(feed.log, processors, f"{checkpoints}/{name}/{feed.table.table_id}",
+                          continuous=continuous)
+            if not continuous:
+                query.awaitTermination()
+            elif running is not None:
+                running.append(query)
     return sinks

@@ -65,7 +65,9 @@ def sink_type(engine: Column) -> Column:
 
 
 def read_text(value: Column, charset: str = "UTF-8") -> Column:
-    """Log bytes as text; NULL stays NULL."""
+    """Log bytes as text; NULL stays NULL, and bytes that are no UTF-8 become NULL."""
+    if charset.upper().replace("-", "") == "UTF8":
+        return F.try_validate_utf8(value.cast("string"))
     return F.decode(value, charset)
 
 

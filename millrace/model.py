@@ -19,7 +19,8 @@ from pyspark.sql.types import StructType
 
 INSERT, UPDATE, DELETE = "I", "U", "D"
 POSITION = ("epoch", "filename", "offset")
-# One delta is identified by its table, position and ordinal.
+# One delta is identified by its table, position and ordinal, and the key of its row:
+# all rows of a backfill are at one position.
 DELTA_ID = ("db", "tbl", *POSITION, "seq")
 # Key columns stand beside these, so they need other names.
 DELTA_COLUMNS = ("db", "tbl", "op", "before", "after", *POSITION, "seq")

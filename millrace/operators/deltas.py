@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,9 +71,16 @@ def of_database(df: DataFrame, db: str) -> DataFrame:
     return df.where(F.col("db") == db)
 
 
-def without_repeats(deltas: DataFrame) -> DataFrame:
+def delta_id(key: Sequence[str]) -> list[str]:
+    """The columns that identify a delta of a table with this key."""
+    if not key:
+        raise ValueError("copies of a keyless table's backfill rows cannot be told from rows")
+    return [*DELTA_ID, *key]
+
+
+def without_repeats(deltas: DataFrame, key: Sequence[str]) -> DataFrame:
     """One of each delivered delta. Copies are reduced before the shuffle."""
-    return deltas.dropDuplicates(list(DELTA_ID))
+    return deltas.dropDuplicates(delta_id(key))
 
 
 def fan_in(sources: dict[str, DataFrame]) -> DataFrame:

@@ -26,8 +26,11 @@ def lookup_join(rows: DataFrame, lookup: DataFrame, on: Sequence[str], how: str
 
     A lookup of at most ``broadcast_rows`` rows is broadcast. A larger one is
     repeated per salt, and the rows of one key are spread by the input partition
-    they are in, so that a hot key is joined in several tasks.
+    they are in, so that a hot key is joined in several tasks. That would repeat lookup
+    rows that match nothing, so joins that keep those are refused, whatever the size.
     """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"a lookup join cannot be {how}")
     on = list(on)
     if has_at_most(lookup, broadcast_rows):
         return rows.join(F.broadcast(lookup), on, how)

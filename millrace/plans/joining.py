@@ -151,9 +151,10 @@ def fan_in(spark: SparkSession, sf: str) -> DataFrame:
                             "log": i.changelog(spark, sf)}))
 
 
-@query("dedup_deliveries", i.with_(i.CHANGELOG_SQL) + f"SELECT {i.DELTA} FROM changelog")
+@query("dedup_deliveries", i.with_(*i.ALL_DELTAS_SQL) + f"SELECT {i.DELTA} FROM deltas")
 def dedup_deliveries(spark: SparkSession, sf: str) -> DataFrame:
-    return i.flat(d.without_repeats(i.delivered_twice(i.changelog(spark, sf))))
+    """Backfill and log, delivered twice."""
+    return i.flat(d.without_repeats(i.delivered_twice(i.all_deltas(spark, sf)), i.ACCOUNT.key))
 
 
 @query("count_by_phase", i.with_(*i.ALL_DELTAS_SQL) + """SELECT db, tbl,

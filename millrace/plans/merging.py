@@ -170,3 +170,29 @@ def connected_run(spark: SparkSession, sf: str) -> DataFrame:
         },
     }, f"{folder}/checkpoints")
     return sinks["current"].state(i.ACCOUNT).rows()
+
+
+@query("connected_fan_in", "SELECT c_custkey AS k, 'now' AS sink FROM customer "
+       "UNION ALL SELECT c_custkey, 'all' FROM customer")
+def connected_fan_in(spark: SparkSession, sf: str) -> DataFrame:
+    """One table that two sources hold a part of each, in a state and an appending sink."""
+    folder = new_folder(spark, "fan-in")
+    rows = i.account_rows(i.table(spark, sf, "customer"))
+    importers = {}
+    for part in (0, 1):
+        path = f"{folder}/rows-{part}"
+        rows.where(F.pmod("k", F.lit(2)) == part).write.parquet(path)
+        importers[f"shop_{part}"] = {"type": "lake", "database": i.ACCOUNT.db, "epoch": i.EPOCH,
+                                     "tables": {i.ACCOUNT.name: {"rows": path, "key": KEY}}}
+    sinks = run(spark, {
+        "importers": importers,
+        "exporters": {
+            "now": {"type": "state", "warehouse": folder, "dataset_id": "now"},
+            "all": {"type": "append", "warehouse": folder, "dataset_id": "all"},
+        },
+        "connections": {f"{source}_{sink}": {"in": source, "out": sink}
+                        for source in importers for sink in ("now", "all")},
+    }, f"{folder}/checkpoints")
+    now = sinks["now"].state(i.ACCOUNT).rows().select("k", F.lit("now").alias("sink"))
+    appended = read_appended(spark, sinks["all"].path(i.ACCOUNT), i.ACCOUNT.schema)
+    return now.unionByName(appended.select("k", F.lit("all").alias("sink")))

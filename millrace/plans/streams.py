@@ -49,10 +49,11 @@ def stream_current_state(spark: SparkSession, sf: str) -> DataFrame:
     return state.rows()
 
 
-@query("stream_dedup", LOG_SQL)
+@query("stream_dedup", i.with_(*i.ALL_DELTAS_SQL) + f"SELECT {i.DELTA} FROM deltas")
 def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    twice = _log(spark, sf).unionByName(_log(spark, sf))
-    return i.flat(_written(r.without_repeats(twice), spark, "stream-dedup"))
+    """Backfill and log, delivered twice."""
+    twice = _all(spark, sf).unionByName(_all(spark, sf))
+    return i.flat(_written(r.without_repeats(twice, i.ACCOUNT.key), spark, "stream-dedup"))
 
 
 @query("stream_resume", LOG_SQL)

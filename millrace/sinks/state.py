@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from ..model import TableSpec
-from ..operators.merge import latest_delta, live_rows, merge_latest, tombstones
+from ..operators.merge import latest_delta, live_rows, merge_latest, swept, tombstones
 from ..session import read_if_written
 
 _VERSIONS = StructType([StructField("version", LongType()), StructField("buckets", IntegerType()),
@@ -79,7 +79,7 @@ class StateTable:
     def _batches(self, version: int) -> DataFrame | None:
         return read_if_written(self.spark, f"{self.root}/delta/v={version}", self.schema)
 
-    def apply(self, deltas: DataFrame, batch_id: int, reduce: bool = True) -> None:
+    def apply(self, deltas: DataFrame, batch_id: int | str, reduce: bool = True) -> None:
         """Add a batch. The same batch may come again, and batches in any order.
 
         A batch known to hold each key once, as a backfill does, need not be reduced:
@@ -113,13 +113,19 @@ class StateTable:
     def deleted(self) -> DataFrame:
         return tombstones(self.latest())
 
-    def compact(self) -> None:
-        """Write a new base from the present one and its batches."""
+    def compact(self, epoch: int | None = None) -> None:
+        """Write a new base from the present one and its batches.
+
+        With an ``epoch`` whose backfill is complete, keys it did not bring are left out.
+        """
         old = self._newest()
         new = _Base(old.version + 1, old.buckets,
                     f"{self.root}/base/v={old.version + 1}-{uuid.uuid4().hex}")
         # The merge leaves each bucket in a task of its own, so it is one file.
-        state = self._latest(old).select(*self.schema.fieldNames())
+        latest = self._latest(old)
+        if epoch is not None:
+            latest = swept(latest, epoch)
+        state = latest.select(*self.schema.fieldNames())
         (state.write.format("parquet").bucketBy(new.buckets, *self.key).sortBy(*self.key)
          .option("path", new.folder).saveAsTable(self._table_name(new.folder)))
         self.spark.range(1).select(

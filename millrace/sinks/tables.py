@@ -18,7 +18,7 @@ def after_images(deltas: DataFrame) -> DataFrame:
     return deltas.where(F.col("op") != DELETE).select("after.*")
 
 
-def append_rows(deltas: DataFrame, path: str, batch_id: int) -> None:
+def append_rows(deltas: DataFrame, path: str, batch_id: int | str) -> None:
     """Append a batch's after-images; a repeated batch replaces itself."""
     after_images(deltas).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.position import delta_order, phase
-from ..model import DELTA_ID
+from ..operators.deltas import delta_id
 from ..operators.merge import STATE
 from ..sinks.tables import Processor, fan_out
 
@@ -51,7 +51,8 @@ def write_batches(path: str) -> Processor:
 COPY_TASKS = 8
 
 
-def without_repeats(stream: DataFrame, copy_tasks: int = COPY_TASKS) -> DataFrame:
+def without_repeats(stream: DataFrame, key: Sequence[str],
+                    copy_tasks: int = COPY_TASKS) -> DataFrame:
     """Each delta once, over the whole life of the stream.
 
     Copies are reduced in two steps, first spread by the input partition they come
@@ -62,8 +63,8 @@ def without_repeats(stream: DataFrame, copy_tasks: int = COPY_TASKS) -> DataFram
     """
     if copy_tasks > 1:
         spread = stream.withColumn("_task", F.spark_partition_id() % copy_tasks)
-        stream = spread.dropDuplicates([*DELTA_ID, "_task"]).drop("_task")
-    return stream.dropDuplicates(list(DELTA_ID))
+        stream = spread.dropDuplicates([*delta_id(key), "_task"]).drop("_task")
+    return stream.dropDuplicates(delta_id(key))
 
 
 def running_counts(stream: DataFrame) -> DataFrame:

@@ -31,6 +31,7 @@ def _events(spark):
         _event(520, "EXT_UPDATE_ROWS", (one, one), before=[True, False, True]),
         _event(530, "EXT_WRITE_ROWS", (None, _values("x", 1.0, "s"))),
         _event(540, "EXT_WRITE_ROWS", (None, _values(1, "much", "s"))),
+        _event(550, "EXT_WRITE_ROWS", (None, [*_values(1, 1.0), bytearray(b"\xff\xfe")])),
         _event(600, "EXT_WRITE_ROWS", (None, one), table_id=2),
         _event(700, "EXT_WRITE_ROWS", (None, one), table_id=3),
         _event(900, "EXT_WRITE_ROWS", (None, one)),
@@ -52,7 +53,8 @@ def test_typed_changes(spark):
                     (200, 0, "U", 2, one, two), (300, 0, "D", 2, two, None)]
     assert {r.offset: r.reason for r in found if r.reason} == {
         500: "wrong number of values", 510: "partial row image", 520: "partial row image",
-        530: "value not of its type", 540: "value not of its type"}
+        530: "value not of its type", 540: "value not of its type",
+        550: "value not of its type"}
 
 
 def test_unmapped_changes(spark):
@@ -63,7 +65,7 @@ def test_unmapped_changes(spark):
 def test_a_key_change_reaches_the_state(spark, tmp_path):
     sink = c.StateSink(str(tmp_path), "d", buckets=2)
     sink.open(spark)
-    process = sink.processor(ACCOUNT)
+    process = sink.processor(ACCOUNT, "shop")
     process(spark.createDataFrame([delta("I", k, 0, file=0) for k in (1, 2)], SCHEMA),
             c.BACKFILL_BATCH)
     moved = delta("U", 3, 5, before=(1, 0.0, "I"), after=(3, 9.0, "moved"))

@@ -94,3 +94,10 @@ def test_row_events_and_unpacking(spark):
     found = d.unpack_rows(d.row_events(events)).select("id", "op", "seq", "row").collect()
     assert [tuple(r) for r in found] == [(1, "I", 0, 10), (1, "I", 1, 11), (1, "I", 2, 12),
                                          (3, "D", 0, 13)]
+
+
+@pytest.mark.parametrize("how", ["right", "full", "cross"])
+def test_joins_that_keep_lookup_rows_are_refused(spark, how):
+    rows = spark.range(3)
+    with pytest.raises(ValueError, match="cannot be"):
+        lk.lookup_join(rows, rows, ["id"], how)

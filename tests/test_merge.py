@@ -118,7 +118,11 @@ def test_composite_key(spark, tmp_path, names):
 
 def test_repeats_are_removed_but_not_neighbours(spark):
     rows = [delta("U", 1, 5, seq=q) for q in (0, 1)] * 3
-    assert without_repeats(spark.createDataFrame(rows, SCHEMA)).count() == 2
+    assert without_repeats(spark.createDataFrame(rows, SCHEMA), ["k"]).count() == 2
+    backfill = [delta("I", k, 0) for k in range(20)] * 2
+    assert without_repeats(spark.createDataFrame(backfill, SCHEMA), ["k"]).count() == 20
+    with pytest.raises(ValueError, match="keyless"):
+        without_repeats(spark.createDataFrame(rows, SCHEMA), [])
 
 
 def test_changed_columns(spark):

@@ -47,7 +47,7 @@ def test_repeats_over_batches_and_within(spark, tmp_path, copy_tasks):
     copies = [delta("U", 9, 50)] * 40
     _land(spark, log, rows + copies, rows[1:] + copies, rows)
     stream = stream_log(spark, log, SCHEMA, files_per_batch=1)
-    r.write_stream(r.without_repeats(stream, copy_tasks), out, f"{tmp_path}/checkpoint")
+    r.write_stream(r.without_repeats(stream, ["k"], copy_tasks), out, f"{tmp_path}/checkpoint")
     found = spark.read.parquet(out)
     assert found.count() == 5
     assert found.select("k", "offset").distinct().count() == 5
@@ -138,7 +138,7 @@ def test_sink_tables_are_created_and_checked(spark, tmp_path):
     try:
         sink.open(spark)
         for batch_id in (-1, 0):
-            sink.processor(ACCOUNT)(rows, batch_id)
+            sink.processor(ACCOUNT, "shop")(rows, batch_id)
         spark.catalog.refreshTable(f"{database}.shop_account")
         table = spark.table(f"{database}.shop_account")
         assert table.columns == ["k", "v", "s"] and table.count() == 2
@@ -147,7 +147,7 @@ def test_sink_tables_are_created_and_checked(spark, tmp_path):
         changed = StructType([*ACCOUNT.schema.fields[:2], StructField("s", LongType()),
                               StructField("new", LongType())])
         with pytest.raises(ValueError, match="drifted") as drift:
-            sink.processor(TableSpec("shop", "account", changed, ("k",)))
+            sink.processor(TableSpec("shop", "account", changed, ("k",)), "shop")
         assert "'s': ('bigint', 'string')" in str(drift.value)
         assert "'new': ('bigint', None)" in str(drift.value)
     finally:
@@ -196,3 +196,52 @@ def test_state_as_stream_sink(spark, tmp_path):
     state.apply(spark.createDataFrame(backfill, SCHEMA), 99)
     assert rows_of(state.rows()) == expected(log + backfill)
     assert state.latest().agg(F.count("*")).first()[0] == 40
+
+
+def test_two_sources_of_one_table_and_a_new_checkpoint(spark, tmp_path):
+    for part, keys in (("a", (1, 2)), ("b", (3,))):
+        spark.createDataFrame([(k, 1.0, part) for k in keys], ACCOUNT.schema).write.parquet(
+            f"{tmp_path}/{part}")
+    specification = _specification(tmp_path, key=["k"])
+    shop = specification["importers"]["shop"]
+    specification["importers"] = {part: {**shop, "tables": {"account": {
+        "rows": f"{tmp_path}/{part}", "log": f"{tmp_path}/log", "key": ["k"]}}} for part in "ab"}
+    specification["connections"] = {f"{s}{t}": {"in": s, "out": t} for s in "ab"
+                                    for t in ("now", "all")}
+    for checkpoint, key in (("one", 10), ("two", 11)):
+        spark.createDataFrame([delta("I", key, key)], SCHEMA).write.mode("overwrite").parquet(
+            f"{tmp_path}/log")
+        sinks = c.run(spark, specification, f"{tmp_path}/{checkpoint}")
+    assert {r.k for r in sinks["now"].state(ACCOUNT).rows().collect()} == {1, 2, 3, 10, 11}
+    appended = read_appended(spark, sinks["all"].path(ACCOUNT), ACCOUNT.schema)
+    assert {r.k for r in appended.collect()} == {1, 2, 3, 10, 11}
+
+
+@pytest.mark.parametrize("compact_every", [None, 1])
+def test_a_new_epoch_replaces_the_old_one(spark, tmp_path, compact_every):
+    specification = _specification(tmp_path, key=["k"])
+    shop, now = specification["importers"]["shop"], specification["exporters"]["now"]
+    del shop["tables"]["account"]["log"]
+    now["compact_every"] = compact_every
+    for epoch, rows in ((0, [(1, 1.0, "a"), (2, 1.0, "a")]), (0, [(9, 9.0, "z")]),
+                        (1, [(2, 2.0, "b"), (3, 2.0, "b")])):
+        spark.createDataFrame(rows, ACCOUNT.schema).write.mode("overwrite").parquet(
+            f"{tmp_path}/rows")
+        shop["epoch"] = epoch
+        sinks = c.run(spark, specification, f"{tmp_path}/checkpoints")
+        found = {tuple(r)[0] for r in sinks["now"].state(ACCOUNT).rows().select("k").collect()}
+        assert found == ({2, 3} if epoch else {1, 2})
+    shop["epoch"] = 0
+    with pytest.raises(ValueError, match="is over"):
+        c.run(spark, specification, f"{tmp_path}/checkpoints")
+
+
+def test_no_table_is_written_when_one_cannot_be(spark, tmp_path):
+    spark.createDataFrame([(1, 1.0, "a")], ACCOUNT.schema).write.parquet(f"{tmp_path}/rows")
+    specification = _specification(tmp_path, key=["k"])
+    tables = specification["importers"]["shop"]["tables"]
+    del tables["account"]["log"]
+    tables["keyless"] = {"rows": f"{tmp_path}/rows"}
+    with pytest.raises(ValueError, match="no primary key"):
+        c.run(spark, specification, f"{tmp_path}/checkpoints")
+    assert not (tmp_path / "w").exists()
