@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from datetime import date
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -90,11 +92,13 @@ def read_keys(spark: SparkSession, options: JdbcOptions, table: str,
                           numPartitions=options.concurrent_full_imports).load().select(*key)
 
 
-def _literal(value: int | str) -> str:
-    if isinstance(value, bool) or not isinstance(value, (int, str)):
-        raise TypeError(f"a key value is an integer or a string, not {value!r}")
-    if isinstance(value, int):
-        return str(value)
+def _literal(value: int | Decimal | date | str) -> str:
+    """A key value as SQL; a date or a time of day with it is written as its text."""
+    if isinstance(value, bool) or not isinstance(value, (int, Decimal, date, str)):
+        raise TypeError(f"a key value is a number, a date or a string, not {value!r}")
+    if isinstance(value, (int, Decimal)):
+        return f"{value:f}" if isinstance(value, Decimal) else str(value)
+    value = str(value)
     if "\\" in value:
         # Whether a backslash escapes differs between databases and their modes.
         raise ValueError(f"cannot write the key value {value!r} as SQL text")

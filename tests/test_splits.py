@@ -84,3 +84,14 @@ def test_jdbc_options():
     assert options.reader()["url"] == "jdbc:mysql://db.example:3306/shop"
     assert options.reader()["fetchsize"] == "500"
     assert "secret" not in repr(options)
+
+
+def test_numbers_and_dates_bound_a_range():
+    from datetime import date, datetime
+    from decimal import Decimal
+
+    from millrace.sources.jdbc import range_predicate
+    assert range_predicate(["k"], (Decimal("1E+3"),), None) == "NOT (k < 1000)"
+    assert range_predicate(["k"], None, (date(2024, 2, 29),)) == "k < '2024-02-29'"
+    assert range_predicate(["k"], None, (datetime(2024, 2, 29, 1, 2, 3),)) == (
+        "k < '2024-02-29 01:02:03'")
