@@ -16,25 +16,27 @@ with one stream that feeds every connected sink.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 from pathlib import Path
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from .model import TableSpec
 from .operators.deltas import backfill_deltas
+from .operators.lookups import table_at
 from .operators.merge import split_key_updates
-from .operators.splits import split_assignment, split_points
 from .session import read_if_written, stored
 from .sinks.state import StateTable
-from .sinks.tables import (Processor, append_rows, check_table, commented,
-                           create_table)
+from .sinks.tables import (Processor, append_rows, check_table, create_table, sink_table_name,
+                           sink_table_schema)
 from .sources import jdbc
-from .sources.log import stream_log
+from .sources.log import (RAW_EVENTS, TABLE_MAP, other_events, row_changes, stream_log,
+                          typed_changes, unmapped_changes)
 from .streaming.runs import start
 
 # The batch a backfill is delivered as; the log's batches count from 0.
@@ -64,7 +66,9 @@ def log_schema(table: TableSpec) -> StructType:
 class Feed:
     """One table of a source: its backfill and its log, both as deltas.
 
-    ``read_once`` tells that the source should not be read again for every sink.
+    ``read_once`` tells that the source should not be read again for every sink. A backfill
+    may come in ``parts``, each with a name that is the same when the load goes on after a
+    stop; what they need to know of each other is kept in the folder they are given.
     """
 
     table: TableSpec
@@ -72,6 +76,7 @@ class Feed:
     log: DataFrame | None = None
     read_once: bool = False
     epoch: int = 0
+    parts: Callable[[str], Iterator[tuple[str, DataFrame]]] | None = None
 
 
 class Source(Protocol):
@@ -83,7 +88,7 @@ class Sink(Protocol):
 
     def processor(self, table: TableSpec, origin: str) -> Processor: ...
 
-    def end_epoch(self, table: TableSpec, epoch: int) -> None: ...
+    def end_backfill(self, table: TableSpec, replaces: int | None) -> None: ...
 
 
 def batch_name(origin: str, batch: DataFrame, batch_id: int) -> str:
@@ -117,6 +122,57 @@ class LakeSource:
             yield Feed(table, backfill_deltas(rows, table, self.epoch), log, epoch=self.epoch)
 
 
+@dataclass
+class RawLakeSource:
+    """Tables as parquet folders, and one raw log of all of them.
+
+    ``tables`` maps a table name to ``rows`` and ``key``. ``events`` is the folder of the raw
+    events, ``table_map`` that of the mappings of table ids, which have to land no later than
+    the events they are for. Rows that cannot be loaded are written below ``rejected``:
+    ``rows`` has their places and the reason, ``events`` the number of events that are
+    neither row changes nor mappings. Rows of tables that are not named are passed over.
+    """
+
+    database: str
+    tables: dict[str, dict]
+    events: str
+    table_map: str
+    rejected: str
+    epoch: int = 0
+    files_per_batch: int = FILES_PER_BATCH
+
+    def feeds(self, spark: SparkSession) -> Iterable[Feed]:
+        return LakeSource(self.database, self.tables, self.epoch).feeds(spark)
+
+    def raw_log(self, spark: SparkSession) -> DataFrame:
+        return stream_log(spark, self.events, RAW_EVENTS, self.files_per_batch)
+
+    def raw_processor(self, origin: str,
+                      targets: Sequence[tuple[TableSpec, Sequence[Processor]]]) -> Processor:
+        """Types the changes of each table for its processors, and sets the others apart."""
+        place = ["op", "epoch", "filename", "offset", "seq"]
+
+        def process(batch: DataFrame, batch_id: int) -> None:
+            name = batch_name(origin, batch, batch_id)
+            changes = stored(row_changes(batch), "changes")
+            table_map = batch.sparkSession.read.schema(TABLE_MAP).parquet(self.table_map)
+            mapped = stored(table_at(changes, table_map), "mapped")
+            rejected = unmapped_changes(changes, table_map).select(
+                F.lit(None).cast("string").alias("db"), F.lit(None).cast("string").alias("tbl"),
+                "table_id", *place, F.lit("no table mapped").alias("reason"))
+            for table, processors in targets:
+                typed = stored(typed_changes(mapped, table), "typed")
+                bad = F.col("reason").isNotNull()
+                rejected = rejected.unionByName(typed.where(bad).select(
+                    "db", "tbl", F.lit(None).cast("long").alias("table_id"), *place, "reason"))
+                for processor in processors:
+                    processor(typed.where(~bad).drop("reason"), batch_id)
+            for label, rows in (("rows", rejected), ("events", other_events(batch))):
+                rows.write.mode("overwrite").parquet(f"{self.rejected}/{label}/batch_id={name}")
+
+        return process
+
+
 @dataclass
 class MySqlSource:
     """All tables of a database by JDBC in key ranges, and their landed logs.
@@ -141,18 +197,27 @@ class MySqlSource:
             database=self.database, batch_size=self.batch_size, epoch=self.epoch,
             concurrent_full_imports=self.concurrent_full_imports)
         for name, key in jdbc.table_keys(spark, options):
-            whole = jdbc.read_query(spark, options, f"SELECT * FROM {name}")
+            whole = jdbc.read_query(spark, options, f"SELECT * FROM {jdbc.quoted(name)}")
             table = TableSpec(self.database, name, whole.schema, key)
-            rows = whole
-            if key:
-                keys = jdbc.read_keys(spark, options, name, key)
-                points = split_points(split_assignment(keys, key, self.batch_size), key,
-                                      self.batch_size)
-                rows = jdbc.read_ranges(spark, options, name, key, points)
             log = (stream_log(spark, f"{self.log}/{name}", log_schema(table),
                               self.files_per_batch) if self.log else None)
-            yield Feed(table, backfill_deltas(rows, table, self.epoch), log, read_once=True,
-                       epoch=self.epoch)
+            yield Feed(table, backfill_deltas(whole, table, self.epoch), log, read_once=True,
+                       epoch=self.epoch, parts=self._waves(spark, options, table) if key else None)
+
+    def _waves(self, spark: SparkSession, options: jdbc.JdbcOptions,
+               table: TableSpec) -> Callable[[str], Iterator[tuple[str, DataFrame]]]:
+        def parts(folder: str) -> Iterator[tuple[str, DataFrame]]:
+            schema = StructType([StructField("split_id", LongType()),
+                                 *[table.schema[k] for k in table.key]])
+            points = read_if_written(spark, folder, schema)
+            if points is None:
+                jdbc.read_points(spark, options, table.name, table.key).write.parquet(folder)
+                points = spark.read.schema(schema).parquet(folder)
+            for name, predicates in jdbc.waves(points, table.key):
+                rows = jdbc.read_ranges(spark, options, table.name, predicates)
+                yield name, backfill_deltas(rows, table, self.epoch)
+
+        return parts
 
 
 @dataclass
@@ -188,22 +253,24 @@ class StateSink:
             deltas = split_key_updates(batch, state.key)
             state.apply(deltas, batch_name(origin, batch, batch_id),
                         reduce=batch_id != BACKFILL_BATCH)
-            if self.compact_every and (batch_id + 1) % self.compact_every == 0:
+            if self.compact_every and batch_id != BACKFILL_BATCH and (
+                    batch_id + 1) % self.compact_every == 0:
                 state.compact()
 
         return process
 
-    def end_epoch(self, table: TableSpec, epoch: int) -> None:
-        """Leave out the keys that the backfill of a new ``epoch`` did not bring."""
-        self.state(table).compact(epoch)
+    def end_backfill(self, table: TableSpec, replaces: int | None) -> None:
+        """Leave out the keys that the backfill of an epoch that replaces others did not bring."""
+        if replaces is not None or self.compact_every:
+            self.state(table).compact(replaces)
 
 
 @dataclass
 class AppendSink:
     """Every after-image appended, as it came, below ``warehouse/project_id/dataset_id``.
 
-    With a ``database``, each table is also one of the catalog: created when it is
-    missing, else checked against the source's columns.
+    With a ``database``, each table is also one of the catalog, in the sink's types: created
+    when it is missing, else checked against the source's columns.
     """
 
     warehouse: str
@@ -222,18 +289,19 @@ class AppendSink:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}")
 
     def processor(self, table: TableSpec, origin: str) -> Processor:
-        path = self.path(table)
+        path, schema = self.path(table), None
         if self.database:
-            name = f"{table.db}_{table.name}"
-            create_table(self._spark, self.database, name, commented(table), path)
-            check_table(self._spark, self.database, name, table.schema)
-        return lambda batch, batch_id: append_rows(batch, path, batch_name(origin, batch, batch_id))
+            name, schema = sink_table_name(table), sink_table_schema(table)
+            create_table(self._spark, self.database, name, schema, path)
+            check_table(self._spark, self.database, name, schema)
+        return lambda batch, batch_id: append_rows(
+            batch, path, batch_name(origin, batch, batch_id), schema)
 
-    def end_epoch(self, table: TableSpec, epoch: int) -> None:
+    def end_backfill(self, table: TableSpec, replaces: int | None) -> None:
         """What was appended stays."""
 
 
-SOURCES = {"lake": LakeSource, "mysql": MySqlSource}
+SOURCES = {"lake": LakeSource, "raw": RawLakeSource, "mysql": MySqlSource}
 SINKS = {"state": StateSink, "append": AppendSink}
 
 
@@ -271,13 +339,64 @@ def connect(specification: dict) -> tuple[dict, dict, list[tuple[str, str]]]:
     return sources, sinks, links
 
 
-EPOCHS = StructType([StructField("epoch", IntegerType())])
+# What of a table's backfill is loaded: its parts, and with a null part all of an epoch.
+FINISHED = StructType([StructField("epoch", IntegerType()), StructField("part", StringType())])
 
 
-def _finished(spark: SparkSession, path: str) -> list[int]:
-    """The epochs whose backfill is complete."""
-    written = read_if_written(spark, path, EPOCHS)
-    return [] if written is None else [r.epoch for r in written.distinct().collect()]
+def _finished(spark: SparkSession, path: str) -> set[tuple[int, str | None]]:
+    written = read_if_written(spark, path, FINISHED)
+    return set() if written is None else {tuple(r) for r in written.distinct().collect()}
+
+
+@dataclass(frozen=True)
+class _Load:
+    """One table of a source and the sinks it goes to."""
+
+    source: str
+    feed: Feed
+    sinks: list[Sink]
+    checkpoints: str
+
+    @property
+    def finished(self) -> str:
+        return f"{self.checkpoints}/finished/{self.source}/{self.feed.table.table_id}"
+
+    def processors(self, part: str = "") -> list[Processor]:
+        origin = f"{self.source}-e{self.feed.epoch}" + (f"-{part}" if part else "")
+        return [sink.processor(self.feed.table, origin) for sink in self.sinks]
+
+    def check(self, spark: SparkSession) -> None:
+        """Raise if a sink does not take the table, or its epoch is behind a finished one."""
+        self.processors()
+        epochs = [epoch for epoch, part in _finished(spark, self.finished) if part is None]
+        if self.feed.epoch < max(epochs, default=self.feed.epoch):
+            raise ValueError(f"{self.source}: epoch {self.feed.epoch} of "
+                             f"{self.feed.table.table_id} is over")
+
+    def backfill(self, spark: SparkSession) -> None:
+        """Load what of the backfill is not loaded yet."""
+        feed, finished = self.feed, _finished(spark, self.finished)
+        if (feed.epoch, None) in finished:
+            return
+
+        def note(part: str | None) -> None:
+            spark.createDataFrame([(feed.epoch, part)], FINISHED).write.mode("append").parquet(
+                self.finished)
+
+        points = f"{self.checkpoints}/points/{self.source}/{feed.table.table_id}/e{feed.epoch}"
+        for part, deltas in feed.parts(points) if feed.parts else [("", feed.backfill)]:
+            if (feed.epoch, part) in finished:
+                continue
+            if feed.read_once and len(self.sinks) > 1:
+                deltas = stored(deltas, "backfill")
+            for process in self.processors(part):
+                process(deltas, BACKFILL_BATCH)
+            if part:
+                note(part)
+        replaces = feed.epoch if any(part is None for _, part in finished) else None
+        for sink in self.sinks:
+            sink.end_backfill(feed.table, replaces)
+        note(None)
 
 
 def run(spark: SparkSession, specification: dict, checkpoints: str, continuous: bool = False,
@@ -289,39 +408,35 @@ def run(spark: SparkSession, specification: dict, checkpoints: str, continuous:
     table. The log's files stay there meanwhile. Without ``continuous`` this returns when what
     is there now is loaded; with it, the streams that go on are added to ``running``.
 
-    A backfill that was completed is not read again. To read a changed source anew, raise
-    its epoch: keys that the new backfill does not bring are then left out of a state
-    sink. So sources that share a table of a state sink must not raise their epochs.
+    A backfill, or part of one, that was completed is not read again. To read a changed source
+    anew, raise its epoch: keys that the new backfill does not bring are then left out of a
+    state sink. So sources that share a table of a state sink must not raise their epochs.
     """
     sources, sinks, links = connect(specification)
     for sink in sinks.values():
         sink.open(spark)
-    planned = []
+    loads: list[_Load] = []
     for name, source in sources.items():
         outs = [sinks[out] for origin, out in links if origin == name]
-        for feed in source.feeds(spark) if outs else ():
-            done = f"{checkpoints}/finished/{name}/{feed.table.table_id}"
-            epochs = _finished(spark, done)
-            if epochs and feed.epoch < max(epochs):
-                raise ValueError(f"{name}: epoch {feed.epoch} of {feed.table.table_id} is over")
-            origin = f"{name}-e{feed.epoch}"
-            planned.append((name, feed, outs, [s.processor(feed.table, origin) for s in outs],
-                            done, epochs))
-    for name, feed, outs, processors, done, epochs in planned:
-        if feed.epoch not in epochs:
-            backfill = feed.backfill
-            if feed.read_once and len(processors) > 1:
-                backfill = stored(backfill, "backfill")
-            for process in processors:
-                process(backfill, BACKFILL_BATCH)
-            for sink in outs if epochs else ():
-                sink.end_epoch(feed.table, feed.epoch)
-            spark.createDataFrame([(feed.epoch,)], EPOCHS).write.mode("append").parquet(done)
-        if feed.log is not None:
-            query = start(feed.log, processors, f"{checkpoints}/{name}/{feed.table.table_id}",
-                          continuous=continuous)
-            if not continuous:
-                query.awaitTermination()
-            elif running is not None:
-                running.append(query)
+        loads += [_Load(name, feed, outs, checkpoints)
+                  for feed in (source.feeds(spark) if outs else ())]
+    for load in loads:
+        load.check(spark)
+
+    def follow(log: DataFrame, processors: list[Processor], checkpoint: str) -> None:
+        query = start(log, processors, f"{checkpoints}/{checkpoint}", continuous=continuous)
+        if not continuous:
+            query.awaitTermination()
+        elif running is not None:
+            running.append(query)
+
+    for load in loads:
+        load.backfill(spark)
+        if load.feed.log is not None:
+            follow(load.feed.log, load.processors(), f"{load.source}/{load.feed.table.table_id}")
+    for name, source in sources.items():
+        targets = [(load.feed.table, load.processors()) for load in loads if load.source == name]
+        if isinstance(source, RawLakeSource) and targets:
+            follow(source.raw_log(spark),
+                   [source.raw_processor(f"{name}-e{source.epoch}", targets)], f"{name}/raw log")
     return sinks

@@ -20,6 +20,7 @@ def struct_values(struct: str, fields: list[str]) -> Column:
 # Fixed formats of rows, keys, columns, schemas and delta lines.
 ROW_PREFIX = "Row: "
 KEY_PREFIX = "Key: "
+TABLE_COMMENT = "Automatically created for table "
 
 
 def row_text(values: Column) -> Column:
@@ -52,6 +53,10 @@ def table_id(db: Column, tbl: Column) -> Column:
     return F.concat_ws(".", db, tbl)
 
 
+def table_comment(table: Column) -> Column:
+    return F.concat(F.lit(TABLE_COMMENT), table)
+
+
 def row_record(*columns: str) -> Column:
     """The row as a JSON record of names and values, NULLs kept."""
     return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})

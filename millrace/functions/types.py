@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ByteType, DataType, DoubleType, IntegerType, LongType, ShortType,
-                               StringType)
+from pyspark.sql.types import (ByteType, DataType, DoubleType, FloatType, IntegerType,
+                               IntegralType, LongType, ShortType, StringType)
 
 # Source type -> (engine type, length; None = as in the catalog).
 SOURCE_TYPES = {
@@ -36,6 +36,13 @@ SINK_SPARK_TYPES: dict[str, DataType] = {
 }
 
 
+def widest(kind: DataType) -> DataType:
+    """The Spark type that a sink keeps a column in; types without one there stay."""
+    if isinstance(kind, IntegralType):
+        return SINK_SPARK_TYPES["INTEGER"]
+    return SINK_SPARK_TYPES["FLOAT"] if isinstance(kind, (FloatType, DoubleType)) else kind
+
+
 def _choice(of: Column, values: dict[str, Column]) -> Column:
     chosen = F.lit(None)
     for name, value in reversed(values.items()):

@@ -37,10 +37,10 @@ def table_map_mismatch(table_map: DataFrame, columns: DataFrame) -> DataFrame:
 def schema_drift(source: DataFrame, sink: DataFrame) -> DataFrame:
     """Columns missing in the sink, extra there, or of another type.
 
-    Both sides have ``tbl, column_name, sink_type``, the source's being the type
+    Both sides have ``db, tbl, column_name, sink_type``, the source's being the type
     the sink should have.
     """
-    key = ["tbl", "column_name"]
+    key = ["db", "tbl", "column_name"]
     expected = source.select(*key, F.col("sink_type").alias("expected"),
                              F.lit(1).alias("in_source"))
     found = sink.select(*key, F.col("sink_type").alias("found"), F.lit(1).alias("in_sink"))

@@ -10,33 +10,28 @@ from pyspark.sql import functions as F
 
 from ..functions.position import position_columns, position_order
 from ..model import POSITION
-from ..session import BROADCAST_ROWS, has_at_most, stored
+from ..session import BROADCAST_BYTES, BROADCAST_ROWS, has_at_most, is_small, stored
 from .slices import latest_in_key, previous_in_key
 
-# A hot key's rows are spread over this many tasks when the lookup table is too
-# large to broadcast.
-SALTS = 32
 # Mappings of one table in one file that a broadcast join may look through.
 FILE_MAPPINGS = 64
 
 
 def lookup_join(rows: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "inner",
-                broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Join a large, possibly skewed table with a lookup table.
-
-    A lookup of at most ``broadcast_rows`` rows is broadcast. A larger one is
-    repeated per salt, and the rows of one key are spread by the input partition
-    they are in, so that a hot key is joined in several tasks. That would repeat lookup
-    rows that match nothing, so joins that keep those are refused, whatever the size.
+                broadcast_rows: int = BROADCAST_ROWS,
+                broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Join a large, possibly skewed table with a lookup table of unique keys.
+
+    A lookup of at most ``broadcast_rows`` rows and ``broadcast_bytes`` bytes is broadcast. A
+    larger one is joined by shuffles, where adaptive execution splits the tasks that a hot
+    key makes large. That holds for joins that keep no unmatched lookup rows; others
+    are refused, whatever the size.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"a lookup join cannot be {how}")
-    on = list(on)
-    if has_at_most(lookup, broadcast_rows):
-        return rows.join(F.broadcast(lookup), on, how)
-    salted = rows.withColumn("_salt", F.spark_partition_id() % SALTS)
-    repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
+    if is_small(lookup, broadcast_rows, broadcast_bytes):
+        lookup = F.broadcast(lookup)
+    return rows.join(lookup, list(on), how)
 
 
 MAPPING = ("epoch", "filename", "table_id")
@@ -89,49 +84,63 @@ def _table_at_by_order(log: DataFrame, table_map: DataFrame) -> DataFrame:
             .select("row.*", "mapped.db", "mapped.tbl"))
 
 
+def _in_files(changes: DataFrame, files: DataFrame) -> DataFrame:
+    """For every file and table id, the ranges of offsets and the ``db, tbl`` in force there.
+
+    A file takes over the last mapping of the files before it. One row per file and table
+    id, and one per change.
+    """
+    ids = changes.select("epoch", "table_id").distinct()
+    starts = files.join(F.broadcast(ids), "epoch").select(
+        *MAPPING, F.lit(-1).cast("long").alias("offset"), F.lit(None).cast("string").alias("db"),
+        F.lit(None).cast("string").alias("tbl"))
+    points = starts.unionByName(changes.select(*MAPPING, "offset", "db", "tbl"))
+    upto = W.partitionBy("epoch", "table_id").orderBy(F.length("filename"), "filename", "offset")
+    name = F.last(F.when(F.col("tbl").isNotNull(), F.struct("db", "tbl")), ignorenulls=True)
+    in_file = W.partitionBy(*MAPPING).orderBy("offset")
+    return points.select(
+        *MAPPING, F.col("offset").alias("from_offset"),
+        F.lead("offset").over(in_file).alias("to_offset"), name.over(upto).alias("name"),
+    ).where("name is not null").select(
+        *MAPPING, "from_offset", "to_offset", "name.db", "name.tbl")
+
+
 def table_at(log: DataFrame, table_map: DataFrame, broadcast_rows: int = BROADCAST_ROWS,
              file_mappings: int = FILE_MAPPINGS) -> DataFrame:
     """Row events with the ``db, tbl`` in force at their position (as-of join).
 
     Table ids are mapped anew, so the latest mapping of the epoch at or before
-    the row counts. Nearly always that is one in the row's own file: these are
-    found by a broadcast join that leaves the log in place. Rows before the first
-    mapping of their file, and logs with more mappings than the limits, go
-    through a sort of log and mappings together. Row events without any earlier
-    mapping are left out; see ``orphans``.
+    the row counts. The mapping that each file begins with is worked out from the file
+    names, which are read first, so that one broadcast join leaves the log in place. With more
+    files, table ids or mappings than the limits, log and mappings are sorted together. Row
+    events without any earlier mapping are left out; see ``orphans``.
     """
     changes = stored(_changes(table_map, has_at_most(table_map, broadcast_rows)), "mappings")
-    sizes = changes.groupBy(*MAPPING).count().agg(F.sum("count"), F.max("count")).first()
-    rows, per_file = sizes[0] or 0, sizes[1] or 0
-    if rows > broadcast_rows or per_file > file_mappings:
+    files = stored(log.select("epoch", "filename").distinct(), "files")
+    per_file = changes.groupBy(*MAPPING).count().agg(F.max("count")).first()[0] or 0
+    ids = changes.groupBy("epoch").agg(F.countDistinct("table_id").alias("ids"))
+    starts = files.join(ids, "epoch").agg(F.sum("ids")).first()[0] or 0
+    if starts + changes.count() > broadcast_rows or per_file > file_mappings:
         return _table_at_by_order(log, changes)
-    in_file = W.partitionBy(*MAPPING).orderBy("offset")
-    ranges = changes.select(*MAPPING, "db", "tbl", F.col("offset").alias("from_offset"),
-                            F.lead("offset").over(in_file).alias("to_offset"))
-    left, right = log.alias("l"), F.broadcast(ranges).alias("r")
-    on = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in MAPPING]
+    left, right = log.alias("l"), F.broadcast(_in_files(changes, files)).alias("r")
     holds = (F.col("l.offset") >= F.col("r.from_offset")) & (
         F.col("r.to_offset").isNull() | (F.col("l.offset") < F.col("r.to_offset")))
-    for equal in on:
-        holds = equal & holds
-    joined = left.join(right, holds, "left").select("l.*", "r.db", "r.tbl")
-    here = joined.where(F.col("tbl").isNotNull())
-    earlier = joined.where(F.col("tbl").isNull()).drop("db", "tbl").join(
-        F.broadcast(changes.select("epoch", "table_id").distinct()), ["epoch", "table_id"],
-        "left_semi").select(*log.columns)
-    if earlier.isEmpty():
-        return here
-    return here.unionByName(_table_at_by_order(earlier, changes))
+    for c in MAPPING:
+        holds = (F.col(f"l.{c}") == F.col(f"r.{c}")) & holds
+    return left.join(right, holds).select("l.*", "r.db", "r.tbl")
+
+
+TABLE = ["db", "tbl"]
 
 
 def missing_tables(source: DataFrame, sink: DataFrame) -> DataFrame:
     """Source tables the sink has not."""
-    return source.join(sink.select("tbl").distinct(), "tbl", "left_anti")
+    return source.join(sink.select(*TABLE).distinct(), TABLE, "left_anti")
 
 
 def existing_tables(source: DataFrame, sink: DataFrame) -> DataFrame:
     """Source tables the sink has, to be checked for drift."""
-    return source.join(sink.select("tbl").distinct(), "tbl", "left_semi")
+    return source.join(sink.select(*TABLE).distinct(), TABLE, "left_semi")
 
 
 def connections(importers: DataFrame, exporters: DataFrame, links: DataFrame) -> DataFrame:

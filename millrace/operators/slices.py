@@ -1,7 +1,9 @@
 """Ordered computations that hold for any distribution of keys.
 
 A plain window puts all rows of one key into one task, and a global order puts
-the whole table into one. Here rows are range-partitioned on key *and* order, so
+the whole table into one. A plain window is used for keys of up to ``HOT_ROWS`` rows: it
+is one shuffle. The rows of hotter keys, and those to be numbered in a global
+order, are range-partitioned on key *and* order, so
 a hot key covers many slices of even size. Rows equal in key and order are told
 apart by the input partition they come from, so many copies of one row are cut
 too. Each slice is worked on alone; what crosses a slice border is one row per
@@ -20,7 +22,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import WindowSpec
 from pyspark.sql import functions as F
 
-from ..session import stored
+from ..session import BROADCAST_ROWS, has_at_most, stored
+
+# A key with more rows than this is cut into slices. Both ways give the same result.
+HOT_ROWS = 1_000_000
 
 SLICE, ROW, TIE = "_slice", "_row", "_tie"
 _ROW_BITS = 33  # monotonically_increasing_id: partition above, row in partition below
@@ -45,6 +50,21 @@ def _slices(df: DataFrame, order: Sequence[str | Column], count: int | None) ->
         ), "slices")
 
 
+def _by_heat(df: DataFrame, key: Sequence[str],
+             hot_rows: int) -> tuple[DataFrame, DataFrame | None]:
+    """The rows of usual keys, and those of hot ones, if there are any."""
+    counts = df.groupBy(*key).agg(F.count("*").alias("_rows")).where(F.col("_rows") > hot_rows)
+    names = [f"_hot_{n}" for n, _ in enumerate(key)]
+    hot = stored(counts.select(*[F.col(k).alias(n) for k, n in zip(key, names)]), "hot-keys")
+    if hot.isEmpty():
+        return df, None
+    same = F.lit(True)
+    for k, n in zip(key, names):
+        same = same & F.col(k).eqNullSafe(F.col(n))
+    keys = F.broadcast(hot) if has_at_most(hot, BROADCAST_ROWS) else hot
+    return df.join(keys, same, "left_anti"), df.join(keys, same, "left_semi")
+
+
 def _slice_order() -> WindowSpec:
     """For windows over one row per slice."""
     return W.orderBy(SLICE)
@@ -60,6 +80,19 @@ def row_index(df: DataFrame, key: Sequence[str], slices: int | None = None) -> D
         *key, (F.col("_start") + F.col(ROW)).alias("row_index"))
 
 
+def row_at(df: DataFrame, key: Sequence[str], n: int, slices: int | None = None) -> DataFrame:
+    """The key at zero-based place ``n`` in key order. Only its slice is read again."""
+    cut = _slices(df.select(*key), key, slices)
+    so_far = F.sum("rows").over(_slice_order())
+    found = (cut.groupBy(SLICE).agg(F.count("*").alias("rows"))
+             .select(SLICE, (so_far - F.col("rows")).alias("start"), so_far.alias("end"))
+             .where((F.col("start") <= n) & (F.col("end") > n)).first())
+    if found is None:
+        return cut.where(F.lit(False)).select(*key)
+    here = (F.col(SLICE) == found[SLICE]) & (F.col(ROW) == n - found.start)
+    return cut.where(here).select(*key)
+
+
 def _same_key(left: str, right: Sequence[str]) -> Column:
     same = F.lit(True)
     for k in right:
@@ -80,8 +113,18 @@ def _carry(ends: DataFrame, value: str) -> DataFrame:
 
 
 def rank_in_key(df: DataFrame, key: Sequence[str], order: Sequence[str | Column],
-                name: str = "rank", slices: int | None = None) -> DataFrame:
+                name: str = "rank", slices: int | None = None,
+                hot_rows: int = HOT_ROWS) -> DataFrame:
     """``df`` with the row's one-based place within its key."""
+    usual, hot = _by_heat(df, key, hot_rows)
+    place = F.row_number().over(W.partitionBy(*key).orderBy(*order)).cast("long")
+    ranked = usual.withColumn(name, place)
+    return ranked if hot is None else ranked.unionByName(
+        _rank_in_slices(hot, key, order, name, slices))
+
+
+def _rank_in_slices(df: DataFrame, key: Sequence[str], order: Sequence[str | Column], name: str,
+                    slices: int | None) -> DataFrame:
     cut = _slices(df, [*key, *order], slices)
     # Only a slice's last key goes on in the next one.
     last_key = _rows_at(cut, F.col(ROW), F.struct(*key).alias("_end"))
@@ -97,21 +140,40 @@ def rank_in_key(df: DataFrame, key: Sequence[str], order: Sequence[str | Column]
 
 
 def previous_in_key(df: DataFrame, key: Sequence[str], order: Sequence[str | Column], value: str,
-                    name: str = "previous", slices: int | None = None) -> DataFrame:
+                    name: str = "previous", slices: int | None = None,
+                    hot_rows: int = HOT_ROWS) -> DataFrame:
     """``df`` with a struct ``(value)`` from the key's previous row.
 
     The struct is null on the key's first row; inside it the value may be null.
     """
-    cut = _slices(df, [*key, *order], slices)
+    usual, hot = _by_heat(df, key, hot_rows)
     boxed = F.struct(F.col(value).alias("value"))
+    linked = usual.withColumn(name, F.lag(boxed).over(W.partitionBy(*key).orderBy(*order)))
+    return linked if hot is None else linked.unionByName(
+        _previous_in_slices(hot, key, order, boxed, name, slices))
+
+
+def _previous_in_slices(df: DataFrame, key: Sequence[str], order: Sequence[str | Column],
+                        boxed: Column, name: str, slices: int | None) -> DataFrame:
+    cut = _slices(df, [*key, *order], slices)
     ends = _rows_at(cut, F.col(ROW), F.struct(*key).alias("_end"), boxed.alias("box"))
     return _fill(cut, F.lag(boxed).over(W.partitionBy(SLICE, *key).orderBy(ROW)),
                  _carry(ends, "box"), key, name).select(*df.columns, name)
 
 
 def latest_in_key(df: DataFrame, key: Sequence[str], order: Sequence[str | Column], value: str,
-                  name: str = "latest", slices: int | None = None) -> DataFrame:
+                  name: str = "latest", slices: int | None = None,
+                  hot_rows: int = HOT_ROWS) -> DataFrame:
     """``df`` with the key's last non-null ``value`` at or before each row."""
+    usual, hot = _by_heat(df, key, hot_rows)
+    upto = W.partitionBy(*key).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    filled = usual.withColumn(name, F.last(value, ignorenulls=True).over(upto))
+    return filled if hot is None else filled.unionByName(
+        _latest_in_slices(hot, key, order, value, name, slices))
+
+
+def _latest_in_slices(df: DataFrame, key: Sequence[str], order: Sequence[str | Column],
+                      value: str, name: str, slices: int | None) -> DataFrame:
     cut = _slices(df, [*key, *order], slices)
     # Per slice: its last key, and the last value seen if it is of that key.
     last_key = _rows_at(cut, F.col(ROW), F.struct(*key).alias("_end"))

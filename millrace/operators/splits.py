@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import tuple_ge, tuple_lt
-from .slices import row_index
+from .slices import row_at, row_index
 
 # The states of a split.
 NOT_STARTED, RUNNING, DONE = "NOT_STARTED", "RUNNING", "DONE"
@@ -30,7 +30,7 @@ def split_points(assigned: DataFrame, key: Sequence[str], batch_size: int) -> Da
 
 def nth_key(df: DataFrame, key: Sequence[str], n: int) -> DataFrame:
     """The key at zero-based place ``n`` in key order."""
-    return row_index(df, key).where(F.col("row_index") == n).select(*key)
+    return row_at(df, key, n)
 
 
 def split_ranges(points: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -17,7 +17,7 @@ from ..model import TableSpec
 from ..operators.deltas import backfill_deltas
 from ..operators.slices import previous_in_key
 from ..session import new_folder
-from ..sources.log import read_log
+from ..sources.log import TABLE_MAP, read_log
 
 ACCOUNT = TableSpec("shop", "account", StructType([
     StructField("k", LongType()),
@@ -203,9 +203,12 @@ MULTI_LOG_SQL = """multi_log AS (
 
 
 def table_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = landed(spark, sf_dir, "table-map", lambda: _table_map(spark, sf_dir))
-    return read_log(spark, folder, "epoch int, filename string, offset bigint, table_id bigint, "
-                                   "db string, tbl string")
+    folder = table_map_folder(spark, sf_dir)
+    return read_log(spark, folder, TABLE_MAP)
+
+
+def table_map_folder(spark: SparkSession, sf_dir: str) -> str:
+    return landed(spark, sf_dir, "table-map", lambda: _table_map(spark, sf_dir))
 
 
 def _table_map(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -274,10 +277,11 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# --- a catalog: one source table per part ---------------------------------------
+# --- a catalog: one source table per part, its name in two databases ---------------------------------------
 
 CATALOG_SQL = """cat_tables AS (
-  SELECT lower(replace(p_brand, '#', '_')) AS db, 't' || p_partkey AS tbl,
+  SELECT lower(replace(p_brand, '#', '_')) || CASE p_partkey % 2 WHEN 1 THEN '_b' ELSE '' END
+           AS db, 't' || p_partkey // 2 AS tbl,
          CASE WHEN p_type = 'SMALL' THEN 'VIEW' ELSE 'BASE TABLE' END AS table_type,
          p_partkey, p_size, p_type
   FROM part),
@@ -313,17 +317,18 @@ sink_wanted AS (
          CASE engine_type WHEN 'INT' THEN 'INTEGER' ELSE 'STRING' END AS sink_type
   FROM typed WHERE engine_type IS NOT NULL),
 sink_columns AS (
-  SELECT tbl, column_name,
+  SELECT db, tbl, column_name,
          CASE WHEN sql_type = 'SMALLINT' THEN 'STRING' ELSE sink_type END AS sink_type
   FROM sink_wanted WHERE p_size <= 40 AND sql_type <> 'TINYINT'
   UNION ALL
-  SELECT tbl, 'loaded_at', 'FLOAT' FROM cat_tables WHERE p_size <= 40)"""
+  SELECT db, tbl, 'loaded_at', 'FLOAT' FROM cat_tables WHERE p_size <= 40)"""
 
 
 def _catalog_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(
-        F.lower(F.replace("p_brand", F.lit("#"), F.lit("_"))).alias("db"),
-        F.concat(F.lit("t"), F.col("p_partkey").cast("string")).alias("tbl"),
+        F.concat(F.lower(F.replace("p_brand", F.lit("#"), F.lit("_"))),
+                 F.when(F.col("p_partkey") % 2 == 1, "_b").otherwise("")).alias("db"),
+        F.concat(F.lit("t"), F.expr("p_partkey div 2").cast("string")).alias("tbl"),
         F.when(F.col("p_type") == "SMALL", "VIEW").otherwise("BASE TABLE").alias("table_type"),
         "p_partkey", "p_size", "p_type")
 
@@ -371,7 +376,7 @@ def sink_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     sink_kind = F.when(kind.isin("VARCHAR", "SMALLINT"), "STRING").otherwise("INTEGER")
     present = F.col("p_size") <= 40
     kept = cat_columns(spark, sf_dir).where(present & ~kind.isin("TINYINT", "DATETIME")).select(
-        "tbl", "column_name", sink_kind.alias("sink_type"))
+        "db", "tbl", "column_name", sink_kind.alias("sink_type"))
     extra = cat_tables(spark, sf_dir).where(present).select(
-        "tbl", F.lit("loaded_at").alias("column_name"), F.lit("FLOAT").alias("sink_type"))
+        "db", "tbl", F.lit("loaded_at").alias("column_name"), F.lit("FLOAT").alias("sink_type"))
     return kept.unionByName(extra)

@@ -93,25 +93,26 @@ def _sides(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return base_tables(i.cat_tables(spark, sf)), i.sink_columns(spark, sf)
 
 
-BASE_SQL = "SELECT db, tbl FROM cat_tables WHERE table_type = 'BASE TABLE' AND tbl "
+BASE_SQL = "SELECT db, tbl FROM cat_tables WHERE table_type = 'BASE TABLE' AND (db, tbl) "
 
 
 @query("missing_tables", i.with_(i.CATALOG_SQL) + BASE_SQL
-       + "NOT IN (SELECT tbl FROM sink_columns)")
+       + "NOT IN (SELECT db, tbl FROM sink_columns)")
 def missing_tables(spark: SparkSession, sf: str) -> DataFrame:
     return lk.missing_tables(*_sides(spark, sf)).select("db", "tbl")
 
 
-@query("existing_tables", i.with_(i.CATALOG_SQL) + BASE_SQL + "IN (SELECT tbl FROM sink_columns)")
+@query("existing_tables", i.with_(i.CATALOG_SQL) + BASE_SQL
+       + "IN (SELECT db, tbl FROM sink_columns)")
 def existing_tables(spark: SparkSession, sf: str) -> DataFrame:
     return lk.existing_tables(*_sides(spark, sf)).select("db", "tbl")
 
 
 @query("create_sink_schema", i.with_(i.CATALOG_SQL) + """
 SELECT db, tbl, column_name, ordinal, sink_type,
-       'Automatically created for table ' || tbl AS comment
+       'Automatically created for table ' || db || '.' || tbl AS comment
 FROM sink_wanted JOIN cat_tables USING (db, tbl)
-WHERE table_type = 'BASE TABLE' AND tbl NOT IN (SELECT tbl FROM sink_columns)""")
+WHERE table_type = 'BASE TABLE' AND (db, tbl) NOT IN (SELECT db, tbl FROM sink_columns)""")
 def create_sink_schema(spark: SparkSession, sf: str) -> DataFrame:
     new = lk.missing_tables(*_sides(spark, sf))
     wanted = sink_columns_for(i.cat_columns(spark, sf))

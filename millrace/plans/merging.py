@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..connect import run
+from ..connect import StateSink, run
 from ..operators import merge as g
 from ..session import new_folder
 from ..sinks.state import StateTable
@@ -196,3 +196,72 @@ def connected_fan_in(spark: SparkSession, sf: str) -> DataFrame:
     now = sinks["now"].state(i.ACCOUNT).rows().select("k", F.lit("now").alias("sink"))
     appended = read_appended(spark, sinks["all"].path(i.ACCOUNT), i.ACCOUNT.schema)
     return now.unionByName(appended.select("k", F.lit("all").alias("sink")))
+
+
+@query("reload_epoch", """SELECT sink, c_custkey AS k, 2 * c_acctbal AS v, c_mktsegment AS s
+FROM customer, (VALUES ('plain'), ('compacted')) AS sinks(sink) WHERE c_custkey % 5 <> 0""")
+def reload_epoch(spark: SparkSession, sf: str) -> DataFrame:
+    """A source read anew with rows changed, added and removed, into two kinds of state."""
+    folder = new_folder(spark, "reload")
+    rows = i.account_rows(i.table(spark, sf, "customer"))
+    versions = (rows.where("k % 3 <> 0"),
+                rows.where("k % 5 <> 0").withColumn("v", 2 * F.col("v")))
+    exporters = {name: {"type": "state", "warehouse": folder, "dataset_id": name,
+                        "compact_every": every}
+                 for name, every in (("plain", None), ("compacted", 1))}
+    for epoch, version in enumerate(versions):
+        path = f"{folder}/rows-{epoch}"
+        version.write.parquet(path)
+        sinks = run(spark, {
+            "importers": {"shop": {"type": "lake", "database": i.ACCOUNT.db, "epoch": epoch,
+                                   "tables": {i.ACCOUNT.name: {"rows": path, "key": KEY}}}},
+            "exporters": exporters,
+            "connections": {name: {"in": "shop", "out": name} for name in exporters},
+        }, f"{folder}/checkpoints")
+    states = [sinks[name].state(i.ACCOUNT).rows().select(F.lit(name).alias("sink"), "*")
+              for name in exporters]
+    return states[0].unionByName(states[1])
+
+
+RAW_RUN_SQL = i.with_(i.RAW_SQL, i.TABLE_MAP_SQL, i.BACKFILL_SQL) + """, ours AS (
+  SELECT r.* FROM raw_changes r JOIN table_map m USING (epoch, filename, table_id)
+  WHERE m.tbl = 'account')
+"""
+
+
+def _raw_run(spark: SparkSession, sf: str) -> tuple[StateSink, str]:
+    """A run over the backfill and the raw log, and the folder of what it rejected."""
+    folder = new_folder(spark, "raw-run")
+    rows = i.landed(spark, sf, "account-rows",
+                    lambda: i.account_rows(i.table(spark, sf, "customer")))
+    events = i.landed(spark, sf, "raw-events", lambda: i.raw_events(spark, sf))
+    sinks = run(spark, {
+        "importers": {"shop": {
+            "type": "raw", "database": i.ACCOUNT.db, "epoch": i.EPOCH, "events": events,
+            "table_map": i.table_map_folder(spark, sf), "rejected": f"{folder}/rejected",
+            "tables": {i.ACCOUNT.name: {"rows": rows, "key": KEY}}}},
+        "exporters": {"now": {"type": "state", "warehouse": folder, "dataset_id": "now"}},
+        "connections": {"shop_to_now": {"in": "shop", "out": "now"}},
+    }, f"{folder}/checkpoints")
+    return sinks["now"], f"{folder}/rejected"
+
+
+@query("raw_connected_run", RAW_RUN_SQL + """SELECT k, v, s FROM (
+  SELECT * FROM (
+    SELECT 'I' AS op, after_k AS k, after_v AS v, after_s AS s, epoch, filename, "offset"
+    FROM backfill
+    UNION ALL SELECT op, k, v, s, epoch, filename, "offset" FROM ours WHERE reason IS NULL)
+  QUALIFY row_number() OVER (PARTITION BY k ORDER BY epoch DESC, filename DESC,
+                             "offset" DESC) = 1)
+WHERE op <> 'D'""")
+def raw_connected_run(spark: SparkSession, sf: str) -> DataFrame:
+    return _raw_run(spark, sf)[0].state(i.ACCOUNT).rows()
+
+
+@query("raw_connected_rejected", RAW_RUN_SQL + """
+SELECT op, epoch, filename, "offset", reason FROM ours WHERE reason IS NOT NULL
+UNION ALL SELECT op, epoch, filename, "offset", 'no table mapped' FROM raw_changes
+WHERE table_id = 99""")
+def raw_connected_rejected(spark: SparkSession, sf: str) -> DataFrame:
+    rejected = spark.read.parquet(f"{_raw_run(spark, sf)[1]}/rows")
+    return rejected.select("op", "epoch", "filename", "offset", "reason")

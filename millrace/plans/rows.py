@@ -213,12 +213,13 @@ def table_map_mismatch(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("schema_drift", i.with_(i.CATALOG_SQL) + """, compared AS (
-  SELECT coalesce(w.tbl, s.tbl) AS tbl, coalesce(w.column_name, s.column_name) AS column_name,
+  SELECT coalesce(w.db, s.db) AS db, coalesce(w.tbl, s.tbl) AS tbl,
+         coalesce(w.column_name, s.column_name) AS column_name,
          w.sink_type AS expected, s.sink_type AS found,
          CASE WHEN s.tbl IS NULL THEN 'missing' WHEN w.tbl IS NULL THEN 'extra'
               WHEN w.sink_type <> s.sink_type THEN 'retyped' END AS drift
   FROM sink_wanted w FULL JOIN sink_columns s
-    ON w.tbl = s.tbl AND w.column_name = s.column_name)
+    ON w.db = s.db AND w.tbl = s.tbl AND w.column_name = s.column_name)
 SELECT * FROM compared WHERE drift IS NOT NULL""")
 def schema_drift(spark: SparkSession, sf: str) -> DataFrame:
     return c.schema_drift(sink_columns_for(i.cat_columns(spark, sf)), i.sink_columns(spark, sf))

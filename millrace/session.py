@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 # Settings the jobs here are written for. All of them can be changed freely;
@@ -21,9 +22,9 @@ SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
-# Lookup tables up to this many rows are broadcast. A lookup row here is a few
-# names and numbers (about 100 bytes), so the limit stands for about 10 MB.
+# Lookup tables up to this many rows, and bytes of their text form, are broadcast.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 32_000_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -70,6 +71,13 @@ def read_if_written(spark: SparkSession, path: str, schema: StructType) -> DataF
         return None
 
 
+def is_small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Whether ``df`` is small enough to broadcast, by its rows and its bytes as text."""
+    width = F.octet_length(F.to_json(F.struct("*"))).cast("long")
+    found = df.agg(F.count("*").alias("rows"), F.sum(width).alias("bytes")).first()
+    return found.rows <= rows and (found.bytes or 0) <= size
+
+
 def has_at_most(df: DataFrame, rows: int) -> bool:
     """Whether ``df`` holds at most ``rows`` rows. Counted whole, without moving rows."""
     return df.count() <= rows

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from ..functions.text import delta_text, row_text, struct_values
-from ..functions.types import SINK_SPARK_TYPES
+from ..functions.text import TABLE_COMMENT, delta_text, row_text, struct_values
+from ..functions.types import SINK_SPARK_TYPES, widest
 from ..model import DELETE, TableSpec
 
 
@@ -18,9 +18,13 @@ def after_images(deltas: DataFrame) -> DataFrame:
     return deltas.where(F.col("op") != DELETE).select("after.*")
 
 
-def append_rows(deltas: DataFrame, path: str, batch_id: int | str) -> None:
-    """Append a batch's after-images; a repeated batch replaces itself."""
-    after_images(deltas).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+def append_rows(deltas: DataFrame, path: str, batch_id: int | str,
+                schema: StructType | None = None) -> None:
+    """Append a batch's after-images, as ``schema`` if given; a repeated batch replaces itself."""
+    images = after_images(deltas)
+    if schema is not None:
+        images = images.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+    images.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
 def read_appended(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -43,10 +47,19 @@ def sink_schema(columns: Sequence[tuple[str, str, str]]) -> StructType:
                        for name, kind, comment in columns])
 
 
-def commented(table: TableSpec) -> StructType:
-    """The table's columns, each with the comment that tells where it comes from."""
-    comment = {"comment": f"Automatically created for table {table.table_id}"}
-    return StructType([StructField(f.name, f.dataType, True, comment) for f in table.schema])
+def sink_table_schema(table: TableSpec) -> StructType:
+    """The table's columns in the sink's types, each with a comment that tells its origin."""
+    comment = {"comment": f"{TABLE_COMMENT}{table.table_id}"}
+    return StructType([StructField(f.name, widest(f.dataType), True, comment)
+                       for f in table.schema])
+
+
+def sink_table_name(table: TableSpec) -> str:
+    """The table's name in the sink; ``a_b.c`` and ``a.b_c`` have different ones.
+
+    Two underscores part database and table; one of their own becomes ``_u``.
+    """
+    return "__".join(part.replace("_", "_u") for part in (table.db, table.name))
 
 
 def create_table(spark: SparkSession, database: str, name: str, schema: StructType,

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import column_text, schema_text
+from ..functions.text import column_text, schema_text, table_comment, table_id
 from ..functions.types import engine_length, engine_type, sink_type, spark_type
 
 # Fixed values of the catalog.
@@ -85,5 +85,5 @@ def sink_columns_for(columns: DataFrame) -> DataFrame:
     return typed_columns(columns).where("supported").select(
         *TABLE, "column_name", "ordinal",
         sink_type(F.col("engine_type")).alias("sink_type"),
-        F.concat(F.lit("Automatically created for table "), F.col("tbl")).alias("comment"),
+        table_comment(table_id(F.col("db"), F.col("tbl"))).alias("comment"),
     )

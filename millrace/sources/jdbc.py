@@ -1,25 +1,24 @@
 """Reading a source database through Spark's JDBC source.
 
-The catalog comes from ``information_schema``; a table is read as one partition
-per key range.
+The catalog comes from ``information_schema``. The database itself numbers the keys in its
+own order, so that ranges hold for any collation, and only the border keys come over. A table
+is read in waves of key ranges, each range in one query.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
-from datetime import date
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType
 
 from .catalog import base_tables, primary_keys
 
-# A JDBC read takes its ranges as a list on the driver, so their number is kept
-# to this by joining neighbouring ranges.
-MOST_PARTITIONS = 10_000
+# A JDBC read takes its ranges as a list on the driver. So many are read in one wave; a load
+# that was stopped goes on with the wave it was in.
+RANGES_PER_WAVE = 1_000
 
 
 @dataclass(frozen=True)
@@ -74,44 +73,50 @@ def read_indexes(spark: SparkSession, options: JdbcOptions) -> DataFrame:
     ).where(F.col("db") == options.database)
 
 
-def read_keys(spark: SparkSession, options: JdbcOptions, table: str,
-              key: Sequence[str]) -> DataFrame:
-    """The key columns of a table, to find split points in.
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
-    With a whole-number first column the read is cut into as many equal parts of
-    its value range as full imports may run at a time.
-    """
-    reader = spark.read.format("jdbc").options(**options.reader()).option("dbtable", table)
-    keys, first = reader.load().select(*key), key[0]
-    if not isinstance(keys.schema[first].dataType, IntegralType):
-        return keys
-    ends = keys.agg(F.min(first).alias("lo"), F.max(first).alias("hi")).first()
-    if ends.lo is None:
-        return keys
-    return reader.options(partitionColumn=first, lowerBound=ends.lo, upperBound=ends.hi + 1,
-                          numPartitions=options.concurrent_full_imports).load().select(*key)
-
-
-def _literal(value: int | Decimal | date | str) -> str:
+
+def point_query(table: str, key: Sequence[str], batch_size: int) -> str:
+    """The first key of every range but the first, in the database's own order of keys."""
+    names = ", ".join(map(quoted, key))
+    return (f"SELECT {names}, _place FROM (SELECT {names}, ROW_NUMBER() OVER (ORDER BY {names}) "
+            f"- 1 AS _place FROM {quoted(table)}) AS _keys "
+            f"WHERE _place > 0 AND MOD(_place, {int(batch_size)}) = 0")
+
+
+def read_points(spark: SparkSession, options: JdbcOptions, table: str,
+                key: Sequence[str]) -> DataFrame:
+    """``split_id`` and key of every split point: one row for each ``batch_size`` rows."""
+    found = read_query(spark, options, point_query(table, key, options.batch_size))
+    return found.select(F.expr(f"CAST(_place AS BIGINT) div {options.batch_size}").alias("split_id"),
+                        *key)
+
+
+def _literal(value: object) -> str:
     """A key value as SQL; a date or a time of day with it is written as its text."""
-    if isinstance(value, bool) or not isinstance(value, (int, Decimal, date, str)):
-        raise TypeError(f"a key value is a number, a date or a string, not {value!r}")
-    if isinstance(value, (int, Decimal)):
-        return f"{value:f}" if isinstance(value, Decimal) else str(value)
+    if value is None or isinstance(value, bool):
+        raise TypeError(f"{value!r} is no key value")
+    if isinstance(value, (int, float)):
+        return repr(value)
+    if isinstance(value, Decimal):
+        return f"{value:f}"
+    if isinstance(value, (bytes, bytearray)):
+        return f"X'{bytes(value).hex()}'"
     value = str(value)
     if "\\" in value:
-        # Whether a backslash escapes differs between databases and their modes.
-        raise ValueError(f"cannot write the key value {value!r} as SQL text")
+        # Whether a backslash escapes depends on the session's mode, so none is written.
+        return f"_utf8mb4 X'{value.encode().hex()}'"
     return "'" + value.replace("'", "''") + "'"
 
 
 def _less(key: Sequence[str], bound: Sequence) -> str:
     first, *others = key
     value, *rest = bound
-    less = f"{first} < {_literal(value)}"
+    less = f"{quoted(first)} < {_literal(value)}"
     if not others:
         return less
-    return f"({less} OR ({first} = {_literal(value)} AND {_less(others, rest)}))"
+    return f"({less} OR ({quoted(first)} = {_literal(value)} AND {_less(others, rest)}))"
 
 
 def range_predicate(key: Sequence[str], lo: Sequence | None, hi: Sequence | None) -> str:
@@ -124,25 +129,29 @@ def range_predicate(key: Sequence[str], lo: Sequence | None, hi: Sequence | None
     return " AND ".join(parts) or "1 = 1"
 
 
-def range_predicates(points: DataFrame, key: Sequence[str],
-                     most: int = MOST_PARTITIONS) -> list[str]:
-    """One predicate per range between split points, covering every key once.
+def waves(points: DataFrame, key: Sequence[str],
+          size: int = RANGES_PER_WAVE) -> Iterator[tuple[str, list[str]]]:
+    """The ranges between split points in waves: a name, and one predicate per range.
 
-    With more than ``most`` ranges, only every n-th point is used: the ranges get
-    wider, and still cover the table.
+    Every key is in one range. Only the points of one wave are on the driver.
     """
-    highest = points.agg(F.max("split_id")).first()[0] or 0
-    step = -(-(highest + 1) // most)
-    kept: list[Row] = points.where(F.col("split_id") % step == 0).orderBy("split_id").collect()
-    borders = [None, *[tuple(row[k] for k in key) for row in kept], None]
-    return [range_predicate(key, lo, hi) for lo, hi in zip(borders, borders[1:])]
+    last = points.agg(F.max("split_id")).first()[0] or 0
+    for first in range(0, last + 1, size):
+        end = min(first + size, last + 1)
+        at = {row["split_id"]: tuple(row[k] for k in key)
+              for row in points.where(F.col("split_id").between(first, end)).collect()}
+        yield f"r{first}", [range_predicate(key, at.get(n), at.get(n + 1))
+                            for n in range(first, end)]
 
 
-def read_ranges(spark: SparkSession, options: JdbcOptions, table: str, key: Sequence[str],
-                points: DataFrame) -> DataFrame:
-    """The table, one partition per range, at most as many at a time as configured."""
+def read_ranges(spark: SparkSession, options: JdbcOptions, table: str,
+                predicates: list[str]) -> DataFrame:
+    """The rows of the given ranges, in as many tasks as may read at a time.
+
+    Each range is a query of its own; a lost task repeats its share of one wave.
+    """
     reader = options.reader()
-    df = spark.read.jdbc(reader.pop("url"), table, predicates=range_predicates(points, key),
+    df = spark.read.jdbc(reader.pop("url"), quoted(table), predicates=predicates,
                          properties=reader)
     return df.coalesce(options.concurrent_full_imports)
 

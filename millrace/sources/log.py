@@ -9,7 +9,7 @@ from pyspark.sql.types import StructType
 from ..functions.types import read_text
 from ..model import TableSpec
 from ..operators.checks import has_width, is_full_image
-from ..operators.deltas import row_events, unpack_rows
+from ..operators.deltas import TABLE_MAP_EVENT, operation, row_events, unpack_rows
 from ..operators.lookups import orphans, table_at
 
 # Raw log events. A row change has the values before and after it, each as the bytes
@@ -18,6 +18,8 @@ from ..operators.lookups import orphans, table_at
 RAW_EVENTS = """epoch int, filename string, offset bigint, event_type string, table_id bigint,
 included_before array<boolean>, included array<boolean>,
 rows array<struct<before:array<binary>,after:array<binary>>>"""
+TABLE_MAP = ("epoch int, filename string, offset bigint, table_id bigint, db string, "
+             "tbl string")
 
 
 def read_log(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
@@ -66,14 +68,26 @@ def _unreadable(values: str, image: str, schema: StructType) -> Column:
 
 
 def table_changes(changes: DataFrame, table_map: DataFrame, table: TableSpec) -> DataFrame:
-    """The row changes of one table as typed deltas, with a column ``reason``.
+    """The row changes of one table as typed deltas, with a column ``reason``."""
+    return typed_changes(table_at(changes, table_map), table)
+
+
+def other_events(events: DataFrame) -> DataFrame:
+    """How many events of each type are neither row changes nor table mappings."""
+    kind = F.col("event_type")
+    return events.where(operation(kind).isNull() & ~kind.eqNullSafe(F.lit(TABLE_MAP_EVENT))) \
+        .groupBy("event_type").count()
+
+
+def typed_changes(mapped: DataFrame, table: TableSpec) -> DataFrame:
+    """Of row changes with their ``db, tbl`` those of one table, with a column ``reason``.
 
     ``reason`` is null for a good row. Else it tells why the row cannot be loaded:
     not all columns are in its image, it has another number of values than the table
     has columns, or a value is not of its column's type.
     """
     schema, width = table.schema, len(table.schema)
-    ours = table_at(changes, table_map).where(
+    ours = mapped.where(
         (F.col("db") == table.db) & (F.col("tbl") == table.name))
     typed = ours.withColumn("old", _image("before", schema)).withColumn(
         "new", _image("after", schema))

@@ -72,3 +72,29 @@ def test_a_key_change_reaches_the_state(spark, tmp_path):
     for _ in range(2):
         process(spark.createDataFrame([moved], SCHEMA), 0)
     assert rows_of(sink.state(ACCOUNT).rows()) == [(2, 0.0, "I"), (3, 9.0, "moved")]
+
+
+def test_raw_events_through_a_run(spark, tmp_path):
+    """Good rows reach the state; bad bytes, unmapped tables and unknown events are set apart."""
+    _events(spark).coalesce(1).write.parquet(f"{tmp_path}/events")
+    _map(spark).write.parquet(f"{tmp_path}/map")
+    spark.createDataFrame([(5, 5.0, "old")], ACCOUNT.schema).write.parquet(f"{tmp_path}/rows")
+    specification = {
+        "importers": {"shop": {
+            "type": "raw", "database": "shop", "events": f"{tmp_path}/events",
+            "table_map": f"{tmp_path}/map", "rejected": f"{tmp_path}/rejected",
+            "tables": {"account": {"rows": f"{tmp_path}/rows", "key": ["k"]}}}},
+        "exporters": {"now": {"type": "state", "warehouse": f"{tmp_path}/w", "dataset_id": "d"}},
+        "connections": {"a": {"in": "shop", "out": "now"}},
+    }
+    for _ in range(2):
+        sinks = c.run(spark, specification, f"{tmp_path}/checkpoints")
+    # Key 1 became key 2, which was deleted.
+    assert rows_of(sinks["now"].state(ACCOUNT).rows()) == [(5, 5.0, "old")]
+    rejected = spark.read.parquet(f"{tmp_path}/rejected/rows").collect()
+    assert sorted((r.offset, r.reason) for r in rejected) == [
+        (500, "wrong number of values"), (510, "partial row image"), (520, "partial row image"),
+        (530, "value not of its type"), (540, "value not of its type"),
+        (550, "value not of its type"), (700, "no table mapped")]
+    others = spark.read.parquet(f"{tmp_path}/rejected/events").select("event_type", "count")
+    assert [tuple(r) for r in others.collect()] == [("QUERY", 1)]

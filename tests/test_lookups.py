@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 
@@ -56,6 +57,18 @@ def test_mapping_in_force(spark, limits):
     assert {r.k for r in lost} == {row[5] for row in log} - set(want)
 
 
+def test_the_log_is_read_once(spark, tmp_path):
+    """Rows before the first mapping of their file included; file names are read before."""
+    log, table_map = _history()
+    spark.createDataFrame(log, LOG).write.parquet(f"{tmp_path}/log")
+    got = lk.table_at(spark.read.parquet(f"{tmp_path}/log"), spark.createDataFrame(table_map, MAP))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"FileScan parquet \[[^]]*\bk#", plan)) == 1
+    assert {r.k: r.tbl for r in got.collect()} == _in_force(log, table_map)
+    mapped_files = {m[1] for m in table_map if m[0] == 0}
+    assert any(row[1] not in mapped_files for row in log if row[0] == 0)
+
+
 def test_copies_of_a_log_row_stay(spark):
     log, table_map = _history()
     map_df = spark.createDataFrame(table_map, MAP)
@@ -65,18 +78,29 @@ def test_copies_of_a_log_row_stay(spark):
             == 2 * len(_in_force(log, table_map)))
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_anti"])
-def test_salted_join_is_the_broadcast_join(spark, how):
+@pytest.mark.parametrize("limit", [{"broadcast_rows": 99}, {"broadcast_bytes": 1000}])
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_a_large_lookup_gives_the_same_rows(spark, how, limit):
     rows = spark.createDataFrame([(0 if n % 3 else n, n) for n in range(300)], "k int, n int")
     rows = rows.repartition(7)
     lookup = spark.createDataFrame([(k, f"t{k}") for k in range(0, 200, 2)], "k int, t string")
-    small = lk.lookup_join(rows, lookup, ["k"], how)
-    large = lk.lookup_join(rows, lookup, ["k"], how, broadcast_rows=5)
-    assert "_salt" in large._jdf.queryExecution().executedPlan().toString()
+    small = lk.lookup_join(rows, lookup, ["k"], how, broadcast_rows=100)
+    large = lk.lookup_join(rows, lookup, ["k"], how, **limit)
+    hints = ["strategy=broadcast" in df._jdf.queryExecution().optimizedPlan().toString()
+             for df in (small, large)]
+    assert hints == [True, False]
     assert sorted(map(str, small.collect())) == sorted(map(str, large.collect()))
     assert small.columns == large.columns
 
 
+def test_tables_match_with_their_database(spark):
+    source = spark.createDataFrame([("a", "t"), ("b", "t"), ("b", "u")], "db string, tbl string")
+    sink = spark.createDataFrame([("a", "t"), ("a", "u")], source.schema)
+    assert sorted(map(tuple, lk.missing_tables(source, sink).collect())) == [
+        ("b", "t"), ("b", "u")]
+    assert list(map(tuple, lk.existing_tables(source, sink).collect())) == [("a", "t")]
+
+
 def test_with_table_when_the_map_is_large(spark):
     table_map = [(0, _name(f), 0, t, "shop", f"t{t}") for f in range(1, 5) for t in (1, 2)]
     log = [(0, _name(n % 4 + 1), n, 0, n % 2 + 1, n) for n in range(100)]

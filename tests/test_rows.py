@@ -86,7 +86,7 @@ def test_sink_schema_has_comments(spark):
     wanted = cat.sink_columns_for(columns).where("tbl = 't'").orderBy("ordinal").collect()
     schema = sink_schema([(r.column_name, r.sink_type, r.comment) for r in wanted])
     assert [f.dataType.simpleString() for f in schema] == ["bigint", "string", "bigint"]
-    assert schema["id"].metadata["comment"] == "Automatically created for table t"
+    assert schema["id"].metadata["comment"] == "Automatically created for table d.t"
 
 
 def test_images(spark):
@@ -119,10 +119,12 @@ def test_batch_hits_is_the_counting_loop(spark):
 
 
 def test_drift(spark):
-    source = spark.createDataFrame([("t", "a", "INTEGER"), ("t", "b", "STRING"),
-                                    ("t", "c", "STRING")],
-                                   "tbl string, column_name string, sink_type string")
-    sink = spark.createDataFrame([("t", "a", "STRING"), ("t", "b", "STRING"), ("t", "z", "FLOAT")],
-                                 source.schema)
-    assert {(r.column_name, r.drift) for r in c.schema_drift(source, sink).collect()} == {
-        ("a", "retyped"), ("c", "missing"), ("z", "extra")}
+    source = spark.createDataFrame(
+        [("d", "t", "a", "INTEGER"), ("d", "t", "b", "STRING"), ("d", "t", "c", "STRING"),
+         ("e", "t", "a", "STRING")],
+        "db string, tbl string, column_name string, sink_type string")
+    sink = spark.createDataFrame(
+        [("d", "t", "a", "STRING"), ("d", "t", "b", "STRING"), ("d", "t", "z", "FLOAT"),
+         ("e", "t", "a", "STRING")], source.schema)
+    assert {(r.db, r.column_name, r.drift) for r in c.schema_drift(source, sink).collect()} == {
+        ("d", "a", "retyped"), ("d", "c", "missing"), ("d", "z", "extra")}

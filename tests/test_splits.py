@@ -40,29 +40,39 @@ def test_splits_cover_the_table_once(spark, n):
                      ["initial"] + ["middle"] * (len(found) - 1) + ["final"])
 
 
-@pytest.mark.parametrize("most", [1, 2, 3, 100])
-def test_sql_ranges_cover_the_table_once(spark, most):
+@pytest.mark.parametrize("size", [1, 3, 10, 11, 100])
+def test_sql_ranges_cover_the_table_once(spark, size):
     df, _ = _table(spark, 41)
     points = s.split_points(s.split_assignment(df, KEY, BATCH), KEY, BATCH)
-    predicates = jdbc.range_predicates(points, KEY, most)
-    assert len(predicates) <= min(most, 11)
-    seen = [row.v for p in predicates for row in df.where(p).collect()]
-    assert sorted(seen) == list(range(41))
+    found = list(jdbc.waves(points, KEY, size))
+    assert len({name for name, _ in found}) == len(found) == -(-11 // size)
+    predicates = [p for _, wave in found for p in wave]
+    assert len(predicates) == 11
+    ranges = [[row.v for row in df.where(p).collect()] for p in predicates]
+    assert max(map(len, ranges)) == BATCH
+    assert sorted(sum(ranges, [])) == list(range(41))
 
 
 def test_sql_ranges_of_a_small_table(spark):
     df, _ = _table(spark, BATCH)
     points = s.split_points(s.split_assignment(df, KEY, BATCH), KEY, BATCH)
-    assert jdbc.range_predicates(points, KEY) == ["1 = 1"]
+    assert list(jdbc.waves(points, KEY)) == [("r0", ["1 = 1"])]
+
+
+def test_points_are_numbered_by_the_database():
+    assert jdbc.point_query("or`ders", ["a", "b"], 100) == (
+        "SELECT `a`, `b`, _place FROM (SELECT `a`, `b`, ROW_NUMBER() OVER (ORDER BY `a`, `b`) - 1 "
+        "AS _place FROM `or``ders`) AS _keys WHERE _place > 0 AND MOD(_place, 100) = 0")
 
 
 def test_sql_keys_are_numbers_or_text():
-    assert jdbc.range_predicate(["a"], None, (5,)) == "a < 5"
-    assert jdbc.range_predicate(["a"], ("it's",), None) == "NOT (a < 'it''s')"
+    assert jdbc.range_predicate(["a"], None, (5,)) == "`a` < 5"
+    assert jdbc.range_predicate(["a"], ("it's",), None) == "NOT (`a` < 'it''s')"
+    assert jdbc.range_predicate(["a"], (1.5,), None) == "NOT (`a` < 1.5)"
+    assert jdbc.range_predicate(["a"], ("\\x",), None) == "NOT (`a` < _utf8mb4 X'5c78')"
+    assert jdbc.range_predicate(["a"], (b"\x00\xff",), None) == "NOT (`a` < X'00ff')"
     with pytest.raises(TypeError):
-        jdbc.range_predicate(["a"], (1.5,), None)
-    with pytest.raises(ValueError):
-        jdbc.range_predicate(["a"], ("back\\slash",), None)
+        jdbc.range_predicate(["a"], (None,), None)
 
 
 def test_progress(spark):
@@ -91,7 +101,7 @@ def test_numbers_and_dates_bound_a_range():
     from decimal import Decimal
 
     from millrace.sources.jdbc import range_predicate
-    assert range_predicate(["k"], (Decimal("1E+3"),), None) == "NOT (k < 1000)"
-    assert range_predicate(["k"], None, (date(2024, 2, 29),)) == "k < '2024-02-29'"
+    assert range_predicate(["k"], (Decimal("1E+3"),), None) == "NOT (`k` < 1000)"
+    assert range_predicate(["k"], None, (date(2024, 2, 29),)) == "`k` < '2024-02-29'"
     assert range_predicate(["k"], None, (datetime(2024, 2, 29, 1, 2, 3),)) == (
-        "k < '2024-02-29 01:02:03'")
+        "`k` < '2024-02-29 01:02:03'")

@@ -6,14 +6,15 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, ShortType, StructField, StructType
 
 from millrace import connect as c
 from millrace.model import TableSpec
+from millrace.operators.deltas import backfill_deltas
 from millrace.plans.inputs import ACCOUNT
 from millrace.session import new_folder, shared_folder
 from millrace.sinks.state import StateTable
-from millrace.sinks.tables import append_rows, fan_out, read_appended
+from millrace.sinks.tables import append_rows, fan_out, read_appended, sink_table_name
 from millrace.sources.log import stream_log
 from millrace.streaming import runs as r
 from tests.test_merge import SCHEMA, _history, delta, expected, rows_of
@@ -139,11 +140,21 @@ def test_sink_tables_are_created_and_checked(spark, tmp_path):
         sink.open(spark)
         for batch_id in (-1, 0):
             sink.processor(ACCOUNT, "shop")(rows, batch_id)
-        spark.catalog.refreshTable(f"{database}.shop_account")
-        table = spark.table(f"{database}.shop_account")
+        spark.catalog.refreshTable(f"{database}.shop__account")
+        table = spark.table(f"{database}.shop__account")
         assert table.columns == ["k", "v", "s"] and table.count() == 2
         assert {column.description for column in spark.catalog.listColumns(
-            f"{database}.shop_account")} == {"Automatically created for table shop.account"}
+            f"{database}.shop__account")} == {"Automatically created for table shop.account"}
+        small = TableSpec("a_b", "c", StructType([StructField("n", ShortType())]))
+        other = TableSpec("a", "b_c", small.schema)
+        for part in (small, other):
+            values = spark.range(3).select(F.struct(F.col("id").cast("short").alias("n")).alias(
+                "after"), F.lit("I").alias("op"))
+            sink.processor(part, "shop")(values, 0)
+            name = f"{database}.{sink_table_name(part)}"
+            spark.catalog.refreshTable(name)
+            assert spark.table(name).schema.simpleString() == "struct<n:bigint>"
+            assert spark.table(name).count() == 3
         changed = StructType([*ACCOUNT.schema.fields[:2], StructField("s", LongType()),
                               StructField("new", LongType())])
         with pytest.raises(ValueError, match="drifted") as drift:
@@ -245,3 +256,34 @@ def test_no_table_is_written_when_one_cannot_be(spark, tmp_path):
     with pytest.raises(ValueError, match="no primary key"):
         c.run(spark, specification, f"{tmp_path}/checkpoints")
     assert not (tmp_path / "w").exists()
+
+
+def test_a_stopped_backfill_goes_on_with_its_part(spark, tmp_path, monkeypatch):
+    reads, broken = [], [True]
+
+    class Parts:
+        """Ten rows in three parts; the second cannot be read at first."""
+
+        def feeds(self, spark):
+            def parts(folder):
+                for n in range(3):
+                    reads.append(n)
+                    if n == 1 and broken:
+                        raise OSError("gone")
+                    rows = spark.range(10).where(f"id % 3 = {n}").selectExpr(
+                        "id AS k", "CAST(id AS double) AS v", "'a' AS s")
+                    yield f"r{n}", backfill_deltas(rows, ACCOUNT, 0)
+
+            yield c.Feed(ACCOUNT, None, read_once=True, parts=parts)
+
+    monkeypatch.setitem(c.SOURCES, "parts", Parts)
+    specification = _specification(tmp_path)
+    specification["importers"] = {"shop": {"type": "parts"}}
+    with pytest.raises(OSError):
+        c.run(spark, specification, f"{tmp_path}/checkpoints")
+    broken.clear()
+    for _ in range(2):
+        sinks = c.run(spark, specification, f"{tmp_path}/checkpoints")
+        assert read_appended(spark, sinks["all"].path(ACCOUNT), ACCOUNT.schema).count() == 10
+        assert sinks["now"].state(ACCOUNT).rows().count() == 10
+    assert reads == [0, 1, 0, 1, 2]  # parts are named again, but only read when they are new
