@@ -39,10 +39,7 @@ STRETCH = 256
 BLOCK = 400_000
 
 # Words whose ids are remembered in a process, in each of two generations.
-REMEMBERED = 250_000
-
-# Bytes of text that are encoded at once: more words are the same in a larger slice.
-SLICE_BYTES = 8_000_000
+REMEMBERED = 120_000
 
 SENTENCE_ENDS = frozenset(".!?")
 
@@ -254,7 +251,7 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 4096, end_id: int = 2) ->
                        "offset"])
 
         for batch in batches:
-            for rows, texts in slices(batch, "text", SLICE_BYTES):
+            for rows, texts in slices(batch, "text"):
                 ids, starts, ends, owner = encoder(texts)
                 bounds = np.searchsorted(owner, np.arange(len(texts) + 1))
                 for k, doc_id in enumerate(rows.column("doc_id").to_pylist()):
