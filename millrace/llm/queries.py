@@ -15,6 +15,7 @@ from millrace.llm.near import near_duplicates
 from millrace.llm.packing import pack
 from millrace.llm.pseudonyms import pseudonyms
 from millrace.llm.repetition import repetition
+from millrace.llm.words import small_batches
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -38,6 +39,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

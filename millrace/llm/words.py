@@ -9,10 +9,14 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark.sql import SparkSession
 
 # Bytes of text that are worked on at once. One longer text is a slice of its own.
 SLICE_BYTES = 4_000_000
 
+# Rows of an Arrow batch: both sides of the pipe hold a few batches whole.
+BATCH_ROWS = 2_500
+
 _UPPER = bytes(range(65, 91))
 
 # A-Z become a-z; everything else stays, so white space separates the words.
@@ -34,6 +38,18 @@ class Words(NamedTuple):
     vocabulary: pa.Array
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let the session's Arrow batches hold no more than ``BATCH_ROWS`` rows.
+
+    Texts are long rows, so the usual number of them is tens of megabytes. Results do not depend
+    on it.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name))
+    if not 0 < now <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def slices(batch: pa.RecordBatch, text: str,
            most: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
     """``batch`` in slices of bounded text size, each with its texts (null: empty)."""
@@ -45,6 +61,8 @@ def slices(batch: pa.RecordBatch, text: str,
         end = max(first + 1, int(np.searchsorted(sizes, before + most, side="right")))
         yield batch.slice(first, end - first), texts.slice(first, end - first)
         first = end
+        # What a slice needed goes back to the system: other stages share the executor.
+        pa.default_memory_pool().release_unused()
 
 
 def translated(texts: pa.Array, table: bytes) -> pa.Array:
