@@ -25,8 +25,8 @@ _TAG = re.compile(
     r"|<(?P<close>/?)(?P<name>[A-Za-z][^\s/>]*)"
     r"(?P<rest>(?>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^>]*(?:>|\Z))", re.S)
 
-_NAMES = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden|style)\b"""
-                    r"""(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+# One attribute after the other, so that what stands inside a value is never taken for a name.
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 
 # HTML's own element names.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -48,11 +48,13 @@ SCOPES = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",),
           **dict.fromkeys(("tr", "td", "th"), ("table",)),
           "p": ("button", "table", "td", "th")}
 
-# Elements that hold no article text, and names of classes, ids and roles that tell the same.
+# Elements that hold no article text (a form around the article does), and names of classes, ids
+# and roles that tell the same.
 BOILERPLATE = frozenset(
     "nav footer aside form script style noscript template iframe svg button select "
     "textarea dialog menu head title object canvas audio video map datalist".split())
-# Names for what readers say, and for adverts: never part of an article.
+# Names for what readers say, and for adverts: no part of an article, unless they stand at an
+# element around it.
 FOREIGN = frozenset((
     "comment comments respond reply replies disqus discussion ad ads advert adverts advertisement "
     "advertising adsense sponsored sponsor promo promotion cookie cookies consent gdpr popup modal "
@@ -129,13 +131,15 @@ class Page:
     def words_of(self, node: int) -> tuple[set[str], bool]:
         """The words of a node's class, id and role, and whether it is hidden."""
         words, hidden = set(), False
-        for name, *values in _NAMES.findall(self.attributes[node]):
+        # The classes of an article say what it has ("comments-open"), so they are not taken apart.
+        split = str.split if self.names[node] in ("article", "main") else _SPLIT.split
+        for name, *values in _ATTRIBUTE.findall(self.attributes[node]):
             value, name = "".join(values), name.lower()
             if name in ("class", "id", "role"):
-                words.update(w.lower() for w in _SPLIT.split(value) if w)
+                words.update(w.lower() for w in split(value) if w)
             elif name == "style":
                 hidden |= "display:none" in value.replace(" ", "").lower()
-            else:
+            elif name in ("hidden", "aria-hidden"):
                 hidden |= name == "hidden" or value.lower() == "true"
         return words, hidden
 
@@ -149,20 +153,48 @@ def _article(page: Page) -> list[int]:
     return found
 
 
+def _around(page: Page, article: list[int]) -> list[bool]:
+    """Which nodes are around the article, whatever they are called.
+
+    They hold a main or the h1; or half of the page's characters outside links, where no main, h1
+    or article stands beside them; or four fifths of them.
+    """
+    n = len(page.names)
+    chars, marks, outer = [0] * n, [0] * n, [0] * n
+    for node in range(n - 1, -1, -1):
+        name, parent = page.names[node], page.parents[node]
+        if name in BOILERPLATE and name != "form":
+            chars[node] = marks[node] = outer[node] = 0
+            continue
+        chars[node] += sum(len("".join(i.split())) for i in page.items[node] if isinstance(i, str))
+        marks[node] += name in ("main", "h1")
+        outer[node] += article[node] == node
+        if parent >= 0:
+            chars[parent] += 0 if name == "a" else chars[node]
+            marks[parent] += marks[node]
+            outer[parent] += outer[node]
+    return [bool(m) or c > 0 and (
+        5 * c >= 4 * chars[0] or 2 * c >= chars[0] and not marks[0] and o == outer[0])
+        for c, m, o in zip(chars, marks, outer)]
+
+
 def _dropped(page: Page, article: list[int]) -> list[bool]:
     """Which nodes are not looked at, with all that is in them."""
     holds = [name in ("article", "main", "h1", "body") for name in page.names]
     for node in range(len(holds) - 1, 0, -1):
         holds[page.parents[node]] |= holds[node]
+    around = _around(page, article)
     dropped: list[bool] = []
     for node, (name, parent) in enumerate(zip(page.names, page.parents)):
         gone = parent >= 0 and dropped[parent]
         if not gone and name not in ("html", "body"):
             gone = name in BOILERPLATE or (name == "header" and article[node] < 0)
+            if name == "form":
+                gone = not around[node] and not holds[node]
             if not gone and page.attributes[node]:
                 words, hidden = page.words_of(node)
-                gone = hidden or bool(words & FOREIGN) and name != "main" or (
-                    bool(words & AROUND) and not holds[node])
+                gone = hidden or (bool(words & FOREIGN) and not around[node]) or (
+                    bool(words & AROUND) and not holds[node] and not around[node])
         dropped.append(gone)
     return dropped
 

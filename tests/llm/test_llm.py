@@ -396,6 +396,30 @@ def test_main_text():
     assert html.main_text("<p " * 2000) == ""
 
 
+STORY = "".join(f"<p>Paragraph {k} of the story says enough to be read as one.</p>" for k in range(6))
+
+
+@pytest.mark.parametrize("around", [
+    '<article class="post comments-open">{}</article>', '<div class="entry social-share">{}</div>',
+    '<div id="discussion">{}</div>', '<div id="discussion"><h1>Title</h1>{}</div>',
+    '<form id="all"><div>{}</div></form>', '<div title="a hidden valley" class=x>{}</div>',
+    "<div data-x='id=\"comments\"'>{}</div>"])
+def test_an_article_is_not_lost_by_a_name(around):
+    page = around.format(STORY + '<p title="a hidden style=display:none id=ad">Marked.</p>')
+    found = html.main_text(f'<body><nav>Menu</nav><div class="share">Tell it</div>{page}</body>')
+    assert all(f"Paragraph {k} of the story" in found for k in range(6)) and "Marked." in found
+    assert "Menu" not in found and "Tell it" not in found
+
+
+def test_long_comments_are_still_dropped():
+    said = "".join(f"<article><p>Reader {k} said something of some length.</p></article>"
+                   for k in range(12))
+    found = html.main_text(f'<body><div><h1>Title</h1>{STORY}</div>'
+                           f'<section id="comments">{said}</section></body>')
+    assert "Paragraph 5" in found and "Reader" not in found
+    assert html.main_text(f"<article>{STORY}<p hidden>Secret</p></article>").endswith("as one.")
+
+
 def test_extracted_odd_rows(spark):
     pages = spark.createDataFrame([(1, "u", None), (None, None, PAGE), (2, "u", ""), (2, "u", "")],
                                   "page_id long, url string, html string")
