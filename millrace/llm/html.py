@@ -4,7 +4,9 @@ A page becomes a tree of its elements, without those that never hold the article
 node has a density: its characters for each tag, adjusted by how much of it is links (Sun,
 Song and Liao, "DOM Based Content Extraction via Text Density"). The node whose children's
 densities have the greatest sum is the heart of the article. The least density on the path
-from the body to it is the threshold for what stands beside that path.
+from the body to it is the threshold for what stands beside that path, and for lists of links and
+cards below it. Whether the heart is in an article or main is a weight only: what stands beside the
+path in there needs links as well to be left out.
 """
 
 from __future__ import annotations
@@ -65,6 +67,12 @@ AROUND = frozenset((
     "notice alert toolbar pagination pager related widget widgets skip complementary contentinfo "
     "search").split())
 
+# Text that is read as one with its neighbours: the heart is looked for around it.
+TEXT = INLINE | frozenset((
+    "h1 h2 h3 h4 h5 h6 p pre blockquote li dt dd ul ol dl figure figcaption br").split())
+# Elements that put others together; lists of links, cards and menus are among them.
+GROUPS = frozenset("div section article center details table ul ol dl p li".split())
+
 _SPLIT = re.compile(r"[\s_-]+|(?<=[a-z])(?=[A-Z])")
 
 
@@ -199,8 +207,8 @@ def _dropped(page: Page, article: list[int]) -> list[bool]:
     return dropped
 
 
-def _densities(page: Page, dropped: list[bool]) -> list[float]:
-    """The composite text density of every node."""
+def _densities(page: Page, dropped: list[bool]) -> tuple[list[float], list[float]]:
+    """The composite text density of every node, and the share of its characters in links."""
     n = len(page.names)
     chars, tags, link_chars, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
     for node in range(n - 1, -1, -1):
@@ -225,7 +233,7 @@ def _densities(page: Page, dropped: list[bool]) -> list[float]:
         base = log(c / max(c - lc, 1) * lc + share * c + e)
         # Without links the base is e and the adjustment is all there is to it.
         found.append(c / t * log(max(c / max(lc, 1) * t / max(lt, 1), 1.0)) / max(log(base), 0.1))
-    return found
+    return found, [lc / max(c, 1) for c, lc in zip(chars, link_chars)]
 
 
 def main_text(html: str) -> str:
@@ -233,7 +241,7 @@ def main_text(html: str) -> str:
     page = Page(html)
     article = _article(page)
     dropped = _dropped(page, article)
-    density = _densities(page, dropped)
+    density, linked = _densities(page, dropped)
     sums = [0.0] * len(density)
     for node in range(1, len(density)):
         sums[page.parents[node]] += density[node]
@@ -241,21 +249,29 @@ def main_text(html: str) -> str:
     alive = [k for k in range(len(density)) if not dropped[k] and density[k] > 0]
     if not alive:
         return ""
-    scope = [k for k in alive if article[k] >= 0] or alive
-    heart = max(scope, key=lambda k: (max(sums[k], density[k]) if k else 0.0, -k))
-    if article[heart] >= 0:
-        return _text(page, article[heart], dropped)
+    heart = max(alive, key=lambda k: (
+        max(sums[k], density[k]) if k else 0.0, article[k] >= 0, -k))
+    while page.names[heart] in TEXT and page.parents[heart] > 0:
+        heart = page.parents[heart]
     path = [heart]
     while page.parents[path[-1]] > 0:
         path.append(page.parents[path[-1]])
     least, kept = min(density[k] for k in path), set(path)
-    for node in alive:
-        if page.parents[node] in kept and node not in kept and page.parents[node] != heart:
-            heading = re.fullmatch("h[1-6]", page.names[node])
-            if density[node] < least and not heading:
-                dropped[node] = True
-    top = path[-1]
-    return _text(page, top, dropped)
+    below = [False] * len(density)
+    for node in range(1, len(density)):
+        parent = page.parents[node]
+        below[node] = parent == heart or below[parent]
+        if dropped[node] or node in kept or page.names[node] in INLINE:
+            continue
+        thin = density[node] < least
+        if below[node]:
+            dropped[node] = thin and page.names[node] in GROUPS and linked[node] > (
+                0.9 if page.names[node] in ("p", "li") else 1 / 3)
+        elif parent in kept and not re.fullmatch("h[1-6]", page.names[node]):
+            inside = article[heart] >= 0 and article[node] == article[heart]
+            dropped[node] = thin and (not inside or page.names[node] in GROUPS
+                                      and linked[node] > 0.1)
+    return _text(page, path[-1], dropped)
 
 
 def _text(page: Page, top: int, dropped: list[bool]) -> str:

@@ -420,6 +420,35 @@ def test_long_comments_are_still_dropped():
     assert html.main_text(f"<article>{STORY}<p hidden>Secret</p></article>").endswith("as one.")
 
 
+LINKS = "".join(f'<li><a href="/{k}">Another page {k}</a></li>' for k in range(8))
+CARDS = "".join(f'<div><h3><a href="/{k}">Card headline {k}</a></h3><p>Teaser {k}.</p></div>'
+                for k in range(4))
+
+
+@pytest.mark.parametrize("body", [
+    "<main><h1>Title</h1><div>{story}</div><div><ul>{links}</ul></div><div>{cards}</div></main>",
+    "<main><h1>Title</h1>{story}<div><ul>{links}</ul></div><div>{cards}</div></main>",
+    "<article><h1>Title</h1>{story}<ul>{links}</ul></article>",
+    "<div><h1>Title</h1>{story}</div><div><ul>{links}</ul></div><div>{cards}</div>",
+    "<div><h1>Title</h1>{story}</div><div>{teasers}</div>",
+    "<main><div>{teasers}</div><div><h1>Title</h1>{story}</div></main>"])
+def test_density_selects_over_the_whole_page(body):
+    teasers = "".join(f'<article><h3><a href="/{k}">Headline {k}</a></h3><p>Teaser {k}.</p></article>'
+                      for k in range(5))
+    found = html.main_text("<html><body>" + body.format(
+        story=STORY + "<p>So.</p><p>See <a href=x>here</a>.</p>", links=LINKS, cards=CARDS,
+        teasers=teasers) + "</body></html>")
+    want = html.main_text(f"<body><h1>Title</h1>{STORY}<p>So.</p><p>See here.</p></body>")
+    assert found == want and "Title" in want and want.endswith("as one. So. See here.")
+
+
+def test_short_parts_of_an_article_stay():
+    page = ("<body><article><h1>Title</h1><p>In.</p><section><h2>One</h2>{}</section>"
+            "<section><h2>Two</h2><p>Short.</p></section><div>Yes.</div></article></body>")
+    found = html.main_text(page.format(STORY))
+    assert found.startswith("Title In. One") and found.endswith("Two Short. Yes.")
+
+
 def test_extracted_odd_rows(spark):
     pages = spark.createDataFrame([(1, "u", None), (None, None, PAGE), (2, "u", ""), (2, "u", "")],
                                   "page_id long, url string, html string")
