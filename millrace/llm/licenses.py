@@ -2,8 +2,8 @@
 
 A notice of m characters that stands in a text with at most e errors, cut into e + 1 seeds,
 has at least one seed in the text unchanged (the pigeonhole principle). One automaton finds
-all seeds; around each, the regex library's bounded-error matching decides, and reports the
-span. Texts are searched in normal form: their words, joined by single spaces.
+all seeds; around each, the regex library's bounded-error matching decides: the first match is
+looked for, then the best one that begins there, and the search goes on behind it. Texts are searched in normal form: their words, joined by single spaces.
 """
 
 from __future__ import annotations
@@ -52,6 +52,7 @@ class Notice:
     label: str
     errors: int
     pattern: regex.Pattern
+    best: regex.Pattern
 
     def seeds(self) -> list[tuple[str, int]]:
         """The text cut into errors + 1 parts of about equal length, each with its place."""
@@ -60,13 +61,17 @@ class Notice:
 
 
 def notices(pairs=NOTICES, per_error: int = PER_ERROR, most: int = MOST_ERRORS) -> list[Notice]:
-    """The notices, each with its bounded-error pattern; it stands between word borders."""
+    """The notices, each with its bounded-error patterns, for any match and for the best one.
+
+    They stand between word borders.
+    """
     found = []
     for text, label in pairs:
         errors = min(len(text) // per_error, most)
-        found.append(Notice(text, label, errors, regex.compile(
-            rf"(?b)(?<![^ ])(?:{regex.escape(text, special_only=True, literal_spaces=True)})"
-            rf"{{e<={errors}}}(?![^ ])")))
+        pattern = (rf"(?<![^ ])(?:{regex.escape(text, special_only=True, literal_spaces=True)})"
+                   rf"{{e<={errors}}}(?![^ ])")
+        found.append(Notice(text, label, errors, regex.compile(pattern),
+                            regex.compile(f"(?b){pattern}")))
     return found
 
 
@@ -102,13 +107,25 @@ class Scanner:
                     spans.append([first, end])
         return found
 
+    def matches(self, notice: Notice, text: str, at: int, end: int) -> Iterator[regex.Match]:
+        """The matches of a notice in a region, from left to right, without overlaps.
+
+        The best match is taken from a window that has no room for two of them, so a better one
+        further on does not hide those before it.
+        """
+        while (first := notice.pattern.search(text, at, end)) is not None:
+            border = text.find(" ", first.start() + len(notice.text) + 3 * notice.errors, end)
+            found = notice.best.search(text, first.start(), border if border >= 0 else end) or first
+            yield found
+            at = found.end()
+
     def __call__(self, text: str) -> list[tuple[int, int, str, int, float]]:
         """(first, end, label, errors, likeness) of all notices found, in order."""
         found = []
         for k, spans in self.regions(text).items():
             notice = self.known[k]
             for first, end in spans:
-                for match in notice.pattern.finditer(text, first, min(end, len(text))):
+                for match in self.matches(notice, text, first, min(end, len(text))):
                     errors = sum(match.fuzzy_counts)
                     likeness = 1 - errors / len(notice.text)
                     found.append((match.start(), match.end(), notice.label, errors, likeness))

@@ -488,6 +488,40 @@ def test_bounded_errors_are_found_wherever_they_are():
             assert notice.label in {f[2] for f in found}
 
 
+def edit_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+@pytest.mark.parametrize("between", [" ", " or ", " and some other words as well "])
+def test_adjacent_notices_against_brute_force(between):
+    rng = random.Random(7)
+    for notice in licenses.notices():
+        scanner, said = licenses.Scanner([notice]), []
+        for k in range(8):
+            text = list(notice.text)
+            letters = [at for at, char in enumerate(text) if char != " "]
+            for at in rng.sample(letters, rng.randint(0, notice.errors) if k % 2 else 0):
+                text[at] = "q"
+            said.append("".join(text))
+        rng.shuffle(said)
+        text, places = "", []
+        for one in said:
+            text += between if text else ""
+            places.append((len(text), len(text) + len(one)))
+            text += one
+        found = scanner(text)
+        assert len(found) == len(said)
+        for (first, end, _, errors, _), (a, b) in zip(found, places):
+            assert first < b and a < end
+            assert errors <= edit_distance(text[a:b], notice.text)
+            assert errors >= edit_distance(text[first:end], notice.text)
+
+
 # URLs
 
 
