@@ -1,12 +1,13 @@
 """Quality classifier by co-training of two views: a text's content, and its metadata.
 
 Each view has a linear classifier of its own. In each round both are trained, and what one is
-confident of in a pool without labels becomes a label for the other. At the end each view is
+confident of among all documents without labels becomes a label for the other: a pass over them
+adds up their features by label and by how the other view sees them so far. At the end each view is
 calibrated on labelled rows that were held out, and a calibrated sum of both scores every
 document. There are two such classifiers: for quality, and for toxic content.
 
-Training takes a bounded sample, which is documented in :class:`Sample`; scoring reads every
-document whole.
+Only the labelled rows are a bounded sample, which is documented in :class:`Sample`; all other
+documents take part, and scoring reads every document whole.
 """
 
 from __future__ import annotations
@@ -31,6 +32,13 @@ PREFIX = 5
 # Sources are hashed to so many features.
 SOURCES = 64
 
+# Confident documents are added up by the other view's logit, rounded down and cut at so much.
+MARGIN = 4
+MARGINS = 2 * MARGIN + 1
+
+# Sums of features are whole numbers of so many parts: any order of adding gives the same.
+PARTS = 1 << 20
+
 STYLE = ("upper", "symbols", "marks", "word length", "distinct", "lines", "log words")
 
 
@@ -38,18 +46,19 @@ STYLE = ("upper", "symbols", "marks", "word length", "distinct", "lines", "log w
 class Sample:
     """What the classifiers are trained on.
 
-    ``labelled`` rows of the labels and a ``pool`` of other documents, those of least hash of
-    their id; a share of ``held_out`` of the labelled rows is for calibration. A word
-    counts if at least ``seen`` of the sample's documents have it.
+    ``labelled`` rows of the labels, those of least hash of their id; a share of ``held_out`` of
+    each class is for calibration. All other documents are the pool (``pool`` bounds it to so many of least
+    hash; None: all), labelled ones that are not in the sample too. What a view
+    is at least ``confident`` of is a label for the other; together such labels of a class weigh at
+    most ``pool_weight`` of its labelled rows. All words count, those of the pool too.
     """
 
     labelled: int = 6000
-    pool: int = 2000
+    pool: int | None = None
     held_out: float = 0.25
-    seen: int = 4
     rounds: int = 3
     confident: float = 0.98
-    per_round: int = 200
+    pool_weight: float = 0.1
 
 
 def _distinct_words(words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -167,12 +176,13 @@ def fitted(rows: Rows, labels: np.ndarray, weight: np.ndarray, ridge: float = 1.
     return w
 
 
-def calibration(scores: np.ndarray, labels: np.ndarray) -> np.ndarray:
+def calibration(scores: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> np.ndarray:
     """Weights of (1, scores...) that make them the logit of a probability; none is negative.
 
     Too few labels of a class give a constant: the share of positives.
     """
-    share = (labels.sum() + 1) / (len(labels) + 2)
+    weight = weight * (len(weight) / max(weight.sum(), 1e-9))
+    share = (weight @ labels + 1) / (len(labels) + 2)
     constant = np.zeros(scores.shape[1] + 1)
     constant[0] = np.log(share / (1 - share))
     if min(labels.sum(), (1 - labels).sum()) < 5:
@@ -183,7 +193,7 @@ def calibration(scores: np.ndarray, labels: np.ndarray) -> np.ndarray:
         values = np.column_stack([np.ones(len(scores)), scores])[:, used]
         rows = Rows(np.arange(len(scores) + 1) * len(used), np.tile(np.arange(len(used)), len(scores)),
                     values.ravel(), len(used))
-        found = fitted(rows, labels, np.ones(len(labels)), ridge=0.1)
+        found = fitted(rows, labels, weight, ridge=0.1)
         bad = [c for c, w in zip(used, found) if c and w < 0]
         if not bad:
             constant[:] = 0
@@ -210,53 +220,85 @@ class Model:
         return _sigmoid(logits[0]), _sigmoid(logits[1]), _sigmoid(both)
 
 
-def cotrained(text: Rows, metadata: Rows, labels: np.ndarray, sample: Sample) -> tuple:
-    """Weights of both views and their calibrations; ``labels`` are 1, 0, or -1 for the pool."""
-    known = np.nonzero(labels >= 0)[0]
-    held = known[: int(len(known) * sample.held_out)]
-    views, assumed = (text, metadata), [labels.astype(float), labels.astype(float)]
-    for own in assumed:
-        own[held] = -1
-    truth = labels[held].astype(float)
-    weights: list[np.ndarray] = [np.zeros(v.width) for v in views]
-    calibrations = [np.zeros(2)] * 2
-    learnt: list[np.ndarray | None] = [None, None]
-    for turn in range(sample.rounds + 1):
-        for k, view in enumerate(views):
-            use = assumed[k] >= 0
-            if learnt[k] is not None and np.array_equal(learnt[k], assumed[k]):
-                continue  # the other view was sure of nothing new
-            learnt[k] = assumed[k].copy()
-            if use.any() and 0 < assumed[k][use].mean() < 1:
-                weights[k] = fitted(view, np.maximum(assumed[k], 0), use.astype(float))
-            calibrations[k] = calibration(view.dot(weights[k])[held][:, None], truth)
-        if turn == sample.rounds:
-            break
-        for k, view in enumerate(views):
-            other = 1 - k
-            chance = _sigmoid(calibrations[k][0] + calibrations[k][1] * view.dot(weights[k]))
-            free = (labels < 0) & (assumed[other] < 0)
-            for label, sure in ((1, chance), (0, 1 - chance)):
-                at = np.nonzero(free & (sure >= sample.confident))[0]
-                at = at[np.argsort(-sure[at], kind="stable")][: sample.per_round]
-                assumed[other][at] = label
-    logits = np.column_stack([
-        c[0] + c[1] * v.dot(w)[held] for c, v, w in zip(calibrations, views, weights)])
-    return weights, tuple(calibrations), calibration(logits, truth)
+def _held_out(truth: np.ndarray, share: float) -> np.ndarray:
+    """For each row the number of rows of its class it stands for when held out; else 0."""
+    found = np.zeros(len(truth))
+    for label in (0, 1):
+        own = np.nonzero(truth == label)[0]
+        # Few rows of a class are halved, so that calibration has some of them.
+        step = max(2, round(1 / share)) if len(own) >= 20 else 2
+        found[own[::step]] = step
+    return found
+
+
+def _fit_weights(truth: np.ndarray, held: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """The weights of the rows that are fitted: both classes weigh the same, a row 1 on average."""
+    use = (truth >= 0) & (held == 0)
+    found = np.where(use, weight, 0.0)
+    for label in (0, 1):
+        own = use & (truth == label)
+        found[own] *= use.sum() / 2 / max(found[own].sum(), 1e-9)
+    return found
+
+
+def _stacked(rows: Rows, matrix: np.ndarray) -> Rows:
+    """``rows`` and below them those of ``matrix``."""
+    owner, columns = np.nonzero(matrix)
+    sizes = np.bincount(owner, minlength=len(matrix))
+    return Rows(np.concatenate((rows.starts, rows.starts[-1] + np.cumsum(sizes))),
+                np.concatenate((rows.columns, columns)),
+                np.concatenate((rows.values, matrix[owner, columns])), rows.width)
+
+
+@dataclass
+class Target:
+    """Both views' classifiers of one target while they are trained."""
+
+    views: tuple[Rows, Rows]
+    truth: np.ndarray
+    held: np.ndarray
+    weight: np.ndarray
+    pool_weight: float
+
+    def __post_init__(self) -> None:
+        self.use = _fit_weights(self.truth, self.held, self.weight)
+        self.at = np.nonzero(self.held)[0]
+        self.weights = [np.zeros(v.width) for v in self.views]
+        self.calibrations = [np.zeros(2), np.zeros(2)]
+
+    def calibration(self, scores: np.ndarray) -> np.ndarray:
+        at = self.at
+        return calibration(scores, self.truth[at].astype(float), self.weight[at] * self.held[at])
+
+    def fit(self, k: int, sums: np.ndarray) -> None:
+        """Fit view ``k`` to its labelled rows and to (label, margin, feature) sums of others."""
+        rows, labels, weight = self.views[k], np.maximum(self.truth, 0), self.use
+        for label in (0, 1):
+            number = sums[label, :, -1]  # the last feature is 1 in all documents
+            own = number > 0
+            if own.any():
+                most = self.use[self.truth == label].sum() * self.pool_weight
+                rows = _stacked(rows, sums[label, own] / number[own][:, None])
+                labels = np.append(labels, np.full(own.sum(), label))
+                weight = np.append(weight, number[own] * min(1, most / number.sum()))
+        if 0 < (weight * labels).sum() < weight.sum():
+            self.weights[k] = fitted(rows, labels.astype(float), weight)
+        scores = self.views[k].dot(self.weights[k])[self.at]
+        self.calibrations[k] = self.calibration(scores[:, None])
+
+    def both(self) -> np.ndarray:
+        return self.calibration(np.column_stack([
+            c[0] + c[1] * v.dot(w)[self.at]
+            for c, v, w in zip(self.calibrations, self.views, self.weights)]))
 
 
 def _chosen(docs: DataFrame, labels: DataFrame, sample: Sample) -> DataFrame:
-    """(doc_id, quality, toxic) of the sample; the pool has nulls."""
-    known = labels.where("doc_id is not null").groupBy("doc_id").agg(
-        F.max("quality").alias("quality"), F.max("toxic").alias("toxic"))
-    by_hash = [F.xxhash64("doc_id"), F.col("doc_id")]
-    pool = docs.select("doc_id").where("doc_id is not null").join(
-        known, "doc_id", "left_anti").distinct().select(
-        "doc_id", F.lit(None).cast("int").alias("quality"), F.lit(None).cast("int").alias("toxic"))
+    """(doc_id, quality, toxic, weight) of the labelled sample."""
+    known = labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
+        F.max("quality").cast("int").alias("quality"), F.max("toxic").cast("int").alias("toxic"))
     return (known.join(docs.select("doc_id"), "doc_id", "left_semi")
-            .select("doc_id", F.col("quality").cast("int"), F.col("toxic").cast("int"))
-            .orderBy(*by_hash).limit(sample.labelled)
-            .unionByName(pool.orderBy(*by_hash).limit(sample.pool)))
+            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample.labelled)
+            .withColumn("weight", F.lit(1.0)))
 
 
 def _features(rows: DataFrame) -> DataFrame:
@@ -275,14 +317,15 @@ def _features(rows: DataFrame) -> DataFrame:
                          for v, kind in ((pairs % (2 * HASHED), pa.int32()), (counts, pa.int32()))]
                 columns = [part.column(c).to_pylist() for c in ("lang", "source", "n_chars")]
                 yield pa.RecordBatch.from_arrays([
-                    part.column("doc_id"), part.column("quality"), part.column("toxic"), *lists,
+                    *(part.column(c) for c in ("doc_id", "quality", "toxic", "weight")), *lists,
                     pa.array(list(style), pa.list_(pa.float64())),
                     pa.array(list(metadata_view(*columns)), pa.list_(pa.float64()))],
-                    names=["doc_id", "quality", "toxic", "words", "counts", "style", "metadata"])
+                    names=["doc_id", "quality", "toxic", "weight", "words", "counts", "style",
+                           "metadata"])
 
     return rows.mapInArrow(
-        describe, "doc_id long, quality int, toxic int, words array<int>, counts array<int>, "
-        "style array<double>, metadata array<double>")
+        describe, "doc_id long, quality int, toxic int, weight double, words array<int>, "
+        "counts array<int>, style array<double>, metadata array<double>")
 
 
 def _dense(matrix: np.ndarray) -> Rows:
@@ -300,6 +343,9 @@ def _lists(table: pa.Table, name: str) -> list[np.ndarray]:
             for first, end in zip(chunk.offsets.to_pylist(), chunk.offsets.to_pylist()[1:])]
 
 
+TARGETS = ("quality", "toxic")
+
+
 def train(docs: DataFrame, labels: DataFrame, sample: Sample = Sample()) -> dict[str, Model]:
     """The models of ``quality`` and ``toxic``, from labels (doc_id, quality, toxic)."""
     chosen = _chosen(docs, labels, sample)
@@ -309,35 +355,143 @@ def train(docs: DataFrame, labels: DataFrame, sample: Sample = Sample()) -> dict
     style = _matrix(table, "style", len(STYLE))
     metadata = _dense(np.column_stack([
         _matrix(table, "metadata", 2 * SOURCES + 2), np.ones(len(table))]))
-    # Words that few documents of the sample have say nothing about others.
-    seen = np.bincount(np.concatenate([np.zeros(0, np.int64), *columns]), minlength=2 * HASHED)
-    used = np.nonzero(seen >= sample.seen)[0]
-    place = np.full(2 * HASHED, -1)
-    place[used] = np.arange(len(used))
-    text = _text_rows(columns, counts, style, place, len(used))
-    models = {}
-    for target in ("quality", "toxic"):
-        truth = np.array([-1 if v is None else v for v in table[target].to_pylist()], dtype=int)
-        (of_text, of_metadata), views, both = cotrained(text, metadata, truth, sample)
-        words = np.zeros(2 * HASHED)
-        words[used] = of_text[: len(used)]
-        models[target] = Model(words, of_text[len(used):], of_metadata, views, both)
-    return models
-
-
-def _text_rows(columns: list[np.ndarray], counts: list[np.ndarray], style: np.ndarray,
-               place: np.ndarray, n_used: int) -> Rows:
-    """The content view: used words by the root of the number of distinct words, style, and 1."""
-    tail = n_used + np.arange(len(STYLE) + 1)
-    at, values = [], []
+    views = (_text_rows(columns, counts, style), metadata)
+    weight = np.array(table["weight"].to_pylist(), dtype=float)
+    targets = []
+    for name in TARGETS:
+        truth = np.array([-1 if v is None else v for v in table[name].to_pylist()], dtype=int)
+        targets.append(Target(views, truth, _held_out(truth, sample.held_out), weight,
+                              sample.pool_weight))
+
+    def models() -> dict[str, Model]:
+        return {name: Model(target.weights[0][: 2 * HASHED], target.weights[0][2 * HASHED:],
+                            target.weights[1], tuple(target.calibrations), target.both())
+                for name, target in zip(TARGETS, targets)}
+
+    pool = _pool(docs, table["doc_id"].to_pylist(), sample)
+    sums = [[np.zeros((2, MARGINS, v.width)) for v in views] for _ in targets]
+    fresh = {(t, k) for t in range(len(targets)) for k in range(len(views))}
+    for turn in range(sample.rounds + 1):
+        for t, k in sorted(fresh):
+            targets[t].fit(k, sums[t][k])
+        if turn == sample.rounds:
+            break
+        new = _pool_sums(pool, models(), sample.confident)
+        # A view whose labels come from one that was not fitted again has the same labels.
+        fresh = {(t, k) for t in range(len(targets)) for k in range(len(views))
+                 if (t, 1 - k) in fresh and (new[t][k].any() or sums[t][k].any())}
+        sums = new
+        if not fresh:
+            break
+    return models()
+
+
+def _pool(docs: DataFrame, sampled: list[int], sample: Sample) -> DataFrame:
+    """The documents that have no part in the labelled sample."""
+    spark = docs.sparkSession
+    ids = spark.createDataFrame([(k,) for k in sampled], "doc_id long")
+    pool = docs.join(F.broadcast(ids), "doc_id", "left_anti")
+    if sample.pool is None:
+        return pool
+    least = pool.select("doc_id").where("doc_id is not null").distinct().orderBy(
+        F.xxhash64("doc_id"), "doc_id").limit(sample.pool)
+    return pool.join(F.broadcast(least), "doc_id", "left_semi")
+
+
+def _pool_sums(pool: DataFrame, models: dict[str, Model],
+               confident: float) -> list[list[np.ndarray]]:
+    """For each target and view, (label, margin, feature) sums over all documents of the pool
+    that the other view is confident of.
+
+    ``margin`` is the view's own logit. Each task adds up its documents; what comes to the driver
+    has a number for each feature, however many documents there are.
+    """
+    widths = (2 * HASHED + len(STYLE) + 1, 2 * SOURCES + 3)
+    sizes = [2 * MARGINS * w for w in widths]
+    names = list(models)
+    shared = pool.sparkSession.sparkContext.broadcast(models)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        sums = [[np.zeros((2 * MARGINS, w)) for w in widths] for _ in names]
+        for batch in batches:
+            for rows, texts in slices(batch, "text"):
+                seen = Described.of(rows, texts)
+                columns = (seen.own, seen.begin)
+                for model, (of_text, of_metadata) in zip(map(known.get, names), sums):
+                    logits = [v[0] + v[1] * score for v, score in zip(
+                        model.views, seen.scores(model))]
+                    margins = [np.clip(np.floor(z), -MARGIN, MARGIN).astype(int) + MARGIN
+                               for z in logits]
+                    kinds = []
+                    for k in (0, 1):
+                        chance = _sigmoid(logits[1 - k])
+                        kinds.append(np.where(chance >= confident, MARGINS + margins[k], np.where(
+                            1 - chance >= confident, margins[k], -1)))
+                    sure = kinds[0] >= 0
+                    for column in columns if sure.any() else ():
+                        here = sure[seen.owner]
+                        owner = seen.owner[here]
+                        of_text += np.bincount(
+                            kinds[0][owner] * widths[0] + column[seen.code[here]],
+                            1 / seen.root[owner], minlength=sizes[0]).reshape(of_text.shape)
+                    np.add.at(of_text[:, 2 * HASHED:], kinds[0][sure], seen.style[sure])
+                    sure = kinds[1] >= 0
+                    np.add.at(of_metadata, kinds[1][sure], seen.metadata[sure])
+        flat = np.rint(np.concatenate([v.ravel() for own in sums for v in own]) * PARTS)
+        at = np.nonzero(flat)[0]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(at, pa.int64()), pa.array(flat[at].astype(np.int64))], names=["at", "parts"])
+
+    found = pool.mapInArrow(add, "at long, parts long").groupBy("at").agg(
+        F.sum("parts").alias("parts")).toArrow()
+    flat = np.zeros(len(names) * sum(sizes))
+    flat[found["at"].to_numpy()] = found["parts"].to_numpy() / PARTS
+    shared.destroy()
+    cuts = np.cumsum(sizes * len(names))[:-1]
+    parts = [part.reshape(2, MARGINS, -1) for part in np.split(flat, cuts)]
+    return [parts[2 * t:2 * t + 2] for t in range(len(names))]
+
+
+def _text_rows(columns: list[np.ndarray], counts: list[np.ndarray], style: np.ndarray) -> Rows:
+    """The content view: words by the root of the number of distinct words, style, and 1."""
+    tail = 2 * HASHED + np.arange(len(STYLE) + 1)
+    at, values = [np.zeros(0, np.int64)], [np.zeros(0)]
     for own, count, manner in zip(columns, counts, style):
-        kept = place[own] >= 0
-        at += (place[own[kept]], tail)
-        values += (count[kept] / np.sqrt(max(count.sum() / 2, 1)), np.append(manner, 1.0))
-    sizes = [len(a) + len(b) for a, b in zip(at[::2], at[1::2])]
-    return Rows(np.concatenate(([0], np.cumsum(sizes, dtype=np.int64))).astype(np.int64),
-                np.concatenate([np.zeros(0, np.int64), *at]),
-                np.concatenate([np.zeros(0), *values]), n_used + len(STYLE) + 1)
+        at += (own, tail)
+        values += (count / np.sqrt(max(count.sum() / 2, 1)), np.append(manner, 1.0))
+    sizes = [len(own) + len(tail) for own in columns]
+    return Rows(np.concatenate(([0], np.cumsum(sizes, dtype=np.int64))), np.concatenate(at),
+                np.concatenate(values), 2 * HASHED + len(STYLE) + 1)
+
+
+@dataclass
+class Described:
+    """Some documents as both views see them: ``root`` is what words are divided by."""
+
+    owner: np.ndarray
+    code: np.ndarray
+    own: np.ndarray
+    begin: np.ndarray
+    root: np.ndarray
+    style: np.ndarray
+    metadata: np.ndarray
+
+    @classmethod
+    def of(cls, rows: pa.RecordBatch, texts: pa.Array) -> Described:
+        owner, code, style, words = text_view(texts)
+        one = np.ones(len(texts))
+        metadata = metadata_view(*(
+            rows.column(c).to_pylist() for c in ("lang", "source", "n_chars")))
+        return cls(owner, code, *_word_features(words.vocabulary),
+                   np.sqrt(np.maximum(np.bincount(owner, minlength=len(texts)), 1)),
+                   np.column_stack([style, one]), np.column_stack([metadata, one]))
+
+    def scores(self, model: Model) -> tuple[np.ndarray, np.ndarray]:
+        """The sums of weights by content and by metadata."""
+        of_words = model.words[self.own] + model.words[self.begin]
+        of_text = np.bincount(self.owner, of_words[self.code], minlength=len(self.root)) / self.root
+        return of_text + self.style @ model.style, self.metadata @ model.metadata
 
 
 SCHEMA = ("doc_id long, quality double, quality_text double, quality_metadata double, "
@@ -352,19 +506,9 @@ def scored(docs: DataFrame, models: dict[str, Model]) -> DataFrame:
         known = shared.value
         for batch in batches:
             for rows, texts in slices(batch, "text"):
-                owner, code, style, words = text_view(texts)
-                own, begin = _word_features(words.vocabulary)
-                root = np.sqrt(np.maximum(np.bincount(owner, minlength=len(texts)), 1))
-                metadata = np.column_stack([metadata_view(*(
-                    rows.column(c).to_pylist() for c in ("lang", "source", "n_chars"))),
-                    np.ones(len(texts))])
-                columns = []
-                for target in ("quality", "toxic"):
-                    model = known[target]
-                    of_words = model.words[own] + model.words[begin]
-                    of_text = np.bincount(owner, of_words[code], minlength=len(texts)) / root
-                    of_text += np.column_stack([style, np.ones(len(texts))]) @ model.style
-                    by_text, by_metadata, both = model.calibrated(of_text, metadata @ model.metadata)
+                seen, columns = Described.of(rows, texts), []
+                for target in TARGETS:
+                    by_text, by_metadata, both = known[target].calibrated(*seen.scores(known[target]))
                     columns += (both, by_text, by_metadata)
                 kept = (columns[0] >= 0.5) & (columns[3] < 0.5)
                 yield pa.RecordBatch.from_arrays(
@@ -380,7 +524,8 @@ def quality_classifier(docs: DataFrame, labels: DataFrame,
 
     ``quality`` and ``toxic`` are the calibrated probabilities by both views, beside those by
     the text and by the metadata alone; ``kept`` says that quality is at least, and
-    toxicity below, a half. Training takes the bounded ``sample``; all rows are scored whole.
+    toxicity below, a half. Training takes the bounded ``sample`` of labelled rows and
+    all other documents, repeated rows one by one; all rows are scored whole.
 
     Null texts and metadata count as empty. Labels for unknown or null ids are not used; of
     several labels of an id the greatest counts. Each row gives one row, repeated rows alike; a

@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 
 from millrace.llm import chat, decontamination, html, licenses, urls
 from millrace.llm.components import components
-from millrace.llm.cotraining import Sample, quality_classifier
+from millrace.llm.cotraining import Sample, _word_features, quality_classifier, train
 from millrace.llm.near import near_duplicates, without_near_duplicates
 from millrace.llm.packing import Encoder, pack, powers
 from millrace.llm.pseudonyms import Feistel, Pseudonymizer, luhn_digit, pseudonyms
@@ -597,3 +597,25 @@ def test_classifier_on_odd_rows(spark):
     docs = with_clashes(documents(spark, ODD))
     assert quality_classifier(docs, labels).count() == len(ODD)
     assert quality_classifier(docs.limit(0), labels.limit(0)).count() == 0
+
+
+def test_all_unlabelled_documents_teach(spark):
+    # Only the source tells the labelled rows apart; the words come from documents without labels.
+    rng = random.Random(12)
+    docs, labels = [], []
+    for k in range(4000):
+        good = k % 2
+        words = [f"w{rng.randint(0, 300)}" for _ in range(20)]
+        if k >= 300:
+            words += [f"{'fine' if good else 'poor'}{k % 700}"]
+        docs.append((k, " ".join(words), "en", "good" if good else "bad", 0))
+        if k < 300:
+            labels.append((k, good, 0))
+    sample = Sample(rounds=1)
+    chosen = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    models = train(documents(spark, docs), chosen, sample)
+    words = pa.array([f"{'fine' if k % 2 else 'poor'}{k}" for k in range(700)])
+    own, begin = _word_features(words)  # each of these words is in five or six documents
+    weight = models["quality"].words[own] + models["quality"].words[begin]
+    # A few words share their feature with another one.
+    assert ((weight > 0) == (np.arange(700) % 2 == 1)).mean() > 0.98
