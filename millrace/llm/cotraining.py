@@ -46,8 +46,10 @@ STYLE = ("upper", "symbols", "marks", "word length", "distinct", "lines", "log w
 class Sample:
     """What the classifiers are trained on.
 
-    ``labelled`` rows of the labels, those of least hash of their id; a share of ``held_out`` of
-    each class is for calibration. All other documents are the pool (``pool`` bounds it to so many of least
+    About ``labelled`` rows of the labels for each of quality and toxic, half of them of each
+    class, by hash of their id; a class with fewer rows has them all, and the other one has the
+    rest. They are weighed by how many rows each stands for. A share of ``held_out`` of each class
+    is for calibration. All other documents are the pool (``pool`` bounds it to so many of least
     hash; None: all), labelled ones that are not in the sample too. What a view
     is at least ``confident`` of is a label for the other; together such labels of a class weigh at
     most ``pool_weight`` of its labelled rows. All words count, those of the pool too.
@@ -295,10 +297,19 @@ class Target:
 def _chosen(docs: DataFrame, labels: DataFrame, sample: Sample) -> DataFrame:
     """(doc_id, quality, toxic, weight) of the labelled sample."""
     known = labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
-        F.max("quality").cast("int").alias("quality"), F.max("toxic").cast("int").alias("toxic"))
-    return (known.join(docs.select("doc_id"), "doc_id", "left_semi")
-            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample.labelled)
-            .withColumn("weight", F.lit(1.0)))
+        F.max("quality").cast("int").alias("quality"), F.max("toxic").cast("int").alias("toxic")
+    ).where("quality is not null or toxic is not null").join(docs.select("doc_id"), "doc_id", "left_semi")
+    counts = known.groupBy("quality", "toxic").count().collect()
+    rate = F.lit(0.0)
+    for target in ("quality", "toxic"):
+        n = [sum(r["count"] for r in counts if r[target] == label) for label in (0, 1)]
+        for label in (0, 1):
+            most = max(sample.labelled // 2, sample.labelled - n[1 - label])
+            rate = F.greatest(rate, F.when(
+                F.col(target) == label, F.lit(min(1.0, most / max(n[label], 1)))).otherwise(0.0))
+    place = F.shiftrightunsigned(F.xxhash64("doc_id"), 11) / F.lit(float(1 << 53))
+    return known.withColumn("rate", rate).where(place < F.col("rate")).select(
+        "doc_id", "quality", "toxic", (1 / F.col("rate")).alias("weight"))
 
 
 def _features(rows: DataFrame) -> DataFrame:

@@ -599,6 +599,21 @@ def test_classifier_on_odd_rows(spark):
     assert quality_classifier(docs.limit(0), labels.limit(0)).count() == 0
 
 
+def test_a_rare_class_is_learnt(spark):
+    rng = random.Random(11)
+    docs, labels = [], []
+    for k in range(4000):
+        bad = k % 200 == 0
+        words = [f"w{rng.randint(0, 300)}" for _ in range(30)] + ["venom", "spite"] * bad
+        docs.append((k, " ".join(words), "en", "a", 0))
+        labels.append((k, k % 2, int(bad)))
+    found = quality_classifier(
+        documents(spark, docs), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"),
+        Sample(labelled=400, rounds=1)).collect()
+    toxic = [r.doc_id for r in found if r.toxic >= 0.5]
+    assert len(toxic) >= 18 and not any(k % 200 for k in toxic)
+
+
 def test_all_unlabelled_documents_teach(spark):
     # Only the source tells the labelled rows apart; the words come from documents without labels.
     rng = random.Random(12)
