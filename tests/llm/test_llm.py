@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 import zlib
 from collections import Counter
@@ -562,6 +563,25 @@ def test_chats_are_read_back(spark):
     assert found[1].formatted[found[1].turns[3].first:found[1].turns[3].end] == "plain\n\ntext "
 
 
+def test_a_long_conversation_passes_turn_by_turn(spark):
+    rows = [(1, k, ("user", "assistant")[k % 2], f"turn {k} <|im_end|> é") for k in range(20_000)]
+    rows += [(None, None, "assistant", None), (2, 0, "user", "x"), (None, 1, None, "y")]
+    random.Random(9).shuffle(rows)
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = chat.chat_digests(frame)
+    plan = found._jdf.queryExecution().toString()
+    assert "collect_list" not in plan and "MapInArrow" in plan
+    found = {r.conv_id: r for r in found.collect()}
+    turns = sorted(r for r in rows if r[0] == 1)
+    assert set(found) == {None, 1, 2} and found[1].n_turns == 20_000
+    assert found[1].turns_sha256 == hashlib.sha256(
+        "".join(f"{role}\n{text}\n" for _, _, role, text in turns).encode()).hexdigest()
+    loss = "".join(text for _, _, role, text in turns if role == "assistant")
+    assert found[1].loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
+    assert (found[1].loss_chars, found[None].n_turns, found[2].loss_chars) == (len(loss), 2, 0)
+    assert chat.chat_digests(frame.limit(0)).count() == 0
+
+
 def test_layouts_become_the_same_turns(spark):
     sharegpt = spark.createDataFrame(
         [(1, [("human", "q"), ("gpt", "a")])],
