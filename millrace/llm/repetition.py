@@ -30,14 +30,14 @@ class Limits:
 
     ``span_words`` is the shortest repeat that counts as copied; a share of at most
     ``covered`` of the words may lie in such repeats, and the longest may take at most
-    ``longest`` of the words. ``allowed_words`` are allowed in both cases, so that a heading
-    repeated at the foot of a short text does no harm. The rest are the base rules.
+    ``longest`` of the words, in short texts too. So many ``allowed_words`` would be allowed
+    in both cases whatever their share; there are none. The rest are the base rules.
     """
 
     span_words: int = 8
     covered: float = 0.3
     longest: float = 0.2
-    allowed_words: int = 50
+    allowed_words: int = 0
     least_words: int = 50
     repeat_words: int = 3
     repeated: float = 0.5

@@ -123,6 +123,19 @@ def test_repetition_against_brute_force(spark):
     assert "set_id" in kept.columns
 
 
+@pytest.mark.parametrize("n", [60, 100, 120, 166, 200, 250])
+def test_shares_hold_in_short_texts(spark, n):
+    fresh = [f"u{k}" for k in range(n)]
+    copied, longest = 3 * n // 20, n // 5
+    texts = [fresh[:n - size] + fresh[:size] for size in (copied, copied + 1)]
+    texts += [fresh[:n - size] + ["x"] * size for size in (longest + 1, longest + 2)]
+    rows = [(k, " ".join(text), "en", "s", 0) for k, text in enumerate(texts)]
+    assert all(len(text) == n for text in texts)
+    found = repetition(documents(spark, rows)).orderBy("doc_id").collect()
+    assert [(r.base_failed, r.kept) for r in found] == [
+        (False, True), (False, False), (False, True), (False, False)]
+
+
 # Near duplicates
 
 
