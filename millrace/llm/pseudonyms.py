@@ -26,6 +26,10 @@ HEX = "0123456789abcdef"
 # A number of a North American area or exchange does not begin with 0 or 1.
 AREA = "23456789"
 
+# Names of the months; three letters are the short ones.
+MONTHS = ("January", "February", "March", "April", "May", "June", "July", "August", "September",
+          "October", "November", "December")
+
 FIRST_DAY, LAST_DAY = date(1900, 1, 1).toordinal(), date(2099, 12, 31).toordinal()
 
 
@@ -157,6 +161,13 @@ def _address(found: re.Match, feistel: Feistel, back: bool) -> str | None:
     return ".".join(map(str, feistel.permuted(value, 1 << 32, "address", back).to_bytes(4, "big")))
 
 
+def _alike(text: str, other: str, value: int) -> bool:
+    """Whether ``value`` is written with as many digits as ``text``, beside ``other``."""
+    if len(text) == 1:
+        return value <= 9
+    return len(other) == 2 or (value >= 10) == (int(text) >= 10)
+
+
 def _date(found: re.Match, feistel: Feistel, back: bool) -> str | None:
     first, mark, second, last = found["a"], found["mark"], found["b"], found["c"]
     year_first = len(first) == 4
@@ -180,14 +191,51 @@ def _date(found: re.Match, feistel: Feistel, back: bool) -> str | None:
             new = FIRST_DAY + feistel.permuted(
                 new - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, f"date/{form}", back)
             value = date.fromordinal(new)
-            if year_first or (value.day <= 12) == unclear:
+            one, two = (second, last) if year_first else (first, second)
+            both = (value.day, value.month) if form == 0 and not year_first else (
+                value.month, value.day)
+            if (year_first or (value.day <= 12) == unclear) and _alike(one, two, both[0]) and _alike(
+                    two, one, both[1]):
                 break
-        year, month, at = f"{value.year:04}", f"{value.month:02}", f"{value.day:02}"
-        return mark.join([(year, month, at), (at, month, year), (month, at, year)][
-            0 if year_first else 1 + form])
+        year, parts = f"{value.year:04}", [f"{v:0{len(t)}}" for v, t in zip(both, (one, two))]
+        return mark.join([year, *parts] if year_first else [*parts, year])
     return None
 
 
+def _ordinal(day: int) -> str:
+    return "th" if 11 <= day <= 13 else {1: "st", 2: "nd", 3: "rd"}.get(day % 10, "th")
+
+
+def _named_date(found: re.Match, feistel: Feistel, back: bool) -> str | None:
+    name, at, suffix = found["month"], found["day"], found["suffix"]
+    case = next((c for c in (str.title, str.upper, str.lower) if c(name) == name), None)
+    # May is a whole name; so short names stay among the other months.
+    whole = name.title() in MONTHS
+    months = [m if whole else m[:3] for m in MONTHS]
+    try:
+        day = date(int(found["year"]), months.index(name.title()) + 1, int(at)).toordinal()
+    except ValueError:
+        return None
+    if case is None or not FIRST_DAY <= day <= LAST_DAY or suffix not in (None, _ordinal(int(at))):
+        return None
+    new = day
+    while True:
+        new = FIRST_DAY + feistel.permuted(
+            new - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, "date/named", back)
+        value = date.fromordinal(new)
+        if _alike(at, "", value.day) and (whole or value.month != 5):
+            break
+    out, done = [], 0
+    for group, text in sorted((
+            ("month", case(months[value.month - 1])), ("day", f"{value.day:0{len(at)}}"),
+            ("suffix", suffix and _ordinal(value.day)), ("year", f"{value.year:04}")),
+            key=lambda part: found.start(part[0])):
+        if found[group] is not None:
+            out += (found.group()[done:found.start(group) - found.start()], text)
+            done = found.end(group) - found.start()
+    return "".join(out)
+
+
 def _account(found: re.Match, feistel: Feistel, back: bool) -> str | None:
     compact = found.group().replace(" ", "")
     body = compact[4:]
@@ -236,6 +284,8 @@ class Kind:
 # The first character comes before the look at what precedes it, so that a search can leap
 # from one such character to the next.
 _FIRST, _AFTER = r"[0-9](?<![\w.+-].)", r"(?![\w-]|\.\w)"
+# A month's name after its first letter.
+_NAME = "|".join(f"(?i:{m[1:]}|{m[1:3]})" for m in MONTHS)
 _CARD = (r"(?:[0-9]{12,18}|[0-9]{3}(?:[ -][0-9]{4}){2,3}(?:[ -][0-9]{1,4})?"
          r"|[0-9]{3}[ -][0-9]{6}[ -][0-9]{5})")
 
@@ -253,8 +303,15 @@ KINDS = (
         r"[A-Z](?<!\w.)[A-Z][0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b"), _account),
     Kind("address", re.compile(_FIRST + r"[0-9]{0,2}(?:\.[0-9]{1,3}){3}" + _AFTER), _address),
     Kind("date", re.compile(
-        r"(?P<a>" + _FIRST + r"(?:[0-9]{3}|[0-9]))(?P<mark>[-/.])(?P<b>[0-9]{2})(?P=mark)"
-        r"(?P<c>[0-9]{4}|[0-9]{2})" + _AFTER), _date),
+        r"(?P<a>" + _FIRST + r"(?:[0-9]{3}|[0-9]?))(?P<mark>[-/.])(?P<b>[0-9]{1,2})(?P=mark)"
+        r"(?P<c>[0-9]{4}|[0-9]{1,2})" + _AFTER), _date),
+    Kind("date", re.compile(
+        rf"(?P<month>[JFMASONDjfmasond](?<!\w.)(?:{_NAME}))\.? (?P<day>[0-9]{{1,2}})"
+        r"(?P<suffix>st|nd|rd|th)?,? (?P<year>[0-9]{4})" + _AFTER), _named_date),
+    Kind("date", re.compile(
+        rf"(?P<day>{_FIRST}[0-9]?)(?P<suffix>st|nd|rd|th)?(?: of)?[ -]"
+        rf"(?P<month>[JFMASONDjfmasond](?:{_NAME}))(?:\.,?|,)?[ -](?P<year>[0-9]{{4}})" + _AFTER),
+        _named_date),
     Kind("social", re.compile(_FIRST + r"[0-9]{2}-[0-9]{2}-[0-9]{4}" + _AFTER), _social),
     Kind("card", re.compile(_FIRST + _CARD + _AFTER), _card),
     Kind("phone", re.compile(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 import zlib
 from collections import Counter
 from datetime import date
@@ -389,6 +390,25 @@ def test_what_is_not_valid_stays():
     assert Pseudonymizer(b"key")(text) == (text, {})
 
 
+@pytest.mark.parametrize("text", [
+    "3/14/1985", "1985-3-4", "1985-3-14", "4.3.1985", "14/3/1985", "03/4/1985", "3/04/1985",
+    "March 14, 1985", "Mar. 4, 1985", "14 MAR 1985", "4th of march 1985", "May 1st, 1985",
+    "31-Dec-1999", "December 05 2001"])
+def test_dates_keep_their_format(text):
+    shape = [len(part) for part in re.findall("[0-9]+", text)]
+    for key in (b"key", b"other", b"third"):
+        new, counts = Pseudonymizer(key)(f"born {text}.")
+        assert counts == {"date": 1} and new != f"born {text}."
+        assert [len(part) for part in re.findall("[0-9]+", new)] == shape
+        assert re.sub("[0-9A-Za-z]", "", new) == re.sub("[0-9A-Za-z]", "", f"born {text}.")
+        assert Pseudonymizer(key, back=True)(new)[0] == f"born {text}."
+
+
+def test_what_is_no_date_stays():
+    text = "13/13/1985, 1985-0-4, 1.2.3, 1.2.1985.3, Marching 4, 1985, 31 June 1999, mAy 4, 1985"
+    assert Pseudonymizer(b"key")(text) == (text, {})
+
+
 # Pages
 
 
