@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontamination, urls
+from millrace.llm import chat, decontamination, negatives, urls
 from millrace.llm.cotraining import quality_classifier
 from millrace.llm.html import extracted
 from millrace.llm.licenses import license_scan
@@ -15,9 +16,13 @@ from millrace.llm.near import near_duplicates
 from millrace.llm.packing import pack
 from millrace.llm.pseudonyms import pseudonyms
 from millrace.llm.repetition import repetition
+from millrace.llm.token_files import read_token_files, write_token_files
+from millrace.llm.whitening import whitened
 from millrace.llm.words import small_batches
+from millrace.session import new_folder
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 # Fixed so that results can be compared. A real corpus needs a secret key of its own.
 PSEUDONYM_KEY = b"a key for tests and examples"
@@ -93,3 +98,22 @@ def url_expressions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def schema_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return chat.chat_digests(rows.unionByName(spark.createDataFrame(list(chat.MARKED), rows.schema)))
+
+
+@query("op11_shifted_cholesky_whitening")
+def shifted_cholesky_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened(table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_token_files")
+def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "tokens")
+    write_token_files(table(spark, sf_dir, "documents"), folder, BYTE_TOKENIZER)
+    return read_token_files(spark, folder)
+
+
+@query("op13_hard_negatives", negatives.SQL)
+def hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(
+        table(spark, sf_dir, "embeddings"), label, F.col("vec_id") % 100 == 0)
