@@ -17,8 +17,10 @@ Spark commits are in the manifest, so a lost executor leaves nothing that is eve
 
 from __future__ import annotations
 
+import string
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import accumulate
@@ -31,52 +33,104 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 from millrace.llm.words import slices
 from millrace.session import stored
 
-# Pieces whose ids are remembered in a process, in each of two generations.
-REMEMBERED = 120_000
+# Words whose ids are remembered in a process, in each of two generations.
+REMEMBERED = 200_000
+
+# Words of letters below this are one piece to the tokenizer, whatever its tables of letters.
+LATIN_END = "\u0250"
+
+# Those characters after a word of letters are a piece of their own.
+MARKS = string.punctuation
+
+# Bytes of text that are encoded at once: the more, the fewer words are looked up.
+SLICE_BYTES = 8_000_000
 
 # Ids that are read back at once.
 READ_IDS = 2_000_000
 
 
 class ByteEncoder:
-    """Ids of texts by a byte-level tokenizer without a normalizer, remembered by piece.
+    """Ids of texts by a byte-level tokenizer without a normalizer, remembered by word.
 
     Such a tokenizer begins a new piece at every blank that follows something other than white
     space. So a text's ids are those of its parts cut before these blanks, and the same part
-    has the same ids everywhere. Each new part goes through the whole tokenizer.
+    has the same ids everywhere. Most parts are a blank and a word of Latin letters, which is one
+    piece whose ids come from the tokenizer's model directly, the marks after it, which are
+    another, and at times the end of a line and more words. All else goes through the whole
+    tokenizer. Words are remembered.
     """
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
-        self.young: dict[str, np.ndarray] = {}
-        self.old: dict[str, np.ndarray] = {}
-
-    def _ids(self, piece: str) -> np.ndarray:
-        found = self.young.get(piece)
-        if found is None:
-            found = self.old.get(piece)
+        as_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
+        # The character that stands for each byte; one that is no character alone is never asked for.
+        self.letters = {byte: as_bytes.pre_tokenize_str(chr(byte))[0][0] for byte in range(128)}
+        for code in range(128, 0x250):
+            for byte, letter in zip(chr(code).encode(), as_bytes.pre_tokenize_str(chr(code))[0][0]):
+                self.letters[byte] = letter
+        self.newline = self._whole("\n")
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _whole(self, part: str) -> bytes:
+        return array("I", self.tokenizer.encode(part, add_special_tokens=False).ids).tobytes()
+
+    def _ids(self, part: str) -> bytes:
+        """The ids of a part that is not remembered."""
+        word = part.removeprefix(" ")
+        if word.isalpha() and max(word) < LATIN_END:
+            part = part.encode().decode("latin-1").translate(self.letters)
+            return array("I", [token.id for token in self.tokenizer.model.tokenize(part)]).tobytes()
+        return self._whole(part)
+
+    def _lists(self, parts: list[str]) -> list[bytes]:
+        """The ids of each part."""
+        young, old = self.young, self.old
+
+        def remembered(part: str) -> bytes:
+            found = young.get(part)
             if found is None:
-                found = np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids,
-                                 dtype=np.uint32)
-            self.young[piece] = found
-        return found
+                found = old.get(part)
+                if found is None:
+                    found = self._ids(part)
+                young[part] = found
+            return found
+
+        def ids(part: str) -> bytes:
+            word = part.rstrip(MARKS)
+            # A word and the marks after it are two pieces.
+            if len(word) < len(part) and word.removeprefix(" ").isalpha():
+                return remembered(word) + remembered(part[len(word):])
+            return remembered(part)
+
+        lists = []
+        for part in parts:
+            if "\n" in part:
+                lines = part.split("\n")
+                # A line's end between two things that are no white space is a piece.
+                if all(line and not line[-1].isspace() for line in lines) and not any(
+                        line[0].isspace() for line in lines[1:]):
+                    lists.append(self.newline.join(map(ids, lines)))
+                    continue
+            lists.append(ids(part))
+        return lists
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, and where each text begins in them."""
         if len(self.young) > REMEMBERED:
             self.old, self.young = self.young, {}
-        lists = pc.split_pattern(texts, " ")
-        offsets = np.asarray(lists.offsets, dtype=np.int64)
-        values = lists.values.slice(offsets[0], offsets[-1] - offsets[0])
+        split = pc.split_pattern(texts, " ")
+        offsets = np.asarray(split.offsets, dtype=np.int64)
+        words = split.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
         offsets = offsets - offsets[0]
-        encoded = values.dictionary_encode()
-        codes = np.asarray(encoded.indices).astype(np.int64)
-        vocabulary = encoded.dictionary.to_pylist()
-        # A blank after white space, or after nothing, does not begin a piece.
+        codes = np.asarray(words.indices).astype(np.int64)
+        vocabulary = words.dictionary.to_pylist()
+        # A blank after white space, or after nothing, does not begin a part.
         holds = np.array([not w or w[-1].isspace() for w in vocabulary], dtype=bool)
         first = np.zeros(len(codes), dtype=bool)
         first[offsets[:-1]] = True
@@ -84,28 +138,22 @@ class ByteEncoder:
         begins[1:] |= ~holds[codes[:-1]]
         at = np.nonzero(begins)[0]
         ends = np.append(at[1:], len(codes))
-        # The number of a piece of one word tells the word and whether a blank is before it.
-        pieces = codes[at] * 2 + ~first[at]
-        known: dict[int, str] = {}
+        # The number of a part of one word tells the word and whether a blank is before it.
+        numbers = codes[at] * 2 + ~first[at]
         longer: dict[str, int] = {}
         for k in np.nonzero(ends - at > 1)[0].tolist():
-            piece = " ".join(vocabulary[c] for c in codes[at[k]:ends[k]].tolist())
-            piece = piece if first[at[k]] else " " + piece
-            pieces[k] = longer.setdefault(piece, 2 * len(vocabulary) + len(longer))
+            part = " ".join(vocabulary[c] for c in codes[at[k]:ends[k]].tolist())
+            part = part if first[at[k]] else " " + part
+            numbers[k] = longer.setdefault(part, 2 * len(vocabulary) + len(longer))
         present = np.zeros(2 * len(vocabulary) + len(longer), dtype=bool)
-        present[pieces] = True
-        for number in np.nonzero(present[:2 * len(vocabulary)])[0].tolist():
-            known[number] = (" " if number & 1 else "") + vocabulary[number >> 1]
-        known.update((number, piece) for piece, number in longer.items())
-        numbers = np.zeros(len(present), dtype=np.int64)
-        parts, lengths = [], np.zeros(len(known), dtype=np.int64)
-        for k, (number, piece) in enumerate(known.items()):
-            ids = self._ids(piece)
-            numbers[number], lengths[k] = k, len(ids)
-            parts.append(ids)
-        flat = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
+        present[numbers] = True
+        short = np.nonzero(present[:2 * len(vocabulary)])[0].tolist()
+        parts = [" " + vocabulary[n >> 1] if n & 1 else vocabulary[n >> 1] for n in short]
+        lists = self._lists(parts + list(longer))
+        lengths = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists)) // 4
+        flat = np.frombuffer(b"".join(lists), dtype=np.uint32)
         places = np.cumsum(lengths) - lengths
-        which = numbers[pieces]
+        which = (np.cumsum(present) - 1)[numbers]
         sizes = lengths[which]
         after = np.cumsum(sizes)
         total = int(after[-1]) if len(after) else 0
@@ -155,7 +203,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
         files, root = place(folder)
         out, lengths, ids, nulls = None, [], [], 0
         for batch in batches:
-            for rows, texts in slices(batch, "text"):
+            for rows, texts in slices(batch, "text", SLICE_BYTES):
                 if out is None:
                     files.create_dir(root, recursive=True)
                     out = files.open_output_stream(f"{root}/{names[0]}")
