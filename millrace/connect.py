@@ -28,15 +28,15 @@ from pyspark.sql.types import IntegerType, LongType, StringType, StructField, St
 
 from .model import TableSpec
 from .operators.deltas import backfill_deltas
-from .operators.lookups import table_at
 from .operators.merge import split_key_updates
-from .session import read_if_written, stored
+from .operators.routing import OTHER, REJECTED, event_rows, routed, routes_of, write_routed
+from .session import new_folder, read_if_written, stored
 from .sinks.state import StateTable
 from .sinks.tables import (Processor, append_rows, check_table, create_table, sink_table_name,
                            sink_table_schema)
 from .sources import jdbc
-from .sources.log import (RAW_EVENTS, TABLE_MAP, other_events, row_changes, stream_log,
-                          typed_changes, unmapped_changes)
+from .sources.log import RAW_EVENTS, stream_log, typed_deltas
+from .sources.mappings import MappingState
 from .streaming.runs import start
 
 # The batch a backfill is delivered as; the log's batches count from 0.
@@ -147,27 +147,35 @@ class RawLakeSource:
     def raw_log(self, spark: SparkSession) -> DataFrame:
         return stream_log(spark, self.events, RAW_EVENTS, self.files_per_batch)
 
-    def raw_processor(self, origin: str,
-                      targets: Sequence[tuple[TableSpec, Sequence[Processor]]]) -> Processor:
-        """Types the changes of each table for its processors, and sets the others apart."""
-        place = ["op", "epoch", "filename", "offset", "seq"]
+    def raw_processor(self, spark: SparkSession, origin: str,
+                      targets: Sequence[tuple[TableSpec, Sequence[Processor]]],
+                      state: str) -> Processor:
+        """Hands the changes of each table to its processors, and sets the others apart.
+
+        A batch is read once, whatever the number of tables: its rows get their tables from the
+        mappings known so far, which are kept below ``state``, are checked, and are written in
+        a folder for each table. Processors of tables without rows are not called.
+        """
+        mappings = MappingState(spark, self.table_map, state, self.files_per_batch)
+        tables = [table for table, _ in targets]
 
         def process(batch: DataFrame, batch_id: int) -> None:
             name = batch_name(origin, batch, batch_id)
-            changes = stored(row_changes(batch), "changes")
-            table_map = batch.sparkSession.read.schema(TABLE_MAP).parquet(self.table_map)
-            mapped = stored(table_at(changes, table_map), "mapped")
-            rejected = unmapped_changes(changes, table_map).select(
-                F.lit(None).cast("string").alias("db"), F.lit(None).cast("string").alias("tbl"),
-                "table_id", *place, F.lit("no table mapped").alias("reason"))
-            for table, processors in targets:
-                typed = stored(typed_changes(mapped, table), "typed")
-                bad = F.col("reason").isNotNull()
-                rejected = rejected.unionByName(typed.where(bad).select(
-                    "db", "tbl", F.lit(None).cast("long").alias("table_id"), *place, "reason"))
-                for processor in processors:
-                    processor(typed.where(~bad).drop("reason"), batch_id)
-            for label, rows in (("rows", rejected), ("events", other_events(batch))):
+            mappings.refresh()
+            written = write_routed(routed(mappings.names_at(event_rows(batch)), tables),
+                                   new_folder(batch.sparkSession, "routed"))
+            present = routes_of(written)
+            for number, (table, processors) in enumerate(targets):
+                if number in present:
+                    deltas = typed_deltas(written.where(F.col("route") == number), table)
+                    for processor in processors:
+                        processor(deltas, batch_id)
+            mapped = F.col("tbl").isNotNull()
+            rejected = written.where(F.col("route") == REJECTED).select(
+                "db", "tbl", F.when(~mapped, F.col("table_id")).alias("table_id"), "op", "epoch",
+                "filename", "offset", "seq", "reason")
+            others = written.where(F.col("route") == OTHER).groupBy("event_type").count()
+            for label, rows in (("rows", rejected), ("events", others)):
                 rows.write.mode("overwrite").parquet(f"{self.rejected}/{label}/batch_id={name}")
 
         return process
@@ -260,9 +268,12 @@ class StateSink:
         return process
 
     def end_backfill(self, table: TableSpec, replaces: int | None) -> None:
-        """Leave out the keys that the backfill of an epoch that replaces others did not bring."""
-        if replaces is not None or self.compact_every:
-            self.state(table).compact(replaces)
+        """Close the epochs before the one that ``replaces`` them, late log rows included."""
+        state = self.state(table)
+        if replaces is not None:
+            state.raise_fence(replaces)
+        if self.compact_every:
+            state.compact()
 
 
 @dataclass
@@ -410,7 +421,8 @@ def run(spark: SparkSession, specification: dict, checkpoints: str, continuous:
 
     A backfill, or part of one, that was completed is not read again. To read a changed source
     anew, raise its epoch: keys that the new backfill does not bring are then left out of a
-    state sink. So sources that share a table of a state sink must not raise their epochs.
+    state sink, and so are rows of the old epochs' log that land later. So sources that share a
+    table of a state sink must not raise their epochs.
     """
     sources, sinks, links = connect(specification)
     for sink in sinks.values():
@@ -437,6 +449,7 @@ def run(spark: SparkSession, specification: dict, checkpoints: str, continuous:
     for name, source in sources.items():
         targets = [(load.feed.table, load.processors()) for load in loads if load.source == name]
         if isinstance(source, RawLakeSource) and targets:
-            follow(source.raw_log(spark),
-                   [source.raw_processor(f"{name}-e{source.epoch}", targets)], f"{name}/raw log")
+            process = source.raw_processor(spark, f"{name}-e{source.epoch}", targets,
+                                           f"{checkpoints}/{name}/mappings")
+            follow(source.raw_log(spark), [process], f"{name}/raw log")
     return sinks

@@ -40,13 +40,9 @@ def tombstones(latest: DataFrame) -> DataFrame:
     return latest.where(F.col("op") == DELETE)
 
 
-def swept(latest: DataFrame, epoch: int) -> DataFrame:
-    """``latest`` without the keys last seen before ``epoch``.
-
-    For use once that epoch's backfill is complete: a key it did not bring was
-    deleted between the epochs.
-    """
-    return latest.where(F.col("epoch") >= epoch)
+def of_epochs_from(deltas: DataFrame, epoch: int) -> DataFrame:
+    """The deltas of ``epoch`` and those after it: what is left when the ones before are over."""
+    return deltas.where(F.col("epoch") >= epoch)
 
 
 def merge_latest(state: DataFrame, newer: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..connect import StateSink, run
@@ -223,6 +223,70 @@ def reload_epoch(spark: SparkSession, sf: str) -> DataFrame:
     return states[0].unionByName(states[1])
 
 
+# Late rows of epoch 0 behind the reload: accounts 0, 1 and 2 of five update, are new, and go.
+# Of epoch 1's log, every seventh account is updated.
+LATE_EPOCH_SQL = """SELECT sink, c_custkey AS k,
+  CASE WHEN c_custkey % 7 = 0 THEN c_acctbal + 1 ELSE 2 * c_acctbal END AS v, c_mktsegment AS s
+FROM customer, (VALUES ('plain'), ('compacted'), ('compacted later')) AS sinks(sink)
+WHERE c_custkey % 5 <> 0"""
+
+
+def _late_epoch_log(rows: DataFrame) -> DataFrame:
+    """Log rows in the columns of a landed log: old ones of epoch 0 and a few of epoch 1."""
+    late = F.pmod("k", F.lit(5))
+    op = F.when(late == 0, "U").when(late == 1, "I").when(late == 2, "D")
+    image = F.struct("k", "v", "s")
+    none = F.lit(None).cast(i.ACCOUNT.schema)
+
+    def log(kind: Column, after: Column, epoch: int) -> DataFrame:
+        return rows.select(
+            F.lit(i.ACCOUNT.db).alias("db"), F.lit(i.ACCOUNT.name).alias("tbl"),
+            kind.alias("op"), "k", F.when(kind != "I", image).alias("before"),
+            F.when(kind != "D", after).otherwise(none).alias("after"),
+            F.lit(epoch).alias("epoch"), F.lit("bin.000009").alias("filename"),
+            (4 + F.col("k")).alias("offset"), F.lit(0).alias("seq")).where(kind.isNotNull())
+
+    newer = F.when((F.pmod("k", F.lit(7)) == 0) & (late != 0), "U")
+    return log(op, image, 0).unionByName(
+        log(newer, F.struct("k", (F.col("v") + 1).alias("v"), "s"), 1))
+
+
+@query("reload_epoch_late", LATE_EPOCH_SQL)
+def reload_epoch_late(spark: SparkSession, sf: str) -> DataFrame:
+    """A reload in a new epoch, and then log rows of the old epoch that land behind it.
+
+    They would update accounts that are gone, bring in others and delete some that are there.
+    """
+    folder = new_folder(spark, "reload-late")
+    rows = i.account_rows(i.table(spark, sf, "customer"))
+    versions = (rows, rows.where("k % 5 <> 0").withColumn("v", 2 * F.col("v")))
+    exporters = {name: {"type": "state", "warehouse": folder, "dataset_id": name.replace(" ", "_"), "compact_every": every}
+                 for name, every in (("plain", None), ("compacted", 1),
+                                     ("compacted later", None))}
+    log = _late_epoch_log(rows)
+    log.limit(0).write.parquet(f"{folder}/log")
+
+    def load(epoch: int) -> dict:
+        return run(spark, {
+            "importers": {"shop": {"type": "lake", "database": i.ACCOUNT.db, "epoch": epoch,
+                                   "tables": {i.ACCOUNT.name: {
+                                       "rows": f"{folder}/rows-{epoch}",
+                                       "log": f"{folder}/log", "key": KEY}}}},
+            "exporters": exporters,
+            "connections": {name: {"in": "shop", "out": name} for name in exporters},
+        }, f"{folder}/checkpoints")
+
+    for epoch, version in enumerate(versions):
+        version.write.parquet(f"{folder}/rows-{epoch}")
+        load(epoch)
+    log.write.mode("append").parquet(f"{folder}/log")
+    sinks = load(1)
+    sinks["compacted later"].state(i.ACCOUNT).compact()
+    states = [sinks[name].state(i.ACCOUNT).rows().select(F.lit(name).alias("sink"), "*")
+              for name in exporters]
+    return states[0].unionByName(states[1]).unionByName(states[2])
+
+
 RAW_RUN_SQL = i.with_(i.RAW_SQL, i.TABLE_MAP_SQL, i.BACKFILL_SQL) + """, ours AS (
   SELECT r.* FROM raw_changes r JOIN table_map m USING (epoch, filename, table_id)
   WHERE m.tbl = 'account')

@@ -10,6 +10,7 @@ from ..operators.merge import current_state
 from ..session import new_folder
 from ..sinks.tables import append_rows, read_appended
 from ..sources.log import stream_log
+from ..sources.mappings import MappingState
 from ..streaming import runs as r
 from . import inputs as i
 from .merging import APPENDED_SQL, KEY, new_state
@@ -70,6 +71,34 @@ def stream_resume(spark: SparkSession, sf: str) -> DataFrame:
     return i.flat(spark.read.schema(log.schema).parquet(f"{folder}/rows"))
 
 
+@query("stream_table_at", i.with_(i.CHANGELOG_SQL, i.TABLE_MAP_SQL, i.MULTI_LOG_SQL) + """
+SELECT r.db, r.tbl, g.op, g.k, g.epoch, g.filename, g."offset", g.seq, g.table_id
+FROM multi_log g LEFT JOIN table_map r ON g.epoch = r.epoch AND g.table_id = r.table_id
+  AND g.filename = r.filename""")
+def stream_table_at(spark: SparkSession, sf: str) -> DataFrame:
+    """A log of two tables as it lands, with the mappings known by then.
+
+    First the files of even numbers land and their mappings, then the others, whose mappings
+    come late, between those known, and the first ones once more. Rows without a mapping stay.
+    """
+    folder = new_folder(spark, "stream-table-at")
+    log = i.multi_log(spark, sf).drop("after_v", "after_s")
+    table_map = i.table_map(spark, sf)
+    even = F.right("filename", F.lit(1)).isin("0", "2", "4", "6", "8")
+    state = MappingState(spark, f"{folder}/table-map", f"{folder}/state")
+
+    def named(batch: DataFrame, batch_id: int) -> None:
+        state.refresh()
+        state.names_at(batch).write.mode("overwrite").parquet(f"{folder}/rows/batch_id={batch_id}")
+
+    for rows, mappings in ((even, even), (~even, F.lit(True))):
+        table_map.where(mappings).write.mode("append").parquet(f"{folder}/table-map")
+        log.where(rows).write.mode("append").parquet(f"{folder}/log")
+        r.run(stream_log(spark, f"{folder}/log", log.schema), [named], f"{folder}/checkpoint")
+    return spark.read.parquet(f"{folder}/rows").select(
+        "db", "tbl", "op", "k", "epoch", "filename", "offset", "seq", "table_id")
+
+
 @query("stream_counts", i.with_(*i.ALL_DELTAS_SQL) + """SELECT db, tbl,
   CASE WHEN "offset" = 0 THEN 'backfill' ELSE 'iterative' END AS phase, count(*) AS count
 FROM deltas GROUP BY ALL""")

@@ -2,7 +2,8 @@
 
 Below ``root`` there are
 
-``versions``                  one row per finished base: its number and folder
+``versions``                  one row per finished base or raised fence: the base's number
+                              and folder, and the fence
 ``base/<folder>``             the latest delta per key, tombstones included, in
                               buckets of the key
 ``delta/v=<n>/batch_id=<i>``  what batch ``i`` brought on top of base ``n``
@@ -11,6 +12,11 @@ A batch that is delivered again overwrites its own folder, or, after the base wa
 rewritten, adds deltas the base already has. Neither changes the result, since
 the greatest position wins. A base counts once its row is in ``versions``; one
 that was left unfinished is never read. One job at a time may write.
+
+The fence is an epoch. When a source was read anew in a higher epoch and all of it has
+come, the epochs before are over: whatever has a lower one, be it stored or still landing,
+is not there any more. A late delta of an old epoch therefore cannot bring back a key that
+the new epoch's backfill did not have, though no tombstone of that key is kept.
 """
 
 from __future__ import annotations
@@ -24,17 +30,24 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from ..model import TableSpec
-from ..operators.merge import latest_delta, live_rows, merge_latest, swept, tombstones
+from ..operators.merge import (latest_delta, live_rows, merge_latest, of_epochs_from,
+                               tombstones)
 from ..session import read_if_written
 
 _VERSIONS = StructType([StructField("version", LongType()), StructField("buckets", IntegerType()),
-                        StructField("folder", StringType())])
+                        StructField("folder", StringType()),
+                        StructField("fence", IntegerType())])
 
 
 class _Base(NamedTuple):
     version: int
     buckets: int
     folder: str | None
+    fence: int | None = None
+
+    def holds(self, deltas: DataFrame) -> DataFrame:
+        """Those of ``deltas`` that are not of an epoch that is over."""
+        return deltas if self.fence is None else of_epochs_from(deltas, self.fence)
 
 
 class StateTable:
@@ -57,8 +70,9 @@ class StateTable:
     def _newest(self) -> _Base:
         """The newest base; number 0 stands for none."""
         versions = read_if_written(self.spark, f"{self.root}/versions", _VERSIONS)
-        newest = (None if versions is None else
-                  versions.agg(F.max_by(F.struct("*"), "version").alias("v")).first().v)
+        # Of the rows of one base, the one with the highest fence counts; null is below all.
+        newest = (None if versions is None else versions.agg(
+            F.max_by(F.struct("*"), F.struct("version", "fence")).alias("v")).first().v)
         return _Base(0, self.buckets, None) if newest is None else _Base(*newest)
 
     @staticmethod
@@ -83,28 +97,29 @@ class StateTable:
         """Add a batch. The same batch may come again, and batches in any order.
 
         A batch known to hold each key once, as a backfill does, need not be reduced:
-        it is then written without a shuffle.
+        it is then written without a shuffle. Deltas below the fence are not written.
         """
+        base = self._newest()
+        deltas = base.holds(deltas)
         if reduce:
             deltas = latest_delta(deltas, self.key)
         deltas.select(*self.schema.fieldNames()).write.mode("overwrite").parquet(
-            f"{self.root}/delta/v={self._newest().version}/batch_id={batch_id}")
+            f"{self.root}/delta/v={base.version}/batch_id={batch_id}")
 
     def latest(self) -> DataFrame:
         """Key, operation, after-image and position of every key, tombstones included."""
         return self._latest(self._newest())
 
     def _latest(self, base: _Base) -> DataFrame:
+        stored = None if base.folder is None else base.holds(self._rows_of(base))
         batches = self._batches(base.version)
         if batches is None:
-            return (self.spark.createDataFrame([], self.schema) if base.folder is None
-                    else self._rows_of(base))
+            return self.spark.createDataFrame([], self.schema) if stored is None else stored
         # A key is at most once in each batch, so it is not hot here. With as many
         # partitions as the base has buckets, the base is not shuffled.
-        recent = latest_delta(batches.repartition(base.buckets, *self.key), self.key)
-        if base.folder is None:
-            return recent
-        return merge_latest(self._rows_of(base), recent, self.key)
+        recent = latest_delta(
+            base.holds(batches).repartition(base.buckets, *self.key), self.key)
+        return recent if stored is None else merge_latest(stored, recent, self.key)
 
     def rows(self) -> DataFrame:
         """The table as it is now."""
@@ -113,21 +128,31 @@ class StateTable:
     def deleted(self) -> DataFrame:
         return tombstones(self.latest())
 
-    def compact(self, epoch: int | None = None) -> None:
-        """Write a new base from the present one and its batches.
+    def fence(self) -> int | None:
+        """The lowest epoch whose deltas count, None if all do."""
+        return self._newest().fence
+
+    def raise_fence(self, epoch: int) -> None:
+        """Leave out all keys and deltas of lower epochs, from now on and for good.
 
-        With an ``epoch`` whose backfill is complete, keys it did not bring are left out.
+        For use once that epoch's backfill is complete: a key it did not bring was deleted
+        between the epochs. Nothing is rewritten; the next ``compact`` drops what is left out.
         """
+        base = self._newest()
+        if base.fence is None or base.fence < epoch:
+            self._note(base._replace(fence=epoch))
+
+    def _note(self, base: _Base) -> None:
+        self.spark.createDataFrame([base], _VERSIONS).coalesce(1).write.mode("append").parquet(
+            f"{self.root}/versions")
+
+    def compact(self) -> None:
+        """Write a new base from the present one and its batches."""
         old = self._newest()
-        new = _Base(old.version + 1, old.buckets,
-                    f"{self.root}/base/v={old.version + 1}-{uuid.uuid4().hex}")
+        new = old._replace(version=old.version + 1,
+                           folder=f"{self.root}/base/v={old.version + 1}-{uuid.uuid4().hex}")
         # The merge leaves each bucket in a task of its own, so it is one file.
-        latest = self._latest(old)
-        if epoch is not None:
-            latest = swept(latest, epoch)
-        state = latest.select(*self.schema.fieldNames())
+        state = self._latest(old).select(*self.schema.fieldNames())
         (state.write.format("parquet").bucketBy(new.buckets, *self.key).sortBy(*self.key)
          .option("path", new.folder).saveAsTable(self._table_name(new.folder)))
-        self.spark.range(1).select(
-            F.lit(new.version).cast("long").alias("version"), F.lit(new.buckets).alias("buckets"),
-            F.lit(new.folder).alias("folder")).write.mode("append").parquet(f"{self.root}/versions")
+        self._note(new)

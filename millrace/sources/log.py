@@ -9,7 +9,7 @@ from pyspark.sql.types import StructType
 from ..functions.types import read_text
 from ..model import TableSpec
 from ..operators.checks import has_width, is_full_image
-from ..operators.deltas import TABLE_MAP_EVENT, operation, row_events, unpack_rows
+from ..operators.deltas import row_events, unpack_rows
 from ..operators.lookups import orphans, table_at
 
 # Raw log events. A row change has the values before and after it, each as the bytes
@@ -72,13 +72,6 @@ def table_changes(changes: DataFrame, table_map: DataFrame, table: TableSpec) ->
     return typed_changes(table_at(changes, table_map), table)
 
 
-def other_events(events: DataFrame) -> DataFrame:
-    """How many events of each type are neither row changes nor table mappings."""
-    kind = F.col("event_type")
-    return events.where(operation(kind).isNull() & ~kind.eqNullSafe(F.lit(TABLE_MAP_EVENT))) \
-        .groupBy("event_type").count()
-
-
 def typed_changes(mapped: DataFrame, table: TableSpec) -> DataFrame:
     """Of row changes with their ``db, tbl`` those of one table, with a column ``reason``.
 
@@ -96,7 +89,18 @@ def typed_changes(mapped: DataFrame, table: TableSpec) -> DataFrame:
         .when(~_sides(lambda values, _: has_width(values, width)), "wrong number of values")
         .when(_unreadable("before", "old", schema) | _unreadable("after", "new", schema),
               "value not of its type"))
+    return typed.select(*_delta_columns(table), reason.alias("reason"))
+
+
+def _delta_columns(table: TableSpec) -> list[Column]:
     key = [F.coalesce(F.col("new")[k], F.col("old")[k]).alias(k) for k in table.key]
-    return typed.select("db", "tbl", "op", *key, F.col("old").alias("before"),
-                        F.col("new").alias("after"), "epoch", "filename", "offset", "seq",
-                        reason.alias("reason"))
+    return [F.col("db"), F.col("tbl"), F.col("op"), *key, F.col("old").alias("before"),
+            F.col("new").alias("after"), F.col("epoch"), F.col("filename"), F.col("offset"),
+            F.col("seq")]
+
+
+def typed_deltas(routed: DataFrame, table: TableSpec) -> DataFrame:
+    """The rows that were routed to a table, which have no faults, as its deltas."""
+    typed = routed.withColumn("old", _image("before", table.schema)).withColumn(
+        "new", _image("after", table.schema))
+    return typed.select(*_delta_columns(table))

@@ -77,7 +77,7 @@ def test_a_new_epochs_backfill_outranks_the_old_log(spark):
     rows = [delta("U", 1, 50), delta("U", 2, 51), delta("I", 1, 0, file=0, epoch=1)]
     latest = g.latest_delta(spark.createDataFrame(rows, SCHEMA), KEY)
     assert {r.k: r.epoch for r in latest.collect()} == {1: 1, 2: 0}
-    assert [r.k for r in g.swept(latest, 1).collect()] == [1]
+    assert [r.k for r in g.of_epochs_from(latest, 1).collect()] == [1]
 
 
 def test_key_change(spark):
@@ -228,3 +228,42 @@ def test_hot_key_is_reduced_before_the_shuffle(spark):
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert text.index("partial_max_by") > text.index("Exchange hashpartitioning")
     assert plan.select(F.count("*")).first()[0] == 1
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.randoms(use_true_random=False))
+def test_the_fence_closes_older_epochs_for_good(spark, tmp_path_factory, rng):
+    """Deltas of three epochs in any order; fences and compactions between them."""
+    deltas = [delta(rng.choice("IUD"), rng.randrange(6), n, file=rng.randrange(3),
+                    epoch=rng.randrange(3), seq=n) for n in range(rng.randrange(1, 25))]
+    state = StateTable(spark, str(tmp_path_factory.mktemp("state")), ACCOUNT, buckets=2)
+    fence = None
+    for n, d in enumerate(rng.sample(deltas, len(deltas))):
+        if n % 5 == 0:
+            state.apply(spark.createDataFrame(
+                rng.sample(deltas, len(deltas))[n:n + 5] + [d], SCHEMA), n)
+        if rng.random() < 0.15:
+            epoch = rng.randrange(3)
+            state.raise_fence(epoch)
+            fence = epoch if fence is None else max(fence, epoch)
+        if rng.random() < 0.15:
+            state.compact()
+    state.apply(spark.createDataFrame(deltas, SCHEMA), "last")
+    assert state.fence() == fence
+    want = expected([d for d in deltas if fence is None or d[6] >= fence])
+    assert rows_of(state.rows()) == want
+    state.compact()
+    assert rows_of(state.rows()) == want
+
+
+def test_a_state_written_before_there_were_fences_is_read(spark, tmp_path):
+    state = StateTable(spark, f"{tmp_path}/state", ACCOUNT, buckets=2)
+    state.apply(spark.createDataFrame([delta("I", k, 0, file=0) for k in (1, 2)], SCHEMA), 0)
+    state.compact()
+    path = f"{tmp_path}/state/versions"
+    old = spark.createDataFrame([tuple(r)[:3] for r in spark.read.parquet(path).collect()],
+                                "version long, buckets int, folder string")
+    old.write.mode("overwrite").parquet(path)
+    assert state.fence() is None and state.rows().count() == 2
+    state.raise_fence(1)
+    assert state.rows().count() == 0
