@@ -33,9 +33,12 @@ _ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s
 # HTML's own element names.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
-INLINE = frozenset((
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp "
-    "small span strike strong sub sup time tt u var wbr").split())
+# Elements that stand apart from their neighbours; all others, unknown ones too, are part of a line.
+BLOCKS = frozenset((
+    "address article aside blockquote body br button caption center dd details dialog dir div dl dt "
+    "fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html "
+    "iframe legend li main menu nav object ol optgroup option p pre search section select summary "
+    "svg table tbody td textarea tfoot th thead title tr ul video").split())
 # What a start tag closes, if it is open.
 CLOSES = {
     **dict.fromkeys((
@@ -43,7 +46,7 @@ CLOSES = {
         "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section "
         "table ul").split(), ("p",)),
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"),
-    "td": ("td", "th"), "th": ("td", "th"), "option": ("option",),
+    "td": ("td", "th"), "th": ("td", "th"), "option": ("option",), "a": ("a",),
 }
 # Open elements that a start or end tag of another kind does not reach behind.
 SCOPES = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",),
@@ -68,11 +71,25 @@ AROUND = frozenset((
     "search").split())
 
 # Text that is read as one with its neighbours: the heart is looked for around it.
-TEXT = INLINE | frozenset((
+TEXT = frozenset((
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp "
+    "small span strike strong sub sup time tt u var wbr "
     "h1 h2 h3 h4 h5 h6 p pre blockquote li dt dd ul ol dl figure figcaption br").split())
 # Elements that put others together; lists of links, cards and menus are among them.
 GROUPS = frozenset("div section article center details table ul ol dl p li".split())
 
+# What ends a sentence: text that has it, outside links, may be an article's.
+SENTENCE = re.compile("[.!?\u2026\u3002\uff01\uff1f]")
+# How a notice of rights begins, wherever it stands, and what it says beside the article.
+RIGHTS = re.compile(r"\s*(?:\u00a9|(?:copyright\s*)?(?:\(c\)|\u00a9)|copyright\s+\d{4})", re.I)
+RIGHTS_BESIDE = re.compile(r"\s*(?:\u00a9|\(c\)|copyright\b)|.*\ball rights reserved\b", re.I | re.S)
+# Elements that such a notice may fill.
+RIGHTS_IN = frozenset("p div small section li center".split())
+# Words of a heading over links that lead elsewhere; links below other headings are references.
+ELSEWHERE = frozenset((
+    "related more also popular recommended trending latest share follow next previous menu "
+    "navigation tags categories").split())
+
 _SPLIT = re.compile(r"[\s_-]+|(?<=[a-z])(?=[A-Z])")
 
 
@@ -118,7 +135,7 @@ class Page:
             if name in RAW:
                 last = re.compile(rf"</{re.escape(name)}\b", re.I).search(html, at)
                 at = last.start() if last else len(html)
-            elif name in VOID or found["rest"].endswith("/>"):
+            elif name in VOID:
                 continue
             stack.append(node)
             self.open[name] += 1
@@ -161,50 +178,115 @@ def _article(page: Page) -> list[int]:
     return found
 
 
-def _around(page: Page, article: list[int]) -> list[bool]:
-    """Which nodes are around the article, whatever they are called.
+def _subtrees(page: Page, own: list[bool]) -> list[bool]:
+    """Which nodes are marked themselves or hold one that is."""
+    holds = list(own)
+    for node in range(len(holds) - 1, 0, -1):
+        holds[page.parents[node]] |= holds[node]
+    return holds
+
+
+def _prose(page: Page, dropped: list[bool]) -> bool:
+    """Whether a sentence is left outside links."""
+    linked: list[bool] = []
+    for node, (name, parent) in enumerate(zip(page.names, page.parents)):
+        linked.append(name == "a" or parent >= 0 and linked[parent])
+        if not dropped[node] and not linked[node] and any(
+                isinstance(i, str) and SENTENCE.search(i) for i in page.items[node]):
+            return True
+    return False
+
+
+def _dropped(page: Page, article: list[int]) -> list[bool]:
+    """Which nodes are not looked at, with all that is in them.
 
-    They hold a main or the h1; or half of the page's characters outside links, where no main, h1
-    or article stands beside them; or four fifths of them.
+    Elements that never hold an article go, and so do those whose names tell that they are
+    something else, unless they hold the article: a main, an h1 or an article that is not itself
+    part of something else, or, if no sentence is left then, any of these. If there is still none,
+    the article is in an element with such a name, and those that hold the heart of all that is
+    left stay.
     """
     n = len(page.names)
-    chars, marks, outer = [0] * n, [0] * n, [0] * n
-    for node in range(n - 1, -1, -1):
-        name, parent = page.names[node], page.parents[node]
-        if name in BOILERPLATE and name != "form":
-            chars[node] = marks[node] = outer[node] = 0
+    plain, named, foreign = [False] * n, [False] * n, [False] * n
+    for node, (name, parent) in enumerate(zip(page.names, page.parents)):
+        foreign[node] = parent >= 0 and foreign[parent]
+        if parent < 0 or name in ("html", "body"):
             continue
-        chars[node] += sum(len("".join(i.split())) for i in page.items[node] if isinstance(i, str))
-        marks[node] += name in ("main", "h1")
-        outer[node] += article[node] == node
-        if parent >= 0:
-            chars[parent] += 0 if name == "a" else chars[node]
-            marks[parent] += marks[node]
-            outer[parent] += outer[node]
-    return [bool(m) or c > 0 and (
-        5 * c >= 4 * chars[0] or 2 * c >= chars[0] and not marks[0] and o == outer[0])
-        for c, m, o in zip(chars, marks, outer)]
+        plain[node] = name in BOILERPLATE and name != "form" or (
+            name == "header" and article[node] < 0)
+        named[node] = name == "form"
+        if page.attributes[node]:
+            words, hidden = page.words_of(node)
+            plain[node] |= hidden
+            foreign[node] |= bool(words & FOREIGN)
+            named[node] |= bool(words & (FOREIGN | AROUND))
+    plain = _downwards(page, plain)
+    marks = [name in ("main", "h1", "article") and not gone
+             for name, gone in zip(page.names, plain)]
+    outside = [mark and not inside for mark, inside in zip(marks, foreign)]
+    for some in (outside, marks):
+        holds = _subtrees(page, some)
+        strict = _downwards(page, [gone or other and not held
+                                   for gone, other, held in zip(plain, named, holds)])
+        if _prose(page, strict):
+            return strict
+    # Something else within something else, as one comment of many, stays out of the search.
+    inner = [other and any_above for other, any_above in zip(named, _above(page, named))]
+    heart = _heart(page, article, _downwards(page, [a or b for a, b in zip(plain, inner)]))
+    around = set()
+    while heart > 0:
+        around.add(heart)
+        heart = page.parents[heart]
+    return _downwards(page, [gone or other and not held and node not in around for node, (
+        gone, other, held) in enumerate(zip(plain, named, holds))])
 
 
-def _dropped(page: Page, article: list[int]) -> list[bool]:
-    """Which nodes are not looked at, with all that is in them."""
-    holds = [name in ("article", "main", "h1", "body") for name in page.names]
-    for node in range(len(holds) - 1, 0, -1):
-        holds[page.parents[node]] |= holds[node]
-    around = _around(page, article)
-    dropped: list[bool] = []
-    for node, (name, parent) in enumerate(zip(page.names, page.parents)):
-        gone = parent >= 0 and dropped[parent]
-        if not gone and name not in ("html", "body"):
-            gone = name in BOILERPLATE or (name == "header" and article[node] < 0)
-            if name == "form":
-                gone = not around[node] and not holds[node]
-            if not gone and page.attributes[node]:
-                words, hidden = page.words_of(node)
-                gone = hidden or (bool(words & FOREIGN) and not around[node]) or (
-                    bool(words & AROUND) and not holds[node] and not around[node])
-        dropped.append(gone)
-    return dropped
+def _downwards(page: Page, own: list[bool]) -> list[bool]:
+    """Which nodes are marked themselves or are in one that is."""
+    found: list[bool] = []
+    for mark, parent in zip(own, page.parents):
+        found.append(mark or parent >= 0 and found[parent])
+    return found
+
+
+def _above(page: Page, own: list[bool]) -> list[bool]:
+    """Which nodes are in one that is marked."""
+    inside = _downwards(page, own)
+    return [parent >= 0 and inside[parent] for parent in page.parents]
+
+
+def _heart(page: Page, article: list[int], dropped: list[bool]) -> int:
+    """The node with the greatest sum of its children's densities, 0 if nothing is left."""
+    density, _ = _densities(page, dropped)
+    sums = [0.0] * len(density)
+    for node in range(1, len(density)):
+        sums[page.parents[node]] += density[node]
+    # A node of text alone is its own subtree.
+    alive = [k for k in range(len(density)) if not dropped[k] and density[k] > 0]
+    if not alive:
+        return 0
+    heart = max(alive, key=lambda k: (
+        max(sums[k], density[k]) if k else 0.0, article[k] >= 0, -k))
+    while page.names[heart] in TEXT and page.parents[heart] > 0:
+        heart = page.parents[heart]
+    return heart
+
+
+def _referred(page: Page) -> list[bool]:
+    """Which nodes are, or are in, what follows a heading that does not lead elsewhere."""
+    own = [False] * len(page.names)
+    nothing = [False] * len(page.names)
+    for items in page.items:
+        before = None
+        for item in items:
+            if isinstance(item, str):
+                before = before if not item.strip() else None
+                continue
+            if before is not None and page.names[item] in ("ul", "ol", "dl"):
+                said = set(re.findall(r"\w+", _text(page, before, nothing).lower()))
+                own[item] = bool(said) and not said & ELSEWHERE
+            before = item if re.fullmatch("h[2-6]", page.names[item]) else None
+    return _downwards(page, own)
 
 
 def _densities(page: Page, dropped: list[bool]) -> tuple[list[float], list[float]]:
@@ -215,7 +297,7 @@ def _densities(page: Page, dropped: list[bool]) -> tuple[list[float], list[float
         if dropped[node]:
             continue
         chars[node] += sum(len("".join(i.split())) for i in page.items[node] if isinstance(i, str))
-        if page.names[node] == "a":
+        if page.names[node] == "a" and "href" in page.attributes[node].lower():
             link_chars[node], link_tags[node] = chars[node], link_tags[node] + 1
         parent = page.parents[node]
         if parent >= 0:
@@ -242,17 +324,9 @@ def main_text(html: str) -> str:
     article = _article(page)
     dropped = _dropped(page, article)
     density, linked = _densities(page, dropped)
-    sums = [0.0] * len(density)
-    for node in range(1, len(density)):
-        sums[page.parents[node]] += density[node]
-    # A node of text alone is its own subtree.
-    alive = [k for k in range(len(density)) if not dropped[k] and density[k] > 0]
-    if not alive:
+    if not any(d > 0 and not gone for d, gone in zip(density, dropped)):
         return ""
-    heart = max(alive, key=lambda k: (
-        max(sums[k], density[k]) if k else 0.0, article[k] >= 0, -k))
-    while page.names[heart] in TEXT and page.parents[heart] > 0:
-        heart = page.parents[heart]
+    heart, referred = _heart(page, article, dropped), _referred(page)
     path = [heart]
     while page.parents[path[-1]] > 0:
         path.append(page.parents[path[-1]])
@@ -261,12 +335,15 @@ def main_text(html: str) -> str:
     for node in range(1, len(density)):
         parent = page.parents[node]
         below[node] = parent == heart or below[parent]
-        if dropped[node] or node in kept or page.names[node] in INLINE:
+        if dropped[node] or node in kept or page.names[node] not in BLOCKS:
             continue
         thin = density[node] < least
-        if below[node]:
-            dropped[node] = thin and page.names[node] in GROUPS and linked[node] > (
-                0.9 if page.names[node] in ("p", "li") else 1 / 3)
+        if page.names[node] in RIGHTS_IN and (RIGHTS if below[node] else RIGHTS_BESIDE).match(
+                _text(page, node, dropped)):
+            dropped[node] = True
+        elif below[node]:
+            dropped[node] = thin and not referred[node] and page.names[node] in GROUPS and (
+                linked[node] > (0.9 if page.names[node] in ("p", "li") else 1 / 3))
         elif parent in kept and not re.fullmatch("h[1-6]", page.names[node]):
             inside = article[heart] >= 0 and article[node] == article[heart]
             dropped[node] = thin and (not inside or page.names[node] in GROUPS
@@ -283,8 +360,8 @@ def _text(page: Page, top: int, dropped: list[bool]) -> str:
         if isinstance(item, str):
             out.append(item)
         elif dropped[item]:
-            out.append(" ")
-        elif page.names[item] in INLINE:
+            out.append(" " if page.names[item] in BLOCKS else "")
+        elif page.names[item] not in BLOCKS:
             stack.extend(reversed(page.items[item]))
         else:
             stack.append(" ")
@@ -301,8 +378,9 @@ def extracted(pages: DataFrame) -> DataFrame:
 
     Character references are decoded, white space inside a block becomes one space, and blocks
     are joined by one. Markup that is broken is read as far as it goes: an element that is
-    not closed ends with its parent. A page without an article has the empty text; so has a null
-    or empty html. Nothing is shuffled, and each row gives one row; null ids and urls stay null;
+    not closed ends with its parent. A page that has text outside all elements that never hold an
+    article has a text, be it marked as an article or not; one that has none, and a null or empty
+    html, have the empty text. Nothing is shuffled, and each row gives one row; null ids and urls stay null;
     columns other than those named are not read; an empty table gives no rows.
     """
 

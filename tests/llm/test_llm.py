@@ -454,6 +454,65 @@ def test_long_comments_are_still_dropped():
     assert html.main_text(f"<article>{STORY}<p hidden>Secret</p></article>").endswith("as one.")
 
 
+SAID = "".join(f"<p>Reader {k} said something that is long enough to be read as one.</p>"
+               for k in range(50))
+THREAD = "".join(f'<li class="comment"><article><p>Reader {k} said what one says.</p></article></li>'
+                 for k in range(50))
+
+
+@pytest.mark.parametrize("said", [1, 3, 4, 10, 50])
+@pytest.mark.parametrize("page", [
+    '<article><h1>Title</h1><p>One. Two.</p><p>Three.</p></article><section id="comments">{}</section>',
+    '<article><p>Title One. Two.</p><p>Three.</p></article><section id="comments">{}</section>',
+    '<div><h1>Title</h1><p>One. Two.</p><p>Three.</p></div><div class="comments-area">{}</div>',
+    '<div><h2>Title</h2><p>One. Two.</p><p>Three.</p></div><div id="disqus"><h1>Say</h1>{}</div>',
+    '<main><h1>Title</h1><p>One. Two.</p><p>Three.</p><div class=replies>{}</div></main>',
+    '<div><div><p>Title One. Two.</p><p>Three.</p></div><aside class=x>{}</aside></div>'])
+def test_a_short_article_is_not_lost_to_long_comments(page, said):
+    for comments in (SAID, f"<ol>{THREAD}</ol>"):
+        part = "".join(re.findall("<p>.*?</p>|<li.*?</li>", comments)[:said])
+        part = f"<ol>{part}</ol>" if part.startswith("<li") else part
+        found = html.main_text(f"<html><body><nav>Menu</nav>{page.format(part)}</body></html>")
+        assert found == "Title One. Two. Three."
+
+
+@pytest.mark.parametrize("rights", [
+    "<div><p>Copyright 2024 The Paper. All rights reserved.</p></div>",
+    "<div>&copy; 2024 The Paper</div>", "<p>(c) 2024 The Paper</p>",
+    '<div><p>The Paper, all rights reserved.</p><a href="/terms">Terms</a></div>'])
+def test_an_unnamed_footer_is_dropped(rights):
+    found = html.main_text(f"<body><div><h1>Title</h1>{STORY}</div>{rights}</body>")
+    assert found.endswith("as one.") and "Paper" not in found and "Terms" not in found
+
+
+def test_references_of_an_article_stay():
+    links = "".join(f'<li><a href="http://x/{k}">Source number {k}</a></li>' for k in range(9))
+    for list_ in ("ul", "ol"):
+        found = html.main_text(f"<body><article><h1>Title</h1>{STORY}<h2>References</h2>"
+                               f"<{list_}>{links}</{list_}></article></body>")
+        assert all(f"Source number {k}" in found for k in range(9))
+        found = html.main_text(f"<body><article><h1>Title</h1>{STORY}<h2>Related articles</h2>"
+                               f"<{list_}>{links}</{list_}></article></body>")
+        assert "Source" not in found
+
+
+@pytest.mark.parametrize("markup, text", [
+    ("fo<x-y>ob</x-y>ar", "foobar"), ("H<nobr>2</nobr>O", "H2O"), ("na<img src=x>me", "name"),
+    ("na<script>var x</script>me", "name"), ("a<br>b", "a b"), ("<ruby>a<rt>b</rt></ruby>c", "abc"),
+    ("See <a href=http://x.com/>here</a> and <i/>there", "See here and there"),
+    ("One <a name=here/>two <a href=x>three</a> four", "One two three four")])
+def test_only_blocks_stand_apart(markup, text):
+    assert html.main_text(f"<body><article><p>{markup}</p>{STORY}</article></body>").startswith(
+        f"{text} Paragraph 0")
+
+
+def test_an_unclosed_link_counts_as_one():
+    """An address without quotes may end with a slash; the link goes on behind it."""
+    page = html.Page("<p><a href=http://x.com/>here</a> text</p><div/>more")
+    assert page.names == ["html", "p", "a", "div"]
+    assert page.items[2] == ["here"] and page.items[3] == ["more"]
+
+
 LINKS = "".join(f'<li><a href="/{k}">Another page {k}</a></li>' for k in range(8))
 CARDS = "".join(f'<div><h3><a href="/{k}">Card headline {k}</a></h3><p>Teaser {k}.</p></div>'
                 for k in range(4))
