@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.words import unused
 from millrace.session import has_at_most, stored
 
 NGRAM = 10
@@ -164,24 +165,25 @@ def without_contamination(docs: DataFrame, benchmark: DataFrame, remove: str = "
     """
     if remove not in ("documents", "spans"):
         raise ValueError("remove must be documents or spans")
-    marked = docs.withColumn("_digest", F.xxhash64("text"))
-    found = (hits(marked, benchmark, ["doc_id", "_digest"], ngram).where(F.size("places") > 0)
-             .select(F.col("doc_id").alias("_id"), F.col("_digest").alias("_own"),
-                     _merged(F.col("places")).alias("_spans")).dropDuplicates(["_id", "_own"]))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_own"))
+    digest, name, own, spans = unused(docs, "digest", "id", "own", "spans")
+    marked = docs.withColumn(digest, F.xxhash64("text"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    found = (hits(marked, benchmark, ["doc_id", digest], ngram).where(F.size("places") > 0)
+             .select(F.col("doc_id").alias(name), F.col(digest).alias(own),
+                     _merged(F.col("places")).alias(spans)).dropDuplicates([name, own]))
+    same = F.col("doc_id").eqNullSafe(F.col(name)) & (F.col(digest) == F.col(own))
     if remove == "documents":
-        found = stored(found.select("_id", "_own"), "contaminated")
+        found = stored(found.select(name, own), "contaminated")
         if has_at_most(found, BROADCAST_IDS):
             found = F.broadcast(found)
-        return marked.join(found, same, "left_anti").select(docs.columns)
+        return marked.join(found, same, "left_anti").select(*columns)
     text = F.col("text")
     pieces = F.regexp_extract_all(text, F.lit(f"({_WORD}+{_BETWEEN}*)"), 1)
     kept = F.filter(pieces, lambda _, k: ~F.exists(
-        F.col("_spans"), lambda span: (span["first"] <= k) & (k < span["end"])))
+        F.col(spans), lambda span: (span["first"] <= k) & (k < span["end"])))
     cut = F.concat(F.regexp_extract(text, f"^{_BETWEEN}*", 0), F.array_join(kept, ""))
     return marked.join(found, same, "left").withColumn(
-        "text", F.when(F.col("_id").isNull() & F.col("_own").isNull(), text).otherwise(cut)
-    ).select(docs.columns)
+        "text", F.when(F.col(own).isNull(), text).otherwise(cut)).select(*columns)
 
 
 SQL = """

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.components import components
 from millrace.llm.signatures import bitmap, bitmap_bits, folded, links, partnered
-from millrace.llm.words import LOWER, slices, split_words, word_hashes
+from millrace.llm.words import LOWER, slices, split_words, unused, word_hashes
 from millrace.session import has_at_most, stored
 
 WORDS = 5
@@ -118,10 +118,12 @@ def _survey(docs: DataFrame) -> DataFrame:
                          for s in sets], pa.binary()), pa.nulls(len(tokens), pa.binary())]),
                     pa.concat_arrays([blank, pa.array(tokens)]),
                     pa.concat_arrays([blank, pa.array(seen, pa.int64())]),
-                ], names=["doc_id", "n_shingles", "set_id", "bitmap", "token", "seen"])
+                    pa.concat_arrays([rows.column("text_hash"), none]),
+                ], names=["doc_id", "n_shingles", "set_id", "bitmap", "token", "seen", "text_hash"])
 
-    return docs.select("doc_id", "text").mapInArrow(
-        look, "doc_id long, n_shingles long, set_id long, bitmap binary, token long, seen long")
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(
+        look, "doc_id long, n_shingles long, set_id long, bitmap binary, token long, seen long, "
+        "text_hash long")
 
 
 def _first_tokens(tokens: np.ndarray, frequent: np.ndarray, seen: np.ndarray,
@@ -181,7 +183,8 @@ def _groups(postings: DataFrame) -> DataFrame:
         .withColumn("greatest", F.max("set_id").over(same))
         .where("salt >= 0 or least < greatest").drop("greatest"), "postings")
     salted = shared.where("salt >= 0")
-    leaders = salted.groupBy("token").agg(F.min("least").alias("leader"))
+    # A row for each of the tokens that are ordered, so this is bounded, and hot tokens stay dealt.
+    leaders = F.broadcast(salted.groupBy("token").agg(F.min("least").alias("leader")))
     return (shared.where("salt < 0").select(F.col("least").alias("leader"), "set_id")
             .unionByName(salted.join(leaders, "token").select("leader", "set_id")).distinct())
 
@@ -336,13 +339,21 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def _texts(cells: DataFrame, docs: DataFrame, found: DataFrame) -> DataFrame:
-    """(set_id, text) for each set of ``cells``: the text of its first document."""
+    """(set_id, text) for each set of ``cells``: the text of its first document.
+
+    The text counts as well as the id, which many rows may share or have none of: only copies of
+    one text come more than once.
+    """
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash"))
     wanted = stored(
         found.join(cells.select("set_id").distinct(), "set_id").groupBy("set_id")
-        .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id"))["doc_id"].alias("_id")), "wanted")
+        .agg(first.alias("first")).select(
+            "set_id", F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash")),
+        "wanted")
     if has_at_most(wanted, BROADCAST_IDS):
         wanted = F.broadcast(wanted)
-    return docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id"))).select("set_id", "text")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
+    return docs.join(wanted, same).select("set_id", "text")
 
 
 def _classed(found: DataFrame, classes: DataFrame) -> DataFrame:
@@ -357,17 +368,21 @@ def without_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFram
     """The rows of ``docs`` whose doc_id names their component, each doc_id once.
 
     Rows without shingles, and rows whose doc_id is null, are kept as they are: nothing is
-    known to repeat them. All columns are kept, whatever their names.
+    known to repeat them. Of several rows with one doc_id that stays, the one with the least text
+    does. All columns are kept, whatever their names.
     """
+    name, rows, least, gone = unused(docs, "id", "rows", "least", "gone")
     classes = near_duplicates(docs, percent).where("doc_id is not null")
-    told = (classes.groupBy(F.col("doc_id").alias("_id"))
-            .agg(F.count(F.lit(1)).alias("_rows"), F.min("component_id").alias("_least"))
-            .where("_least < _id or _rows > 1")
-            .select("_id", (F.col("_least") < F.col("_id")).alias("_gone")))
+    told = (classes.groupBy(F.col("doc_id").alias(name))
+            .agg(F.count(F.lit(1)).alias(rows), F.min("component_id").alias(least))
+            .withColumn(gone, F.col(least) < F.col(name))
+            .where(F.col(gone) | (F.col(rows) > 1)).select(name, gone))
     told = stored(told, "told")
     if has_at_most(told, BROADCAST_IDS):
         told = F.broadcast(told)
-    marked = docs.join(told, F.col("doc_id") == F.col("_id"), "left")
-    once = marked.where("_id is null").select(docs.columns)
-    return once.unionByName(
-        marked.where("not _gone").select(docs.columns).dropDuplicates(["doc_id"]))
+    marked = docs.join(told, F.col("doc_id") == F.col(name), "left")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    first = F.min_by(F.struct(*columns), F.struct(F.col("text").isNull(), F.col("text")))
+    repeated = marked.where(~F.col(gone)).groupBy(F.col("doc_id").alias(name)).agg(
+        first.alias(rows)).select(f"{rows}.*")
+    return marked.where(F.col(name).isNull()).select(*columns).unionByName(repeated)

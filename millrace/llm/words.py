@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Bytes of text that are worked on at once. One longer text is a slice of its own.
 SLICE_BYTES = 4_000_000
@@ -50,6 +50,17 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(BATCH_ROWS))
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """``names`` as names that ``df`` has no columns of: with as many underscores as it takes."""
+    taken, found = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def slices(batch: pa.RecordBatch, text: str,
            most: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
     """``batch`` in slices of bounded text size, each with its texts (null: empty)."""

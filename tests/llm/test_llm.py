@@ -216,6 +216,47 @@ def test_one_of_each_group_stays(spark):
     assert without_near_duplicates(documents(spark, [])).count() == 0
 
 
+CLASHES = "_id id _own own _gone gone _spans spans _digest digest _least least _rows rows".split()
+
+
+def with_many_clashes(docs):
+    for name in CLASHES:
+        docs = docs.withColumn(name, F.concat(F.lit(f"{name} "), F.col("doc_id").cast("string")))
+    return docs
+
+
+def test_no_column_of_the_documents_is_touched(spark):
+    words = " ".join(f"w{k}" for k in range(40))
+    rows = [(1, words, "en", "s", 0), (2, words + " end", "en", "s", 0), (3, "other", "en", "s", 0),
+            (3, "another", "en", "s", 0), (4, "item one two three", "en", "s", 0)]
+    docs = with_many_clashes(documents(spark, rows))
+    benchmark = spark.createDataFrame([(1, "one two")], "item_id long, text string")
+    for kept, ids in (
+            (without_near_duplicates(docs), [1, 3, 4]),
+            (decontamination.without_contamination(docs, benchmark), [1, 2, 3, 3]),
+            (decontamination.without_contamination(docs, benchmark, "spans"), [1, 2, 3, 3, 4])):
+        found = kept.orderBy("doc_id").collect()
+        assert kept.columns == docs.columns and [r.doc_id for r in found] == ids
+        assert all(r[name] == f"{name} {r.doc_id}" for r in found for name in CLASHES)
+    # Of two texts with one id the least stays.
+    assert [r.text for r in without_near_duplicates(docs).collect() if r.doc_id == 3] == ["another"]
+
+
+def test_rows_without_an_id_are_compared_as_others_are(spark):
+    """Each text is fetched for its own set only, not for all sets of rows without an id."""
+    from millrace.llm import near
+    rows = [(None, t) for t in texts_with_copies(2)] + [(5, t) for t in texts_with_copies(3)[:20]]
+    docs = documents(spark, [(i, t, "en", "s", 0) for i, t in rows])
+    found = near_duplicates(docs).collect()
+    assert Counter(tuple(r) for r in found) == brute_classes(rows)
+    docs = docs.select("doc_id", "text")
+    sets = near._survey(docs).where("token is null and n_shingles > 0")
+    wanted = sets.select("set_id").distinct()
+    texts = near._texts(wanted, docs, sets)
+    assert texts.count() == docs.join(
+        texts.select("text").distinct(), "text", "left_semi").count() <= len(rows)
+
+
 def test_signature_tree_against_brute_force():
     rng = np.random.default_rng(3)
     for _ in range(15):
