@@ -1,10 +1,11 @@
 """Chat formatting: layouts told by the fingerprint of their fields, turned into one template.
 
-A conversation may come as a list of messages, as a prompt with its answer, or as an
-instruction with an input and an output, under various field names. The fingerprint of a
-table is the hash of its sorted nested field paths; it selects a declarative mapping, which
-names the fields that become turns. The turns are written by a template that marks them and
-escapes its own marks inside texts, so that the turns can be read back exactly.
+A conversation may come as a list of messages, as a row for each turn, as a prompt with its
+answer, or as an instruction with an input and an output, under various field names. The
+fingerprint of a table is the hash of its sorted nested field paths; it selects a declarative
+mapping, which names the fields that become turns. The turns, a row each, are written by a
+template that marks them and escapes its own marks inside texts, so that the turns can be read
+back exactly.
 """
 
 from __future__ import annotations
@@ -45,9 +46,9 @@ def fingerprint(paths: Iterator[str] | list[str]) -> str:
 
 @dataclass(frozen=True)
 class Layout:
-    """A mapping: an array of messages, or single fields with the role each stands for.
+    """A mapping: an array of messages, single fields with the role each stands for, or rows.
 
-    ``named`` says that the messages' roles are names of ROLES, to be made canonical; else
+    ``rows`` are the fields of a table with a row for each turn: its number, role and text. ``named`` says that the messages' roles are names of ROLES, to be made canonical; else
     they stay as they are.
     """
 
@@ -56,14 +57,19 @@ class Layout:
     text: str = ""
     named: bool = False
     fields: tuple[tuple[str, str], ...] = ()
+    rows: tuple[str, ...] = ()
 
     def paths(self) -> list[str]:
+        if self.rows:
+            return list(self.rows)
         if self.messages:
             return [f"{self.messages}[].{self.role}", f"{self.messages}[].{self.text}"]
         return [name for _, name in self.fields]
 
     def turns(self) -> Column:
-        """The turns as structs of role and text."""
+        """The turns of a record as structs of role and text."""
+        if self.rows:
+            raise ValueError("turns that are rows have to be brought together first")
         if self.messages:
             def turn(message):
                 role = message[self.role]
@@ -79,6 +85,19 @@ class Layout:
                 lambda turn: (turn["text"] != "") | (turn["role"] == "assistant"))
         return F.coalesce(turns, F.array().cast("array<struct<role:string,text:string>>"))
 
+    def turn_rows(self, records: DataFrame, key: str) -> DataFrame:
+        """(``key``, record, turn, role, text); a record without turns has a row without them."""
+        if self.rows:
+            turn, role, text = self.rows
+            return records.select(
+                key, F.lit(0).cast("long").alias("record"), F.col(turn).cast("long").alias("turn"),
+                (_role(F.col(role)) if self.named else F.coalesce(role, F.lit(""))).alias("role"),
+                F.coalesce(text, F.lit("")).alias("text"))
+        return records.select(
+            key, F.monotonically_increasing_id().alias("record"),
+            F.posexplode_outer(self.turns()).alias("turn", "said")).select(
+            key, "record", F.col("turn").cast("long").alias("turn"), "said.role", "said.text")
+
 
 def _role(name: Column) -> Column:
     """The canonical name of a role; one that is not known stays as it is (null: empty)."""
@@ -88,6 +107,9 @@ def _role(name: Column) -> Column:
 
 
 LAYOUTS = (
+    Layout(rows=("turn", "role", "text")),
+    Layout(rows=("turn", "role", "content")),
+    Layout(rows=("turn", "speaker", "text"), named=True),
     Layout("messages", "role", "content"),
     Layout("messages", "role", "text"),
     Layout("conversations", "from", "value", named=True),
@@ -103,17 +125,34 @@ LAYOUTS = (
 MAPPINGS = {fingerprint(layout.paths()): layout for layout in LAYOUTS}
 
 
-def canonical(records: DataFrame, key: str) -> DataFrame:
-    """(``key``, turns) of a table in any known layout; the key is no part of the layout.
+def layout_of(records: DataFrame, key: str, others: bool = False) -> Layout:
+    """The layout that the fingerprint of a table's fields selects; the key is no part of it.
 
-    Raises ValueError for a layout without a mapping, and names its fields.
+    With ``others`` a table may have more fields than a layout names: the greatest layout is
+    taken whose fields it has. Raises ValueError, and names the fields, where there is no such
+    layout, or not one alone.
     """
     paths = [p for f in records.schema.fields if f.name != key
              for p in field_paths(f.dataType, f.name)]
-    layout = MAPPINGS.get(fingerprint(paths))
-    if layout is None:
+    found = MAPPINGS.get(fingerprint(paths))
+    if found is None and others:
+        part = {mark: [p for p in paths if p in layout.paths()] for mark, layout in MAPPINGS.items()}
+        within = {mark: len(part[mark]) for mark in MAPPINGS if fingerprint(part[mark]) == mark}
+        greatest = [mark for mark in within if within[mark] == max(within.values())]
+        found = MAPPINGS[greatest[0]] if len(greatest) == 1 else None
+    if found is None:
         raise ValueError(f"no mapping for the fields {sorted(paths)}")
-    return records.select(key, layout.turns().alias("turns"))
+    return found
+
+
+def canonical(records: DataFrame, key: str, others: bool = False) -> DataFrame:
+    """The turns of a table in any known layout, a row each: (``key``, record, turn, role, text).
+
+    ``record`` tells apart the records of one key, where a record is a row of the table; rows
+    that are turns themselves are one record for each key. A record without turns has a row
+    without turn, role and text. See ``layout_of`` for what raises.
+    """
+    return layout_of(records, key, others).turn_rows(records, key)
 
 
 def by_conversation(rows: DataFrame) -> DataFrame:
@@ -179,13 +218,14 @@ def read_back(text: Column) -> Column:
 
 
 def chats(records: DataFrame, key: str = "conv_id") -> DataFrame:
-    """(``key``, formatted, turns) of a table in any known layout.
+    """(``key``, formatted, turns) of a table in any known layout with a record a row.
 
     ``turns`` are those read back from the text: role, text, and the span of the text in it. The
     loss mask of a turn of the assistant is its span. A record without turns gives an
     empty text. Repeated rows are formatted one by one.
     """
-    return canonical(records, key).select(key, formatted(F.col("turns")).alias("formatted")).select(
+    turns = layout_of(records, key).turns()
+    return records.select(key, formatted(turns).alias("formatted")).select(
         key, "formatted", read_back(F.col("formatted")).alias("turns"))
 
 
@@ -231,31 +271,36 @@ def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield given()
 
 
-def chat_digests(rows: DataFrame) -> DataFrame:
-    """What :func:`chats` makes of rows (conv_id, turn, role, text), as digests of its turns.
+def chat_digests(records: DataFrame, key: str = "conv_id") -> DataFrame:
+    """What the template makes of the conversations of a table in any known layout, as digests.
 
     ``turns_sha256`` is over role, line break, text, line break of each turn; ``loss_chars``
-    and ``loss_sha256`` over all texts under the loss mask. A null text or role is empty. Each turn
-    is formatted and read back as a row of its own. The turns of a conversation come to one task in
-    their order, since the digest is over them in a row, but pass through it in batches: a
-    conversation of any length needs the memory of one. Other columns are not read; an empty
-    table gives no rows.
+    and ``loss_sha256`` over all texts under the loss mask. A null text or role is empty. The rows
+    of a null key are one conversation. Turns are in the order of their numbers, null first, rows of
+    one number by role, then text; repeated rows are turns of their own, and the records of one
+    key follow each other. Each turn is formatted and read back as a row of its own. The turns of
+    a conversation come to one task in their order, since the digest is over them in a row, but
+    pass through it in batches: a conversation of any length needs the memory of one. Fields that
+    no layout names, or that are beside a greater layout's, are not read; an empty table
+    gives no rows.
     """
-    ordered = rows.select(
-        F.col("conv_id").cast("long").alias("conv_id"), "turn",
-        F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
-    ).repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    found = ordered.select("conv_id", formatted(F.array(F.struct("role", "text"))).alias(
-        "formatted")).select("conv_id", "formatted", read_back(F.col("formatted")).alias("turns"))
+    order = [key, "record", "turn", "role", "text"]
+    ordered = canonical(records, key, others=True).withColumn(
+        key, F.col(key).cast("long")).repartition(key).sortWithinPartitions(*order)
+    one = F.when(F.col("role").isNotNull(), F.array(F.struct("role", "text"))).otherwise(
+        F.array().cast("array<struct<role:string,text:string>>"))
+    found = ordered.select(key, formatted(one).alias("formatted")).select(
+        key, "formatted", read_back(F.col("formatted")).alias("turns"))
     turns = F.col("turns")
     loss = F.array_join(F.transform(F.filter(turns, lambda t: t["role"] == "assistant"),
                                     lambda t: t["text"]), "")
     whole = F.array_join(F.transform(turns, lambda t: F.concat(
         t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return found.select(
-        "conv_id", F.size(turns).alias("n_turns"), whole.cast("binary").alias("whole"),
+        key, F.size(turns).alias("n_turns"), whole.cast("binary").alias("whole"),
         loss.cast("binary").alias("loss"), F.char_length(loss).alias("loss_chars"),
-        F.char_length("formatted").alias("formatted_chars")).mapInArrow(_digested, DIGESTS)
+        F.char_length("formatted").alias("formatted_chars")).mapInArrow(
+        _digested, DIGESTS).withColumnRenamed("conv_id", key)
 
 
 # A conversation that says the template's own marks, to be formatted with the others.

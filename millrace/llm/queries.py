@@ -96,8 +96,10 @@ def url_expressions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_schema_chat", chat.SQL)
 def schema_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    return chat.chat_digests(rows.unionByName(spark.createDataFrame(list(chat.MARKED), rows.schema)))
+    rows = table(spark, sf_dir, "conversations")
+    marked = spark.createDataFrame(
+        list(chat.MARKED), "conv_id long, turn long, role string, text string")
+    return chat.chat_digests(rows.unionByName(marked, allowMissingColumns=True))
 
 
 @query("op11_shifted_cholesky_whitening")

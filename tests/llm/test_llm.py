@@ -722,13 +722,43 @@ def test_layouts_become_the_same_turns(spark):
     pairs = spark.createDataFrame([(1, "q", "a")], "conv_id long, prompt string, response string")
     alpaca = spark.createDataFrame([(1, "q", "", "a")],
                                    "conv_id long, instruction string, input string, output string")
-    for records in (sharegpt, pairs, alpaca):
-        (row,) = chat.canonical(records, "conv_id").collect()
-        assert [tuple(t) for t in row.turns] == [("user", "q"), ("assistant", "a")]
+    turns = spark.createDataFrame([(1, 1, "assistant", "a"), (1, 0, "user", "q")],
+                                  "conv_id long, turn long, role string, text string")
+    for records in (sharegpt, pairs, alpaca, turns):
+        rows = chat.canonical(records, "conv_id").orderBy("turn").collect()
+        assert [(r.role, r.text) for r in rows] == [("user", "q"), ("assistant", "a")]
+        assert chat.chat_digests(records).collect() == chat.chat_digests(turns).collect()
     with pytest.raises(ValueError, match="no mapping"):
         chat.canonical(pairs.withColumn("extra", F.lit("x")), "conv_id")
 
 
+def test_the_query_goes_through_its_mapping(spark, monkeypatch):
+    monkeypatch.delitem(chat.MAPPINGS, chat.fingerprint(["turn", "role", "text"]))
+    with pytest.raises(ValueError, match="no mapping"):
+        QUERIES["op10_schema_chat"](spark, SMALL)
+
+
+def test_digests_of_odd_records(spark):
+    """Records without turns, of one key, and beside fields of other names and layouts."""
+    kind = "conv_id long, messages array<struct<role:string,content:string>>"
+    records = spark.createDataFrame(
+        [(1, [("user", "a"), ("assistant", None)]), (1, [("user", "a"), ("assistant", None)]),
+         (2, []), (3, None), (None, [(None, "x")])], kind)
+    found = {r.conv_id: r for r in chat.chat_digests(
+        records.withColumn("source", F.lit("s")).withColumn("prompt", F.lit("p"))).collect()}
+    assert {k: (r.n_turns, r.loss_chars) for k, r in found.items()} == {
+        1: (4, 0), 2: (0, 0), 3: (0, 0), None: (1, 0)}
+    assert found[1].turns_sha256 == hashlib.sha256(b"user\na\nassistant\n\n" * 2).hexdigest()
+    rows = spark.createDataFrame([(1, 0, "user", "q")] * 2 + [(1, None, None, None)],
+                                 "conv_id long, turn long, role string, text string")
+    for extra in ("record", "formatted", "said", "prompt"):
+        (row,) = chat.chat_digests(rows.withColumn(extra, F.lit("x"))).collect()
+        assert row.n_turns == 3 and row.turns_sha256 == hashlib.sha256(
+            b"\n\n" + b"user\nq\n" * 2).hexdigest()
+    with pytest.raises(ValueError, match="no mapping"):
+        chat.chat_digests(spark.createDataFrame([(1, "x")], "conv_id long, remark string"))
+
+
 # Quality
 
 
