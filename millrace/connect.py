@@ -30,10 +30,10 @@ from .model import TableSpec
 from .operators.deltas import backfill_deltas
 from .operators.merge import split_key_updates
 from .operators.routing import OTHER, REJECTED, event_rows, routed, routes_of, write_routed
-from .session import new_folder, read_if_written, stored
+from .session import append_row, new_folder, read_if_written, stored
 from .sinks.state import StateTable
-from .sinks.tables import (Processor, append_rows, check_table, create_table, sink_table_name,
-                           sink_table_schema)
+from .sinks.tables import (Processor, append_rows, batch_name, check_table, create_table,
+                           sink_table_name, sink_table_schema)
 from .sources import jdbc
 from .sources.log import RAW_EVENTS, stream_log, typed_deltas
 from .sources.mappings import MappingState
@@ -91,16 +91,6 @@ class Sink(Protocol):
     def end_backfill(self, table: TableSpec, replaces: int | None) -> None: ...
 
 
-def batch_name(origin: str, batch: DataFrame, batch_id: int) -> str:
-    """A name for a batch that no other source, stream or checkpoint gives.
-
-    The id of a streaming query lives in its checkpoint: it is the same after a restart, and
-    another one for a new checkpoint, where the batch numbers start over.
-    """
-    stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-    return "-".join(filter(None, (origin, stream, str(batch_id))))
-
-
 @dataclass
 class LakeSource:
     """Tables and their logs as parquet folders.
@@ -391,8 +381,7 @@ class _Load:
             return
 
         def note(part: str | None) -> None:
-            spark.createDataFrame([(feed.epoch, part)], FINISHED).write.mode("append").parquet(
-                self.finished)
+            append_row(spark, self.finished, FINISHED, feed.epoch, part)
 
         points = f"{self.checkpoints}/points/{self.source}/{feed.table.table_id}/e{feed.epoch}"
         for part, deltas in feed.parts(points) if feed.parts else [("", feed.backfill)]:

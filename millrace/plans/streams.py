@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 
 from ..connect import log_schema
 from ..operators.merge import current_state
+from ..operators.stretches import gaps, stretches
 from ..session import new_folder
+from ..sinks.counts import CountTable
 from ..sinks.tables import append_rows, read_appended
 from ..sources.log import stream_log
 from ..sources.mappings import MappingState
 from ..streaming import runs as r
+from ..streaming.delivered import Delivered
 from . import inputs as i
 from .merging import APPENDED_SQL, KEY, new_state
 from .registry import query
@@ -50,13 +53,85 @@ def stream_current_state(spark: SparkSession, sf: str) -> DataFrame:
     return state.rows()
 
 
+def _with_extents(events: DataFrame) -> DataFrame:
+    """The log with the offset at which each event's next one begins."""
+    return i.event_deltas(events).withColumn("next_offset", F.col("offset") + 100)
+
+
 @query("stream_dedup", i.with_(*i.ALL_DELTAS_SQL) + f"SELECT {i.DELTA} FROM deltas")
 def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    """Backfill and log, delivered twice."""
+    """Backfill and log, delivered twice, the second time by a reader that starts over."""
+    folder = new_folder(spark, "stream-dedup")
+    delivered, path = Delivered(spark, f"{folder}/delivered"), f"{folder}/rows"
+    schema = i.all_deltas(spark, sf).schema
+    for _ in range(2):
+        if delivered.part("all"):
+            i.backfill(spark, sf).select(schema.names).write.parquet(f"{path}/batch_id=backfill")
+            delivered.end_part("all")
+    landed = i.landed(spark, sf, "log-with-extents",
+                      lambda: _with_extents(i.table(spark, sf, "events")))
+    log = spark.read.parquet(landed)
+    for reader in range(2):
+        def keep(batch: DataFrame, batch_id: int, reader: int = reader) -> None:
+            batch.select(schema.names).write.mode("overwrite").parquet(
+                f"{path}/batch_id={reader}-{batch_id}")
+
+        r.run(stream_log(spark, landed, log.schema), [delivered.once(keep, i.ACCOUNT.key)],
+              f"{folder}/checkpoint-{reader}")
+    return i.flat(spark.read.schema(schema).parquet(path).select(schema.names))
+
+
+@query("stream_dedup_ids", i.with_(*i.ALL_DELTAS_SQL) + f"SELECT {i.DELTA} FROM deltas")
+def stream_dedup_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """Backfill and log, delivered twice, where rows do not tell where the next event begins."""
     twice = _all(spark, sf).unionByName(_all(spark, sf))
     return i.flat(_written(r.without_repeats(twice, i.ACCOUNT.key), spark, "stream-dedup"))
 
 
+@query("log_gaps", f"""WITH places AS (
+  SELECT DISTINCT event_id // {i.EVENTS_PER_FILE} + 1 AS number,
+         4 + 100 * ((event_id % {i.EVENTS_PER_FILE}) // 3) AS place
+  FROM events WHERE event_id % 97 >= 6 AND (event_id // {i.EVENTS_PER_FILE}) % 4 <> 2),
+steps AS (
+  SELECT number, place, coalesce(lag(place + 100) OVER (PARTITION BY number ORDER BY place), 4)
+    AS reached FROM places),
+files AS (SELECT number, lead(number) OVER (ORDER BY number) AS after
+          FROM (SELECT DISTINCT number FROM places))
+SELECT CAST({i.EPOCH} AS INTEGER) AS epoch, 'offsets' AS kind, printf('bin.%06d', number)
+  AS filename, reached AS first, place - 1 AS last FROM steps WHERE place > reached
+UNION ALL
+SELECT CAST({i.EPOCH} AS INTEGER), 'files', printf('bin.%06d', number), number + 1, after - 1
+FROM files WHERE after > number + 1""")
+def log_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    """What is missing of a log that lost every fourth file and, of the others, some events."""
+    events = i.table(spark, sf, "events").where(
+        f"event_id % 97 >= 6 AND (event_id div {i.EVENTS_PER_FILE}) % 4 <> 2")
+    return gaps(stretches(_with_extents(events)))
+
+
+@query("counts_redelivered", i.with_(*i.ALL_DELTAS_SQL) + """SELECT 'phase' AS by,
+  CASE WHEN "offset" = 0 THEN 'backfill' ELSE 'iterative' END AS name, count(*) AS count
+FROM deltas GROUP BY ALL
+UNION ALL SELECT 'op', op, count(*) FROM deltas GROUP BY ALL
+UNION ALL SELECT 'last', max(filename), max("offset") FROM deltas
+WHERE filename = (SELECT max(filename) FROM deltas)""")
+def counts_redelivered(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts of a stream that is run anew from its beginning: all its batches come twice."""
+    folder = new_folder(spark, "counts")
+    counts = CountTable(spark, f"{folder}/counts")
+    counts.add(i.backfill(spark, sf), "backfill")
+    log = i.changelog(spark, sf)
+    log.repartition(4).write.parquet(f"{folder}/log")
+    for attempt in range(2):
+        stream = stream_log(spark, f"{folder}/log", log.schema, files_per_batch=2)
+        r.run(stream, [counts.add], f"{folder}/checkpoint-{attempt}")
+    parts = (("phase", counts.by_phase(), "phase", "count"), ("op", counts.by_op(), "op", "count"),
+             ("last", counts.high_water(), "filename", "offset"))
+    found = [rows.select(F.lit(by).alias("by"), F.col(name).alias("name"), F.col(n).alias("count"))
+             for by, rows, name, n in parts]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 @query("stream_resume", LOG_SQL)
 def stream_resume(spark: SparkSession, sf: str) -> DataFrame:
     """Run, stop, run again when more of the log has landed, and once more for nothing."""

@@ -71,6 +71,13 @@ def read_if_written(spark: SparkSession, path: str, schema: StructType) -> DataF
         return None
 
 
+def append_row(spark: SparkSession, path: str, schema: StructType, *values) -> None:
+    """Append one row to the parquet data at ``path``."""
+    spark.range(1).select(*[F.lit(value).cast(field.dataType).alias(field.name)
+                            for field, value in zip(schema, values, strict=True)]
+                          ).write.mode("append").parquet(path)
+
+
 def is_small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
     """Whether ``df`` is small enough to broadcast, by its rows and its bytes as text."""
     width = F.octet_length(F.to_json(F.struct("*"))).cast("long")

@@ -32,7 +32,7 @@ from pyspark.sql.types import IntegerType, LongType, StringType, StructField, St
 from ..model import TableSpec
 from ..operators.merge import (latest_delta, live_rows, merge_latest, of_epochs_from,
                                tombstones)
-from ..session import read_if_written
+from ..session import append_row, read_if_written
 
 _VERSIONS = StructType([StructField("version", LongType()), StructField("buckets", IntegerType()),
                         StructField("folder", StringType()),
@@ -143,8 +143,7 @@ class StateTable:
             self._note(base._replace(fence=epoch))
 
     def _note(self, base: _Base) -> None:
-        self.spark.createDataFrame([base], _VERSIONS).coalesce(1).write.mode("append").parquet(
-            f"{self.root}/versions")
+        append_row(self.spark, f"{self.root}/versions", _VERSIONS, *base)
 
     def compact(self) -> None:
         """Write a new base from the present one and its batches."""

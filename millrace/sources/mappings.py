@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..operators.mappings import RUNS, TABLE_KEY, file_runs, merged_runs, names_at, torn
-from ..session import read_if_written, stored
+from ..session import append_row, read_if_written, stored
 from .log import TABLE_MAP, read_log, stream_log
 
 _VERSIONS = StructType([StructField("version", LongType()), StructField("folder", StringType())])
@@ -53,8 +53,7 @@ class MappingState:
         last = 0 if versions is None else versions.agg(F.max("version")).first()[0] or 0
         folder = f"{self.root}/runs/{uuid.uuid4().hex}"
         runs.write.parquet(folder)
-        self.spark.createDataFrame([(last + 1, folder)], _VERSIONS).coalesce(1).write.mode(
-            "append").parquet(f"{self.root}/versions")
+        append_row(self.spark, f"{self.root}/versions", _VERSIONS, last + 1, folder)
 
     def refresh(self) -> None:
         """Take in the mappings that landed since the last time."""
