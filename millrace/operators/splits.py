@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import tuple_ge, tuple_lt
-from .slices import row_at, row_index
+from .selection import keys_at
+from .slices import row_index
 
 # The states of a split.
 NOT_STARTED, RUNNING, DONE = "NOT_STARTED", "RUNNING", "DONE"
@@ -29,8 +30,8 @@ def split_points(assigned: DataFrame, key: Sequence[str], batch_size: int) -> Da
 
 
 def nth_key(df: DataFrame, key: Sequence[str], n: int) -> DataFrame:
-    """The key at zero-based place ``n`` in key order."""
-    return row_at(df, key, n)
+    """The key at zero-based place ``n`` in key order; its columns must not be null."""
+    return keys_at(df, key, [n]).select(*key)
 
 
 def split_ranges(points: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.keys import tuple_ge, tuple_lt
 from ..functions.position import after_position
 from ..operators import deltas as d
+from ..operators.selection import keys_at
 from ..operators.splits import nth_key, scan_split, split_assignment, split_points
 from ..sources.catalog import base_tables, primary_keys, table_schemas, typed_columns
 from . import inputs as i
@@ -133,6 +134,17 @@ def nth_key_(spark: SparkSession, sf: str) -> DataFrame:
     return nth_key(orders, ["o_orderkey"], orders.count() // 2)
 
 
+@query("nth_keys", """WITH placed AS (
+  SELECT conv_id, turn, row_number() OVER (ORDER BY conv_id, turn) - 1 AS place,
+         count(*) OVER () AS n FROM conversations)
+SELECT place, conv_id, turn FROM placed WHERE place IN (0, n // 4, n // 2, 3 * n // 4, n - 1)""")
+def nth_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """The keys at the quarters of a table, and the first and the last one."""
+    rows = i.table(spark, sf, "conversations")
+    n = rows.count()
+    return keys_at(rows, CONVERSATION_KEY, [0, n // 4, n // 2, 3 * n // 4, n - 1])
+
+
 @query("project_columns",
        "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def project_columns(spark: SparkSession, sf: str) -> DataFrame:
