@@ -28,17 +28,31 @@ def _signed(digits: Column, bits: int) -> Column:
 
 
 def decode_position(position: Column) -> Column:
-    """Struct ``(epoch, filename, offset)``; null for fewer than 12 bytes."""
+    """Struct ``(epoch, filename, offset)``; null for fewer than 12 bytes or a name that is no text.
+
+    See ``position_fault`` for which it is.
+    """
     digits = F.hex(position)
-    name_length = F.length(digits) - F.lit(EPOCH_HEX + OFFSET_HEX)
     parts = F.struct(
         _signed(F.left(digits, F.lit(EPOCH_HEX)), 32).cast("int").alias("epoch"),
-        F.decode(F.unhex(F.substr(digits, F.lit(EPOCH_HEX + 1), name_length)), "UTF-8").alias(
-            "filename"
-        ),
+        _name(position).alias("filename"),
         _signed(F.right(digits, F.lit(OFFSET_HEX)), 64).cast("long").alias("offset"),
     )
-    return F.when(F.octet_length(position) >= SHORTEST_POSITION, parts)
+    return F.when(position_fault(position).isNull() & position.isNotNull(), parts)
+
+
+def _name(position: Column) -> Column:
+    """The position's file name, null if its bytes are no UTF-8."""
+    digits = F.hex(position)
+    length = F.length(digits) - F.lit(EPOCH_HEX + OFFSET_HEX)
+    return F.try_validate_utf8(
+        F.unhex(F.substr(digits, F.lit(EPOCH_HEX + 1), length)).cast("string"))
+
+
+def position_fault(position: Column) -> Column:
+    """Why a position cannot be read, null if it can."""
+    return (F.when(F.octet_length(position) < SHORTEST_POSITION, "too short")
+            .when(_name(position).isNull() & position.isNotNull(), "file name is no UTF-8"))
 
 
 def position_text(epoch: Column, filename: Column, offset: Column) -> Column:

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators import deltas as d
 from ..operators import lookups as lk
 from ..operators import metrics as m
 from ..sources.catalog import base_tables, sink_columns_for
-from ..sources.log import row_changes, table_changes, unmapped_changes
+from ..sources.log import (SchemaHistory, row_changes, table_changes, typed_by_history,
+                           unmapped_changes)
 from . import inputs as i
 from .registry import query
 
@@ -81,6 +83,40 @@ def raw_log_rejected(spark: SparkSession, sf: str) -> DataFrame:
         "op", "epoch", "filename", "offset", "reason")
 
 
+@query("schema_at", i.with_(i.RAW_SQL, i.TABLE_MAP_SQL) + f""", middle AS (
+  SELECT printf('bin.%06d', max(event_id) // 2 // {i.EVENTS_PER_FILE} + 1) AS name FROM events),
+ours AS (SELECT r.*, r.filename < name AS early, CASE WHEN r.filename >= name
+    OR r.reason = 'value not of its type' THEN r.reason END AS fault
+  FROM raw_changes r JOIN table_map m USING (epoch, filename, table_id), middle
+  WHERE m.tbl = 'account')
+SELECT op, CASE WHEN fault IS NULL THEN k END AS k,
+       CASE WHEN fault IS NULL AND op <> 'D' THEN v END AS v,
+       CASE WHEN fault IS NULL AND op <> 'D' AND NOT early THEN s END AS s, epoch, filename,
+       "offset", fault AS reason
+FROM ours""")
+def schema_at(spark: SparkSession, sf: str) -> DataFrame:
+    """Row changes of a table that got its third column in the middle of the log."""
+    last = i.table(spark, sf, "events").agg(F.max("event_id")).first()[0] or 0
+    since = (i.EPOCH, f"bin.{last // 2 // i.EVENTS_PER_FILE + 1:06d}", 0)
+    two = StructType(list(i.ACCOUNT.schema)[:2])
+    early = F.col("filename") < since[1]
+
+    def cut(values: Column) -> Column:
+        return F.when(early, F.slice(values, 1, 2)).otherwise(values)
+
+    events = i.raw_events(spark, sf)
+    for name in ("included_before", "included"):
+        events = events.withColumn(name, cut(F.col(name)))
+    events = events.withColumn("rows", F.transform("rows", lambda row: F.struct(
+        cut(row["before"]).alias("before"), cut(row["after"]).alias("after"))))
+    mapped = lk.table_at(row_changes(events), i.table_map(spark, sf))
+    found = typed_by_history(mapped, SchemaHistory(i.ACCOUNT, ((two, since),)))
+    good = F.col("reason").isNull()
+    values = {"k": F.col("k"), "v": F.col("after.v"), "s": F.col("after.s")}
+    return found.select("op", *[F.when(good, c).alias(name) for name, c in values.items()],
+                        "epoch", "filename", "offset", "reason")
+
+
 @query("raw_log_unmapped", i.with_(i.RAW_SQL)
        + """SELECT op, epoch, filename, "offset", table_id FROM raw_changes WHERE table_id = 99""")
 def raw_log_unmapped(spark: SparkSession, sf: str) -> DataFrame:

@@ -31,12 +31,17 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder for checkpoints and written intermediate tables.
 
     It is the one the cluster names in ``spark.checkpoint.dir``. Only a local
-    session that names none gets a temporary folder.
+    session that names none gets a temporary folder. A local path on a cluster is refused,
+    unless ``spark.millrace.sharedMount`` says that it is a mount all machines share.
     """
+    context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
+        mounted = spark.conf.get("spark.millrace.sharedMount", "false") == "true"
+        if not mounted and is_machine_local(named, context.master):
+            raise ValueError(f"{named} is on each machine by itself; name a folder all share, or "
+                             "set spark.millrace.sharedMount if it is a shared mount")
         return named.rstrip("/")
-    context = spark.sparkContext
     if context.getCheckpointDir() is None:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
@@ -44,6 +49,11 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+def is_machine_local(folder: str, master: str) -> bool:
+    """Whether a folder's address is of a machine's own disk, and more than one machine runs."""
+    return folder.startswith("file:") and not master.startswith("local")
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A name not used before, below the shared folder."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"

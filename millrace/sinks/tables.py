@@ -11,6 +11,7 @@ from pyspark.sql.types import StructField, StructType
 from ..functions.text import TABLE_COMMENT, delta_text, row_text, struct_values
 from ..functions.types import SINK_SPARK_TYPES, widest
 from ..model import DELETE, TableSpec
+from ..session import stored
 
 
 def after_images(deltas: DataFrame) -> DataFrame:
@@ -115,11 +116,9 @@ def batch_name(origin: str, batch: DataFrame, batch_id: int) -> str:
 def fan_out(processors: Sequence[Processor]) -> Processor:
     """A processor that hands each batch to all of ``processors``, reading it once."""
     def process(batch: DataFrame, batch_id: int) -> None:
-        held = batch.persist()
-        try:
-            for processor in processors:
-                processor(held, batch_id)
-        finally:
-            held.unpersist()
+        # Written, so that an executor that is lost does not make the source be read again.
+        held = stored(batch, "batch")
+        for processor in processors:
+            processor(held, batch_id)
 
     return process

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..functions.position import position_columns
 from ..functions.types import read_text
 from ..model import TableSpec
 from ..operators.checks import has_width, is_full_image
@@ -92,6 +95,67 @@ def typed_changes(mapped: DataFrame, table: TableSpec) -> DataFrame:
     return typed.select(*_delta_columns(table), reason.alias("reason"))
 
 
+@dataclass(frozen=True)
+class SchemaHistory:
+    """A table as it is now, and the schemas it had before, each until a log position.
+
+    ``earlier`` are pairs of a schema and the position ``(epoch, filename, offset)`` from which
+    on it is no longer in force, the oldest first.
+    """
+
+    table: TableSpec
+    earlier: tuple[tuple[StructType, tuple[int, str, int]], ...] = ()
+
+    def choose(self, of) -> Column:
+        """``of(schema)`` for the schema in force at a row's position."""
+        chosen = of(self.table.schema)
+        for schema, (epoch, filename, offset) in reversed(self.earlier):
+            until = F.struct(F.lit(epoch), F.lit(len(filename)), F.lit(filename),
+                             F.lit(offset).cast("long"))
+            chosen = F.when(F.struct(*position_columns()) < until, of(schema)).otherwise(chosen)
+        return chosen
+
+
+def typed_by_history(mapped: DataFrame, history: SchemaHistory) -> DataFrame:
+    """As ``typed_changes``, each row read by the schema that was in force at its position.
+
+    The images have the columns the table has now: those added later are null in older rows, those
+    dropped since are left out, and values are read as the types the columns have now. One pass,
+    whatever the number of schemas. A new key column has no value in older rows, so it is refused.
+    """
+    table, now = history.table, history.table.schema
+    for schema, _ in history.earlier:
+        absent = [k for k in table.key if k not in schema.fieldNames()]
+        if absent:
+            raise ValueError(f"{table.table_id}: key columns {absent} were added later")
+
+    def image(values: str) -> Column:
+        def of(schema: StructType) -> Column:
+            places = {name: n for n, name in enumerate(schema.fieldNames())}
+            return F.struct(*[
+                (read_text(F.get(values, places[f.name])) if f.name in places else
+                 F.lit(None).cast("string")).try_cast(f.dataType).alias(f.name) for f in now])
+        return F.when(F.col(values).isNotNull(), history.choose(of))
+
+    def lost(values: str, typed: str) -> Column:
+        def of(schema: StructType) -> Column:
+            bad = F.lit(False)
+            for n, name in enumerate(schema.fieldNames()):
+                if name in now.fieldNames():
+                    bad = bad | (F.get(values, n).isNotNull() & F.col(typed)[name].isNull())
+            return bad
+        return F.col(values).isNotNull() & history.choose(of)
+
+    width = history.choose(lambda schema: F.lit(len(schema)))
+    ours = mapped.where((F.col("db") == table.db) & (F.col("tbl") == table.name))
+    typed = ours.withColumn("old", image("before")).withColumn("new", image("after"))
+    reason = (
+        F.when(~_sides(lambda _, included: is_full_image(included, width)), "partial row image")
+        .when(~_sides(lambda values, _: has_width(values, width)), "wrong number of values")
+        .when(lost("before", "old") | lost("after", "new"), "value not of its type"))
+    return typed.select(*_delta_columns(table), reason.alias("reason"))
+
+
 def _delta_columns(table: TableSpec) -> list[Column]:
     key = [F.coalesce(F.col("new")[k], F.col("old")[k]).alias(k) for k in table.key]
     return [F.col("db"), F.col("tbl"), F.col("op"), *key, F.col("old").alias("before"),

@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
+import pytest
+from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, StructField,
+                               StructType)
+
 from millrace import connect as c
+from millrace.model import TableSpec
+from millrace.operators import mappings as m
 from millrace.plans.inputs import ACCOUNT
 from millrace.sources import log as lg
 from tests.test_merge import SCHEMA, delta, rows_of
@@ -98,3 +104,35 @@ def test_raw_events_through_a_run(spark, tmp_path):
         (550, "value not of its type"), (700, "no table mapped")]
     others = spark.read.parquet(f"{tmp_path}/rejected/events").select("event_type", "count")
     assert [tuple(r) for r in others.collect()] == [("QUERY", 1)]
+
+
+def test_rows_are_read_by_the_schema_of_their_position(spark):
+    """A column added, one dropped, one widened; images come in the columns of now."""
+    def schema(*columns):
+        return StructType([StructField(n, t) for n, t in columns])
+
+    first = schema(("k", IntegerType()), ("gone", StringType()))
+    second = schema(("k", LongType()), ("gone", StringType()), ("s", StringType()))
+    now = schema(("k", LongType()), ("s", StringType()), ("v", DoubleType()))
+    history = lg.SchemaHistory(TableSpec("shop", "account", now, ("k",)), (
+        (first, (0, FILE, 200)), (second, (0, "bin.000002", 4))))
+
+    def event(file, offset, *values):
+        return 0, file, offset, "EXT_WRITE_ROWS", 1, None, [True] * len(values), [
+            (None, _values(*values))]
+
+    later = "bin.1000000"
+    events = spark.createDataFrame([
+        event(FILE, 100, 1, "x"), event(FILE, 200, 2, "x", "a"), event(FILE, 300, 3, "x"),
+        event("bin.000002", 4, 4, "b", 1.5), event(later, 4, 5, None, None),
+        event(later, 5, 6, "c", "y")], lg.RAW_EVENTS)
+    mapped = spark.createDataFrame([(0, FILE, 4, 1, "shop", "account")], MAP)
+    found = lg.typed_by_history(m.names_at(
+        lg.row_changes(events), m.merged_runs(m.file_runs(mapped))), history).collect()
+    assert sorted((r.filename, r.offset, r.reason or tuple(r.after)) for r in found) == sorted([
+        (FILE, 100, (1, None, None)), (FILE, 200, (2, "a", None)),
+        (FILE, 300, "partial row image"), ("bin.000002", 4, (4, "b", 1.5)),
+        (later, 4, (5, None, None)), (later, 5, "value not of its type")])
+    with pytest.raises(ValueError, match="added later"):
+        lg.typed_by_history(mapped, lg.SchemaHistory(
+            TableSpec("shop", "account", now, ("s",)), ((first, (0, FILE, 9)),)))

@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from millrace.functions import position as p
+from millrace.session import is_machine_local
 
 SCHEMA = "epoch int, filename string, offset bigint"
 POSITIONS = st.lists(st.tuples(
@@ -25,7 +26,7 @@ def _columns():
 def test_codec_round_trip_and_layout(spark, positions):
     coded = spark.createDataFrame(positions, SCHEMA).withColumn(
         "bytes", p.encode_position(*_columns()))
-    decoded = coded.withColumn("d", p.decode_position(F.col("bytes"))).collect()
+    decoded = coded.withColumn("d", p.p.decode_position(F.col("bytes"))).collect()
     for row in decoded:
         ends = struct.pack(">i", row.epoch), struct.pack(">q", row.offset)
         assert bytes(row.bytes) == row.filename.encode().join(ends)
@@ -34,7 +35,7 @@ def test_codec_round_trip_and_layout(spark, positions):
 
 def test_too_short_to_decode(spark):
     rows = spark.createDataFrame([(b"\0" * n,) for n in range(14)], "b binary")
-    decoded = rows.select(F.octet_length("b").alias("n"), p.decode_position(F.col("b")).alias("d"))
+    decoded = rows.select(F.octet_length("b").alias("n"), p.p.decode_position(F.col("b")).alias("d"))
     assert {r.n: r.d is not None for r in decoded.collect()} == {n: n >= 12 for n in range(14)}
 
 
@@ -83,3 +84,20 @@ def test_phase(spark):
     rows = spark.createDataFrame([(0,), (4,)], "offset bigint")
     assert [r[0] for r in rows.select(p.phase(F.col("offset"))).collect()] == [
         "backfill", "iterative"]
+
+
+def test_positions_that_cannot_be_read_have_a_fault(spark):
+    good = bytes(4) + b"bin.1" + bytes(8)
+    rows = spark.createDataFrame([(1, good), (2, b"short"), (3, bytes(4) + b"\xff\xfe" + bytes(8)),
+                                  (4, None), (5, bytes(12))], "n int, p binary")
+    found = rows.select("n", p.decode_position(F.col("p")).alias("d"),
+                        p.position_fault(F.col("p")).alias("fault")).orderBy("n").collect()
+    assert [(r.d and r.d.filename, r.fault) for r in found] == [
+        ("bin.1", None), (None, "too short"), (None, "file name is no UTF-8"), (None, None),
+        ("", None)]
+
+
+def test_a_local_checkpoint_folder_is_refused_on_a_cluster():
+    assert is_machine_local("file:/tmp/x", "yarn") and is_machine_local("file:///x", "spark://h:1")
+    assert not is_machine_local("hdfs://n/x", "yarn") and not is_machine_local("/x", "yarn")
+    assert not is_machine_local("file:///x", "local-cluster[3,2,1024]")
