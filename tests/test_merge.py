@@ -230,7 +230,7 @@ def test_hot_key_is_reduced_before_the_shuffle(spark):
     assert plan.select(F.count("*")).first()[0] == 1
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.randoms(use_true_random=False))
 def test_the_fence_closes_older_epochs_for_good(spark, tmp_path_factory, rng):
     """Deltas of three epochs in any order; fences and compactions between them."""
