@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
@@ -116,9 +117,13 @@ def batch_name(origin: str, batch: DataFrame, batch_id: int) -> str:
 def fan_out(processors: Sequence[Processor]) -> Processor:
     """A processor that hands each batch to all of ``processors``, reading it once."""
     def process(batch: DataFrame, batch_id: int) -> None:
-        # Written, so that an executor that is lost does not make the source be read again.
-        held = stored(batch, "batch")
-        for processor in processors:
-            processor(held, batch_id)
+        # Written, so that an executor that is lost does not make the source be read again; what
+        # fits into memory is not read from there twice.
+        held = stored(batch, "batch").persist(StorageLevel.MEMORY_ONLY)
+        try:
+            for processor in processors:
+                processor(held, batch_id)
+        finally:
+            held.unpersist()
 
     return process
