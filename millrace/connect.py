@@ -35,8 +35,9 @@ from .sinks.state import StateTable
 from .sinks.tables import (Processor, append_rows, batch_name, check_table, create_table,
                            sink_table_name, sink_table_schema)
 from .sources import jdbc
-from .sources.log import RAW_EVENTS, stream_log, typed_deltas
+from .sources.log import RAW_EVENTS, log_after, stream_log, typed_deltas
 from .sources.mappings import MappingState
+from .streaming.continuity import Continuity
 from .streaming.runs import start
 
 # The batch a backfill is delivered as; the log's batches count from 0.
@@ -95,13 +96,15 @@ class Sink(Protocol):
 class LakeSource:
     """Tables and their logs as parquet folders.
 
-    ``tables`` maps a table name to ``rows``, ``log`` (optional) and ``key``.
+    ``tables`` maps a table name to ``rows``, ``log`` (optional) and ``key``. With ``start``, a
+    position ``[epoch, filename, offset]``, only what is strictly behind it is read of the logs.
     """
 
     database: str
     tables: dict[str, dict]
     epoch: int = 0
     files_per_batch: int = FILES_PER_BATCH
+    start: Sequence | None = None
 
     def feeds(self, spark: SparkSession) -> Iterable[Feed]:
         for name, where in self.tables.items():
@@ -109,6 +112,8 @@ class LakeSource:
             table = TableSpec(self.database, name, rows.schema, tuple(where.get("key", ())))
             log = (stream_log(spark, where["log"], log_schema(table), self.files_per_batch)
                    if "log" in where else None)
+            if log is not None and self.start is not None:
+                log = log_after(log, *self.start)
             yield Feed(table, backfill_deltas(rows, table, self.epoch), log, epoch=self.epoch)
 
 
@@ -223,7 +228,8 @@ class StateSink:
     """Current-state tables below ``warehouse/project_id/dataset_id``.
 
     Updates that change the key are split first. With ``compact_every`` the base is
-    rewritten after the backfill and after every so many batches.
+    rewritten after the backfill and after every so many batches. With ``check_images`` the
+    images of each batch are compared with those stored; see ``continuity``.
     """
 
     warehouse: str
@@ -232,6 +238,7 @@ class StateSink:
     application_name: str = "millrace"
     buckets: int | None = None
     compact_every: int | None = None
+    check_images: bool = False
     _spark: SparkSession | None = field(default=None, repr=False)
 
     @property
@@ -244,11 +251,17 @@ class StateSink:
     def state(self, table: TableSpec) -> StateTable:
         return StateTable(self._spark, f"{self.root}/{table.table_id}", table, self.buckets)
 
+    def continuity(self, table: TableSpec) -> Continuity:
+        """What was found in the images of a table's log."""
+        return Continuity(self.state(table))
+
     def processor(self, table: TableSpec, origin: str) -> Processor:
-        state = self.state(table)
+        state, continuity = self.state(table), self.continuity(table)
 
         def process(batch: DataFrame, batch_id: int) -> None:
             deltas = split_key_updates(batch, state.key)
+            if self.check_images and batch_id != BACKFILL_BATCH:
+                continuity.judge(deltas, batch_name(origin, batch, batch_id))
             state.apply(deltas, batch_name(origin, batch, batch_id),
                         reduce=batch_id != BACKFILL_BATCH)
             if self.compact_every and batch_id != BACKFILL_BATCH and (

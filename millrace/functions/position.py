@@ -99,3 +99,14 @@ def after_position(epoch: int, filename: str, offset: int) -> Column:
     for mine, theirs in reversed(list(zip(position_columns(), start, strict=True))):
         behind = (mine > theirs) | ((mine == theirs) & behind)
     return behind
+
+
+def in_files_from(epoch: int, filename: str) -> Column:
+    """Rows of the given log file and the files after it.
+
+    Nothing but the file is looked at, so that folders of other files need not be opened.
+    """
+    mine, theirs = F.col("epoch").cast("int"), F.lit(epoch)
+    length = F.length("filename")
+    later = (length > len(filename)) | ((length == len(filename)) & (F.col("filename") >= filename))
+    return (mine > theirs) | ((mine == theirs) & later)

@@ -6,18 +6,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..connect import log_schema
+from ..functions.position import after_position, position_order
 from ..operators.merge import current_state
 from ..operators.stretches import gaps, stretches
 from ..session import new_folder
 from ..sinks.counts import CountTable
 from ..sinks.tables import append_rows, read_appended
-from ..sources.log import stream_log
+from ..sources.log import land_log, log_after, stream_log
 from ..sources.mappings import MappingState
 from ..streaming import runs as r
+from ..streaming.continuity import Continuity
 from ..streaming.delivered import Delivered
 from . import inputs as i
 from .merging import APPENDED_SQL, KEY, new_state
-from .registry import query
+from .registry import SQL, query
 
 LOG_SQL = i.with_(i.CHANGELOG_SQL) + f"SELECT {i.DELTA} FROM changelog"
 
@@ -146,6 +148,50 @@ def stream_resume(spark: SparkSession, sf: str) -> DataFrame:
     return i.flat(spark.read.schema(log.schema).parquet(f"{folder}/rows"))
 
 
+@query("resume_from_position", LOG_SQL)
+def resume_from_position(spark: SparkSession, sf: str) -> DataFrame:
+    """Read a log, lose the checkpoint, and go on behind the last position that was stored.
+
+    The reader stops amid a file. What it appended and the state agree on the position.
+    """
+    folder, state = new_folder(spark, "resume-position"), new_state(spark)
+    log = i.changelog(spark, sf, "event_id")
+    middle = log.agg(F.max("event_id")).first()[0] // 2
+    cut = log.agg(F.max(F.when(F.col("event_id") <= middle, position_order()))).first()[0]
+    log = log.drop("event_id")
+    behind = after_position(cut.epoch, cut.filename, cut.offset)
+    for reader, rows in enumerate((~behind, behind)):
+        land_log(log.where(rows), f"{folder}/log")
+        stream, last = stream_log(spark, f"{folder}/log", log.schema), state.high_water()
+        if last is not None:
+            stream = log_after(stream, *last)
+
+        def keep(batch: DataFrame, batch_id: int, reader: int = reader) -> None:
+            batch.write.mode("overwrite").parquet(f"{folder}/rows/batch_id={reader}-{batch_id}")
+            state.apply(batch, f"{reader}-{batch_id}")
+
+        r.run(stream, [keep], f"{folder}/checkpoint-{reader}")
+    return i.flat(spark.read.schema(log.schema).parquet(f"{folder}/rows").select(*log.columns))
+
+
+@query("stream_image_breaks", SQL["image_breaks"])
+def stream_image_breaks(spark: SparkSession, sf: str) -> DataFrame:
+    """The breaks of a log that lands in three parts, found batch by batch against the state."""
+    state = new_state(spark)
+    continuity, path = Continuity(state), f"{state.root}/log"
+    log = i.full_log(spark, sf).drop("event_type")
+    files = F.expr("CAST(right(filename, 6) AS BIGINT)")
+    last = log.agg(F.max(files)).first()[0]
+    state.apply(i.backfill(spark, sf), "backfill", reduce=False)
+    for part in range(3):
+        log.where(F.ceil(files * 3 / last) == part + 1).write.mode("append").parquet(path)
+        r.run(stream_log(spark, path, log.schema), [continuity.process],
+              f"{state.root}/checkpoint")
+        if part == 1:
+            state.compact()
+    return i.flat(continuity.breaks())
+
+
 @query("stream_table_at", i.with_(i.CHANGELOG_SQL, i.TABLE_MAP_SQL, i.MULTI_LOG_SQL) + """
 SELECT r.db, r.tbl, g.op, g.k, g.epoch, g.filename, g."offset", g.seq, g.table_id
 FROM multi_log g LEFT JOIN table_map r ON g.epoch = r.epoch AND g.table_id = r.table_id

@@ -29,7 +29,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
-from ..model import TableSpec
+from ..functions.position import position_columns
+from ..model import BACKFILL_OFFSET, TableSpec
 from ..operators.merge import (latest_delta, live_rows, merge_latest, of_epochs_from,
                                tombstones)
 from ..session import append_row, read_if_written
@@ -128,6 +129,20 @@ class StateTable:
     def deleted(self) -> DataFrame:
         return tombstones(self.latest())
 
+    def high_water(self) -> tuple[int, str, int] | None:
+        """The last log position (epoch, file name, offset) that is stored, None without one.
+
+        For logs that are delivered in order: all before it is stored then. Only the columns of
+        the position are read, and nothing is merged.
+        """
+        base = self._newest()
+        parts = [self._batches(base.version), self._rows_of(base) if base.folder else None]
+        last = [base.holds(part).where(F.col("offset") != BACKFILL_OFFSET).agg(
+            F.max(F.struct(*position_columns())).alias("last")).first().last
+            for part in parts if part is not None]
+        last = max((tuple(row) for row in last if row is not None), default=None)
+        return None if last is None else (last[0], last[2], last[3])
+
     def fence(self) -> int | None:
         """The lowest epoch whose deltas count, None if all do."""
         return self._newest().fence

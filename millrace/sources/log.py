@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..functions.position import position_columns
+from ..functions.position import after_position, in_files_from, position_columns
 from ..functions.types import read_text
 from ..model import TableSpec
 from ..operators.checks import has_width, is_full_image
@@ -26,7 +26,14 @@ TABLE_MAP = ("epoch int, filename string, offset bigint, table_id bigint, db str
 
 
 def read_log(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    return spark.read.schema(schema).parquet(path)
+    return _in_order(spark.read.schema(schema).parquet(path), schema)
+
+
+def _in_order(log: DataFrame, schema: StructType | str) -> DataFrame:
+    """The columns as the schema has them; those that are folders would come last."""
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    return log.select(*schema.fieldNames())
 
 
 def stream_log(spark: SparkSession, path: str, schema: StructType | str,
@@ -35,7 +42,29 @@ def stream_log(spark: SparkSession, path: str, schema: StructType | str,
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path)
+    return _in_order(reader.parquet(path), schema)
+
+
+# A log landed in folders by these can be read from a position on without opening older files.
+LOG_FOLDERS = ("epoch", "filename")
+
+
+def land_log(log: DataFrame, path: str) -> None:
+    """Add a log to ``path``, in a folder for each of its files.
+
+    A file's rows are gathered before; those of a large one stay in several tasks.
+    """
+    (log.hint("rebalance", *LOG_FOLDERS).write.mode("append").partitionBy(*LOG_FOLDERS)
+     .parquet(path))
+
+
+def log_after(log: DataFrame, epoch: int, filename: str, offset: int) -> DataFrame:
+    """The rows of a log, at rest or streaming, that are strictly behind a position.
+
+    Of a log written by ``land_log`` the folders of older files are pruned; in one landed otherwise
+    the condition reaches the scan as a filter.
+    """
+    return log.where(in_files_from(epoch, filename)).where(after_position(epoch, filename, offset))
 
 
 def row_changes(events: DataFrame) -> DataFrame:
