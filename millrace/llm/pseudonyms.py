@@ -346,14 +346,20 @@ class Pseudonymizer:
                 continue
             if not kind.signs and not digits:
                 continue
+            # Both are in order, so one pass merges them.
+            merged, at = [], 0
             for found in kind.pattern.finditer(text):
                 first, end = found.span()
-                if any(first < t[1] and t[0] < end for t in taken):
+                while at < len(taken) and taken[at][1] <= first:
+                    merged.append(taken[at])
+                    at += 1
+                if at < len(taken) and taken[at][0] < end:
                     continue
                 new = kind.pseudonym(found, self.feistel, self.back)
                 if new is not None:
-                    taken.append((first, end, kind.name, new))
-        return sorted(taken)
+                    merged.append((first, end, kind.name, new))
+            taken = merged + taken[at:]
+        return taken
 
     def __call__(self, text: str) -> tuple[str, dict[str, int]]:
         """``text`` with pseudonyms, and how many of each kind."""
