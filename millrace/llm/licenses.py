@@ -136,10 +136,11 @@ def phrase_places(normal: str) -> list[tuple[int, str]]:
     """(first word, label) of every place where the words of a phrase stand one after another."""
     text, found = f" {normal} ", []
     for phrase, label in PHRASES:
-        at = text.find(f" {phrase} ")
+        at, counted, word = text.find(f" {phrase} "), 0, 0
         while at >= 0:
-            found.append((text.count(" ", 0, at), label))
-            at = text.find(f" {phrase} ", at + 1)
+            word += text.count(" ", counted, at)
+            found.append((word, label))
+            counted, at = at, text.find(f" {phrase} ", at + 1)
     return sorted(found)
 
 
@@ -188,8 +189,12 @@ def _scanned(text: str, scanner: Scanner) -> tuple:
     places = phrase_places(normal) if "license" in normal else []
     found = scanner(normal)
     base = {label for _, label in places}
-    spans = [{"first_word": normal.count(" ", 0, first), "label": label, "errors": errors,
-              "end_word": normal.count(" ", 0, end) + 1} for first, end, label, errors, _ in found]
+    spans, counted, word = [], 0, 0
+    for first, end, label, errors, _ in found:
+        word += normal.count(" ", counted, first)
+        counted = first
+        spans.append({"first_word": word, "label": label, "errors": errors,
+                      "end_word": word + normal.count(" ", first, end) + 1})
     score = 1.0 if places else max((f[4] for f in found), default=0.0)
     return (n_words, len(places), places[0][0] if places else None,
             places[-1][0] if places else None, ",".join(sorted(base)),
