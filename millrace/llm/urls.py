@@ -1,7 +1,7 @@
 """URL filters: host-suffix and path-prefix expressions, matched by short hash prefixes.
 
 Every URL is expanded into the expressions a rule for it could be written as: each suffix of
-its host (from a label on) with each prefix of its path. Rules and expressions meet in an
+its host (from a label on) with each prefix of its path, of the sizes that rules have. Rules and expressions meet in an
 equi-join on the first four bytes of their SHA-256; what meets is confirmed by the whole
 digest, and the longest rule wins.
 """
@@ -52,21 +52,22 @@ def _prefix(digest: Column) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
 
 
-def expressions(host: Column, path: Column, lengths: list[int]) -> Column:
-    """All host suffixes with all path prefixes: those that end in a slash, the whole path,
-    and those of the given ``lengths``."""
-    labels = F.split(host, r"\.")
-    hosts = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda first: F.array_join(
-        F.slice(labels, first, F.size(labels)), "."))
-    pieces = F.split(path, "/")
-    slashes = F.when(F.size(pieces) > 1, F.transform(
-        F.sequence(F.lit(1), F.size(pieces) - 1),
-        lambda last: F.concat(F.array_join(F.slice(pieces, 1, last), "/"), F.lit("/")),
-    )).otherwise(F.array().cast("array<string>"))
-    cut = F.filter(F.array([F.when(F.length(path) >= n, F.substring(path, 1, n))
-                            for n in lengths]).cast("array<string>"), lambda p: p.isNotNull())
-    paths = F.array_distinct(F.concat(slashes, F.array(path), cut))
-    return F.flatten(F.transform(hosts, lambda h: F.transform(paths, lambda p: F.concat(h, p))))
+def expressions(host: Column, path: Column, shapes: list[tuple[int, int, bool]]) -> Column:
+    """A URL's host suffixes with its path prefixes, of the ``shapes`` that rules have.
+
+    A shape is a number of labels, a length of the path, and whether the path ends in a slash in
+    all its rules. Other expressions meet no rule, so for each shape the work is linear in the URL.
+    """
+    labels = F.size(F.split(host, r"\."))
+    known = F.array(*[F.struct(F.lit(n).alias("labels"), F.lit(length).alias("length"),
+                               F.lit(slash).alias("slash")) for n, length, slash in shapes])
+    fitting = F.filter(
+        known.cast("array<struct<labels:int,length:int,slash:boolean>>"),
+        lambda s: (s["labels"] <= labels) & (s["length"] <= F.length(path)) & (
+            ~s["slash"] | (F.substring(path, s["length"], F.lit(1)) == "/")))
+    return F.transform(fitting, lambda s: F.concat(
+        F.call_function("substring_index", host, F.lit("."), -s["labels"]),
+        F.substring(path, F.lit(1), s["length"])))
 
 
 def judged(pages: DataFrame, rules: DataFrame, default: str = ALLOW,
@@ -80,29 +81,32 @@ def judged(pages: DataFrame, rules: DataFrame, default: str = ALLOW,
 
     A null url, or one without ``://``, has an empty host and path. Repeated rows are judged
     one by one; a null page_id stays null; columns other than page_id and url are not
-    read. Rules with a null field fit nothing. Empty tables give no rows.
+    read. Rules with a null field, a host that is none, or a path without its slash fit nothing.
+    Empty tables give no rows.
 
     Up to ``broadcast_rules`` rules are broadcast. More are joined with the distinct
     expressions, so that one that very many URLs share is looked up once.
     """
     rules = stored(
-        rules.where("host is not null and path is not null and verdict is not null")
-        .select(F.concat(F.translate("host", _UPPER, _LOWER), F.col("path")).alias("rule"),
-                F.col("verdict"), F.col("path"))
-        .groupBy("rule").agg(F.max("verdict").alias("verdict"), F.first("path").alias("path"))
+        rules.where("verdict is not null and host rlike '^[^/?#]*$' and path rlike '^(/|$)'")
+        .select(F.translate("host", _UPPER, _LOWER).alias("host"), F.col("path"),
+                F.col("verdict"))
+        .groupBy("host", "path").agg(F.max("verdict").alias("verdict"))
+        .withColumn("rule", F.concat("host", "path"))
         .withColumn("digest", _digest(F.col("rule"))).withColumn("prefix", _prefix(F.col("digest"))),
         "rules")
-    # A path that ends within a name is met by cutting URLs at its length.
-    lengths = [r.n for r in rules.where("path not like '%/'").select(
-        F.length("path").alias("n")).distinct().collect()]
+    # At most as many as there are numbers of labels times lengths of paths.
+    shapes = [(r.labels, r.length, r.slash) for r in rules.groupBy(
+        F.size(F.split("host", r"\.")).alias("labels"), F.length("path").alias("length")).agg(
+        F.min(F.endswith("path", F.lit("/"))).alias("slash")).collect()]
     known = rules.select("prefix", F.col("digest").alias("_digest"), F.col("rule").alias("_rule"),
                          F.col("verdict").alias("_verdict"))
     host, path = host_and_path(F.col("url"))
     rows = (pages.select(F.col("page_id").cast("long").alias("page_id"), "url")
             .withColumn("row", F.monotonically_increasing_id())
             .withColumn("host", host).withColumn("path", path))
-    found = rows.select("row", "page_id", "host", "path", F.posexplode(
-        expressions(F.col("host"), F.col("path"), lengths)).alias("at", "expression"))
+    found = rows.select("row", "page_id", "host", "path", F.posexplode_outer(
+        expressions(F.col("host"), F.col("path"), shapes)).alias("at", "expression"))
     hashed = (F.col("digest") == F.col("_digest"))
     if has_at_most(known, broadcast_rules):
         met = (found.withColumn("digest", _digest(F.col("expression")))
@@ -117,7 +121,7 @@ def judged(pages: DataFrame, rules: DataFrame, default: str = ALLOW,
         met = found.join(distinct, "expression", "left")
     fits = F.when(hashed, F.struct(F.length("_rule").alias("n"), F.col("_rule").alias("rule"),
                                    F.col("_verdict").alias("verdict")))
-    best = (met.withColumn("fits", fits).where("at = 0 or fits is not null")
+    best = (met.withColumn("fits", fits).where("coalesce(at, 0) = 0 or fits is not null")
             .groupBy("row", "page_id", "host", "path").agg(F.max("fits").alias("best")))
     return best.select("page_id", "host", "path", F.col("best.rule").alias("rule"),
                        F.coalesce(F.col("best.verdict"), F.lit(default)).alias("verdict"))
