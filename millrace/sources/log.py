@@ -61,10 +61,11 @@ def land_log(log: DataFrame, path: str) -> None:
 def log_after(log: DataFrame, epoch: int, filename: str, offset: int) -> DataFrame:
     """The rows of a log, at rest or streaming, that are strictly behind a position.
 
-    Of a log written by ``land_log`` the folders of older files are pruned; in one landed otherwise
-    the condition reaches the scan as a filter.
+    Of a log written by ``land_log`` the folders of older files are pruned. In one landed otherwise
+    only the epoch reaches the scan as a filter, since names are ordered by their length first.
     """
-    return log.where(in_files_from(epoch, filename)).where(after_position(epoch, filename, offset))
+    return (log.where(F.col("epoch") >= epoch).where(in_files_from(epoch, filename))
+            .where(after_position(epoch, filename, offset)))
 
 
 def row_changes(events: DataFrame) -> DataFrame:

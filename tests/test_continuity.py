@@ -142,6 +142,8 @@ def test_in_one_folder_the_same_rows_are_behind(spark, tmp_path):
     log = read_log(spark, f"{tmp_path}/log", SCHEMA)
     for start in ((0, "", 0), (0, "bin.000002", 104), (0, "bin.000003", 204), (1, "", 0)):
         assert rows_of(log_after(log, *start)) == rows_of(log.where(after_position(*start)))
+    text = log_after(log, *start)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(epoch" in text.split("PushedFilters: ")[1]
 
 
 def test_high_water_of_a_state(spark, tmp_path):
