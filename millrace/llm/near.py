@@ -8,9 +8,11 @@
    of different tokens thus fall together, and sets alone in their group are gone.
 4. A group of any size is dealt into cells of bounded size: blocks of it, in pairs.
 5. In every cell a signature tree (:mod:`millrace.llm.signatures`) over the sets' bitmaps
-   leaves out the sets that cannot be linked with any other there.
-6. The tokens of those that remain are fetched, and a second tree compares them exactly. It
-   gives the links of a spanning forest of the cell; components are joined over all cells.
+   finds which sets may be linked, directly or through others, and leaves out the rest.
+6. Sets that may be linked over any cells come together in one cell of their own, if it is not
+   too large; else they stay in the cells of step 4. So hardly a set's tokens go to two places.
+7. The tokens are fetched, and a second tree compares them exactly. It tells what is linked in
+   the cell; components are joined over all cells.
 
 Texts are read three times, which costs less than storing or shuffling their token sets.
 """
@@ -27,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.components import components
-from millrace.llm.signatures import bitmap, bitmap_bits, folded, links, partnered
+from millrace.llm.signatures import bitmap, bitmap_bits, folded, links, may_be_joined, rooted
 from millrace.llm.words import LOWER, slices, split_words, unused, word_hashes
 from millrace.session import has_at_most, stored
 
@@ -190,20 +192,24 @@ def _groups(postings: DataFrame) -> DataFrame:
 
 
 def _cells(groups: DataFrame, sets: DataFrame) -> DataFrame:
-    """(leader, i, j, set_id) and the set's size and bitmap: which sets meet in which cell."""
-    members = groups.join(sets, "set_id")
+    """(leader, i, j, set_id) and the set's size and bitmap: which sets meet in which cell.
+
+    The bitmaps are added last, so that only the move into the cells is one of bitmaps.
+    """
+    members = groups.join(sets.select("set_id", "n_shingles"), "set_id")
     blocks = (members.groupBy("leader")
               .agg(F.count(F.lit(1)).alias("members"), F.sum("n_shingles").alias("tokens"))
               .where("members > 1")
               .select("leader", F.ceil(F.greatest(
                   F.col("members") / CELL_SETS, F.col("tokens") / CELL_TOKENS)).alias("blocks")))
-    dealt = members.select("leader", "set_id", "n_shingles", "bitmap").join(
-        blocks, "leader").withColumn("own", F.pmod(F.xxhash64("set_id"), F.col("blocks")))
-    return dealt.select(
-        "leader", "set_id", "n_shingles", "bitmap", "own",
+    dealt = members.join(blocks, "leader").withColumn(
+        "own", F.pmod(F.xxhash64("set_id"), F.col("blocks")))
+    met = dealt.select(
+        "leader", "set_id", "n_shingles", "own",
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"),
     ).select("leader", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-             "set_id", "n_shingles", "bitmap")
+             "set_id", "n_shingles")
+    return met.join(sets.select("set_id", "bitmap"), "set_id")
 
 
 def _by_cell(rows: DataFrame) -> DataFrame:
@@ -238,11 +244,14 @@ def _each_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 def _possible(cells: DataFrame, percent: int) -> DataFrame:
-    """(leader, i, j, set_id) of the sets that may be linked with another one in their cell."""
+    """(leader, i, j, set_id, n_shingles, least) of the sets that may be linked in their cell.
+
+    ``least`` is the least set that it may be linked with there, directly or through others.
+    """
 
-    def marked(sizes: np.ndarray, maps: list[bytes]) -> np.ndarray:
+    def joined(sizes: np.ndarray, maps: list[bytes]) -> np.ndarray:
         bits = np.array([8 * len(m) for m in maps])
-        found = np.zeros(len(maps), dtype=bool)
+        pairs = []
         # Linked sets differ by less than two in size, so their bitmaps are of one length,
         # or one is twice as long and is folded.
         for width in np.unique(bits).tolist():
@@ -250,18 +259,45 @@ def _possible(cells: DataFrame, percent: int) -> DataFrame:
             order = at[np.lexsort((sizes[at], np.log(sizes[at]) // np.log(1.25)))]
             masks = np.stack([folded(np.frombuffer(maps[k], dtype=np.uint64), width)
                               for k in order])
-            found[order] |= partnered(masks, sizes[order], percent)
-        return found
+            pairs.append(order[may_be_joined(masks, sizes[order], percent)])
+        return rooted(len(maps), np.concatenate(pairs))
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cell in _each_cell(batches):
             if cell.num_rows > 1:
-                sizes = np.asarray(cell["n_shingles"], dtype=np.int64)
-                kept = cell.select([*CELL, "set_id"]).filter(
-                    pa.array(marked(sizes, cell["bitmap"].to_pylist())))
+                ids = np.asarray(cell["set_id"])
+                order = np.argsort(ids)
+                cell, ids = cell.take(pa.array(order)), ids[order]
+                root = joined(np.asarray(cell["n_shingles"], dtype=np.int64),
+                              cell["bitmap"].to_pylist())
+                some = pa.array(np.bincount(root, minlength=len(root))[root] > 1)
+                kept = cell.select([*CELL, "set_id", "n_shingles"]).append_column(
+                    "least", pa.array(ids[root])).filter(some)
                 yield from kept.to_batches()
 
-    return _by_cell(cells).mapInArrow(choose, "leader long, i long, j long, set_id long")
+    return _by_cell(cells).mapInArrow(
+        choose, "leader long, i long, j long, set_id long, n_shingles long, least long")
+
+
+def _together(possible: DataFrame) -> DataFrame:
+    """(leader, i, j, set_id): the cells in which the sets of ``possible`` are to be compared.
+
+    Sets that may be linked, over whatever cells, are one cell if they fit two blocks; its i and j
+    are -1. Sets of larger components are compared in the cells that they have.
+    """
+    joined = components(possible.select(F.col("set_id").alias("a"), F.col("least").alias("b")))
+    sized = possible.select("set_id", "n_shingles").distinct().join(
+        joined.withColumnRenamed("node", "set_id"), "set_id")
+    small = (sized.groupBy("root")
+             .agg(F.count(F.lit(1)).alias("members"), F.sum("n_shingles").alias("tokens"))
+             .where((F.col("members") <= 2 * CELL_SETS) & (F.col("tokens") <= 2 * CELL_TOKENS))
+             .select("root", F.lit(True).alias("whole")))
+    placed = stored(sized.join(small, "root", "left").select("set_id", "root", "whole"), "placed")
+    alone = placed.where("whole").select(
+        F.col("root").alias("leader"), F.lit(-1).cast("long").alias("i"),
+        F.lit(-1).cast("long").alias("j"), "set_id")
+    large = possible.join(placed.where("whole is null").select("set_id"), "set_id")
+    return alone.unionByName(large.select(*CELL, "set_id"))
 
 
 def _tokens(texts: DataFrame) -> DataFrame:
@@ -286,7 +322,7 @@ def _tokens(texts: DataFrame) -> DataFrame:
 
 
 def _edges(cells: DataFrame, percent: int) -> DataFrame:
-    """The links found in every cell."""
+    """(a, b) for every set a that is linked in its cell with others, b being the least of them."""
 
     def compare(cell: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         ids = np.asarray(cell["set_id"])
@@ -294,7 +330,11 @@ def _edges(cells: DataFrame, percent: int) -> DataFrame:
         sizes = np.array([len(s) for s in sets])
         order = np.lexsort((sizes, [s[0] for s in sets], np.log(sizes) // np.log(1.25)))
         found = np.array(links([sets[k] for k in order], percent), dtype=np.int64).reshape(-1, 2)
-        return ids[order[found[:, 0]]], ids[order[found[:, 1]]]
+        by_id = np.argsort(ids)
+        place = np.argsort(by_id)
+        root = rooted(len(ids), place[order[found]])
+        linked = root != np.arange(len(ids))
+        return ids[by_id[linked]], ids[by_id[root[linked]]]
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cell in _each_cell(batches):
@@ -328,10 +368,10 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         F.min("doc_id").alias("first_id"), F.max("n_shingles").alias("n_shingles"),
         F.first("bitmap").alias("bitmap"))
     groups = _groups(_postings(docs, frequent, percent))
-    cells = stored(_possible(_cells(groups, sets), percent), "cells")
+    cells = _together(stored(_possible(_cells(groups, sets), percent), "cells"))
     edges = _edges(cells.join(_tokens(_texts(cells, docs, found)), "set_id"), percent)
-    rooted = components(edges)
-    named = sets.join(rooted.withColumnRenamed("node", "set_id"), "set_id", "left").select(
+    linked = components(edges).withColumnRenamed("node", "set_id")
+    named = sets.join(linked, "set_id", "left").select(
         "set_id", "first_id", F.coalesce("root", "set_id").alias("root"))
     least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     classes = named.join(least, "root").select("set_id", "component_id")
@@ -346,8 +386,8 @@ def _texts(cells: DataFrame, docs: DataFrame, found: DataFrame) -> DataFrame:
     """
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash"))
     wanted = stored(
-        found.join(cells.select("set_id").distinct(), "set_id").groupBy("set_id")
-        .agg(first.alias("first")).select(
+        found.groupBy("set_id").agg(first.alias("first"))
+        .join(cells.select("set_id").distinct(), "set_id").select(
             "set_id", F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash")),
         "wanted")
     if has_at_most(wanted, BROADCAST_IDS):

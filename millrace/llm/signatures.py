@@ -100,22 +100,53 @@ def _leaf_pairs(tree: Tree, percent: int) -> Iterator[tuple[np.ndarray, np.ndarr
             stack.append((level - 1, pairs_left[ordered], pairs_right[ordered]))
 
 
-def partnered(masks: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
-    """Which sets may be linked with another one, as far as bitmaps and sizes tell.
+def rooted(n: int, pairs: np.ndarray) -> np.ndarray:
+    """For each of 0 to n - 1 the least number that ``pairs`` (rows of two) join it with."""
+    root = list(range(n))
+
+    def top(k: int) -> int:
+        while root[k] != k:
+            root[k] = k = root[root[k]]
+        return k
+
+    for a, b in pairs.tolist():
+        a, b = top(a), top(b)
+        root[max(a, b)] = min(a, b)
+    return np.array([top(k) for k in range(n)], dtype=np.int64)
+
+
+class _Forest:
+    """Trees of numbers, which pairs join; ``root`` has each number's tree."""
+
+    def __init__(self, n: int) -> None:
+        self.root = np.arange(n)
+        self.members = {i: [i] for i in range(n)}
+        self.pairs: list[tuple[int, int]] = []
+
+    def connect(self, a: int, b: int) -> None:
+        keep, drop = self.root[a], self.root[b]
+        if keep == drop:
+            return
+        if len(self.members[keep]) < len(self.members[drop]):
+            keep, drop = drop, keep
+        moved = self.members.pop(drop)
+        self.root[moved] = keep
+        self.members[keep].extend(moved)
+        self.pairs.append((a, b))
+
+
+def may_be_joined(masks: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Pairs that connect all sets which may be linked, as far as bitmaps and sizes tell.
 
-    Once a set is known to have a possible partner, it is only looked at as a partner.
+    Sets connected already are not looked at again, so the pairs, rows of two, are a forest.
     """
-    tree = Tree(masks, sizes)
-    marked = np.zeros(len(sizes), dtype=bool)
+    tree, forest = Tree(masks, sizes), _Forest(len(sizes))
     for own, others in _leaf_pairs(tree, percent):
         for a in own.tolist():
-            rest = others[others > a]
-            if marked[a]:
-                rest = rest[~marked[rest]]
-            fits = rest[tree.may_link(0, np.full(len(rest), a), rest, percent)]
-            if len(fits):
-                marked[a] = marked[fits] = True
-    return marked
+            rest = others[(others > a) & (forest.root[others] != forest.root[a])]
+            for b in rest[tree.may_link(0, np.full(len(rest), a), rest, percent)].tolist():
+                forest.connect(a, b)
+    return np.array(forest.pairs, dtype=np.int64).reshape(-1, 2)
 
 
 def links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -130,22 +161,10 @@ def links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
     bits = bitmap_bits(int(sizes.max()))
     tree = Tree(np.stack([bitmap(s, bits) for s in sets]), sizes)
-    root = np.arange(len(sets))
-    members = {i: [i] for i in range(len(sets))}
-    found: list[tuple[int, int]] = []
-
-    def connect(a: int, b: int) -> None:
-        keep, drop = root[a], root[b]
-        if len(members[keep]) < len(members[drop]):
-            keep, drop = drop, keep
-        moved = members.pop(drop)
-        root[moved] = keep
-        members[keep].extend(moved)
-        found.append((a, b))
-
+    forest = _Forest(len(sets))
     for own, others in _leaf_pairs(tree, percent):
         for a in own.tolist():
-            rest = others[(others > a) & (root[others] != root[a])]
+            rest = others[(others > a) & (forest.root[others] != forest.root[a])]
             rest = rest[tree.may_link(0, np.full(len(rest), a), rest, percent)]
             if not len(rest):
                 continue
@@ -155,6 +174,5 @@ def links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
             shared = np.add.reduceat(sets[a][at] == tokens, firsts, dtype=np.int64)
             linked = (100 + percent) * shared >= percent * (sizes[rest] + sizes[a])
             for b in rest[linked].tolist():
-                if root[a] != root[b]:
-                    connect(a, b)
-    return found
+                forest.connect(a, b)
+    return forest.pairs

@@ -25,7 +25,7 @@ from millrace.llm.pseudonyms import KINDS as pseudonym_kinds
 from millrace.llm.pseudonyms import Feistel, Pseudonymizer, luhn_digit, pseudonyms
 from millrace.llm.queries import QUERIES, SQL, TOKENIZER
 from millrace.llm.repetition import Limits, longest_repeats, repetition, without_repetition
-from millrace.llm.signatures import links
+from millrace.llm.signatures import bitmap, links, may_be_joined, rooted
 from millrace.llm.words import LOWER, split_words
 from tests.compare import spark_rows, sql_rows
 
@@ -209,6 +209,24 @@ def test_large_groups_are_dealt_into_cells(spark, monkeypatch):
     assert Counter(tuple(r) for r in found) == brute_classes(rows)
 
 
+def test_tokens_of_a_set_go_to_one_cell(spark, monkeypatch):
+    """However many groups a set is in, it is compared once if what it may link with fits a cell."""
+    from millrace.llm import near
+    compared = []
+    edges = near._edges
+    monkeypatch.setattr(near, "_edges", lambda cells, percent: compared.extend(
+        r.set_id for r in cells.select("set_id").collect()) or edges(cells, percent))
+    rng = random.Random(5)
+    rows = []
+    for k in range(120):
+        words = [f"g{k // 6}x{n}" for n in range(60)]
+        words[rng.randrange(60)] = f"y{rng.randint(0, 30)}"
+        rows.append((k, " ".join(words)))
+    found = near_duplicates(documents(spark, [(i, t, "", "", 0) for i, t in rows])).collect()
+    assert Counter(tuple(r) for r in found) == brute_classes(rows)
+    assert len(compared) == len(set(compared)) > 50
+
+
 def test_one_of_each_group_stays(spark):
     rows = ODD + [(20, " ".join(f"p{k}" for k in range(50)), "en", "s", 0),
                   (21, " ".join(f"p{k}" for k in range(51)), "en", "s", 0)]
@@ -288,6 +306,11 @@ def test_signature_tree_against_brute_force():
                 if 100 * len(np.intersect1d(sets[i], sets[j]))
                 >= 80 * len(np.union1d(sets[i], sets[j]))]
         assert classes(links(sets, 80)) == classes(want)
+        # Bitmaps alone leave out no link; a forest names each of its trees by the least number.
+        sizes = np.array([len(s) for s in sets])
+        possible = may_be_joined(np.stack([bitmap(s, 256) for s in sets]), sizes, 80)
+        assert classes(possible) == rooted(len(sets), possible).tolist()
+        assert classes([*possible.tolist(), *want]) == classes(possible)
 
 
 def test_components_of_a_chain_and_a_star(spark):
