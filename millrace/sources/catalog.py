@@ -45,11 +45,12 @@ def primary_keys(columns: DataFrame, indexes: DataFrame) -> DataFrame:
     """Per table its key columns and their zero-based places, in index order.
 
     ``known`` is false when the index names a column the table has not. A key has
-    few columns, so gathering it per table is safe.
+    few columns, so gathering it per table is safe. The columns of a whole catalog are merged
+    with the keys and never broadcast, however small they are taken to be.
     """
     primary = indexes.where(F.col("index_name") == PRIMARY_INDEX)
     place = columns.select(*TABLE, "column_name", (F.col("ordinal") - 1).alias("place"))
-    parts = primary.join(place, [*TABLE, "column_name"], "left").groupBy(*TABLE).agg(
+    parts = primary.join(place.hint("merge"), [*TABLE, "column_name"], "left").groupBy(*TABLE).agg(
         F.array_sort(F.collect_list(F.struct("seq", "column_name", "place"))).alias("parts"))
     return parts.select(
         *TABLE,

@@ -128,3 +128,11 @@ def test_drift(spark):
          ("e", "t", "a", "STRING")], source.schema)
     assert {(r.db, r.column_name, r.drift) for r in c.schema_drift(source, sink).collect()} == {
         ("d", "a", "retyped"), ("d", "c", "missing"), ("d", "z", "extra")}
+
+
+def test_catalogs_are_merged_and_not_broadcast(spark):
+    """A catalog's columns are many more than its files' size tells, so none is broadcast."""
+    _, columns, indexes = _catalog(spark)
+    for found in (cat.primary_keys(columns, indexes),):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
