@@ -61,7 +61,10 @@ def primary_keys(columns: DataFrame, indexes: DataFrame) -> DataFrame:
 
 
 def table_schemas(tables: DataFrame, columns: DataFrame, indexes: DataFrame) -> DataFrame:
-    """One row per base table: schema text, or the error that keeps it from loading."""
+    """One row per base table: schema text, or the error that keeps it from loading.
+
+    All of it is merged by table; nothing that grows with the catalog is broadcast.
+    """
     typed = typed_columns(columns)
     text = column_text(F.col("column_name"), F.col("engine_type"), F.col("length"))
     described = typed.groupBy(*TABLE).agg(
@@ -75,7 +78,8 @@ def table_schemas(tables: DataFrame, columns: DataFrame, indexes: DataFrame) ->
     key = F.coalesce("key", F.array().cast("array<string>"))
     full_text = schema_text(F.col("db"), F.col("tbl"), F.col("cols.text"), key)
     return (
-        base_tables(tables).join(described, TABLE).join(keys, TABLE, "left")
+        base_tables(tables).join(described.hint("merge"), TABLE)
+        .join(keys.hint("merge"), TABLE, "left")
         .withColumn("error", error)
         .select(*TABLE, F.when(F.col("error").isNull(), full_text).alias("schema_text"), "error")
     )

@@ -130,9 +130,12 @@ def test_drift(spark):
         ("d", "a", "retyped"), ("d", "c", "missing"), ("d", "z", "extra")}
 
 
-def test_catalogs_are_merged_and_not_broadcast(spark):
+def test_catalogs_are_merged_and_not_broadcast(spark, tmp_path):
     """A catalog's columns are many more than its files' size tells, so none is broadcast."""
-    _, columns, indexes = _catalog(spark)
-    for found in (cat.primary_keys(columns, indexes),):
+    stored = []
+    for k, rows in enumerate(_catalog(spark)):
+        rows.write.parquet(f"{tmp_path}/{k}")
+        stored.append(spark.read.parquet(f"{tmp_path}/{k}"))
+    for found in cat.primary_keys(*stored[1:]), cat.table_schemas(*stored):
         plan = found._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "Broadcast" not in plan
